@@ -164,7 +164,8 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
 
 
 def break_ties(sql: str) -> str:
-    """Nudge the argument of every ROUND: engines round exact halves in different directions."""
+    """Nudge the argument of every ROUND to up to six digits: engines round exact halves in
+    different directions."""
     out, i = [], 0
     while (start := sql.find("ROUND(", i)) >= 0:
         depth, j, comma = 1, start + 6, -1
@@ -173,8 +174,9 @@ def break_ties(sql: str) -> str:
             if sql[j] == "," and depth == 1:
                 comma = j
             j += 1
-        inner = break_ties(sql[start + 6 : comma])
-        out += [sql[i:start], f"ROUND(({inner}) + 1e-7, {sql[comma + 1 : j - 1]})"]
+        inner, digits = break_ties(sql[start + 6 : comma]), sql[comma + 1 : j - 1].strip()
+        nudge = " + 1e-7" if int(digits) <= 6 else ""
+        out += [sql[i:start], f"ROUND(({inner}){nudge}, {digits})"]
         i = j
     return "".join([*out, sql[i:]])
 
