@@ -1,6 +1,6 @@
 """Queries over the test tables, one per operator, each with its oracle statement."""
 
-from cartmetrics.plans import agg_plans, join_plans, kpi_plans, series_plans, std_plans  # noqa: F401
+from cartmetrics.plans import agg_plans, check_plans, join_plans, kpi_plans, series_plans, std_plans  # noqa: F401
 from cartmetrics.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
