@@ -28,7 +28,7 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
         UNION ALL
         SELECT CAST(s_suppkey AS VARCHAR), CAST(s_suppkey + 2 AS VARCHAR),
                CASE WHEN s_nationkey % 2 = 0 THEN '0049' ELSE '0068' END
-        FROM supplier WHERE s_suppkey % 10 = 0"""),
+        FROM supplier WHERE s_nationkey < 5"""),
     "clients": ((), """
         SELECT CAST(s_suppkey AS VARCHAR) AS cus_idt,
                ([' moderno ','DTT','INTERNAL','NC Moderno','OTHER'])[s_nationkey % 5 + 1] AS canal_raw,
@@ -93,7 +93,7 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
     "waste": (("clients",), """
         SELECT CAST(l_shipdate AS DATE) AS fecha, CAST(l_partkey AS VARCHAR) AS sku, cus_grp_dsc AS cadena,
                l_linestatus AS formato, canal_raw AS canal,
-               CASE WHEN l_linenumber % 4 = 0 THEN 'OTHER' ELSE ' topline' END AS fuente,
+               CASE WHEN l_tax > 0.06 THEN 'OTHER' ELSE ' topline' END AS fuente,
                CASE WHEN l_quantity > 1 THEN l_extendedprice END AS waste_amount, l_quantity AS waste_kg
         FROM lineitem JOIN clients ON CAST(l_suppkey AS VARCHAR) = cus_idt
         WHERE l_returnflag = 'R'"""),
@@ -157,8 +157,8 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
                CASE WHEN channel_key IN ('AUTOMOBILE','FURNITURE') THEN 'MODERN' ELSE 'TRADITIONAL' END
                  AS channel_type,
                ROUND(units * (0.7::DOUBLE + 0.1::DOUBLE * (period_key % 7)), 2) AS forecasted_units,
-               CASE WHEN period_key % 11 = 0 THEN 0.0::DOUBLE ELSE units END AS actual_units,
-               period_key % 5 <> 0 AS is_official_version, channel_key <> 'MACHINERY' AS is_reportable
+               CASE WHEN MONTH(fecha_month) = 2 THEN 0.0::DOUBLE ELSE units END AS actual_units,
+               MONTH(fecha_month) <> 6 AS is_official_version, channel_key <> 'MACHINERY' AS is_reportable
         FROM history"""),
 }
 

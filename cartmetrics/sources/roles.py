@@ -95,7 +95,7 @@ class Tables:
             F.when(key % 4 == 0, text(key)).when(key % 4 != 3, text(key + 1)).alias("new_cus_idt"),
             org,
         )
-        again = self.supplier.filter(key % 10 == 0).select(
+        again = self.supplier.filter(F.col("s_nationkey") < 5).select(
             text(key).alias("old_cus_idt"), text(key + 2).alias("new_cus_idt"), org
         )
         return base.unionByName(again)
@@ -241,7 +241,7 @@ class Tables:
 
     @cached_property
     def waste(self) -> DataFrame:
-        """Returned lines as waste, three quarters of them from the main reporting source."""
+        """Returned lines as waste, most of them from the main reporting source."""
         c = F.col
         rows = self.lineitem.filter(c("l_returnflag") == "R").join(
             self.clients.withColumnRenamed("cus_idt", "_cus"), text(c("l_suppkey")) == c("_cus")
@@ -252,7 +252,7 @@ class Tables:
             c("cus_grp_dsc").alias("cadena"),
             c("l_linestatus").alias("formato"),
             c("canal_raw").alias("canal"),
-            F.when(c("l_linenumber") % 4 == 0, "OTHER").otherwise(" topline").alias("fuente"),
+            F.when(c("l_tax") > 0.06, "OTHER").otherwise(" topline").alias("fuente"),
             F.when(c("l_quantity") > 1, c("l_extendedprice")).alias("waste_amount"),
             c("l_quantity").alias("waste_kg"),
         )
@@ -378,7 +378,7 @@ class Tables:
             "brand_key", "channel_key", "period_key", "fecha_month",
             kind.alias("channel_type"),
             stable_round(F.col("units") * factor, 2).alias("forecasted_units"),
-            F.when(F.col("period_key") % 11 == 0, 0.0).otherwise(F.col("units")).alias("actual_units"),
-            (F.col("period_key") % 5 != 0).alias("is_official_version"),
+            F.when(F.month("fecha_month") == 2, 0.0).otherwise(F.col("units")).alias("actual_units"),
+            (F.month("fecha_month") != 6).alias("is_official_version"),
             (F.col("channel_key") != "MACHINERY").alias("is_reportable"),
         )
