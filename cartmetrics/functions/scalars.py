@@ -238,7 +238,7 @@ def weighted_score(parts: Mapping[str, Column], weights: Mapping[str, float], ma
     missing = sum((parts[k].isNull().cast("int") for k in weights), F.lit(0))
     total = sum((F.coalesce(parts[k] * w, F.lit(0.0)) for k, w in weights.items()), F.lit(0.0))
     weight = sum((F.when(parts[k].isNotNull(), F.lit(w)).otherwise(0.0) for k, w in weights.items()), F.lit(0.0))
-    score = F.when(missing <= max_missing, F.round(clamp(total / weight, 0.0, 100.0), 1))
+    score = F.when(missing <= max_missing, stable_round(clamp(total / weight, 0.0, 100.0), 1))
     return score, missing
 
 

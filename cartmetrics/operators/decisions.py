@@ -156,18 +156,20 @@ def render_rationale(
     out = out.join(frame, F.col("_wanted") == F.col("_action"), "left")
 
     def fill(text: Column, slot: str, name: str) -> Column:
+        """Replace the forms of one slot; a NULL value leaves the slot as it is."""
         dtype = df.schema[name].dataType.typeName()
-        col = F.col(name)
+        forms = {f"{{{slot}}}": F.col(name).cast("string")}
         if dtype in ("double", "float") or dtype.startswith("decimal"):
-            value = col.cast("double")
-            for form, shown in (
-                (f"{{{slot}}}", F.format_string("%.1f", value)),
-                (f"{{{slot}:.0%}}", F.concat(F.format_string("%.0f", value * 100), F.lit("%"))),
-                (f"{{{slot}:.2f}}", F.format_string("%.2f", value)),
-            ):
-                text = F.when(col.isNull(), text).otherwise(F.replace(text, F.lit(form), shown))
-            return text
-        return F.when(col.isNull(), text).otherwise(F.replace(text, F.lit(f"{{{slot}}}"), col.cast("string")))
+            value = F.col(name).cast("double")
+            known = lambda c: F.when(value.isNotNull(), c)
+            forms = {
+                f"{{{slot}}}": known(F.format_string("%.1f", value)),
+                f"{{{slot}:.0%}}": known(F.concat(F.format_string("%.0f", value * 100), F.lit("%"))),
+                f"{{{slot}:.2f}}": known(F.format_string("%.2f", value)),
+            }
+        return reduce(
+            lambda t, kv: F.replace(t, F.lit(kv[0]), F.coalesce(kv[1], F.lit(kv[0]))), forms.items(), text
+        )
 
     text = reduce(lambda t, kv: fill(t, *kv), values.items(), F.col("_template"))
     out = out.withColumn("rationale", text)

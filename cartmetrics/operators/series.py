@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cartmetrics.functions.scalars import safe_divide
+from cartmetrics.functions.scalars import safe_divide, stable_round
 
 
 def _by(keys: Sequence[str], order: str):
@@ -90,7 +90,7 @@ def key_cardinality_window(items: DataFrame, key: str = "sku_ean_cod", active: s
 def rolling_score(df: DataFrame, keys: Sequence[str], order: str, score: str, points: int = 4, minimum: int = 2) -> DataFrame:
     """Mean of the last points, NULL until there are enough, rounded to one decimal."""
     window = _by(keys, order).rowsBetween(-(points - 1), 0)
-    mean = F.when(F.count(score).over(window) >= minimum, F.round(F.avg(score).over(window), 1))
+    mean = F.when(F.count(score).over(window) >= minimum, stable_round(F.avg(score).over(window), 1))
     return df.withColumn(f"{score}_{points}w_avg", mean)
 
 

@@ -81,8 +81,7 @@ def key_cardinality_window(t: Tables) -> DataFrame:
            WINDOW w AS (PARTITION BY brand_key, channel_key ORDER BY period_key ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)""",
 )
 def rolling_score_4(t: Tables) -> DataFrame:
-    nudged = score_rows(t).withColumn("score", F.col("score") + 1e-9)
-    return rounded(series.rolling_score(nudged, KEYS, "period_key", "score"), 1)
+    return rounded(series.rolling_score(score_rows(t), KEYS, "period_key", "score"), 1)
 
 
 @query(
