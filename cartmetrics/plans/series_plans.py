@@ -277,6 +277,19 @@ def mmm_regression(t: Tables) -> DataFrame:
     return rounded(models.mmm_regression(lagged, KEYS, features, "units"), 6)
 
 
+@query(
+    roles=("history",),
+    extra={
+        "x": """SELECT brand_key, channel_key, COUNT(*) AS n, REGR_SLOPE(units, price_index_vs_category) AS b1, REGR_INTERCEPT(units, price_index_vs_category) AS b0,
+                       REGR_R2(units, price_index_vs_category) AS r2 FROM history GROUP BY ALL"""
+    },
+    sql="""SELECT brand_key, channel_key, n AS n_rows, 2 AS matrix_rank, ROUND(b0, 4) AS intercept_coef, ROUND(b1, 4) AS price_index_vs_category_coef, ROUND(r2, 4) AS r2 FROM x""",
+)
+def price_regression(t: Tables) -> DataFrame:
+    """The regression with a single feature, where SQL has its own least squares."""
+    return rounded(models.mmm_regression(t.history, KEYS, ["price_index_vs_category"], "units"))
+
+
 @query(
     roles=("history",),
     extra={

@@ -18,7 +18,10 @@ from cartmetrics.sources.roles import Tables
 # --- sources -----------------------------------------------------------------------------------
 
 
-@query("SELECT l_returnflag, COUNT(*) AS n_rows, ROUND(SUM(l_quantity), 2) AS quantity FROM lineitem GROUP BY l_returnflag")
+@query(
+    "SELECT l_returnflag, COUNT(*) AS n_rows, ROUND(SUM(l_quantity), 2) AS quantity FROM lineitem GROUP BY l_returnflag",
+    name="read_source",
+)
 def read_source_columns(t: Tables) -> DataFrame:
     """Only two columns reach the scan."""
     rows = read_source(t.spark, f"{t.folder}/lineitem.parquet", ["l_returnflag", "l_quantity"])
@@ -273,25 +276,31 @@ def date_from_int(t: Tables) -> DataFrame:
     )
 
 
+def store_counts(t: Tables) -> DataFrame:
+    joined = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return joined.groupBy("c_mktsegment", "n_name").agg(F.count("*").alias("n_stores"))
+
+
 COVERAGE_SQL = """SELECT c_mktsegment, n_name, COUNT(*) AS n_stores FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL"""
 
 
 @query(
     f"""SELECT c_mktsegment, n_name, n_stores,
-               CASE WHEN n_stores >= 50 THEN 'HIGH' WHEN n_stores >= 20 THEN 'MEDIUM' ELSE 'LOW' END AS coverage_level,
-               CASE WHEN n_stores / 25.0::DOUBLE < 0.70 THEN 'LOW' WHEN n_stores / 25.0::DOUBLE < 0.85 THEN 'MEDIUM' ELSE 'HIGH' END
-                 AS coverage_level_ratio
+               CASE WHEN n_stores >= 50 THEN 'HIGH' WHEN n_stores >= 20 THEN 'MEDIUM' ELSE 'LOW' END AS coverage_level
         FROM ({COVERAGE_SQL})"""
 )
 def coverage_level(t: Tables) -> DataFrame:
-    joined = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    n = joined.groupBy("c_mktsegment", "n_name").agg(F.count("*").alias("n_stores"))
-    return n.withColumns(
-        {
-            "coverage_level": S.coverage_level(F.col("n_stores")),
-            "coverage_level_ratio": S.coverage_level_ratio(F.col("n_stores") / 25.0),
-        }
-    )
+    return store_counts(t).withColumn("coverage_level", S.coverage_level(F.col("n_stores")))
+
+
+@query(
+    f"""SELECT c_mktsegment, n_name, n_stores,
+               CASE WHEN n_stores / 25.0::DOUBLE < 0.70 THEN 'LOW' WHEN n_stores / 25.0::DOUBLE < 0.85 THEN 'MEDIUM' ELSE 'HIGH' END AS coverage_level
+        FROM ({COVERAGE_SQL})"""
+)
+def coverage_level_ratio(t: Tables) -> DataFrame:
+    """Share of twenty-five expected stores per cell that report."""
+    return store_counts(t).withColumn("coverage_level", S.coverage_level_ratio(F.col("n_stores") / 25.0))
 
 
 MONTH_FACTS = {
@@ -369,26 +378,61 @@ def waste_adjusted_roi(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT c_custkey, CASE WHEN c_acctbal / 10000 < 0.30 THEN 'LOW' WHEN c_acctbal / 10000 < 0.70 THEN 'MEDIUM' ELSE 'HIGH' END AS waste_risk_category,
-              CASE WHEN c_acctbal / 100 - 50 > 0 THEN 'GREEN' WHEN c_acctbal / 100 - 50 >= -5 THEN 'AMBER' ELSE 'RED' END AS trend,
-              CASE WHEN c_acctbal / 1000 < 3 THEN 'GREEN' WHEN c_acctbal / 1000 <= 6 THEN 'AMBER' ELSE 'RED' END AS waste_trend,
-              ROUND(POWER(GREATEST(c_acctbal, 0), 1.5) / (POWER(5000.0::DOUBLE, 1.5) + POWER(GREATEST(c_acctbal, 0), 1.5)), 6) AS hill
-       FROM customer"""
+    """SELECT c_custkey, CASE WHEN c_acctbal / 10000 < 0.30 THEN 'LOW' WHEN c_acctbal / 10000 < 0.70 THEN 'MEDIUM' ELSE 'HIGH' END AS waste_risk_category FROM customer"""
 )
-def bands_and_hill(t: Tables) -> DataFrame:
+def waste_risk_bucket(t: Tables) -> DataFrame:
+    return t.customer.select("c_custkey", S.waste_risk_bucket(F.col("c_acctbal") / 10000).alias("waste_risk_category"))
+
+
+@query(
+    """SELECT c_custkey, CASE WHEN c_acctbal / 100 - 50 > 0 THEN 'GREEN' WHEN c_acctbal / 100 - 50 >= -5 THEN 'AMBER' ELSE 'RED' END AS trend,
+              CASE WHEN c_acctbal / 1000 < 3 THEN 'GREEN' WHEN c_acctbal / 1000 <= 6 THEN 'AMBER' ELSE 'RED' END AS waste_trend FROM customer"""
+)
+def trend_band(t: Tables) -> DataFrame:
     b = F.col("c_acctbal")
-    return rounded(
-        t.customer.select(
-            "c_custkey",
-            S.waste_risk_bucket(b / 10000).alias("waste_risk_category"),
-            S.growth_band(b / 100 - 50).alias("trend"),
-            S.waste_band(b / 1000, 3.0).alias("waste_trend"),
-            S.hill_response(F.greatest(b, F.lit(0.0)), F.lit(5000.0), F.lit(1.5)).alias("hill"),
-        ),
-        6,
+    return t.customer.select(
+        "c_custkey", S.growth_band(b / 100 - 50).alias("trend"), S.waste_band(b / 1000, 3.0).alias("waste_trend")
     )
 
 
+@query(
+    """SELECT c_custkey, ROUND(POWER(GREATEST(c_acctbal, 0), 1.5) / (POWER(5000.0::DOUBLE, 1.5) + POWER(GREATEST(c_acctbal, 0), 1.5)), 6) AS response FROM customer"""
+)
+def hill_response(t: Tables) -> DataFrame:
+    spend = F.greatest(F.col("c_acctbal"), F.lit(0.0))
+    return rounded(t.customer.select("c_custkey", S.hill_response(spend, F.lit(5000.0), F.lit(1.5)).alias("response")), 6)
+
+
+@query(
+    roles=("sell_out",),
+    sql="""SELECT fecha_month, ROUND(SUM(vol_inv) * 30 / NULLIF(SUM(vol_sell_out), 0), 4) AS inventory_days FROM sell_out GROUP BY ALL""",
+)
+def inventory_days(t: Tables) -> DataFrame:
+    totals = t.sell_out.groupBy("fecha_month").agg(F.sum("vol_inv").alias("stock"), F.sum("vol_sell_out").alias("sold"))
+    return rounded(totals.select("fecha_month", S.inventory_days(F.col("stock"), F.col("sold")).alias("inventory_days")))
+
+
+@query(
+    roles=MONTH_ROLES,
+    extra=MONTH_FACTS,
+    sql="SELECT fecha_month, ROUND(revenue / NULLIF(spend, 0), 4) AS roas_gross FROM m",
+)
+def roas_gross(t: Tables) -> DataFrame:
+    return rounded(month_facts(t).select("fecha_month", S.safe_divide(F.col("revenue"), F.col("spend")).alias("roas_gross")))
+
+
+@query(
+    roles=MONTH_ROLES,
+    extra=MONTH_FACTS,
+    sql="""SELECT fecha_month, CASE WHEN sell_in IS NOT NULL AND sell_out IS NOT NULL AND spend IS NOT NULL AND waste IS NOT NULL THEN 'HIGH'
+                  WHEN sell_out IS NOT NULL THEN 'MEDIUM' ELSE 'LOW' END AS data_confidence FROM m""",
+)
+def data_confidence(t: Tables) -> DataFrame:
+    """Confidence of a month from the sources that report it."""
+    has = [F.col(c).isNotNull() for c in ("sell_in", "sell_out", "spend", "waste")]
+    return month_facts(t).select("fecha_month", S.data_confidence(*has).alias("data_confidence"))
+
+
 @query(
     roles=("sell_in",),
     sql="""SELECT unit, ROUND(SUM(volume), 2) AS volume_raw, ROUND(SUM(CASE UPPER(TRIM(unit)) WHEN 'WATERS' THEN volume * 1 WHEN 'EDP' THEN volume * 1000 END), 2) AS volume_kg,
@@ -640,6 +684,36 @@ def market_channel_std(t: Tables) -> DataFrame:
     ).agg(F.count("*").alias("n_markets"))
 
 
+@query(
+    roles=("markets",),
+    extra=MARKET_EXTRA,
+    sql="SELECT canal_lvl2, CASE WHEN canal_lvl2 LIKE '%SCANNING%' THEN 'YES' ELSE 'NO' END AS is_scanning, COUNT(*) AS n_markets FROM classified GROUP BY ALL",
+)
+def is_scanning(t: Tables) -> DataFrame:
+    flag = labels.is_scanning(F.col("canal_lvl2")).alias("is_scanning")
+    return classified_markets(t).groupBy("canal_lvl2", flag).agg(F.count("*").alias("n_markets"))
+
+
+@query(
+    roles=("markets",),
+    extra=MARKET_EXTRA,
+    sql="SELECT region_std, CASE WHEN region_std = 'TOTAL_MEXICO' THEN 'YES' ELSE 'NO' END AS is_total_mexico, COUNT(*) AS n_markets FROM classified GROUP BY ALL",
+)
+def is_total_mexico(t: Tables) -> DataFrame:
+    flag = labels.is_total_mexico(F.col("region_std")).alias("is_total_mexico")
+    return classified_markets(t).groupBy("region_std", flag).agg(F.count("*").alias("n_markets"))
+
+
+@query(
+    roles=("waste",),
+    extra={"c": f"SELECT canal, {CHANNEL_CASE.replace(' c IN', ' UPPER(TRIM(canal)) IN')} AS ch FROM waste"},
+    sql="""SELECT canal, CASE WHEN ch = 'INTERNOS' THEN 'INTERNAL_OPERATION' WHEN ch IS NOT NULL THEN 'COMMERCIAL' END AS business_route, COUNT(*) AS n_rows FROM c GROUP BY ALL""",
+)
+def business_route(t: Tables) -> DataFrame:
+    route = labels.business_route(labels.channel_std(F.col("canal"))).alias("business_route")
+    return t.waste.groupBy("canal", route).agg(F.count("*").alias("n_rows"))
+
+
 @query(
     """SELECT segment, presentation, COUNT(*) AS n_products FROM (
          SELECT *, CASE WHEN segment = 'NATURAL' AND p_size IN (1, 2, 3) THEN 'SMALL NATURAL' WHEN segment = 'FLAVOURED' THEN 'ANY FLAVOURED'
