@@ -149,7 +149,7 @@ def waste_risk_bucket(score: Column, medium: float = 0.30, high: float = 0.70) -
 def hill_response(x: Column, half_saturation: Column, alpha: Column) -> Column:
     """x^a / (K^a + x^a): zero at zero, one half at K."""
     powered = F.pow(x, alpha)
-    return powered / (F.pow(half_saturation, alpha) + powered)
+    return safe_divide(powered, F.pow(half_saturation, alpha) + powered)
 
 
 def scenario_label(tag: Column) -> Column:

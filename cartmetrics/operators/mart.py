@@ -44,15 +44,20 @@ def mart_facts(base: DataFrame, sell_in: DataFrame, waste: DataFrame, spend: Dat
 
 
 def with_growth(mart: DataFrame) -> DataFrame:
-    """Year-on-year growth of the brand and of its channel, and the difference."""
-    brand = growth_to_earlier(mart.select(*KEYS, "fecha_month", "revenue"), KEYS, "fecha_month", "revenue")
-    brand = brand.select(*KEYS, "fecha_month", F.col("growth").alias("sell_out_growth"))
-    total = mart.groupBy("channel_key", "fecha_month").agg(F.sum("revenue").alias("revenue"))
-    market = growth_to_earlier(total, ["channel_key"], "fecha_month", "revenue")
-    market = market.select("channel_key", "fecha_month", (F.col("growth") * 100).alias("market_category_growth_pct"))
-    out = mart.join(brand, [*KEYS, "fecha_month"]).join(market, ["channel_key", "fecha_month"])
-    adjusted = S.market_adjusted_growth(F.col("sell_out_growth") * 100, F.col("market_category_growth_pct"))
-    return out.withColumn("market_adjusted_growth", adjusted)
+    """Year-on-year growth of the brand and of its channel, and the difference.
+
+    Channel totals are window sums over the brands of a channel and month: the mart is read once,
+    and a window holds no more rows than brands x months of one channel.
+    """
+    out = growth_to_earlier(mart, KEYS, "fecha_month", "revenue")
+    out = out.withColumnsRenamed({"growth": "sell_out_growth", "prior_value": "prior_revenue"})
+    total = F.sum("revenue").over(W.partitionBy("channel_key", "fecha_month"))
+    out = out.withColumn("channel_revenue", total)
+    out = growth_to_earlier(out, ["channel_key"], "fecha_month", "channel_revenue")
+    category = F.col("growth") * 100
+    adjusted = S.market_adjusted_growth(F.col("sell_out_growth") * 100, category)
+    out = out.withColumns({"market_category_growth_pct": category, "market_adjusted_growth": adjusted})
+    return out.drop("growth", "prior_value", "prior_revenue", "channel_revenue")
 
 
 def with_growth_quality(mart: DataFrame) -> DataFrame:

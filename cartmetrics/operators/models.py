@@ -28,6 +28,11 @@ def winsorize(df: DataFrame, keys: Sequence[str], col: str, p: float = 0.99) ->
     return out.withColumn(f"{col}_capped", F.least(F.col(col), F.col("_cap"))).drop("_cap")
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation, NULL when one side does not vary."""
+    return safe_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def decay_grid(low: float = 0.1, high: float = 0.9, step: float = 0.1) -> list[float]:
     return [round(low + i * step, 6) for i in range(int(round((high - low) / step)) + 1)]
 
@@ -45,8 +50,8 @@ def adstock_decay_fit(
     tried = arrays.withColumn("decay", F.explode(F.array(*[F.lit(float(g)) for g in grid])))
     stock = decayed(F.col("series"), F.col("decay"))
     pairs = tried.select(*keys, "decay", F.inline(F.arrays_zip(stock.alias("a"), F.col("series").alias("s"))))
-    scored = pairs.groupBy(*keys, "decay").agg(F.corr(F.col("a.adstock"), F.col("s.units")).alias("r"))
-    scored = scored.filter(F.col("r").isNotNull() & ~F.isnan("r"))
+    scored = pairs.groupBy(*keys, "decay").agg(correlation(F.col("a.adstock"), F.col("s.units")).alias("r"))
+    scored = scored.filter(F.col("r").isNotNull())
     best = F.max(F.struct(F.round("r", 9).alias("r"), (-F.col("decay")).alias("d")))
     return scored.groupBy(*keys).agg(best.alias("_b")).select(
         *keys, (-F.col("_b.d")).alias("decay_rate"), F.col("_b.r").alias("correlation")

@@ -157,9 +157,9 @@ def active_conflict(items: DataFrame, ean: str = "sku_ean_cod") -> DataFrame:
 def grain_fanout_ratio(df: DataFrame, keys: Sequence[str], limit: float = 10.0) -> DataFrame:
     """Rows per distinct key combination; above the limit a join on the keys would explode."""
     per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    ratio = F.sum("_n") / F.count("*")
+    ratio = safe_divide(F.sum("_n") * 1.0, F.count("*"))
     return per_key.agg(
-        F.sum("_n").alias("total_rows"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
         F.count("*").alias("distinct_keys"),
         ratio.alias("rows_per_key"),
         F.when(ratio > limit, "WARN").otherwise("PASS").alias("status"),

@@ -129,15 +129,24 @@ def share_change(df: DataFrame, keys: Sequence[str], order: str, share: str) ->
     return df.withColumns({"share_change_pp": F.col(share) - previous, "new_entrant": first})
 
 
-def growth_to_earlier(df: DataFrame, keys: Sequence[str], date: str, value: str, months: int = 12, weeks: int = 0) -> DataFrame:
-    """Value over the value at the same calendar point earlier, minus 1.
+def calendar_value(keys: Sequence[str], date: str, value: str, months: int = 12, weeks: int = 0) -> Column:
+    """Value of the same key some calendar months (or weeks) earlier, NULL if there is none.
 
-    The join is on calendar keys, so a missing period gives NULL instead of a shifted comparison.
+    A range frame of width zero on the period number picks exactly that period, so a gap in the
+    series gives NULL and not the value of another period, and no self join is needed.
     """
-    shifted = F.add_months(date, months) if not weeks else F.date_add(date, 7 * weeks)
-    past = df.select(*keys, shifted.cast("date").alias(date), F.col(value).alias("prior_value"))
-    joined = df.join(past, [*keys, date], "left")
-    return joined.withColumn("growth", safe_divide(F.col(value), F.col("prior_value")) - 1)
+    if weeks:
+        number, back = F.floor(F.datediff(F.col(date), F.lit("1970-01-05").cast("date")) / 7), weeks
+    else:
+        number, back = F.year(date) * 12 + F.month(date), months
+    frame = W.partitionBy(*keys).orderBy(number.cast("int")).rangeBetween(-back, -back)
+    return F.max(value).over(frame)
+
+
+def growth_to_earlier(df: DataFrame, keys: Sequence[str], date: str, value: str, months: int = 12, weeks: int = 0) -> DataFrame:
+    """Value over the value at the same calendar point earlier, minus 1. One row per key and period."""
+    out = df.withColumn("prior_value", calendar_value(keys, date, value, months, weeks))
+    return out.withColumn("growth", safe_divide(F.col(value), F.col("prior_value")) - 1)
 
 
 def decayed(series: Column, decay: Column) -> Column:

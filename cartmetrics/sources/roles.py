@@ -201,13 +201,21 @@ class Tables:
             F.when(F.col("size") != 50, F.upper("brand")).alias("marca_std"),
             "category",
         )
-        rows = self.sales.join(self.stores, "store_id").join(product, "upc")
+        c = F.col
+        store = self.customer.select(
+            text(c("c_custkey")).alias("store_id"), c("c_mktsegment").alias("format"), "c_nationkey"
+        )
+        # Dimensions join one by one: each is small by its own size, while a dimension joined from
+        # several tables beforehand has an estimate too large to broadcast.
+        rows = (
+            self.sales.join(store, "store_id")
+            .join(self.nation.select("n_nationkey", "n_regionkey", c("n_name").alias("chain")), c("c_nationkey") == c("n_nationkey"))
+            .join(self.region.select("r_regionkey", c("r_name").alias("region")), c("n_regionkey") == c("r_regionkey"))
+            .join(product, "upc")
+            .drop("c_nationkey", "n_nationkey", "n_regionkey", "r_regionkey")
+        )
         return rows.withColumns(
-            {
-                "fecha_month": month_trunc(F.col("sale_date")),
-                "canal_std": F.col("format"),
-                "cadena_std": F.col("chain"),
-            }
+            {"fecha_month": month_trunc(c("sale_date")), "canal_std": c("format"), "cadena_std": c("chain")}
         )
 
     @cached_property
