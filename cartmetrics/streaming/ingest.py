@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,15 +11,22 @@ from pyspark.sql.streaming import StreamingQuery
 from cartmetrics.sources.sinks import ingest_append_batch
 
 
-def stream_checkpoint(spark: SparkSession, name: str) -> str:
-    """Checkpoint folder under the shared one of the cluster; a temporary one only if none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="cartmetrics-")
+def stream_checkpoint(spark: SparkSession, name: str, fallback: str | None = None) -> str:
+    """Checkpoint folder of a stream under the shared folder of the cluster.
+
+    ``fallback`` counts only where the session names no folder. A stream must find its checkpoint
+    again on the next run, so there is no temporary default.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    if not root:
+        raise ValueError("set spark.checkpoint.dir or pass a checkpoint folder")
     return f"{root.rstrip('/')}/streams/{name}"
 
 
 def stream_csv_ingest(
-    spark: SparkSession, folder: str, names: Sequence[str], target: str, source: str, environment: str = "dev"
-) -> StreamingQuery:
+    spark: SparkSession, folder: str, names: Sequence[str], target: str, source: str, environment: str = "dev",
+    checkpoint: str | None = None,
+) -> StreamingQuery:
     """Load new CSV files of a folder once each.
 
     A micro-batch that is replayed after a failure carries the same id and is skipped if it was
@@ -34,7 +40,7 @@ def stream_csv_ingest(
 
     return (
         files.writeStream.foreachBatch(load)
-        .option("checkpointLocation", stream_checkpoint(spark, source))
+        .option("checkpointLocation", stream_checkpoint(spark, source, checkpoint))
         .trigger(availableNow=True)
         .start()
     )
