@@ -41,8 +41,12 @@ def period_lags(
 
 
 def month_over_month_change(df: DataFrame, keys: Sequence[str], order: str, score: str) -> DataFrame:
-    """Mean, 90th percentile and maximum of the absolute change to the previous period."""
-    moved = df.withColumn("_change", F.abs(F.col(score) - F.lag(score).over(_by(keys, order))))
+    """Mean, 90th percentile and maximum of the absolute change to the previous period.
+
+    Scores have one decimal; rounding removes float noise, so the exact percentile keeps a count for
+    about a thousand values however many rows there are.
+    """
+    moved = df.withColumn("_change", F.round(F.abs(F.col(score) - F.lag(score).over(_by(keys, order))), 6))
     return moved.filter(F.col("_change").isNotNull()).agg(
         F.avg("_change").alias("mean_change"),
         F.percentile("_change", F.lit(0.90)).alias("p90_change"),

@@ -244,10 +244,14 @@ def sum_by(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str], rows
 def media_std(
     media: DataFrame, crosswalk: DataFrame, keys: Sequence[str], measures: Sequence[str], source: str
 ) -> DataFrame:
-    """Media rows with canonical brand, summed by day and campaign attributes."""
-    branded = brand_std(media, "marca", crosswalk)
-    summed = sum_by(branded, [*keys, "marca", "marca_std"], {m: m for m in measures})
-    return summed.withColumns({"source_system": F.lit(source), "canal_std": F.col("medio")})
+    """Media rows summed by day and campaign attributes, with canonical brand.
+
+    The canonical brand depends on the raw label alone, so rows are summed by raw label first and
+    the crosswalk sees the small result.
+    """
+    summed = sum_by(media, [*keys, "marca"], {m: m for m in measures})
+    branded = brand_std(summed, "marca", crosswalk)
+    return branded.withColumns({"source_system": F.lit(source), "canal_std": F.col("medio")})
 
 
 def split_list(df: DataFrame, col: str, value: str, index: str = "index", sep: str = ",") -> DataFrame:

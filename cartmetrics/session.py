@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot join key (NULL keys of a left join too) even when that costs another shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
