@@ -154,7 +154,8 @@ def check_one_to_one(df: DataFrame, key: str, partner: str, table: str) -> DataF
 
 
 def _two_counts(before: DataFrame, after: DataFrame) -> DataFrame:
-    return before.agg(F.count("*").alias("n_before")).crossJoin(after.agg(F.count("*").alias("n_after")))
+    rows_after = after.agg(F.count("*")).scalar()
+    return before.agg(F.count("*").alias("n_before")).withColumn("n_after", rows_after)
 
 
 def check_no_fanout(before: DataFrame, after: DataFrame, label: str) -> DataFrame:
@@ -361,7 +362,7 @@ def schema_drift(snapshot: DataFrame, current: DataFrame) -> DataFrame:
 def market_data_lag(internal: DataFrame, market: DataFrame, internal_date: str, market_date: str, limit_weeks: int = 6) -> DataFrame:
     """Calendar weeks the market data lies behind the internal data, and whether to warn."""
     one = internal.agg(F.max(F.col(internal_date)).cast("date").alias("internal_max_date"))
-    two = market.agg(F.max(F.col(market_date)).cast("date").alias("market_max_date"))
+    one = one.withColumn("market_max_date", market.agg(F.max(F.col(market_date)).cast("date")).scalar())
     lag = boundary_weeks(F.col("internal_max_date"), F.col("market_max_date"))
     late = lag > limit_weeks
     message = F.when(
@@ -371,7 +372,7 @@ def market_data_lag(internal: DataFrame, market: DataFrame, internal_date: str,
             F.lit(" ("), lag.cast("string"), F.lit(" weeks behind internal data)"),
         ),
     ).otherwise("Market data current")
-    return one.crossJoin(two).withColumns(
+    return one.withColumns(
         {"lag_weeks": lag, "lag_banner_required": late, "lag_banner_message": message}
     )
 

@@ -228,8 +228,10 @@ def bridge_match_rate(
 
 
 def single_row_cross_join(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Two one-row aggregates side by side. Global aggregates give exactly one row each."""
-    return left.crossJoin(right)
+    """Two one-row aggregates side by side. The right row comes as a scalar subquery, which fails
+    when there is more than one row."""
+    row = right.select(F.struct(*right.columns)).scalar()
+    return left.withColumns({c: row.getField(c) for c in right.columns})
 
 
 def wape_actuals_join(forecast: DataFrame, actuals: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -119,8 +119,8 @@ def temporal_profile(df: DataFrame, dataset: str, raw: str, date: Column) -> Dat
         F.count_distinct("_date").alias("distinct_dates"),
         F.count_if(F.col("_date").isNull() & F.col("_raw").isNotNull()).alias("failed_casts"),
     )
-    gaps = temporal_gaps(dated, "_date").agg(F.count("*").alias("temporal_gaps"))
-    return stats.crossJoin(gaps).select(F.lit(dataset).alias("dataset"), "*")
+    gaps = temporal_gaps(dated, "_date").agg(F.count("*")).scalar()
+    return stats.select(F.lit(dataset).alias("dataset"), "*", gaps.alias("temporal_gaps"))
 
 
 def uniqueness_class(pct: Column) -> Column:
@@ -168,12 +168,10 @@ def grain_detection(
         F.lit(dataset).alias("dataset"), "try_no", names.alias("candidate_grain"), sizes.alias("combo_size"),
         source.alias("source"), "distinct_rows", pct.alias("uniqueness_pct"), uniqueness_class(pct).alias("confidence"),
     )
-    best = out.agg(
-        F.min(F.when(F.col("uniqueness_pct") >= 100, F.col("try_no"))).alias("_perfect"),
-        F.min(F.struct((-F.col("uniqueness_pct")).alias("p"), F.col("try_no").alias("t"))).alias("_best"),
-    )
-    out = out.crossJoin(best).filter(F.col("_perfect").isNull() | (F.col("try_no") <= F.col("_perfect")))
-    return out.withColumn("is_best", F.col("try_no") == F.col("_best.t")).drop("_perfect", "_best")
+    perfect = out.agg(F.min(F.when(F.col("uniqueness_pct") >= 100, F.col("try_no")))).scalar()
+    best = out.agg(F.min_by("try_no", F.struct(-F.col("uniqueness_pct"), F.col("try_no")))).scalar()
+    shown = out.withColumns({"_perfect": perfect, "is_best": F.col("try_no") == best})
+    return shown.filter(F.col("_perfect").isNull() | (F.col("try_no") <= F.col("_perfect"))).drop("_perfect")
 
 
 def numeric_profile(df: DataFrame, dataset: str, columns: Sequence[str]) -> DataFrame:

@@ -21,11 +21,11 @@ def _by(keys: Sequence[str], order: str):
 
 
 def share_of_total(df: DataFrame, col: str) -> DataFrame:
-    """Rows per value with their percentage of all rows. The total is a one-row frame, so no task
+    """Rows per value with their percentage of all rows. The total is a scalar subquery, so no task
     sees all groups."""
     counts = df.groupBy(col).agg(F.count("*").alias("n_rows"))
-    total = counts.agg(F.sum("n_rows").alias("_total"))
-    return counts.crossJoin(total).withColumn("pct_rows", F.col("n_rows") * 100.0 / F.col("_total")).drop("_total")
+    total = counts.agg(F.sum("n_rows")).scalar()
+    return counts.withColumn("pct_rows", F.col("n_rows") * 100.0 / total)
 
 
 def period_lags(

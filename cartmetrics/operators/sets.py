@@ -14,9 +14,9 @@ from cartmetrics.functions.scalars import norm_key, safe_divide
 def top_values(df: DataFrame, col: str, n: int) -> DataFrame:
     """The n most frequent values with their percentage of all rows; ties go by value."""
     counts = df.groupBy(col).agg(F.count("*").alias("n_rows"))
-    total = counts.agg(F.sum("n_rows").alias("_total"))
+    total = counts.agg(F.sum("n_rows")).scalar()
     top = counts.orderBy(F.desc("n_rows"), F.asc_nulls_first(col)).limit(n)
-    return top.crossJoin(total).select(col, "n_rows", (F.col("n_rows") * 100.0 / F.col("_total")).alias("pct_rows"))
+    return top.select(col, "n_rows", (F.col("n_rows") * 100.0 / total).alias("pct_rows"))
 
 
 def best_column_select(scores: DataFrame, source: str, column: str, score: str) -> DataFrame:

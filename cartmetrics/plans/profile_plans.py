@@ -161,16 +161,19 @@ def order_profile(t: Tables) -> DataFrame:
         F.count_if(~mandatory).alias("other_rules"),
         F.count_if(~mandatory & passed).alias("other_passed"),
     )
-    b = t.orders.agg(
-        F.lit(1).alias("n_keys"),
-        (F.count_if(F.col("o_custkey").isNull()) * 100.0 / F.count("*")).alias("key_null_pct"),
-        (F.count_distinct("o_orderkey") * 100.0 / F.count("*")).alias("grain_uniqueness_pct"),
-    )
-    gaps = temporal_gaps(t.orders, "o_orderdate").agg(F.count("*").alias("temporal_gaps"))
     columns = t.orders.columns
     known = sum(c.upper() in GLOSSARY for c in columns)
-    meta = {"has_date": F.lit(True), "n_columns": F.lit(len(columns)), "n_documented": F.lit(known)}
-    return a.crossJoin(b).crossJoin(gaps).withColumns(meta)
+    return a.withColumns(
+        {
+            "n_keys": F.lit(1),
+            "key_null_pct": t.orders.agg(F.count_if(F.col("o_custkey").isNull()) * 100.0 / F.count("*")).scalar(),
+            "grain_uniqueness_pct": t.orders.agg(F.count_distinct("o_orderkey") * 100.0 / F.count("*")).scalar(),
+            "temporal_gaps": temporal_gaps(t.orders, "o_orderdate").agg(F.count("*")).scalar(),
+            "has_date": F.lit(True),
+            "n_columns": F.lit(len(columns)),
+            "n_documented": F.lit(known),
+        }
+    )
 
 
 SCORES = ["dataset", "score_completeness", "score_consistency", "score_joinability", "score_temporal", "score_documentation", "score_grain", "enterprise_score", "readiness_label"]
