@@ -168,8 +168,10 @@ def grain_detection(
         F.lit(dataset).alias("dataset"), "try_no", names.alias("candidate_grain"), sizes.alias("combo_size"),
         source.alias("source"), "distinct_rows", pct.alias("uniqueness_pct"), uniqueness_class(pct).alias("confidence"),
     )
-    perfect = out.agg(F.min(F.when(F.col("uniqueness_pct") >= 100, F.col("try_no")))).scalar()
-    best = out.agg(F.min_by("try_no", F.struct(-F.col("uniqueness_pct"), F.col("try_no")))).scalar()
+    # One row per combination, so a window over all of them holds max_tries rows and one more.
+    tries = W.partitionBy()
+    perfect = F.min(F.when(F.col("uniqueness_pct") >= 100, F.col("try_no"))).over(tries)
+    best = F.min_by("try_no", F.struct(-F.col("uniqueness_pct"), F.col("try_no"))).over(tries)
     shown = out.withColumns({"_perfect": perfect, "is_best": F.col("try_no") == best})
     return shown.filter(F.col("_perfect").isNull() | (F.col("try_no") <= F.col("_perfect"))).drop("_perfect")
 
