@@ -10,7 +10,9 @@ Copies are one row of the matrix (a class of equal sets). The documents that sha
 list. No list is expanded into all pairs: its best connected member is compared with the others, the
 components that this proves are merged, and only members of lists that still span several components
 go on. Those of them that have too many n-grams of their own to reach the threshold with any other
-document are dropped from the search by an exact bound; the few that are left meet pair by pair.
+document are dropped from the search by an exact bound. What is left goes through a product of blocks
+of rows, which accumulates all overlap counts of two blocks in a task and returns only links that
+merge components.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +28,10 @@ from pyspark.sql import functions as F
 from cartmetrics.llm.common import chunks, cut, extend, mix, semi_by_id, word_hashes
 
 
+#: Documents in a block of rows of the last product.
+ROWS = 512
+
+
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     """Distinct hashed n-grams of each text, sorted; the whole text as one n-gram if it is shorter."""
     hashes, counts = word_hashes(texts, lower=True)
@@ -170,6 +177,62 @@ def _alive(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return members.join(kept.select(F.col("doc_id").alias("rep")), "rep")
 
 
+def block_links(a_ids: np.ndarray, a_comp: np.ndarray, a_sets: list[np.ndarray], b_ids: np.ndarray, b_comp: np.ndarray, b_sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """The product of two blocks of rows: links between documents of different components, as far as
+    they merge components."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    sizes = np.array([len(s) for s in b_sets])
+    grams = np.concatenate(b_sets)
+    order = np.argsort(grams, kind="stable")
+    grams, owner = grams[order], np.repeat(np.arange(len(b_sets)), sizes)[order]
+    links = []
+    for x, comp, s in zip(a_ids.tolist(), a_comp.tolist(), a_sets, strict=True):
+        start, end = np.searchsorted(grams, s, "left"), np.searchsorted(grams, s, "right")
+        held = end - start
+        at = np.repeat(start - np.concatenate([[0], np.cumsum(held)[:-1]]), held) + np.arange(held.sum())
+        common = np.bincount(owner[at], minlength=len(b_sets))
+        for j in np.flatnonzero((100 * common >= percent * (sizes + len(s) - common)) & (b_comp != comp)).tolist():
+            one, two = find(comp), find(int(b_comp[j]))
+            if one != two:
+                parent[one] = two
+                links.append((x, int(b_ids[j])))
+    return links
+
+
+def _product_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that are still needed, from products of blocks of ROWS documents.
+
+    Members that lists hold together form a group; every block of a group's documents outside of its
+    largest component meets every block of the group. A task reads two blocks, however large the group."""
+    members = cut(members)
+    star = members.join(members.groupBy("block").agg(F.min("rep").alias("hub")), "block").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    groups = components(star).withColumnRenamed("label", "g")
+    docs = members.select("rep", "comp").distinct().join(groups.withColumnRenamed("v", "rep"), "rep")
+    by = docs.groupBy("g", "comp").agg(F.count("*").alias("c"))
+    sizes = by.groupBy("g").agg(F.sum("c").alias("all"), F.max("c").alias("most"), F.max_by("comp", F.struct("c", "comp")).alias("main"))
+    blocks = lambda n: F.ceil(n / F.lit(ROWS)).cast("long")
+    sizes = sizes.where("all > most").select("g", "main", blocks(F.col("all")).alias("nb"), blocks(F.col("all") - F.col("most")).alias("na"))
+    held = cut(docs.join(sizes, "g").join(sets.select(F.col("doc_id").alias("rep"), "grams"), "rep"))
+    own, every = (lambda n: F.pmod(F.xxhash64("rep"), F.col(n))), (lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)))
+    left = held.where("comp <> main").select("g", own("na").alias("i"), every("nb").alias("j"), "rep", "comp", "grams")
+    right = held.select("g", every("na").alias("i"), own("nb").alias("j"), "rep", "comp", "grams")
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        sides = [(x["rep"].to_numpy(), x["comp"].to_numpy(), [np.asarray(g, np.int64) for g in x["grams"]]) for x in (a, b)]
+        return pd.DataFrame(block_links(*sides[0], *sides[1], percent), columns=["a", "b"], dtype="int64")
+
+    return left.groupBy("g", "i", "j").cogroup(right.groupBy("g", "i", "j")).applyInPandas(run, "a long, b long")
+
+
 def ngram_jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, n_shingles, component_id and n_copies for each row of docs (doc_id, text).
 
@@ -209,14 +272,7 @@ def ngram_jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90)
         labels = components(edges)
         open_ = _open_lists(shared, labels)
         if not open_.isEmpty():
-            open_ = cut(_alive(open_, sets, percent))
-            edges = cut(edges.union(_linked(_star(open_, open_.where("comp <> main")), sets, percent)))
-            labels = components(edges)
-            left = _open_lists(open_.select("block", "rep", "degree"), labels)
-            minor = left.where("comp <> main").select("block", F.col("rep").alias("x"), F.col("comp").alias("xc"))
-            met = left.join(minor, "block").where("comp <> xc AND (comp = main OR rep < x)")
-            pairs = met.select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct()
-            last = cut(_linked(pairs, sets, percent))
+            last = cut(_product_links(_alive(open_, sets, percent), sets, percent))
             if not last.isEmpty():
                 labels = components(edges.union(last))
     else:
