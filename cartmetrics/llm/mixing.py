@@ -87,8 +87,8 @@ def mix_sources(
     budget lasts, then the documents of the next one in seeded order as long as their sum fits. Rows with
     the same doc_id are taken together.
 
-    Null path values count as empty strings and null or empty texts as 0 tokens. An empty table gives
-    an empty result.
+    Null path values count as empty strings and null or empty texts as 0 tokens; a leaf without tokens
+    gives nothing. Repeated rows are taken each. An empty table gives an empty result.
     """
     path = list(path)
     count = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long") if tokens is None else tokens
