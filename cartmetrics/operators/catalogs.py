@@ -105,8 +105,10 @@ def brand_variants(sources: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
 
 def brand_catalog(variants: DataFrame, crosswalk: DataFrame, own_keywords: Sequence[str]) -> DataFrame:
     """Each variant with its canonical brand, owner and status: in the crosswalk, likely own by a
-    keyword it contains, or unknown."""
-    out = mapping_left_join(variants, crosswalk, "raw_variant", "variant", ["canonical", "owner"], "_")
+    keyword it contains, or unknown. Of several canonical names the lowest priority wins, as in brand_std."""
+    best = crosswalk.groupBy("variant").agg(F.min_by(F.struct("canonical", "owner"), F.struct("priority", "canonical", "owner")).alias("b"))
+    best = best.select("variant", "b.canonical", "b.owner")
+    out = mapping_left_join(variants, best, "raw_variant", "variant", ["canonical", "owner"], "_")
     likely = reduce(lambda a, b: a | b, [F.col("raw_variant").contains(k.upper()) for k in own_keywords], F.lit(False))
     status = (
         F.when(F.col("_canonical").isNotNull(), "CONFIRMED")

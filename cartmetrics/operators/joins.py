@@ -91,13 +91,15 @@ def lookup_on(
 
 def star_inner_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
     """Inner join of dimensions, each on its (fact column -> dimension column) pairs; a composite
-    key may share a column such as the business unit between dimensions."""
+    key may share a column such as the business unit between dimensions. A dimension is made unique
+    on its key first, so that no fact row is multiplied."""
     out = fact
     for i, (dim, pairs) in enumerate(dims):
         right = dim.select(
             *[F.col(d).alias(f"_k{i}_{d}") for d in pairs.values()],
             *[c for c in dim.columns if c not in pairs.values()],
         )
+        right = first_row_dedup(right, [f"_k{i}_{d}" for d in pairs.values()])
         on = reduce(lambda a, b: a & b, [out[f] == right[f"_k{i}_{d}"] for f, d in pairs.items()])
         out = out.join(right, on, "inner").drop(*[f"_k{i}_{d}" for d in pairs.values()])
     return out
@@ -114,7 +116,8 @@ def computed_key_join(
 
 def period_bridge_join(fact: DataFrame, bridge: DataFrame, date_col: str) -> DataFrame:
     """Week-ending date -> assigned month through a bridge (fecha_fin, fecha); inner, as a week
-    without a month belongs to no report."""
+    without a month belongs to no report. A week in several months goes to the first."""
+    bridge = first_row_dedup(bridge, ["fecha_fin"])
     return fact.join(bridge, fact[date_col] == bridge["fecha_fin"], "inner").drop("fecha_fin")
 
 

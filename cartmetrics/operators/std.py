@@ -197,7 +197,10 @@ def waste_std(waste: DataFrame, flag: str = "TOPLINE") -> DataFrame:
 
 
 def fact_waste(waste: DataFrame, dim_channel: DataFrame) -> DataFrame:
-    """Waste rows with the surrogate key of their channel; unmatched rows keep a NULL key."""
+    """Waste rows with the surrogate key of their channel; unmatched rows keep a NULL key.
+
+    The dimension is unique on more columns than a waste row has; of several matches the smallest
+    key is taken, so that a waste row stays one row."""
     keys = {
         "source_system": "source_system",
         "canal_raw": "source_value",
@@ -205,7 +208,7 @@ def fact_waste(waste: DataFrame, dim_channel: DataFrame) -> DataFrame:
         "channel_standard": "channel_standard",
         "business_route": "business_route",
     }
-    dim = dim_channel.select("channel_key", *[F.col(d).alias(f"_dim_{d}") for d in keys.values()])
+    dim = dim_channel.groupBy(*[F.col(d).alias(f"_dim_{d}") for d in keys.values()]).agg(F.min("channel_key").alias("channel_key"))
     on = reduce(lambda a, b: a & b, [waste[w] == dim[f"_dim_{d}"] for w, d in keys.items()])
     return waste.join(dim, on, "left").drop(*[c for c in dim.columns if c != "channel_key"])
 

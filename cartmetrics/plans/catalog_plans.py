@@ -96,7 +96,7 @@ def channel_catalog(t: Tables) -> DataFrame:
 BRAND_CATALOG = {
     "v": """SELECT UPPER(TRIM(marca)) AS raw_variant, marca AS brand_original, 'MEDIA' AS source_system, 'marca' AS source_column, COUNT(*) AS grain_count FROM media GROUP BY marca
             UNION ALL SELECT UPPER(TRIM(brand)), brand, 'ITEMS', 'brand', COUNT(*) FROM items GROUP BY brand""",
-    "best": "SELECT variant, ARG_MIN(canonical, canonical) AS canonical, ARG_MIN(owner, canonical) AS owner FROM crosswalk GROUP BY variant",
+    "best": "SELECT variant, ARG_MIN(canonical, (priority, canonical)) AS canonical, ARG_MIN(owner, (priority, canonical)) AS owner FROM crosswalk GROUP BY variant",
     "c": """SELECT best.canonical AS marca_std, v.*, COALESCE(best.owner, 'UNKNOWN') AS brand_owner,
                    CASE WHEN best.canonical IS NOT NULL THEN 'CONFIRMED' WHEN raw_variant LIKE '%BRAND#1%' OR raw_variant LIKE '%BRAND#2%' THEN 'UNMAPPED_LIKELY_OWN' ELSE 'UNMAPPED_COMPETITOR_OR_UNKNOWN' END AS coverage_status,
                    CASE WHEN best.canonical IS NOT NULL THEN 'YES' ELSE 'NO' END AS promoted FROM v LEFT JOIN best ON v.raw_variant = best.variant""",

@@ -170,10 +170,23 @@ def recommend_secondary(t: Tables) -> DataFrame:
     return mart_rows(t).select(*ID_LIST, "secondary_action", "action_compound", "conflict_flag")
 
 
+# Texts of this query; users bring their own.
+RATIONALE_TEXTS = {
+    "INCREASE": "{brand_name}: score {gqs_score_4w_avg}, return {roi}. Spend more.",
+    "MAINTAIN": "{brand_name}: score {gqs_score_4w_avg}, share moved by {share_change_pp}. Keep the spend.",
+    "REDUCE": "{brand_name}: return {roi}, share moved by {share_change_pp}. Spend less.",
+    "WATCH": "{brand_name}: {weeks_of_history} weeks known, {min_weeks_required} needed. Wait.",
+    "INCREASE + WASTE_REVIEW": "{brand_name}: score {gqs_score_4w_avg}, waste {waste_risk_score:.0%} against {waste_risk_threshold:.0%}. Spend more, look at waste.",
+    "MAINTAIN + PRICE_REVIEW": "{brand_name}: score {gqs_score_4w_avg}, price index {price_index:.2f}. Look at the price.",
+    "MAINTAIN + FORECAST_REVIEW": "{brand_name}: score {gqs_score_4w_avg}, {consecutive_forecast_misses} misses in a row. Look at the forecast.",
+    "REDUCE + WASTE_REVIEW": "{brand_name}: return {roi}, waste {waste_risk_score:.0%}. Spend less, look at waste.",
+}
+
+
 def _rationale_sql() -> str:
     """Template text by action with every slot replaced in turn."""
-    texts = " ".join(f"WHEN '{a}' THEN '{x.replace(chr(39), chr(39) * 2)}'" for a, x in decisions.RATIONALE_TEMPLATES.items())
-    known = ", ".join(f"'{a}'" for a in decisions.RATIONALE_TEMPLATES)
+    texts = " ".join(f"WHEN '{a}' THEN '{x.replace(chr(39), chr(39) * 2)}'" for a, x in RATIONALE_TEXTS.items())
+    known = ", ".join(f"'{a}'" for a in RATIONALE_TEXTS)
     expr = f"CASE CASE WHEN action_compound IN ({known}) THEN action_compound ELSE SPLIT_PART(action_compound, ' + ', 1) END {texts} END"
     for slot, column, kind in RATIONALE_SLOTS:
         if kind == "double":
@@ -219,7 +232,7 @@ def render_rationale(t: Tables) -> DataFrame:
         S.stable_round(c("price_index_vs_category"), 2).alias("price_index"), c("consecutive_forecast_misses").alias("misses"),
         c("weeks_of_history").alias("weeks"), F.lit(4).alias("min_weeks"),
     )
-    out = decisions.render_rationale(rows, {slot: column for slot, column, _ in RATIONALE_SLOTS})
+    out = decisions.render_rationale(rows, {slot: column for slot, column, _ in RATIONALE_SLOTS}, RATIONALE_TEXTS)
     return out.select(*ID_LIST, "action_compound", "rationale", "rationale_valid")
 
 

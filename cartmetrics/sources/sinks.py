@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_table(
@@ -45,14 +47,22 @@ def _existing(spark: SparkSession, target: str) -> DataFrame | None:
         raise
 
 
+def _batch_committed(spark: SparkSession, target: str, batch_id: str) -> bool:
+    if "/" in target:
+        return _existing(spark, f"{target}/_commits/{quote(batch_id, safe='')}") is not None
+    name = f"ingest.batch.{batch_id}"
+    return spark.catalog.tableExists(target) and not spark.sql(f"SHOW TBLPROPERTIES {target}").where(F.col("key") == name).isEmpty()
+
+
 def ingest_append_batch(df: DataFrame, target: str, batch_id: str, environment: str = "dev") -> str:
-    """Append a raw batch as text columns with audit columns; a known batch id is skipped.
+    """Write a raw batch as text columns with audit columns; a committed batch id is skipped.
 
-    The batch id is the partition column, so the test reads one folder and not the table.
+    A batch is one partition. It is replaced as a whole until its commit record is written after it,
+    so a retry repairs what a lost job left half-written. Ids are compared as text; read a target
+    with ``read_batches``, which keeps them so.
     """
     spark = df.sparkSession
-    known = _existing(spark, target)
-    if known is not None and not known.filter(F.col("_batch_id") == batch_id).isEmpty():
+    if _batch_committed(spark, target, batch_id):
         return "SKIPPED_DUPLICATE_BATCH"
     raw = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     file_name = F.element_at(F.split(F.input_file_name(), "/"), -1)
@@ -60,17 +70,31 @@ def ingest_append_batch(df: DataFrame, target: str, batch_id: str, environment:
         "*",
         F.current_timestamp().alias("_ingestion_timestamp"),
         F.when(file_name == "", "UNKNOWN").otherwise(file_name).alias("_source_file_name"),
-        F.lit(batch_id).alias("_batch_id"),
         F.lit(environment).alias("_environment"),
+        F.lit(batch_id).alias("_batch_id"),
     )
-    writer = out.write.mode("append").partitionBy("_batch_id")
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if "/" in target:
-        writer.parquet(target)
+        writer.partitionBy("_batch_id").parquet(target)
+        spark.range(1).write.mode("overwrite").parquet(f"{target}/_commits/{quote(batch_id, safe='')}")
     else:
-        writer.saveAsTable(target)
+        if spark.catalog.tableExists(target):
+            writer.insertInto(target)
+        else:
+            writer.partitionBy("_batch_id").saveAsTable(target)
+        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('ingest.batch.{batch_id}' = 'done')")
     return "APPENDED"
 
 
+def read_batches(spark: SparkSession, target: str) -> DataFrame:
+    """All batches of a target, with the batch id as text ("001" stays "001")."""
+    if "/" not in target:
+        return spark.table(target)
+    found = spark.read.parquet(target).schema
+    typed = [T.StructField(f.name, T.StringType()) if f.name == "_batch_id" else f for f in found]
+    return spark.read.schema(T.StructType(typed)).parquet(target)
+
+
 def capped_export(df: DataFrame, order_by: Sequence[str], n: int = 100_000) -> DataFrame:
     """First n rows in a fixed order, for previews only; facts are never cut."""
     return df.orderBy(*order_by).limit(n)

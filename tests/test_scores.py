@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from cartmetrics.plans.decision_plans import RATIONALE_TEXTS
 from cartmetrics.functions import scalars as S
 from cartmetrics.operators import decisions, quality_aggs, series
 
@@ -153,19 +154,19 @@ def test_actions(spark, row, expected):
 
 def test_every_action_has_a_valid_text(spark):
     schema = "action_compound string, brand string, gqs double, roi double, share double, risk double, limit double, price double, misses int, weeks int, need int"
-    data = [(a, "Alpha", 82.0, 2.4, -2.1, 0.72, 0.70, 1.2, 4, 2, 4) for a in [*decisions.RATIONALE_TEMPLATES, "REDUCE + PRICE_REVIEW"]]
+    data = [(a, "Alpha", 82.0, 2.4, -2.1, 0.72, 0.70, 1.2, 4, 2, 4) for a in [*RATIONALE_TEXTS, "REDUCE + PRICE_REVIEW"]]
     slots = {
         "brand_name": "brand", "gqs_score_4w_avg": "gqs", "roi": "roi", "share_change_pp": "share", "waste_risk_score": "risk",
         "waste_risk_threshold": "limit", "price_index": "price", "consecutive_forecast_misses": "misses",
         "weeks_of_history": "weeks", "min_weeks_required": "need",
     }
-    out = decisions.render_rationale(spark.createDataFrame(data, schema), slots).collect()
+    out = decisions.render_rationale(spark.createDataFrame(data, schema), slots, RATIONALE_TEXTS).collect()
     assert all(r["rationale_valid"] and "{" not in r["rationale"] for r in out), out
     by_action = {r["action_compound"]: r["rationale"] for r in out}
     assert "72%" in by_action["INCREASE + WASTE_REVIEW"] and "70%" in by_action["INCREASE + WASTE_REVIEW"]
-    assert "1.20x" in by_action["MAINTAIN + PRICE_REVIEW"]
+    assert "1.20" in by_action["MAINTAIN + PRICE_REVIEW"]
     assert by_action["REDUCE + PRICE_REVIEW"] == by_action["REDUCE"]
-    missing = decisions.render_rationale(spark.createDataFrame([("WATCH", None, None, None, None, None, None, None, None, 2, 4)], schema), slots)
+    missing = decisions.render_rationale(spark.createDataFrame([("WATCH", None, None, None, None, None, None, None, None, 2, 4)], schema), slots, RATIONALE_TEXTS)
     assert missing.first()["rationale_valid"] is False
 
 

@@ -291,6 +291,27 @@ def test_yaml_crosswalk(spark, tmp_path):
     ]
 
 
+def test_batch_ids_are_text_and_lost_batches_are_replaced(spark, tmp_path):
+    raw = spark.createDataFrame([("1", "x"), ("2", "y")], "a string, b string")
+    target = str(tmp_path / "bronze")
+    assert sinks.ingest_append_batch(raw, target, "001") == "APPENDED"
+    assert sinks.ingest_append_batch(raw.limit(1), target, "1") == "APPENDED"
+    assert sorted(r[0] for r in sinks.read_batches(spark, target).select("_batch_id").collect()) == ["001", "001", "1"]
+    # A job that died left a part of its batch and no commit record.
+    raw.limit(1).write.parquet(f"{target}/_batch_id=half")
+    assert sinks.ingest_append_batch(raw, target, "half") == "APPENDED"
+    assert sinks.read_batches(spark, target).where("_batch_id = 'half'").count() == 2
+    assert sinks.ingest_append_batch(raw, target, "half") == "SKIPPED_DUPLICATE_BATCH"
+
+
+def test_joins_keep_one_row_per_fact(spark):
+    fact = spark.createDataFrame([(1, "2020-01-05")], "k int, d string")
+    dim = spark.createDataFrame([(1, "a"), (1, "b")], "id int, name string")
+    assert joins.star_inner_join(fact, [(dim, {"k": "id"})]).count() == 1
+    bridge = spark.createDataFrame([("2020-01-05", "2020-01-01"), ("2020-01-05", "2020-02-01")], "fecha_fin string, fecha string")
+    assert joins.period_bridge_join(fact, bridge, "d").count() == 1
+
+
 def test_batch_is_loaded_once(spark, tmp_path):
     (tmp_path / "raw.csv").write_text("a,b\n1,x\n2,y\n")
     raw = readers.read_strings_csv(spark, str(tmp_path / "raw.csv"), ["a", "b"])
