@@ -169,11 +169,12 @@ def test_packing_bounds_are_optimal(spark, odd, none):
 
 
 def test_line_rules_counts_and_boilerplate(spark, odd, none):
-    words = lambda i, n: " ".join(f"t{i}x{j}" for j in range(n))
-    rows = [(i, f"{words(i, 30)}\nShare  this PAGE", "h") for i in range(80)] + [(100 + i, f"{words(i, 5)}\n" + "\n".join(["share this page"] * 8), "h") for i in range(3)]
+    shared = [f"Share  this{k} PAGE{k} with your{k} friends{k}" for k in range(5)]
+    page = lambda i, n: "\n".join(f"{' '.join(f't{i}x{k}y{j}' for j in range(n))}\n{line}" for k, line in enumerate(shared))
+    rows = [(i, page(i, 6), "h") for i in range(80)] + [(100 + i, page(100 + i, 1), "h") for i in range(3)]
     rows += [(200, "a b c d e f g h " * 6, "h"), (201, "x # $\nsame line\nsame line\n", "z")]
     got = {r.doc_id: r for r in line_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
-    assert got[0].kept and got[0].n_words_left == 30 and got[0].n_words == 33
+    assert got[0].kept and got[0].n_words_left == 30 and got[0].n_words == 60
     assert not got[100].base_failed and not got[100].kept and got[100].n_words_left == 5
     assert got[200].n_repeat_words == 48 and got[200].base_failed and got[201].n_dup_lines == 1 and got[201].n_symbols == 2 and got[201].word_chars == 19
     assert [r.base_failed for r in line_rules(odd).where("doc_id < 4").collect()] == [True] * 3
