@@ -270,15 +270,23 @@ METRIC_NAMES = {
 
 
 def metric_pivot(facts: DataFrame, keys: Sequence[str], names: Mapping[str, str] = METRIC_NAMES) -> DataFrame:
-    """Metric rows -> one column per KPI. The value list is explicit, so no extra job finds it and
-    an absent metric is a NULL column. Aliases of one KPI fill in for each other in list order."""
-    wide = facts.groupBy(*keys).pivot("metric_name", list(names)).agg(F.sum("metric_value"))
+    """Metric rows -> one column per KPI, then one per metric without a KPI under its own name.
+
+    An absent metric is a NULL column. Aliases of one KPI fill in for each other in list order. The
+    names without a KPI are found by one aggregate; as column names they are bounded by the vocabulary."""
+    unknown = facts.select("metric_name").where(F.col("metric_name").isNotNull() & ~F.col("metric_name").isin(list(names))).distinct()
+    others = sorted(r["metric_name"] for r in unknown.collect())
+    taken = {*keys, *names.values()} & set(others)
+    if taken:
+        raise ValueError(f"metrics are named like other columns: {sorted(taken)}")
+    wide = facts.groupBy(*keys).pivot("metric_name", [*names, *others]).agg(F.sum("metric_value"))
     return wide.select(
         *keys,
         *[
             F.coalesce(*[F.col(f"`{raw}`") for raw, k in names.items() if k == kpi]).cast("double").alias(kpi)
             for kpi in dict.fromkeys(names.values())
         ],
+        *[F.col(f"`{name}`").cast("double").alias(name) for name in others],
     )
 
 

@@ -1,7 +1,7 @@
 """Monthly mart: every KPI, score and recommendation at brand x channel x month.
 
 All inputs are monthly aggregates. The windows share one partitioning (brand, channel), so Spark
-shuffles the mart once for all of them.
+shuffles the mart once for all of them; channel totals take one more shuffle of monthly rows.
 """
 
 from __future__ import annotations
@@ -46,18 +46,20 @@ def mart_facts(base: DataFrame, sell_in: DataFrame, waste: DataFrame, spend: Dat
 def with_growth(mart: DataFrame) -> DataFrame:
     """Year-on-year growth of the brand and of its channel, and the difference.
 
-    Channel totals are window sums over the brands of a channel and month: the mart is read once,
-    and a window holds no more rows than brands x months of one channel.
+    Channel growth comes from channel totals, one row per channel and month, which are joined back: no
+    window holds more rows than one series has months.
     """
     out = growth_to_earlier(mart, KEYS, "fecha_month", "revenue")
     out = out.withColumnsRenamed({"growth": "sell_out_growth", "prior_value": "prior_revenue"})
-    total = F.sum("revenue").over(W.partitionBy("channel_key", "fecha_month"))
-    out = out.withColumn("channel_revenue", total)
-    out = growth_to_earlier(out, ["channel_key"], "fecha_month", "channel_revenue")
+    totals = mart.groupBy("channel_key", "fecha_month").agg(F.sum("revenue").alias("channel_revenue"))
+    totals = growth_to_earlier(totals, ["channel_key"], "fecha_month", "channel_revenue")
+    totals = totals.select(F.col("channel_key").alias("_channel"), F.col("fecha_month").alias("_month"), "growth")
+    on = out["channel_key"].eqNullSafe(totals["_channel"]) & out["fecha_month"].eqNullSafe(totals["_month"])
+    out = out.join(totals, on, "left").drop("_channel", "_month")
     category = F.col("growth") * 100
     adjusted = S.market_adjusted_growth(F.col("sell_out_growth") * 100, category)
     out = out.withColumns({"market_category_growth_pct": category, "market_adjusted_growth": adjusted})
-    return out.drop("growth", "prior_value", "prior_revenue", "channel_revenue")
+    return out.drop("growth", "prior_revenue")
 
 
 def with_growth_quality(mart: DataFrame) -> DataFrame:

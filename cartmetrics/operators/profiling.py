@@ -6,7 +6,7 @@ counts and top values are then read off the (column, value, count) rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from itertools import combinations, islice
 
@@ -90,13 +90,13 @@ def column_inventory(
         null_flag(null_pct).alias("null_flag"),
         "distinct_count",
         ((F.col("distinct_count") == F.col("total_rows")) & (F.col("null_rows") == 0)).alias("is_pk_candidate"),
-        F.substring("sample_values", 1, 200).alias("sample_values"),
+        "sample_values",
         dimension_class(F.col("column_name"), keywords).alias("dimension_class"),
         known.alias("in_glossary"),
     )
 
 
-def domain_profile(df: DataFrame, dataset: str, keys: Sequence[str], top: int = 50) -> DataFrame:
+def domain_profile(df: DataFrame, dataset: str, keys: Sequence[str], top: int) -> DataFrame:
     """Most frequent values of every business key with their share of all rows."""
     counts = value_counts(df, keys)
     totals = counts.groupBy("column_name").agg(F.sum("n_rows").alias("_total"))
@@ -127,53 +127,59 @@ def uniqueness_class(pct: Column) -> Column:
     return F.when(pct >= 100, "PERFECT").when(pct >= 95, "HIGH").when(pct >= 80, "MEDIUM").otherwise("LOW")
 
 
-def grain_detection(
-    df: DataFrame, dataset: str, declared: Sequence[str], pool: Sequence[str],
-    max_columns: int = 12, max_size: int = 5, max_tries: int = 50,
-) -> DataFrame:
+#: Combinations counted by one job; the search looks for a perfect one after each job.
+GRAIN_BATCH = 32
+
+
+def _distinct_rows(df: DataFrame, combos: Sequence[tuple[str, ...]]) -> list[tuple[int, int]]:
+    """(distinct rows, rows) of each combination. Every branch reads its own columns only and combines
+    before its shuffle, so no row is copied and only distinct values move."""
+    parts = [
+        df.groupBy(*c).agg(F.count("*").alias("_n")).agg(
+            F.lit(i).alias("i"), F.count("*").alias("distinct_rows"), F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows")
+        )
+        for i, c in enumerate(combos)
+    ]
+    return [(r["distinct_rows"], r["total_rows"]) for r in sorted(reduce(lambda x, y: x.unionByName(y), parts).collect())]
+
+
+def grain_detection(df: DataFrame, dataset: str, declared: Sequence[str], pool: Sequence[str]) -> DataFrame:
     """Uniqueness of the declared grain and of column combinations, smallest first.
 
-    Supersets of the declared grain are skipped, and combinations after the first perfect one are
-    not reported. Rows are first counted per value of the whole pool; every combination then works
-    on that result, as one (combination, hash) aggregate for all of them together.
+    The search goes through the combinations of all columns level by level and ends at the first perfect
+    one. Supersets of the declared grain are skipped. If even all columns together are not unique, no
+    combination can be, and the search ends after the single columns. Counts are exact.
     """
-    candidates = list(dict.fromkeys([*declared, *pool]))[:max_columns]
-    tried = (
-        c
-        for size in range(1, min(max_size, len(candidates)) + 1)
-        for c in combinations(candidates, size)
-        if not (declared and set(declared) <= set(c))
-    )
-    combos: list[tuple[str, tuple[str, ...]]] = [("DECLARED", tuple(declared))] if declared else []
-    combos += [("AUTO", c) for c in islice(tried, max_tries)]
-    base = df.groupBy(*candidates).agg(F.count("*").alias("_n"))
-    # Two independent 64-bit hashes make a collision in a combination practically impossible.
-    keys = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("try_no"),
-                F.xxhash64(*[F.col(x) for x in c], *[F.col(x).isNull() for x in c]).alias("h1"),
-                F.xxhash64(F.lit(i + 1), *[F.col(x).isNull() for x in c], *[F.col(x) for x in c]).alias("h2"),
-            )
-            for i, (_, c) in enumerate(combos)
-        ]
+    candidates = list(dict.fromkeys([*declared, *pool]))
+    found: list[tuple[str, tuple[str, ...], int, int]] = []
+
+    def try_all(source: str, combos: Iterable[tuple[str, ...]]) -> bool:
+        """Counts combinations; True at the first perfect one, whose followers are not reported."""
+        combos = iter(combos)
+        while batch := list(islice(combos, GRAIN_BATCH)):
+            for combo, (distinct, total) in zip(batch, _distinct_rows(df, batch), strict=True):
+                found.append((source, combo, distinct, total))
+                if distinct == total:
+                    return True
+        return False
+
+    perfect = bool(declared) and try_all("DECLARED", [tuple(declared)])
+    if not perfect:
+        distinct, total = _distinct_rows(df, [tuple(candidates)])[0]
+        for size in range(1, len(candidates) + 1 if distinct == total else 2):
+            level = combinations(candidates, size)
+            if try_all("AUTO", (c for c in level if not (declared and set(declared) <= set(c)))):
+                break
+    best = max(range(len(found)), key=lambda i: found[i][2] / max(found[i][3], 1))
+    first = 0 if declared else 1
+    rows = [(i + first, " x ".join(c), len(c), source, d, d * 100.0 / max(n, 1), i == best) for i, (source, c, d, n) in enumerate(found)]
+    out = df.sparkSession.createDataFrame(
+        rows, "try_no int, candidate_grain string, combo_size int, source string, distinct_rows long, uniqueness_pct double, is_best boolean"
     )
-    per_value = base.select("_n", F.inline(keys)).groupBy("try_no", "h1", "h2").agg(F.sum("_n").alias("_n"))
-    scored = per_value.groupBy("try_no").agg(F.count("*").alias("distinct_rows"), F.sum("_n").alias("total_rows"))
-    pct = F.col("distinct_rows") * 100.0 / F.col("total_rows")
-    names = reduce(lambda e, kv: e.when(F.col("try_no") == kv[0], " x ".join(kv[1][1])), enumerate(combos), F)
-    sizes = reduce(lambda e, kv: e.when(F.col("try_no") == kv[0], len(kv[1][1])), enumerate(combos), F)
-    source = F.when(F.col("try_no") == 0, combos[0][0]).otherwise("AUTO")
-    out = scored.select(
-        F.lit(dataset).alias("dataset"), "try_no", names.alias("candidate_grain"), sizes.alias("combo_size"),
-        source.alias("source"), "distinct_rows", pct.alias("uniqueness_pct"), uniqueness_class(pct).alias("confidence"),
+    return out.select(
+        F.lit(dataset).alias("dataset"), "try_no", "candidate_grain", "combo_size", "source", "distinct_rows",
+        "uniqueness_pct", uniqueness_class(F.col("uniqueness_pct")).alias("confidence"), "is_best",
     )
-    # One row per combination, so a window over all of them holds max_tries rows and one more.
-    tries = W.partitionBy()
-    perfect = F.min(F.when(F.col("uniqueness_pct") >= 100, F.col("try_no"))).over(tries)
-    best = F.min_by("try_no", F.struct(-F.col("uniqueness_pct"), F.col("try_no"))).over(tries)
-    shown = out.withColumns({"_perfect": perfect, "is_best": F.col("try_no") == best})
-    return shown.filter(F.col("_perfect").isNull() | (F.col("try_no") <= F.col("_perfect"))).drop("_perfect")
 
 
 def numeric_profile(df: DataFrame, dataset: str, columns: Sequence[str]) -> DataFrame:

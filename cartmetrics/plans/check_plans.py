@@ -122,15 +122,18 @@ def quality_gate(t: Tables) -> DataFrame:
     return checks.quality_gate(sell_out_check_rows(t))
 
 
-def _one(name: str, roles: tuple[str, ...], source: str, table: str, row: tuple, plan) -> None:
-    """Register a single check under its own name."""
-    query(roles=roles, sql=checks_sql(table, source, [row]), name=name)(plan)
+def _one(name: str, roles: tuple[str, ...], source: str, table: str, rows: tuple | list[tuple], plan) -> None:
+    """Register the rows of a single check under its own name."""
+    query(roles=roles, sql=checks_sql(table, source, rows if isinstance(rows, list) else [rows]), name=name)(plan)
 
 
 _one(
     "check_month_range", ("sell_in",), "sell_in", "sell_in",
-    ("B11_month_range:fecha_month", COUNT_IF("fecha_month < DATE '1996-01-01'"), 0, "above", "BLOCKER"),
-    lambda t: checks.run_checks(t.sell_in, "sell_in", checks.check_month_range("fecha_month", "1996-01-01")[:1]),
+    [
+        ("B11_month_range:fecha_month", COUNT_IF("fecha_month < DATE '1996-01-01'"), 0, "above", "BLOCKER"),
+        ("B13_first_of_month:fecha_month", COUNT_IF("DAY(fecha_month) <> 1"), 0, "above", "BLOCKER"),
+    ],
+    lambda t: checks.run_checks(t.sell_in, "sell_in", checks.check_month_range("fecha_month", "1996-01-01")),
 )
 _one(
     "check_no_inf_nan", (), "customer", "customer",
@@ -363,11 +366,10 @@ def quarantine_split(t: Tables) -> DataFrame:
     roles=("sell_in", "crosswalk"),
     sql="""SELECT COUNT(*) AS left_keys, COUNT(r) AS matched_keys, ROUND((COUNT(*) - COUNT(r)) * 100.0::DOUBLE / COUNT(*), 6) AS unmatched_pct,
                   CASE WHEN (COUNT(*) - COUNT(r)) * 100.0::DOUBLE / COUNT(*) > 20 THEN 'FAIL' ELSE 'PASS' END AS status
-           FROM (SELECT DISTINCT marca_std AS k FROM sell_in WHERE marca_std IS NOT NULL) LEFT JOIN (SELECT DISTINCT canonical AS r FROM crosswalk WHERE owner = 'OWN') ON k = r""",
+           FROM (SELECT DISTINCT marca_std AS k FROM sell_in WHERE marca_std IS NOT NULL) LEFT JOIN (SELECT DISTINCT canonical AS r FROM crosswalk) ON k = r""",
 )
 def join_key_match(t: Tables) -> DataFrame:
-    own = t.crosswalk.filter("owner = 'OWN'")
-    return rounded(checks.join_key_match(t.sell_in, own, "marca_std", "canonical"), 6)
+    return rounded(checks.join_key_match(t.sell_in, t.crosswalk, "marca_std", "canonical"), 6)
 
 
 @query(

@@ -26,13 +26,15 @@ def coded_sales(t: Tables) -> DataFrame:
 @query(
     roles=("sales", "crosswalk", "items"),
     sql="""SELECT i.brand, b.canonical, b.owner, COUNT(*) AS n_rows, ROUND(SUM(s.revenue_sell_out), 2) AS revenue
-           FROM sales s JOIN items i ON s.upc = i.mat_idt LEFT JOIN crosswalk b ON UPPER(TRIM(i.brand)) = b.canonical AND b.priority < 99 GROUP BY ALL""",
+           FROM sales s JOIN items i ON s.upc = i.mat_idt LEFT JOIN (SELECT variant, MIN(canonical) AS canonical,
+             ARG_MIN(owner, canonical) AS owner FROM crosswalk GROUP BY variant) b ON REPLACE(UPPER(TRIM(i.brand)), '#', ' ') = b.variant GROUP BY ALL""",
 )
 def mapping_left_join(t: Tables) -> DataFrame:
+    """Five labels have two canonical names in the mapping; no row is multiplied."""
     per_product = t.sales.groupBy("upc").agg(F.count("*").alias("n"), F.sum("revenue_sell_out").alias("r"))
     rows = per_product.join(t.items.select("mat_idt", "brand"), F.col("upc") == F.col("mat_idt"))
-    mapping = t.crosswalk.filter("priority < 99").withColumn("key", F.col("canonical"))
-    out = joins.mapping_left_join(rows, mapping, "brand", "key", ["canonical", "owner"])
+    rows = rows.withColumn("label", F.replace("brand", F.lit("#"), F.lit(" ")))
+    out = joins.mapping_left_join(rows, t.crosswalk, "label", "variant", ["canonical", "owner"])
     return rounded(out.groupBy("brand", "canonical", "owner").agg(F.sum("n").alias("n_rows"), F.sum("r").alias("revenue")), 2)
 
 
@@ -99,12 +101,12 @@ def one_hop_customer_harmonization(t: Tables) -> DataFrame:
 @query(
     """SELECT o.o_orderpriority, o.o_orderstatus, d.segment_key, COUNT(*) AS n_rows FROM orders o
        LEFT JOIN (SELECT status, priority, MIN(k) AS segment_key FROM
-                    (SELECT o_orderstatus AS status, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority, o_custkey AS k FROM orders WHERE o_orderstatus <> 'P') GROUP BY ALL) d
+                    (SELECT o_orderstatus AS status, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS priority, o_custkey AS k FROM orders) GROUP BY ALL) d
          ON o.o_orderstatus = d.status AND o.o_orderpriority = d.priority GROUP BY ALL"""
 )
 def composite_dim_lookup(t: Tables) -> DataFrame:
     """Lookup on two natural keys; a NULL key of the dimension matches nothing."""
-    dim = t.orders.filter("o_orderstatus <> 'P'").groupBy(
+    dim = t.orders.groupBy(
         F.col("o_orderstatus").alias("status"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"),
     ).agg(F.min("o_custkey").alias("segment_key"))
@@ -136,14 +138,13 @@ def star_inner_join(t: Tables) -> DataFrame:
     roles=("panel", "markets", "periods", "metrics"),
     sql="""SELECT m.mrkt_dsc_shrt, d.period_end_date, r.fact_description, COUNT(*) AS n_rows, ROUND(SUM(p.fact_value), 2) AS fact_value
            FROM panel p JOIN markets m ON p.market_id = m.market_id JOIN periods d ON p.period_id = d.period_id
-           JOIN metrics r ON p.fact_column = REPLACE(r.fact_column, '.', '_') WHERE YEAR(d.period_end_date) >= 1998 GROUP BY ALL""",
+           JOIN metrics r ON p.fact_column = REPLACE(r.fact_column, '.', '_') GROUP BY ALL""",
 )
 def market_star_join(t: Tables) -> DataFrame:
     metrics = t.metrics.withColumn("fact_column", F.replace(F.col("fact_column"), F.lit("."), F.lit("_")))
-    periods = t.periods.filter(F.year("period_end_date") >= 1998)
     out = joins.star_inner_join(
         t.panel,
-        [(t.markets, {"market_id": "market_id"}), (periods, {"period_id": "period_id"}), (metrics, {"fact_column": "fact_column"})],
+        [(t.markets, {"market_id": "market_id"}), (t.periods, {"period_id": "period_id"}), (metrics, {"fact_column": "fact_column"})],
     )
     keys = ["mrkt_dsc_shrt", "period_end_date", "fact_description"]
     return rounded(out.groupBy(*keys).agg(F.count("*").alias("n_rows"), F.sum("fact_value").alias("fact_value")), 2)
@@ -164,16 +165,14 @@ def computed_key_join(t: Tables) -> DataFrame:
     roles=("market_rows",),
     extra={
         "bridge": """SELECT period_end_date AS fecha_fin, CAST(DATE_TRUNC('month', period_end_date - 3) AS DATE) AS fecha
-                     FROM (SELECT DISTINCT period_end_date FROM market_rows) WHERE MONTH(period_end_date) <> 12"""
+                     FROM (SELECT DISTINCT period_end_date FROM market_rows)"""
     },
     sql="""SELECT b.fecha, COUNT(*) AS n_rows, ROUND(SUM(fact_value), 2) AS fact_value FROM market_rows JOIN bridge b ON period_end_date = b.fecha_fin GROUP BY ALL""",
 )
 def period_bridge_join(t: Tables) -> DataFrame:
-    """A week belongs to the month of its middle day; December weeks are missing from the bridge."""
+    """A week belongs to the month of its middle day."""
     end = F.col("period_end_date")
-    bridge = t.periods.filter(F.month(end) != 12).select(
-        end.alias("fecha_fin"), S.month_trunc(F.date_sub(end, 3)).alias("fecha")
-    )
+    bridge = t.periods.select(end.alias("fecha_fin"), S.month_trunc(F.date_sub(end, 3)).alias("fecha"))
     out = joins.period_bridge_join(t.market_rows, bridge, "period_end_date")
     return rounded(out.groupBy("fecha").agg(F.count("*").alias("n_rows"), F.sum("fact_value").alias("fact_value")), 2)
 

@@ -209,9 +209,19 @@ def investment_kpi(t: Tables) -> DataFrame:
     return rounded(kpi.investment_kpi(t.spend, OWN_BRANDS), 4)
 
 
-@query(roles=("market_rows",), extra={"wide": PIVOT_SQL}, sql="SELECT fecha_month, mrkt_dsc_shrt, canal_std, " + ", ".join(f"ROUND({n}, 2)::DOUBLE AS {n}" for n in KPI_NAMES) + " FROM wide")
+#: All names but that of units, which then is a metric without a KPI.
+SOME_NAMES = {raw: name for raw, name in kpi.METRIC_NAMES.items() if raw != "U"}
+
+
+@query(
+    roles=("market_rows",),
+    extra={"wide": PIVOT_SQL},
+    sql="SELECT fecha_month, mrkt_dsc_shrt, canal_std, ROUND(nls_units, 2)::DOUBLE AS U, "
+    + ", ".join(f"ROUND({n}, 2)::DOUBLE AS {n}" for n in dict.fromkeys(SOME_NAMES.values()))
+    + " FROM wide",
+)
 def metric_pivot(t: Tables) -> DataFrame:
-    return rounded(kpi.metric_pivot(t.market_rows, ["fecha_month", "mrkt_dsc_shrt", "canal_std"]), 2)
+    return rounded(kpi.metric_pivot(t.market_rows, ["fecha_month", "mrkt_dsc_shrt", "canal_std"], SOME_NAMES), 2)
 
 
 @query(roles=("market_rows",), extra={"wide": PIVOT_SQL}, sql=_market_master_sql("wide"))

@@ -29,7 +29,7 @@ def inventory_sql(dataset: str, table: str, types: dict[str, str], classes: dict
                    CASE WHEN (COUNT(*) - COUNT({c})) * 100.0::DOUBLE / COUNT(*) > 5 THEN 'HIGH' WHEN (COUNT(*) - COUNT({c})) * 100.0::DOUBLE / COUNT(*) > 1 THEN 'WARN' ELSE 'OK' END AS null_flag,
                    COUNT(DISTINCT {c}) + CASE WHEN COUNT(*) > COUNT({c}) THEN 1 ELSE 0 END AS distinct_count,
                    COUNT(DISTINCT {c}) = COUNT(*) AS is_pk_candidate,
-                   SUBSTR((SELECT STRING_AGG(v, ' | ' ORDER BY n DESC, v) FROM (SELECT CAST({c} AS VARCHAR) AS v, COUNT(*) AS n FROM {table} WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 5)), 1, 200) AS sample_values,
+                   (SELECT STRING_AGG(v, ' | ' ORDER BY n DESC, v) FROM (SELECT CAST({c} AS VARCHAR) AS v, COUNT(*) AS n FROM {table} WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 5)) AS sample_values,
                    '{classes.get(c, 'FACT / MEASURE')}' AS dimension_class, {str(c.upper() in GLOSSARY).upper()} AS in_glossary
             FROM {table}""")
     return " UNION ALL ".join(parts)
@@ -37,12 +37,15 @@ def inventory_sql(dataset: str, table: str, types: dict[str, str], classes: dict
 
 CUSTOMER_TYPES = {"c_custkey": "bigint", "c_nationkey": "int", "c_mktsegment": "string"}
 ORDER_TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_orderpriority": "string"}
-ITEM_TYPES = {"mat_idt": "string", "sku_ean_cod": "string", "brand": "string", "cbu": "string", "size": "int"}
+ITEM_TYPES = {
+    "mat_idt": "string", "sku_ean_cod": "string", "mat_lcl_dsc": "string", "brand": "string", "cbu": "string", "is_active": "boolean",
+    "category": "string", "size": "int",
+}
 
 
-@query(roles=("items",), sql=inventory_sql("ITEMS", "items", ITEM_TYPES, {"brand": "DIM_BRAND"}))
+@query(roles=("items",), sql=inventory_sql("ITEMS", "items", ITEM_TYPES, {"brand": "DIM_BRAND", "category": "DIM_BRAND"}))
 def column_inventory(t: Tables) -> DataFrame:
-    return rounded(profiling.column_inventory(t.items, "ITEMS", list(ITEM_TYPES), GLOSSARY), 6)
+    return rounded(profiling.column_inventory(t.items, "ITEMS", t.items.columns, GLOSSARY), 6)
 
 
 @query(
@@ -56,7 +59,7 @@ def column_inventory(t: Tables) -> DataFrame:
     sql="SELECT 'SELL_OUT' AS dataset, column_name, COALESCE(value, '(null)') AS value, n AS frequency, ROUND(n * 100.0::DOUBLE / total, 6) AS coverage_pct FROM r WHERE rn <= 50",
 )
 def domain_profile(t: Tables) -> DataFrame:
-    return rounded(profiling.domain_profile(t.sell_out, "SELL_OUT", ["cadena_std", "canal_std", "marca_std", "upc"]), 6)
+    return rounded(profiling.domain_profile(t.sell_out, "SELL_OUT", ["cadena_std", "canal_std", "marca_std", "upc"], top=50), 6)
 
 
 @query(
@@ -92,7 +95,11 @@ LINE_GRAIN = {
             ]
         )
     ),
-    "p": "SELECT *, distinct_rows * 100.0::DOUBLE / (SELECT COUNT(*) FROM lineitem) AS pct FROM combos",
+    "pool": "SELECT COUNT(*) AS d FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem)",
+    "every": "SELECT *, distinct_rows * 100.0::DOUBLE / (SELECT COUNT(*) FROM lineitem) AS pct FROM combos",
+    "stop": """SELECT COALESCE((SELECT MIN(try_no) FROM every WHERE pct >= 100),
+                 CASE WHEN (SELECT d FROM pool) < (SELECT COUNT(*) FROM lineitem) THEN 4 ELSE 99 END) AS last""",
+    "p": "SELECT * FROM every WHERE try_no <= (SELECT last FROM stop)",
 }
 
 
@@ -101,11 +108,11 @@ LINE_GRAIN = {
     sql="""SELECT 'LINEITEM' AS dataset, try_no, candidate_grain, combo_size, source, distinct_rows, ROUND(pct, 6) AS uniqueness_pct,
                   CASE WHEN pct >= 100 THEN 'PERFECT' WHEN pct >= 95 THEN 'HIGH' WHEN pct >= 80 THEN 'MEDIUM' ELSE 'LOW' END AS confidence,
                   try_no = (SELECT ARG_MIN(try_no, STRUCT_PACK(p := -pct, t := try_no)) FROM p) AS is_best
-           FROM p WHERE try_no <= COALESCE((SELECT MIN(try_no) FROM p WHERE pct >= 100), 99)""",
+           FROM p WHERE try_no <= (SELECT last FROM stop)""",
 )
 def grain_detection(t: Tables) -> DataFrame:
     out = profiling.grain_detection(
-        t.lineitem, "LINEITEM", ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"], max_size=3
+        t.lineitem, "LINEITEM", ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"]
     )
     return rounded(out, 6)
 

@@ -305,7 +305,7 @@ def coverage_level_ratio(t: Tables) -> DataFrame:
 
 MONTH_FACTS = {
     "w": "SELECT CAST(DATE_TRUNC('month', fecha) AS DATE) AS fecha_month, ROUND(SUM(waste_kg), 2) AS waste, ROUND(SUM(waste_amount), 2) AS waste_cost FROM waste GROUP BY ALL",
-    "i": "SELECT fecha_month, ROUND(SUM(CASE WHEN MONTH(fecha_month) <> 3 THEN volume_liter END), 2) AS sell_in FROM sell_in WHERE cbu = 'EDP' GROUP BY ALL",
+    "i": "SELECT fecha_month, ROUND(SUM(CASE WHEN MONTH(fecha_month) <> 3 THEN volume_liter END), 2) AS sell_in FROM sell_in GROUP BY ALL",
     "o": "SELECT fecha_month, ROUND(SUM(vol_sell_out), 2) AS sell_out, ROUND(SUM(revenue_sell_out), 2) AS revenue FROM sell_out GROUP BY ALL",
     "s": "SELECT fecha_month, ROUND(SUM(inversion_real), 2) AS spend FROM spend GROUP BY ALL",
     "m": """SELECT COALESCE(i.fecha_month, o.fecha_month) AS fecha_month, w.waste, w.waste_cost, CASE WHEN MONTH(o.fecha_month) = 7 THEN 0.0::DOUBLE ELSE i.sell_in END AS sell_in,
@@ -321,7 +321,7 @@ def month_facts(t: Tables) -> DataFrame:
     month = S.month_trunc(F.col("fecha")).alias("fecha_month")
     r = lambda c, a: S.stable_round(F.sum(c), 2).alias(a)
     w = t.waste.groupBy(month).agg(r("waste_kg", "waste"), r("waste_amount", "waste_cost"))
-    i = t.sell_in.filter("cbu = 'EDP'").groupBy("fecha_month").agg(
+    i = t.sell_in.groupBy("fecha_month").agg(
         r(F.when(F.month("fecha_month") != 3, F.col("volume_liter")), "sell_in")
     )
     o = t.sell_out.groupBy("fecha_month").agg(r("vol_sell_out", "sell_out"), r("revenue_sell_out", "revenue"))

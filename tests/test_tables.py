@@ -150,6 +150,11 @@ def test_metric_aliases_fill_in(spark):
     assert rows(out.select("k", "nls_numeric_dist", "nls_units"), "k") == [("a", 5.0, None), ("b", 7.0, None)]
 
 
+def test_metrics_without_a_kpi_are_kept(spark):
+    facts = spark.createDataFrame([("a", "U", 2.0), ("a", "NEW METRIC", 3.0), ("b", None, 4.0)], "k string, metric_name string, metric_value double")
+    assert rows(kpi.metric_pivot(facts, ["k"]).select("k", "nls_units", "NEW METRIC"), "k") == [("a", 2.0, 3.0), ("b", None, None)]
+
+
 def test_master_refuses_samples(spark):
     one = spark.range(1)
     with pytest.raises(ValueError):
@@ -238,6 +243,16 @@ def test_grain_stops_at_the_first_perfect_combination(spark):
     assert {r["candidate_grain"]: r["distinct_rows"] for r in out} == want
 
 
+def test_grain_beyond_many_columns(spark):
+    names = [f"c{i}" for i in range(14)]
+    df = spark.createDataFrame([(*[i % 2] * 13, i) for i in range(6)], ", ".join(f"{n} int" for n in names))
+    last = profiling.grain_detection(df, "T", [], names).orderBy("try_no").collect()[-1]
+    assert (last["candidate_grain"], last["confidence"], last["try_no"]) == ("c13", "PERFECT", 14)
+    twice = df.drop("c13")
+    got = profiling.grain_detection(twice, "T", ["c0", "c1"], names[:13]).collect()
+    assert len(got) == 14 and {r["confidence"] for r in got} == {"LOW"}
+
+
 def test_overlap_counts(spark):
     a = spark.createDataFrame([("x",), ("Y ",), (None,)], "v string")
     b = spark.createDataFrame([("y",), ("z",)], "v string")
