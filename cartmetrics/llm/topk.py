@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Vectors in a block of queries and of candidates, and cells of the grid along a dimension.
@@ -108,7 +108,8 @@ def exact_top_k(rows: DataFrame, queries: DataFrame, k: int = 5, scale: int = 25
                 yield pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found, strict=True)))
 
     best = met.mapInPandas(run, "query_id long, vec_id long, score long")
-    # k rows per query and block: merged by a window over few rows per query.
-    packed = F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("v"))
-    merged = best.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(packed)), 1, k).alias("top"))
-    return merged.select("query_id", F.posexplode("top").alias("i", "t")).select("query_id", (F.col("i") + 1).alias("rank"), F.col("t.v").alias("vec_id"), (-F.col("t.s")).alias("score"))
+    # k rows per query and block. The rank limit cuts each task's rows to k per query before the shuffle
+    # and sorts the rest with spill, so that no list of a query is held in memory.
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
