@@ -21,16 +21,6 @@ def norm_key(col: Column) -> Column:
     return F.upper(F.trim(col))
 
 
-def blank_to_null(col: Column) -> Column:
-    """NULL for a missing or all-blank text, else the normalized text."""
-    text = norm_key(col)
-    return F.when(text != "", text)
-
-
-def strip_line_breaks(col: Column) -> Column:
-    return F.translate(col, "\r\n", "")
-
-
 def surrogate_key(*cols: Column, null_text: str = "None", length: int = 16) -> Column:
     """First hex characters of md5 over the parts joined with '|'; a NULL part becomes a text."""
     parts = [F.coalesce(c.cast("string"), F.lit(null_text)) for c in cols]
@@ -75,6 +65,11 @@ def stable_round(col: Column, digits: int) -> Column:
     return F.round(col + 1e-7, digits)
 
 
+def round_score(col: Column, digits: int = 1) -> Column:
+    """Round a score. Float noise goes first, so that it cannot tip a half."""
+    return F.round(F.round(col, 9), digits)
+
+
 def zero_if_null(col: Column) -> Column:
     return F.coalesce(col, F.lit(0.0))
 
@@ -238,7 +233,7 @@ def weighted_score(parts: Mapping[str, Column], weights: Mapping[str, float], ma
     missing = sum((parts[k].isNull().cast("int") for k in weights), F.lit(0))
     total = sum((F.coalesce(parts[k] * w, F.lit(0.0)) for k, w in weights.items()), F.lit(0.0))
     weight = sum((F.when(parts[k].isNotNull(), F.lit(w)).otherwise(0.0) for k, w in weights.items()), F.lit(0.0))
-    score = F.when(missing <= max_missing, stable_round(clamp(total / weight, 0.0, 100.0), 1))
+    score = F.when(missing <= max_missing, round_score(clamp(total / weight, 0.0, 100.0)))
     return score, missing
 
 

@@ -29,6 +29,33 @@ def first_row_dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
     return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
+def key_conflicts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys whose rows differ in another column, with the first and the last of these rows: the audit
+    before a deduplication. Repeated equal rows are no conflict."""
+    rest = F.struct(*[c for c in df.columns if c not in keys])
+    out = df.groupBy(*keys).agg(F.min(rest).alias("first_row"), F.max(rest).alias("last_row"), F.count("*").alias("n_rows"))
+    return out.filter(~F.col("first_row").eqNullSafe(F.col("last_row")))
+
+
+def unique_row(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key, and an error where rows of a key differ. The check runs with the aggregate
+    itself, on every key that is read, and needs no pass of its own."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"), F.max(F.struct(*rest)).alias("_last"))
+    named = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    stop = F.raise_error(F.concat(F.lit("conflicting rows for key "), named))
+    row = F.when(F.col("_row").eqNullSafe(F.col("_last")), F.col("_row")).otherwise(stop)
+    return best.select(*keys, row.alias("_row")).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+
+
+def _one_row(df: DataFrame, keys: Sequence[str], on_conflict: str) -> DataFrame:
+    if on_conflict not in ("first", "error"):
+        raise ValueError("on_conflict is 'first' or 'error'")
+    return first_row_dedup(df, keys) if on_conflict == "first" else unique_row(df, keys)
+
+
 def min_per_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """One row per non-NULL key with the column-wise minimum; values may come from different rows."""
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*[F.min(c).alias(c) for c in columns])
@@ -38,12 +65,14 @@ def min_per_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 
 
 def mapping_left_join(
-    fact: DataFrame, mapping: DataFrame, fact_key: str, map_key: str, columns: Sequence[str], prefix: str = ""
-) -> DataFrame:
+    fact: DataFrame, mapping: DataFrame, fact_key: str, map_key: str, columns: Sequence[str], prefix: str = "",
+    on_conflict: str = "first",
+) -> DataFrame:
     """Left join of a mapping on normalized text keys.
 
     The mapping is collapsed to one row per key and its columns are renamed before the join, so the
-    fact keeps its row count and no name is ambiguous.
+    fact keeps its row count and no name is ambiguous. Where rows of a key differ, ``on_conflict`` takes
+    the first ("first") or fails the job ("error"); ``key_conflicts`` lists them.
     """
     names = {c: f"{prefix}{c}" for c in columns}
     taken = set(names.values()) & set(fact.columns)
@@ -52,7 +81,7 @@ def mapping_left_join(
     right = mapping.select(
         norm_key(F.col(map_key)).alias("_map_key"), *[F.col(c).alias(n) for c, n in names.items()]
     ).filter(F.col("_map_key").isNotNull())
-    right = first_row_dedup(right, ["_map_key"])
+    right = _one_row(right, ["_map_key"], on_conflict)
     return fact.join(right, norm_key(fact[fact_key]) == right["_map_key"], "left").drop("_map_key")
 
 
@@ -72,14 +101,15 @@ def ean_bridge_join(fact: DataFrame, items: DataFrame, fact_key: str, ean: str =
 
 
 def lookup_on(
-    fact: DataFrame, dim: DataFrame, pairs: Mapping[str, str], columns: Sequence[str], null_safe: bool = False
-) -> DataFrame:
+    fact: DataFrame, dim: DataFrame, pairs: Mapping[str, str], columns: Sequence[str], null_safe: bool = False,
+    on_conflict: str = "first",
+) -> DataFrame:
     """Left join on several natural-key columns (fact column -> dimension column).
 
-    A NULL key matches nothing unless ``null_safe`` asks for it.
+    A NULL key matches nothing unless ``null_safe`` asks for it; ``on_conflict`` as in mapping_left_join.
     """
     right = dim.select(*[F.col(d).alias(f"_dim_{d}") for d in dict.fromkeys(pairs.values())], *columns)
-    right = first_row_dedup(right, [f"_dim_{d}" for d in dict.fromkeys(pairs.values())])
+    right = _one_row(right, [f"_dim_{d}" for d in dict.fromkeys(pairs.values())], on_conflict)
 
     def equal(f: str, d: str) -> Column:
         left, other = fact[f], right[f"_dim_{d}"]

@@ -1,7 +1,7 @@
 """Monthly mart: every KPI, score and recommendation at brand x channel x month.
 
-All inputs are monthly aggregates. The windows share one partitioning (brand, channel), so Spark
-shuffles the mart once for all of them; channel totals take one more shuffle of monthly rows.
+All inputs are monthly aggregates. The windows of the mart share one partitioning (brand, channel);
+channel totals are summed and joined apart.
 """
 
 from __future__ import annotations
@@ -13,24 +13,27 @@ from pyspark.sql import functions as F
 from cartmetrics.functions import scalars as S
 from cartmetrics.operators.decisions import recommend
 from cartmetrics.operators.series import (
+    calendar_value,
     consecutive_miss_streak,
     growth_to_earlier,
-    period_lags,
     rolling_score,
     share_change,
 )
 
 KEYS = ["brand_key", "channel_key"]
+QUARTER, YEAR = 3, 12
 
 
-def mart_facts(base: DataFrame, sell_in: DataFrame, waste: DataFrame, spend: DataFrame, forecast: DataFrame) -> DataFrame:
-    """Sell-out and market rows with shipments, waste, spend and forecast of the same month.
+def mart_facts(base: DataFrame, shipments: DataFrame, spend: DataFrame) -> DataFrame:
+    """Sell-out and market rows with shipments, waste and spend of the same month.
 
-    base: brand_key, channel_key, period_key, fecha_month, revenue, units, n_brands and market
-    columns; the others carry the keys, fecha_month and their measures.
+    base: brand_key, channel_key, period_key, fecha_month, revenue, units, n_brands, market columns,
+    forecast_units and actual_units; shipments: the keys, fecha_month, sell_in_units, waste_units,
+    waste_cost and waste_risk_score (0-1, from the waste model); spend: the keys, fecha_month and
+    investment_spend.
     """
     on = [*KEYS, "fecha_month"]
-    out = base.join(sell_in, on, "left").join(waste, on, "left").join(spend, on, "left").join(forecast, on, "left")
+    out = base.join(shipments, on, "left").join(spend, on, "left")
     c = F.col
     return out.withColumns(
         {
@@ -43,15 +46,16 @@ def mart_facts(base: DataFrame, sell_in: DataFrame, waste: DataFrame, spend: Dat
     )
 
 
-def with_growth(mart: DataFrame) -> DataFrame:
+def with_growth(mart: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Year-on-year growth of the brand and of its channel, and the difference.
 
     Channel growth comes from channel totals, one row per channel and month, which are joined back: no
-    window holds more rows than one series has months.
+    window holds more rows than one series has months. The totals are summed from ``base``, the rows
+    before other sources were joined, so that these joins aren't computed twice.
     """
     out = growth_to_earlier(mart, KEYS, "fecha_month", "revenue")
     out = out.withColumnsRenamed({"growth": "sell_out_growth", "prior_value": "prior_revenue"})
-    totals = mart.groupBy("channel_key", "fecha_month").agg(F.sum("revenue").alias("channel_revenue"))
+    totals = (mart if base is None else base).groupBy("channel_key", "fecha_month").agg(F.sum("revenue").alias("channel_revenue"))
     totals = growth_to_earlier(totals, ["channel_key"], "fecha_month", "channel_revenue")
     totals = totals.select(F.col("channel_key").alias("_channel"), F.col("fecha_month").alias("_month"), "growth")
     on = out["channel_key"].eqNullSafe(totals["_channel"]) & out["fecha_month"].eqNullSafe(totals["_month"])
@@ -64,7 +68,7 @@ def with_growth(mart: DataFrame) -> DataFrame:
 
 def with_growth_quality(mart: DataFrame) -> DataFrame:
     """Share change, the five component scores, the growth quality score and its 4-period mean."""
-    out = share_change(mart, KEYS, "period_key", "value_share")
+    out = share_change(mart, KEYS, "period_key", "value_share", "fecha_month")
     c = F.col
     parts = S.growth_components(
         c("sell_out_growth") * 100, c("share_change_pp"), c("waste_rate") * 100, c("forecast_accuracy_wape"), c("waste_adjusted_roi")
@@ -76,44 +80,43 @@ def with_growth_quality(mart: DataFrame) -> DataFrame:
 
 
 def with_competitive_risk(mart: DataFrame) -> DataFrame:
-    """Competitive risk from 13-period and 52-period changes of share, price and distribution."""
-    lags = {
-        "value_share": [13, 52],
-        "price_index_vs_category": [13],
-        "numeric_distribution": [13],
-        "weighted_distribution": [13],
+    """Competitive risk from the quarterly and yearly changes of share, price and distribution. The rule
+    is stated in 13 and 52 weeks; on monthly rows these are 3 and 12 calendar months."""
+    back = {
+        "_share": ("value_share", QUARTER),
+        "_price": ("price_index_vs_category", QUARTER),
+        "_num": ("numeric_distribution", QUARTER),
+        "_wgt": ("weighted_distribution", QUARTER),
+        "_year": ("value_share", YEAR),
     }
-    out = period_lags(mart, KEYS, "period_key", lags)
+    out = mart.withColumns({n: calendar_value(KEYS, "fecha_month", col, months) for n, (col, months) in back.items()})
     c = F.col
-    price = S.safe_divide(c("price_index_vs_category_change_13") * 100, c("price_index_vs_category_lag_13"))
-    parts = S.risk_components(
-        c("value_share_change_13"), price, c("numeric_distribution_change_13"), c("weighted_distribution_change_13"), c("value_share_change_52")
-    )
+    change = {n: c(col) - c(n) for n, (col, _) in back.items()}
+    price = S.safe_divide(change["_price"] * 100, c("_price"))
+    parts = S.risk_components(change["_share"], price, change["_num"], change["_wgt"], change["_year"])
     risk = S.competitive_risk_score(parts, c("n_brands"))
-    dropped = [f"{name}_{kind}_{n}" for name, ns in lags.items() for n in ns for kind in ("lag", "change")]
-    return out.withColumns({"competitive_risk_score": risk["score"], "competitive_risk_confidence": risk["confidence"]}).drop(*dropped)
+    return out.withColumns({"competitive_risk_score": risk["score"], "competitive_risk_confidence": risk["confidence"]}).drop(*back)
 
 
 def with_recommendation(mart: DataFrame) -> DataFrame:
-    """Waste risk, forecast misses and months of history, then the recommended action."""
+    """Waste risk class, forecast misses and whole weeks of history, then the recommended action."""
     out = consecutive_miss_streak(mart, KEYS, "period_key", "forecast_units", "actual_units")
-    risk = S.clamp(F.col("waste_rate") * 3, 0.0, 1.0)
-    window = W.partitionBy(*KEYS).orderBy("period_key")
+    first = F.min("fecha_month").over(W.partitionBy(*KEYS).orderBy("period_key"))
+    known = F.datediff(F.add_months("fecha_month", 1), first)
     out = out.withColumns(
         {
-            "waste_risk_score": risk,
-            "waste_risk_category": S.waste_risk_bucket(risk),
+            "waste_risk_category": S.waste_risk_bucket(F.col("waste_risk_score")),
             "consecutive_forecast_misses": F.coalesce("miss_streak", F.lit(0)),
             "gqs_4w_avg": F.col("growth_quality_score_4w_avg"),
-            "weeks_of_history": F.row_number().over(window) * 4,
+            "weeks_of_history": F.floor(known / 7).cast("int"),
         }
     )
     return recommend(out)
 
 
-def monthly_mart(base: DataFrame, sell_in: DataFrame, waste: DataFrame, spend: DataFrame, forecast: DataFrame) -> DataFrame:
+def monthly_mart(base: DataFrame, shipments: DataFrame, spend: DataFrame) -> DataFrame:
     """The mart with keys, volumes, ratios, market view, scores, action and confidence."""
-    out = with_growth(mart_facts(base, sell_in, waste, spend, forecast))
+    out = with_growth(mart_facts(base, shipments, spend), base)
     out = with_recommendation(with_competitive_risk(with_growth_quality(out)))
     c = F.col
     return out.select(

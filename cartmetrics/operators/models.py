@@ -129,8 +129,3 @@ def mmm_regression(df: DataFrame, keys: Sequence[str], features: Sequence[str],
             yield pd.DataFrame(rows, columns=columns)
 
     return moments.mapInPandas(solve, schema)
-
-
-def saturation_flag(spend: Column, k: Column, within: float = 0.10) -> Column:
-    """Current spend within 10% of the half-saturation point."""
-    return F.abs(spend - k) <= within * k

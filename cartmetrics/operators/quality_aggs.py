@@ -67,9 +67,10 @@ def mix_variation_profile(df: DataFrame, keys: Sequence[str], spend: str, minimu
 def score_distribution(df: DataFrame, score: str, minimum_iqr: float = 15.0) -> DataFrame:
     """Exact percentiles and spread of a score. A narrow spread means the weights do not separate.
 
-    A score lies in 0-100 with one decimal, so the percentile keeps a count for at most 1001 values.
+    Percentiles are those of the scores rounded to one decimal, so that in 0-100 they keep a count for
+    at most 1001 values, however fine the scores are.
     """
-    q = lambda p: F.percentile(score, F.lit(p))
+    q = lambda p: F.percentile(F.round(score, 1), F.lit(p))
     return df.agg(
         q(0.10).alias("p10"), q(0.25).alias("p25"), q(0.75).alias("p75"), q(0.90).alias("p90"),
         F.avg(score).alias("mean"), F.stddev(score).alias("stddev"), F.min(score).alias("min"), F.max(score).alias("max"),

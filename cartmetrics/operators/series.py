@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cartmetrics.functions.scalars import safe_divide, stable_round
+from cartmetrics.functions.scalars import round_score, safe_divide
 
 
 def _by(keys: Sequence[str], order: str):
@@ -43,13 +43,13 @@ def period_lags(
 def month_over_month_change(df: DataFrame, keys: Sequence[str], order: str, score: str) -> DataFrame:
     """Mean, 90th percentile and maximum of the absolute change to the previous period.
 
-    Scores have one decimal; rounding removes float noise, so the exact percentile keeps a count for
+    The percentile is that of the changes rounded to one decimal, as scores are: it keeps a count for
     about a thousand values however many rows there are.
     """
     moved = df.withColumn("_change", F.round(F.abs(F.col(score) - F.lag(score).over(_by(keys, order))), 6))
     return moved.filter(F.col("_change").isNotNull()).agg(
         F.avg("_change").alias("mean_change"),
-        F.percentile("_change", F.lit(0.90)).alias("p90_change"),
+        F.percentile(F.round("_change", 1), F.lit(0.90)).alias("p90_change"),
         F.max("_change").alias("max_change"),
         F.count("*").alias("n_changes"),
     )
@@ -94,7 +94,7 @@ def key_cardinality_window(items: DataFrame, key: str = "sku_ean_cod", active: s
 def rolling_score(df: DataFrame, keys: Sequence[str], order: str, score: str, points: int = 4, minimum: int = 2) -> DataFrame:
     """Mean of the last points, NULL until there are enough, rounded to one decimal."""
     window = _by(keys, order).rowsBetween(-(points - 1), 0)
-    mean = F.when(F.count(score).over(window) >= minimum, stable_round(F.avg(score).over(window), 1))
+    mean = F.when(F.count(score).over(window) >= minimum, round_score(F.avg(score).over(window)))
     return df.withColumn(f"{score}_{points}w_avg", mean)
 
 
@@ -126,9 +126,12 @@ def consecutive_miss_streak(
     return out.withColumns({"miss_streak": streak, "forecast_review": streak >= minimum}).drop("_start", "_run")
 
 
-def share_change(df: DataFrame, keys: Sequence[str], order: str, share: str) -> DataFrame:
-    """Share minus the previous period's, NULL and flagged for a new entrant."""
-    previous = F.lag(share).over(_by(keys, order))
+def share_change(df: DataFrame, keys: Sequence[str], order: str, share: str, month: str | None = None) -> DataFrame:
+    """Share minus the previous row's, NULL and flagged for a new entrant.
+
+    With ``month``, a date column, it is minus the share of the calendar month before: a missing month
+    gives NULL and not the change over a longer time."""
+    previous = calendar_value(keys, month, share, 1) if month else F.lag(share).over(_by(keys, order))
     first = F.row_number().over(_by(keys, order)) == 1
     return df.withColumns({"share_change_pp": F.col(share) - previous, "new_entrant": first})
 

@@ -21,9 +21,9 @@ def top_values(df: DataFrame, col: str, n: int) -> DataFrame:
 
 def best_column_select(scores: DataFrame, source: str, column: str, score: str) -> DataFrame:
     """Highest-scoring column per source; ties go to the first name."""
-    top = scores.groupBy(source).agg(F.max(score).alias("best_score"))
-    tied = scores.join(top, source).filter(F.col(score) == F.col("best_score"))
-    return tied.groupBy(source, "best_score").agg(F.min(column).alias("best_column"))
+    best = F.min(F.struct((-F.col(score)).alias("s"), F.col(column).alias("c"), F.col(score).alias("best")))
+    out = scores.filter(F.col(score).isNotNull()).groupBy(source).agg(best.alias("_b"))
+    return out.select(source, F.col("_b.best").alias("best_score"), F.col("_b.c").alias("best_column"))
 
 
 def ordered_output(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -156,18 +156,24 @@ def market_label_columns(df: DataFrame, col: str) -> DataFrame:
 
 
 def ordered_case(
-    df: DataFrame, rules: Sequence[tuple[Mapping[str, Sequence[str]], str]], out: str, otherwise: Column | None = None
+    df: DataFrame,
+    rules: Sequence[tuple[Mapping[str, Sequence[str]] | str | Column, str | Column]],
+    out: str,
+    otherwise: Column | None = None,
 ) -> DataFrame:
     """First matching rule of a rule list gives the label.
 
-    A rule is ({column: allowed values}, label) and holds when every column has one of its values.
-    Segment definitions are configuration: a chain of layers is a chain of calls.
+    A rule is (condition, label). The condition is {column: allowed values}, which holds when every
+    column has one of its values; or a SQL condition or column expression, with AND, OR, NOT, LIKE,
+    BETWEEN and IS NULL as Spark reads them. The label is a text or a column. Segment definitions are
+    configuration: a chain of layers is a chain of calls.
     """
     expr = None
-    for conditions, label in rules:
-        hit = reduce(
-            lambda a, b: a & b, [norm_key(F.col(c)).isin([v.upper() for v in vs]) for c, vs in conditions.items()]
-        )
+    for condition, label in rules:
+        if isinstance(condition, Mapping):
+            hit = reduce(lambda a, b: a & b, [norm_key(F.col(c)).isin([v.upper() for v in vs]) for c, vs in condition.items()])
+        else:
+            hit = F.expr(condition) if isinstance(condition, str) else condition
         expr = F.when(hit, label) if expr is None else expr.when(hit, label)
     if expr is None:
         raise ValueError("the rule list is empty")

@@ -31,6 +31,12 @@ GQS_SCORE, GQS_MISSING = _weighted(GQS_PARTS)
 RISK_SCORE, RISK_MISSING = _weighted({f"r_{k}": w for k, w in S.RISK_WEIGHTS.items()})
 PW = "OVER (PARTITION BY brand_key, channel_key ORDER BY period_key)"
 
+
+def _back(column: str, months: int) -> str:
+    """Value of the same brand and channel exactly so many months before."""
+    return f"MAX({column}) OVER (PARTITION BY brand_key, channel_key ORDER BY period_key RANGE BETWEEN {months} PRECEDING AND {months} PRECEDING)"
+
+
 MART = {
     "m_si": "SELECT marca_std AS brand_key, canal_std AS channel_key, fecha_month, ROUND(SUM(volume_liter), 2) AS sell_in_units FROM sell_in WHERE marca_std IS NOT NULL GROUP BY ALL",
     "m_wa": "SELECT marca_std AS brand_key, canal_std AS channel_key, fecha_month, ROUND(SUM(volume_liter), 2) AS waste_units, ROUND(SUM(volume_liter), 2) * 10 AS waste_cost FROM sell_in WHERE marca_std IS NOT NULL AND dis_chl_cod = 'R' GROUP BY ALL",
@@ -49,10 +55,10 @@ MART = {
         JOIN m_ch c ON a.channel_key = c.channel_key AND a.fecha_month = c.fecha_month
         LEFT JOIN m_ch d ON a.channel_key = d.channel_key AND a.fecha_month = CAST(d.fecha_month + INTERVAL 12 MONTH AS DATE)""",
     "m3": f"""
-        SELECT *, sell_out_growth * 100 - market_category_growth_pct AS market_adjusted_growth, value_share - LAG(value_share) {PW} AS share_change_pp,
-               value_share - LAG(value_share, 13) {PW} AS d_share, (price_index_vs_category - LAG(price_index_vs_category, 13) {PW}) * 100 / NULLIF(LAG(price_index_vs_category, 13) {PW}, 0) AS d_price,
-               numeric_distribution - LAG(numeric_distribution, 13) {PW} AS d_num, weighted_distribution - LAG(weighted_distribution, 13) {PW} AS d_wgt,
-               value_share - LAG(value_share, 52) {PW} AS d_yoy, CAST(SIGN(forecast_units - actual_units) AS INT) AS miss_direction FROM m2""",
+        SELECT *, sell_out_growth * 100 - market_category_growth_pct AS market_adjusted_growth, value_share - {_back("value_share", 1)} AS share_change_pp,
+               value_share - {_back("value_share", 3)} AS d_share, (price_index_vs_category - {_back("price_index_vs_category", 3)}) * 100 / NULLIF({_back("price_index_vs_category", 3)}, 0) AS d_price,
+               numeric_distribution - {_back("numeric_distribution", 3)} AS d_num, weighted_distribution - {_back("weighted_distribution", 3)} AS d_wgt,
+               value_share - {_back("value_share", 12)} AS d_yoy, CAST(SIGN(forecast_units - actual_units) AS INT) AS miss_direction FROM m2""",
     "m4": f"""
         SELECT *, {_clamp("(sell_out_growth * 100 + 20) / 40 * 100")} AS so_growth_score, {_clamp("(share_change_pp + 3) / 6 * 100")} AS share_score,
                {_clamp("100 - waste_rate * 100 / 5 * 100")} AS waste_score, {_clamp("(1 - forecast_accuracy_wape) * 100")} AS forecast_score, {_clamp("waste_adjusted_roi / 3 * 100")} AS roi_score,
@@ -68,7 +74,7 @@ MART = {
         SELECT *, CASE WHEN waste_risk_score < 0.30 THEN 'LOW' WHEN waste_risk_score < 0.70 THEN 'MEDIUM' WHEN waste_risk_score IS NOT NULL THEN 'HIGH' END AS waste_risk_category,
                CASE WHEN COUNT(growth_quality_score) OVER w >= 2 THEN ROUND(AVG(growth_quality_score) OVER w, 1) END AS gqs_4w_avg,
                CASE WHEN miss_direction <> 0 THEN CAST(ROW_NUMBER() OVER (PARTITION BY brand_key, channel_key, run ORDER BY period_key) AS INT) ELSE 0 END AS consecutive_forecast_misses,
-               CAST(ROW_NUMBER() OVER (PARTITION BY brand_key, channel_key ORDER BY period_key) * 4 AS INT) AS weeks_of_history
+               CAST(date_diff('day', MIN(fecha_month) OVER (PARTITION BY brand_key, channel_key ORDER BY period_key), CAST(fecha_month + INTERVAL 1 MONTH AS DATE)) // 7 AS INT) AS weeks_of_history
         FROM m5 WINDOW w AS (PARTITION BY brand_key, channel_key ORDER BY period_key ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)""",
     "m7": """
         SELECT *, weeks_of_history >= 4 AND gqs_4w_avg IS NOT NULL AND waste_adjusted_roi IS NOT NULL AND waste_risk_category IS NOT NULL AS ready, COALESCE(share_change_pp, 0) AS sh FROM m6""",
@@ -94,19 +100,25 @@ def r(*names: str) -> str:
 
 
 def monthly_frames(t: Tables) -> list[DataFrame]:
-    """The five monthly inputs of the mart."""
+    """The three monthly inputs of the mart."""
     keys = [F.col("marca_std").alias("brand_key"), F.col("canal_std").alias("channel_key"), "fecha_month"]
     total = lambda c: S.stable_round(F.sum(c), 2)
     shipped = t.sell_in.filter(F.col("marca_std").isNotNull())
-    sell_in = shipped.groupBy(*keys).agg(total("volume_liter").alias("sell_in_units"))
-    waste = shipped.filter("dis_chl_cod = 'R'").groupBy(*keys).agg(
-        total("volume_liter").alias("waste_units"), (total("volume_liter") * 10).alias("waste_cost")
+    wasted = total(F.when(F.col("dis_chl_cod") == "R", F.col("volume_liter")))
+    shipments = shipped.groupBy(*keys).agg(
+        total("volume_liter").alias("sell_in_units"), wasted.alias("waste_units"), (wasted * 10).alias("waste_cost")
     )
+    # Stands for the score of a waste model, which the mart takes as it is.
+    rate = S.safe_divide(F.col("waste_units"), F.col("sell_in_units"))
+    shipments = shipments.withColumn("waste_risk_score", S.clamp(rate * 3, 0.0, 1.0))
     spend = t.spend.groupBy(*keys).agg(total("inversion_real").alias("investment_spend"))
-    forecast = t.forecast.select(
-        "brand_key", "channel_key", "fecha_month", F.col("forecasted_units").alias("forecast_units"), "actual_units"
-    )
-    return [t.history, sell_in, waste, spend, forecast]
+    base = t.history.withColumns({"forecast_units": t.forecast_units, "actual_units": t.actual_units})
+    return [base, shipments, spend]
+
+
+def scored_rows(t: Tables) -> DataFrame:
+    base, *others = monthly_frames(t)
+    return mart.with_growth_quality(mart.with_growth(mart.mart_facts(base, *others), base))
 
 
 def mart_rows(t: Tables) -> DataFrame:
@@ -135,7 +147,7 @@ SCORES = [f"{k}_score" for k in S.GROWTH_WEIGHTS]
 
 @query(roles=MART_ROLES, extra=MART, sql=f"SELECT {IDS}, {r(*SCORES)} FROM mart")
 def component_scores(t: Tables) -> DataFrame:
-    out = mart.with_growth_quality(mart.with_growth(mart.mart_facts(*monthly_frames(t))))
+    out = scored_rows(t)
     return rounded(out.select(*ID_LIST, *SCORES))
 
 
@@ -145,7 +157,7 @@ def component_scores(t: Tables) -> DataFrame:
     sql=f"SELECT {IDS}, growth_quality_score AS score, gqs_confidence_level AS confidence, {GQS_MISSING} AS null_component_count FROM mart",
 )
 def growth_quality_score(t: Tables) -> DataFrame:
-    out = mart.with_growth_quality(mart.with_growth(mart.mart_facts(*monthly_frames(t))))
+    out = scored_rows(t)
     score = S.growth_quality_score({k: F.col(f"{k}_score") for k in S.GROWTH_WEIGHTS})
     return rounded(out.select(*ID_LIST, *[c.alias(n) for n, c in score.items()]), 1)
 

@@ -739,12 +739,15 @@ def market_segment_chain(t: Tables) -> DataFrame:
     return out.groupBy("segment", "presentation").agg(F.count("*").alias("n_products"))
 
 
-DAIRY_RULES = [
-    ({"brand_key": ["BRAND#1", "BRAND#2"], "p_type": ["ECONOMY"]}, "BASE"),
-    ({"brand_key": ["BRAND#1"], "name_first": ["RED", "BLUE"]}, "FRUIT"),
-    ({"name_second": ["RING", "BOLT"], "p_type": ["LARGE", "PROMO"]}, "FAMILY"),
-    ({"p_type": ["SMALL", "MEDIUM"]}, "DRINK"),
-]
+def dairy_rules() -> list:
+    return [
+        ({"brand_key": ["BRAND#1", "BRAND#2"], "p_type": ["ECONOMY"]}, "BASE"),
+        ({"brand_key": ["BRAND#1"], "name_first": ["RED", "BLUE"]}, "FRUIT"),
+        ({"name_second": ["RING", "BOLT"], "p_type": ["LARGE", "PROMO"]}, "FAMILY"),
+        ("p_brand <> 'Brand#3' AND p_type = 'LARGE' OR p_brand LIKE 'Brand#2%' AND p_size BETWEEN 40 AND 45", "LARGE PACK"),
+        ("(p_brand IS NULL OR p_name NOT LIKE '%o%') AND NOT p_size < 10", F.col("p_type")),
+        ({"p_type": ["SMALL", "MEDIUM"]}, "DRINK"),
+    ]
 
 
 @query(
@@ -752,6 +755,8 @@ DAIRY_RULES = [
          SELECT p_retailprice, CASE WHEN UPPER(p_brand) IN ('BRAND#1','BRAND#2') AND p_type = 'ECONOMY' THEN 'BASE'
              WHEN UPPER(p_brand) = 'BRAND#1' AND SPLIT_PART(p_name, ' ', 1) IN ('red','blue') THEN 'FRUIT'
              WHEN SPLIT_PART(p_name, ' ', 2) IN ('ring','bolt') AND p_type IN ('LARGE','PROMO') THEN 'FAMILY'
+             WHEN (p_brand <> 'Brand#3' AND p_type = 'LARGE') OR (STARTS_WITH(p_brand, 'Brand#2') AND p_size >= 40 AND p_size <= 45) THEN 'LARGE PACK'
+             WHEN (p_brand IS NULL OR NOT CONTAINS(p_name, 'o')) AND p_size >= 10 THEN p_type
              WHEN p_type IN ('SMALL','MEDIUM') THEN 'DRINK' ELSE 'UNSEGMENTED' END AS segment FROM part) GROUP BY segment"""
 )
 def dairy_segment_2025(t: Tables) -> DataFrame:
@@ -763,7 +768,7 @@ def dairy_segment_2025(t: Tables) -> DataFrame:
             "name_second": F.split_part("p_name", F.lit(" "), F.lit(2)),
         }
     )
-    out = std.ordered_case(part, DAIRY_RULES, "segment", F.lit("UNSEGMENTED"))
+    out = std.ordered_case(part, dairy_rules(), "segment", F.lit("UNSEGMENTED"))
     return rounded(out.groupBy("segment").agg(F.count("*").alias("n_products"), F.sum("p_retailprice").alias("retail")), 2)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cartmetrics.functions.scalars import month_trunc, stable_round
@@ -363,10 +364,15 @@ class Tables:
             F.sum("vol_sell_out").alias("units"),
             F.count_distinct("store_id").alias("stores"),
         )
-        total = base.groupBy("channel_key", "period_key").agg(
-            stable_round(F.sum("revenue"), 2).alias("_revenue"), F.sum("units").alias("_units"), F.count("*").alias("n_brands")
+        # One row per brand is left in a channel and month, so a window over them holds few rows.
+        cell = W.partitionBy("channel_key", "period_key")
+        out = base.withColumns(
+            {
+                "_revenue": stable_round(F.sum("revenue").over(cell), 2),
+                "_units": F.sum("units").over(cell),
+                "n_brands": F.count("*").over(cell),
+            }
         )
-        out = base.join(total, ["channel_key", "period_key"])
         return out.select(
             "brand_key", "channel_key", "period_key", "fecha_month", "revenue", "units", "n_brands",
             stable_round(F.col("revenue") * 100 / F.col("_revenue"), 4).alias("value_share"),
@@ -377,16 +383,24 @@ class Tables:
             .alias("price_index_vs_category"),
         )
 
+    @property
+    def forecast_units(self) -> Column:
+        """Forecast of a history row."""
+        return stable_round(F.col("units") * (0.7 + 0.1 * (F.col("period_key") % 7)), 2)
+
+    @property
+    def actual_units(self) -> Column:
+        """Actual of a history row, zero in February."""
+        return F.when(F.month("fecha_month") == 2, 0.0).otherwise(F.col("units"))
+
     @cached_property
     def forecast(self) -> DataFrame:
         """Monthly forecast beside the actual of each brand and channel."""
-        factor = 0.7 + 0.1 * (F.col("period_key") % 7)
         kind = F.when(F.col("channel_key").isin("AUTOMOBILE", "FURNITURE"), "MODERN").otherwise("TRADITIONAL")
         return self.history.select(
             "brand_key", "channel_key", "period_key", "fecha_month",
             kind.alias("channel_type"),
-            stable_round(F.col("units") * factor, 2).alias("forecasted_units"),
-            F.when(F.month("fecha_month") == 2, 0.0).otherwise(F.col("units")).alias("actual_units"),
+            self.forecast_units.alias("forecasted_units"), self.actual_units.alias("actual_units"),
             (F.month("fecha_month") != 6).alias("is_official_version"),
             (F.col("channel_key") != "MACHINERY").alias("is_reportable"),
         )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cartmetrics.plans.decision_plans import RATIONALE_TEXTS
 from cartmetrics.functions import scalars as S
-from cartmetrics.operators import decisions, quality_aggs, series
+from cartmetrics.operators import decisions, mart, quality_aggs, series
 
 
 def rows(df):
@@ -185,3 +185,29 @@ def test_empty_inputs_do_not_divide_by_zero(spark):
     empty = spark.createDataFrame([], "k string, v double")
     assert quality_aggs.grain_fanout_ratio(empty, ["k"]).first()["rows_per_key"] is None
     assert quality_aggs.score_distribution(empty, "v").first()["mean"] is None
+
+
+def test_share_change_follows_the_calendar(spark):
+    rows = [("b", "2024-01-01", 1, 10.0), ("b", "2024-02-01", 2, 12.0), ("b", "2024-05-01", 5, 15.0)]
+    df = spark.createDataFrame(rows, "k string, m string, p int, share double").withColumn("m", F.to_date("m"))
+    by_month = series.share_change(df, ["k"], "p", "share", "m").orderBy("p").collect()
+    assert [r["share_change_pp"] for r in by_month] == [None, 2.0, None]
+    by_row = series.share_change(df, ["k"], "p", "share").orderBy("p").collect()
+    assert [r["share_change_pp"] for r in by_row] == [None, 2.0, 3.0]
+
+
+def test_competitive_risk_needs_the_same_months_of_other_years(spark):
+    months = [(2023 + i // 12, i % 12 + 1) for i in range(16) if i != 3]
+    rows = [("b", "c", y * 12 + m, f"{y}-{m:02d}-01", 20.0 - i, 1.0, 50.0, 50.0, 3) for i, (y, m) in enumerate(months)]
+    names = "brand_key string, channel_key string, period_key int, d string, value_share double, price_index_vs_category double, numeric_distribution double, weighted_distribution double, n_brands int"
+    df = spark.createDataFrame(rows, names).withColumn("fecha_month", F.to_date("d")).drop("d")
+    out = {str(r["fecha_month"]): r for r in mart.with_competitive_risk(df).collect()}
+    assert out["2024-01-01"]["competitive_risk_confidence"] == "FULL"
+    assert out["2023-05-01"]["competitive_risk_confidence"] == "PARTIAL"  # no year before it
+    assert out["2024-04-01"]["competitive_risk_confidence"] == "PARTIAL"  # the month a year before is missing
+    assert out["2023-07-01"]["competitive_risk_score"] is None  # the month a quarter before is missing
+
+
+def test_round_score_is_not_tipped_by_noise(spark):
+    got = spark.range(1).select(S.round_score(F.lit(67.44999999999999)), S.round_score(F.lit(67.4499))).first()
+    assert tuple(got) == (67.5, 67.4)

@@ -383,3 +383,28 @@ def test_read_source_pushes_columns_and_filters(spark, small_dir):
     plan = std.period_filter(df.withColumn("q", F.col("l_quantity")), "l_quantity", 10.0)
     text = plan._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(l_quantity,10.0)" in text and "l_partkey" not in text.split("ReadSchema")[-1]
+
+
+def test_conflicting_lookup_rows_are_listed_or_stop_the_job(spark):
+    fact = spark.createDataFrame([("a",), ("b",), ("x",)], "k string")
+    mapping = spark.createDataFrame([("A", "one"), ("a ", "two"), ("b", "three"), ("b", "three")], "key string, label string")
+    assert sorted(tuple(r) for r in joins.mapping_left_join(fact, mapping, "k", "key", ["label"]).collect()) == [("a", "one"), ("b", "three"), ("x", None)]
+    with pytest.raises(Exception, match="conflicting rows for key A"):
+        joins.mapping_left_join(fact, mapping, "k", "key", ["label"], on_conflict="error").collect()
+    clean = mapping.filter("key <> 'a '")
+    assert joins.mapping_left_join(fact, clean, "k", "key", ["label"], on_conflict="error").count() == 3
+    with pytest.raises(ValueError):
+        joins.lookup_on(fact, mapping, {"k": "key"}, ["label"], on_conflict="last")
+    named = mapping.selectExpr("upper(trim(key)) AS key", "label")
+    assert [(r["key"], r["n_rows"]) for r in joins.key_conflicts(named, ["key"]).collect()] == [("A", 2)]
+
+
+def test_segment_rules_in_sql(spark):
+    df = spark.createDataFrame([("x", 1), ("xy", 5), (None, 5), ("z", 9)], "a string, n int")
+    rules = [
+        ("a LIKE 'x%' AND n BETWEEN 2 AND 6 OR a IS NULL", "FIRST"),
+        ({"a": ["X"]}, "SECOND"),
+        (F.col("n") > 8, F.concat(F.lit("n"), "n")),
+    ]
+    out = std.ordered_case(df, rules, "s").collect()
+    assert [r["s"] for r in out] == ["SECOND", "FIRST", "FIRST", "n9"]
