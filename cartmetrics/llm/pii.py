@@ -32,6 +32,16 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 _NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9-])")
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    c: n
+    for n, names in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in names.split()
+}
 #: Context words by kind, looked for within CONTEXT characters before a span and half as many after it.
 CONTEXT = 40
 CONTEXT_WORDS = {
@@ -95,10 +105,22 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
+def _iban_ends(run: str) -> list[int]:
+    """Where an IBAN at the start of run can end: by its country's length, then with the run. Countries
+    without a known length: after every word from 15 characters on, longest first."""
+    ends = [i for i in range(len(run), 14, -1) if i == len(run) or run[i] == " "]
+    if length := IBAN_LENGTHS.get(run[:2]):
+        return [*(i for i in ends if len(run[:i].replace(" ", "")) == length), len(run)]
+    return [i for i in ends if len(run[:i].replace(" ", "")) >= 15]
+
+
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
-        if mod97(m.group()):
-            yield m.span()
+    at = 0
+    while m := _IBAN.search(text, at):
+        end = next((i for i in _iban_ends(m.group()) if mod97(m.group()[:i])), 0)
+        if end:
+            yield m.start(), m.start() + end
+        at = m.start() + max(end, 1)
 
 
 def _national_ids(text: str) -> Iterator[tuple[int, int]]:

@@ -92,6 +92,17 @@ def test_pii_equals_the_plain_patterns():
     assert pii.find_spans("1" * 200_000) == [] and pii.find_spans("a" * 200_000) == []
 
 
+def test_pii_ends_an_iban_before_the_next_word():
+    ibans = lambda text: [text[a:b] for k, a, b, _ in pii.find_spans(text) if k == "iban"]
+    de, gb = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    assert ibans(f"{de} BIC COBADEFF") == [de] and ibans(f"IBAN: {de.replace(' ', '')} BIC COBADEFFXXX") == [de.replace(" ", "")]
+    assert ibans("DE89370400440532013000 100 EUR") == ["DE89370400440532013000"]
+    assert ibans(f"{de} {gb} AND MORE") == [de, gb] and ibans(f"AB12 CODE 99 {de} X") == [de]
+    assert ibans(f"{de[:-1]}1 BIC") == [] and ibans("ZZ" + de[2:] + " BIC") == []
+    assert pii.redact(f"{de} BIC A", pii.find_spans(f"{de} BIC A")) == "<IBAN> BIC A"
+    assert ibans("DE89 " * 20_000) == []
+
+
 def test_pii_odd_rows(odd, none):
     rows = pii.pii_spans(odd, redacted=True).collect()
     assert len(rows) == 7 and {r.base_sha256 for r in rows} == {"e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"}
