@@ -1,10 +1,11 @@
 """Main text of web pages by composite text density.
 
-A page is read into a tree. Parts that by tag, role or name are menus, notices, adverts, comments and
-the like don't count. Every other node gets its number of characters per tag, adjusted by the share of
+A page is read into a tree. Parts that by tag or role are menus, notices, adverts, comments and the like
+don't count, nor do those that are by name, unless they hold most of the page's text. Every other node gets its number of characters per tag, adjusted by the share of
 link text; a node's sum is that of its children's densities. The search starts at the body: the path
 from it to the densest subtree gives the threshold, and among the nodes at or above it the one with
-the largest sum is the main part.
+the largest sum is the main part. An article or main element around it, or a single one inside it, takes
+its place.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ NAMES = frozenset(
 )
 #: Names that hold the page rather than part of it are kept even if another word of theirs is listed above.
 KEPT_NAMES = frozenset("article content main post story entry body text page".split())
+#: Words before a listed one that say what a part has or lacks, not what it is.
+HAVING = frozenset("has have no not non with without hide hidden show".split())
 LANDMARKS = frozenset("article main".split())
 
 _TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>|<[!?/][^>]*>", re.S)
@@ -57,6 +60,7 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 class Node:
     tag: str
     skip: bool = False
+    named: bool = False
     parent: Node | None = None
     children: list[Node | str] = field(default_factory=list)
     chars: int = 0
@@ -67,23 +71,45 @@ class Node:
     sum: float = 0.0
 
 
-def _is_boilerplate(tag: str, raw: str) -> bool:
+def _is_boilerplate(tag: str, raw: str) -> tuple[bool, bool]:
+    """Whether an element is boilerplate by tag, role or style, and whether it is by its names."""
     if tag in BOILERPLATE:
-        return True
+        return True, False
     if not raw.strip() or tag in ("html", "body"):
-        return False
+        return False, False
     attributes = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(raw)}
     style = attributes.get("style", "").replace(" ", "").lower()
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in style:
-        return True
+        return True, False
     if attributes.get("role", "").lower() in ROLES:
-        return True
+        return True, False
     for name in ("class", "id"):
         for word in attributes.get(name, "").split():
-            parts = {p.lower() for p in _NAME_PARTS.findall(word)}
-            if parts & NAMES and not (parts & KEPT_NAMES and not parts & {"comment", "comments"}):
-                return True
-    return False
+            parts = [p.lower() for p in _NAME_PARTS.findall(word)]
+            said = {p for i, p in enumerate(parts) if not HAVING & set(parts[:i])}
+            if said & NAMES and not (said & KEPT_NAMES and not said & {"comment", "comments"}):
+                return False, True
+    return False, False
+
+
+def skip_named(root: Node) -> None:
+    """Skips what is boilerplate by name. A part with most of the page's text stays, unless an article or
+    main element with text is outside of it."""
+    nodes = list(_walk(root))
+    if not any(n.named for n in nodes):
+        return
+    text, marks = {}, {}
+    for node in reversed(nodes):
+        inner = [c for c in node.children if isinstance(c, Node) and not c.skip]
+        text[id(node)] = sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str)) + sum(text[id(c)] for c in inner)
+        marks[id(node)] = sum(marks[id(c)] for c in inner) + (node.tag in LANDMARKS and text[id(node)] > 0)
+    for node in nodes:
+        around, up = 0, node.parent
+        while node.named and up is not None:
+            around, up = around + (up.tag in LANDMARKS), up.parent
+        if node.named:
+            most = 2 * text[id(node)] > text[id(root)]
+            node.skip = not most or marks[id(root)] > marks[id(node)] + around or around > 0
 
 
 def parse(page: str) -> Node:
@@ -132,7 +158,7 @@ def parse(page: str) -> Node:
                 close(name, stop)
         if tag == "hr" or tag in BLOCKS and depth.get("head"):
             close("head")
-        node = Node(tag, _is_boilerplate(tag, m.group(3)), here)
+        node = Node(tag, *_is_boilerplate(tag, m.group(3)), here)
         here.children.append(node)
         if tag in RAW and not m.group(4):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -140,6 +166,7 @@ def parse(page: str) -> Node:
         elif tag not in VOID:
             depth[tag] = depth.get(tag, 0) + 1
             here = node
+    skip_named(root)
     return root
 
 

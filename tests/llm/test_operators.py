@@ -127,6 +127,17 @@ def test_html_keeps_the_article_only(spark):
     assert html_text.extract_main_text(rows.limit(0)).count() == 0
 
 
+def test_html_names_do_not_drop_most_of_the_page():
+    text = "\n".join(f"Paragraph {i} of the article has some words, and then a few more of them." for i in range(6))
+    body = "<h1>Head</h1>" + "".join(f"<p>{p}</p>" for p in text.split("\n"))
+    side = "<div class='sidebar'><p>Other things to read are listed here.</p></div>"
+    for name in ("layout has-sidebar", "no-sidebar", "with-comments", "search-results"):
+        assert html_text.main_text(f"<body><div class='{name}'><div>{body}</div>{side}</div></body>") == f"Head\n{text}"
+    comments = f"<div id='comments'>{'<p>A reader says very much about everything in the text above.</p>' * 20}</div>"
+    assert html_text.main_text(f"<body><article>{body}</article>{comments}</body>") == f"Head\n{text}"
+    assert html_text.main_text(f"<body><article>{body}{comments}</article></body>") == f"Head\n{text}"
+
+
 def test_top_k_equals_brute_force(spark):
     rng = random.Random(2)
     rows = [(i, [rng.choice([-1, 1]) * rng.random() if i % 7 else 0.25 for _ in range(8)]) for i in range(300)]
