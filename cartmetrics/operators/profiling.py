@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from itertools import combinations, islice
+from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -143,12 +144,27 @@ def _distinct_rows(df: DataFrame, combos: Sequence[tuple[str, ...]]) -> list[tup
     return [(r["distinct_rows"], r["total_rows"]) for r in sorted(reduce(lambda x, y: x.unionByName(y), parts).collect())]
 
 
-def grain_detection(df: DataFrame, dataset: str, declared: Sequence[str], pool: Sequence[str]) -> DataFrame:
+def _can_be_best(level: Iterable[tuple[str, ...]], found: Sequence[tuple[str, tuple[str, ...], int, int]]) -> list[tuple[str, ...]]:
+    """Combinations that can have more distinct rows than all in found, which holds the levels before.
+
+    A combination has at most as many as the values of its columns multiply to, and no more than without
+    a column that some of its other columns determine."""
+    counts = {frozenset(c): d for _, c, d, _ in found}
+    most = max(counts.values(), default=0)
+    determined = [c for c, d in counts.items() if any(counts.get(c - {x}) == d for x in c)]
+    bound = lambda c: prod(counts[frozenset([x])] for x in c)
+    return [c for c in level if len(c) == 1 or bound(c) > most and not any(d <= set(c) for d in determined)]
+
+
+def grain_detection(df: DataFrame, dataset: str, declared: Sequence[str], pool: Sequence[str], search_on: bool = False) -> DataFrame:
     """Uniqueness of the declared grain and of column combinations, smallest first.
 
     The search goes through the combinations of all columns level by level and ends at the first perfect
     one. Supersets of the declared grain are skipped. If even all columns together are not unique, no
-    combination can be, and the search ends after the single columns. Counts are exact.
+    combination can be, and the search ends after the single columns. With `search_on` it then goes on
+    up to the level that reaches the distinct rows of all columns, and leaves out what can't be best:
+    combinations with a column that the others are known to determine, and those whose columns' distinct
+    values multiply to no more than the best found so far. Counts are exact.
     """
     candidates = list(dict.fromkeys([*declared, *pool]))
     found: list[tuple[str, tuple[str, ...], int, int]] = []
@@ -165,10 +181,12 @@ def grain_detection(df: DataFrame, dataset: str, declared: Sequence[str], pool:
 
     perfect = bool(declared) and try_all("DECLARED", [tuple(declared)])
     if not perfect:
-        distinct, total = _distinct_rows(df, [tuple(candidates)])[0]
-        for size in range(1, len(candidates) + 1 if distinct == total else 2):
-            level = combinations(candidates, size)
-            if try_all("AUTO", (c for c in level if not (declared and set(declared) <= set(c)))):
+        most, total = _distinct_rows(df, [tuple(candidates)])[0]
+        for size in range(1, len(candidates) + 1 if most == total or search_on else 2):
+            level = (c for c in combinations(candidates, size) if not (declared and set(declared) <= set(c)))
+            if most < total and search_on:
+                level = _can_be_best(level, found)
+            if try_all("AUTO", level) or max(f[2] for f in found) == most < total:
                 break
     best = max(range(len(found)), key=lambda i: found[i][2] / max(found[i][3], 1))
     first = 0 if declared else 1

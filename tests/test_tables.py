@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import uuid
 
 import numpy as np
@@ -253,6 +254,24 @@ def test_grain_beyond_many_columns(spark):
     assert len(got) == 14 and {r["confidence"] for r in got} == {"LOW"}
 
 
+def test_grain_goes_on_without_a_perfect_combination(spark):
+    rows = [(i // 10, i % 10, i % 2, i // 50, 7) for i in range(100)]
+    df = spark.createDataFrame([*rows, rows[0]], "a int, b int, c int, d int, e int")
+    names = ["a", "b", "c", "d", "e"]
+    for declared in ([], ["a", "c"]):
+        out = profiling.grain_detection(df, "T", declared, names, search_on=True).collect()
+        best = next(r for r in out if r["is_best"])
+        assert (best["candidate_grain"], best["distinct_rows"], best["confidence"]) == ("a x b", 100, "HIGH")
+    rng = np.random.default_rng(4)
+    for _ in range(2):
+        data = rng.integers(0, [2, 3, 4, 5], size=(40, 4)).tolist()
+        data.append(data[0])
+        out = profiling.grain_detection(spark.createDataFrame(data, "a int, b int, c int, d int"), "T", ["a", "b"], ["c", "d"], search_on=True).collect()
+        best = next(r for r in out if r["is_best"])
+        every = [c for n in range(1, 5) for c in itertools.combinations(range(4), n) if not {0, 1} < set(c)]
+        assert best["distinct_rows"] == max(len({tuple(r[i] for i in c) for r in data}) for c in every)
+
+
 def test_overlap_counts(spark):
     a = spark.createDataFrame([("x",), ("Y ",), (None,)], "v string")
     b = spark.createDataFrame([("y",), ("z",)], "v string")
