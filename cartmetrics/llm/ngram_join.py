@@ -280,3 +280,57 @@ def ngram_jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90)
     named = classes.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left").select("k1", "k2", F.coalesce("label", "rep").alias("component"), "copies")
     out = rows.join(named.withColumnRenamed("k1", "c1").withColumnRenamed("k2", "c2"), (F.col("n") > 0) & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("copies", F.lit(1)).alias("n_copies"))
+
+
+def block_counts(a_ids: np.ndarray, a_sets: list[np.ndarray], b_ids: np.ndarray, b_copies: np.ndarray, b_sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """The product of two blocks of rows: for each row of a, the documents of b that it links to."""
+    sizes = np.array([len(s) for s in b_sets])
+    grams = np.concatenate(b_sets)
+    order = np.argsort(grams, kind="stable")
+    grams, owner = grams[order], np.repeat(np.arange(len(b_sets)), sizes)[order]
+    links = np.zeros(len(a_ids), np.int64)
+    for row, (x, s) in enumerate(zip(a_ids.tolist(), a_sets, strict=True)):
+        start, end = np.searchsorted(grams, s, "left"), np.searchsorted(grams, s, "right")
+        held = end - start
+        at = np.repeat(start - np.concatenate([[0], np.cumsum(held)[:-1]]), held) + np.arange(held.sum())
+        common = np.bincount(owner[at], minlength=len(b_sets))
+        links[row] = b_copies[(100 * common >= percent * (sizes + len(s) - common)) & (b_ids != x)].sum()
+    return links
+
+
+def ngram_jaccard_link_counts(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
+    """doc_id and n_links for each row of docs (doc_id, text): the rows with another set of n-grams that it
+    links to, as ngram_jaccard_components defines links. Copies count each.
+
+    All links are counted, those inside a component too. Documents that lists hold together form a group,
+    of which every block of ROWS sets meets every other, so the work is quadratic in a group, the rows
+    are not. Null or blank texts and rows without doc_id: no links. Other columns are ignored.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches):
+            sets = shingle_sets(part.column("text").to_pylist(), words)
+            grams = _list_column(np.concatenate([*sets, np.empty(0, np.uint64)]), np.array([len(s) for s in sets], dtype=np.int64))
+            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id").combine_chunks(), "grams": grams, "blocks": _list_column(*block_signatures(sets, percent))})
+
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = cut(docs.mapInArrow(run, "doc_id long, grams array<long>, blocks array<long>").withColumn("v", F.xxhash64("grams")))
+    classes = rows.where("size(grams) > 0 AND doc_id IS NOT NULL").groupBy("v").agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("grams", "blocks")])
+    cells = classes.select("v", F.explode("blocks").alias("block"))
+    hubs = cells.groupBy("block").agg(F.min("v").alias("hub"))
+    groups = components(cells.join(hubs, "block").select(F.col("v").alias("a"), F.col("hub").alias("b")).distinct())
+    sizes = groups.groupBy(F.col("label").alias("g")).agg(F.ceil(F.count("*") / F.lit(ROWS)).cast("long").alias("nb"))
+    held = cut(classes.drop("blocks").join(groups.withColumnRenamed("label", "g"), "v").join(sizes, "g"))
+    own, every = F.pmod(F.xxhash64("v"), F.col("nb")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1))
+    left, right = held.select("g", own.alias("i"), every.alias("j"), "v", "grams"), held.select("g", every.alias("i"), own.alias("j"), "v", "copies", "grams")
+
+    def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"v": [], "n_links": []}, dtype="int64")
+        a_sets, b_sets = ([np.asarray(g, np.int64) for g in x["grams"]] for x in (a, b))
+        return pd.DataFrame({"v": a["v"], "n_links": block_counts(a["v"].to_numpy(), a_sets, b["v"].to_numpy(), b["copies"].to_numpy(), b_sets, percent)})
+
+    parts = left.groupBy("g", "i", "j").cogroup(right.groupBy("g", "i", "j")).applyInPandas(count, "v long, n_links long")
+    links = parts.groupBy("v").agg(F.sum("n_links").alias("n_links"))
+    known = F.when(F.col("doc_id").isNotNull(), F.col("n_links"))
+    return rows.select("doc_id", "v").join(links, "v", "left").select("doc_id", F.coalesce(known, F.lit(0)).alias("n_links"))

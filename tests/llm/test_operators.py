@@ -15,7 +15,7 @@ from cartmetrics.llm import html_text, packing, pii
 from cartmetrics.llm.line_rules import line_rules
 from cartmetrics.llm.lm_score import backoff_scores
 from cartmetrics.llm.mixing import mix_sources
-from cartmetrics.llm.ngram_join import ngram_jaccard_components
+from cartmetrics.llm.ngram_join import ngram_jaccard_components, ngram_jaccard_link_counts
 from cartmetrics.llm.quality_pu import quality_scores
 from cartmetrics.llm.topk import exact_top_k
 from cartmetrics.llm.toxicity import toxicity_scores
@@ -73,6 +73,25 @@ def test_ngram_join_odd_rows(odd, none):
     assert ngram_jaccard_components(none).count() == 0
 
 
+def test_ngram_link_counts_equal_brute_force(spark, none, monkeypatch):
+    monkeypatch.setattr("cartmetrics.llm.ngram_join.ROWS", 8)
+    rng = random.Random(7)
+    base = [[f"w{rng.randrange(900)}" for _ in range(n)] for n in (90, 60)]
+    rows = []
+    for i in range(70):
+        words = list(base[i % 2])
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            words[rng.randrange(len(words))] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(None, rows[0][1]), (900, None), (901, "a b")]
+    sets = [(i, shingles(t)) for i, t in rows]
+    link = lambda a, b: a != b and bool(a & b) and 100 * len(a & b) >= 90 * len(a | b)
+    want = {i: sum(j is not None and i is not None and link(s, t) for j, t in sets) for i, s in sets}
+    got = {r.doc_id: r.n_links for r in ngram_jaccard_link_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want and max(want.values()) > 20 and min(want.values()) == 0
+    assert ngram_jaccard_link_counts(none).count() == 0
+
+
 def test_pii_equals_the_plain_patterns():
     rng = random.Random(3)
     email, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
