@@ -1,9 +1,10 @@
 """Exact top-k search by inner product with a vector-approximation file.
 
-Candidates are packed in blocks: per vector one byte per dimension, the cell of a uniform grid, and the
-exact vector. Queries are packed in blocks, too, and every block of queries meets every block of
-candidates in a task of its own. The scan of the cells bounds each score from below and above; exact
-vectors are read in the order of the upper bounds until the k-th best score is certain.
+Candidates are packed in blocks of exact vectors. Queries are packed in blocks, too, and every block of
+queries meets every block of candidates in a task of its own. The task forms the approximation of its
+candidates in memory: per vector one byte per dimension, the cell of a uniform grid. The scan of the
+cells bounds each score from below and above; exact products are taken in the order of the upper bounds
+until the k-th best score is certain. No file of cells is kept, so the exact vectors are shipped whole.
 """
 
 from __future__ import annotations
