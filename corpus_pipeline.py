@@ -24,10 +24,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.select(*COLUMNS).where(score_column(*model)(F.col("text")) < 0.5)
 
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str, words: int = 3, percent: int = 90) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id. Rows without doc_id stay."""
     docs = docs.select(*COLUMNS)
-    groups = cut(ngram_jaccard_components(docs, words=3, percent=90).select("doc_id", "component_id").where("doc_id IS NOT NULL"))
+    groups = cut(ngram_jaccard_components(docs, words=words, percent=percent).select("doc_id", "component_id").where("doc_id IS NOT NULL"))
     gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
     twice = cut(groups.where("component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     kept = _without(docs, gone.union(twice).distinct())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 
 import corpus_pipeline
@@ -29,6 +31,24 @@ def test_stages_keep_columns_and_take_effect(spark, docs):
     assert stages["mixing"](spark, docs, FOLDER).columns == corpus_pipeline.COLUMNS
 
 
+def test_near_copies_at_five_words_equal_brute_force(spark):
+    rng = random.Random(8)
+    texts = {}
+    for i in range(0, 60, 3):
+        words = [f"w{rng.randrange(5000)}" for _ in range(rng.choice([40, 90, 200]))]
+        texts[i] = words
+        texts[i + 1] = words + [f"x{i}y{j}" for j in range(len(words) * rng.choice([13, 18, 23]) // 100)]
+        texts[i + 2] = words + [f"z{i}y{j}" for j in range(len(words) * 40 // 100)]
+    grams = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in texts.items()}
+    similar = lambda a, b: len(grams[a] & grams[b]) / len(grams[a] | grams[b])
+    assert sum(0.8 <= similar(i, i + 1) < 0.9 for i in range(0, 60, 3)) >= 15
+    want = {i for i in texts if not any(j < i and similar(i, j) >= 0.8 for j in texts)}
+    docs = spark.createDataFrame([(i, " ".join(w), "en", "src1", 1) for i, w in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_copies(spark, docs, FOLDER, words=5, percent=80)
+    assert {r.doc_id for r in kept.select("doc_id").collect()} == want and len(want) < len(texts) - 14
+    assert corpus_pipeline.drop_near_copies(spark, docs, FOLDER).count() > len(want)
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
     assert set(ORACLE_SQL) < set(QUERIES)
