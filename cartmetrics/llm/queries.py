@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartmetrics.llm.common import table
+from cartmetrics.llm.fim import fim_restore, fim_transform
 from cartmetrics.llm.html_text import extract_main_text
 from cartmetrics.llm.line_rules import line_rules
 from cartmetrics.llm.lm_score import backoff_scores
@@ -73,6 +74,13 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumns({c: F.round(c, 4) for c in ("log_score", "word_score")})
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim_transform(table(spark, sf_dir, "documents"), seed=42, percent=50, spm_percent=80)
+    digest = lambda text: F.sha2(text, 256)
+    restored = digest(fim_restore(F.col("output"), F.col("form")))
+    return rows.withColumns({"output_sha256": digest(F.col("output")), "restored_sha256": restored}).drop("output")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,7 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_html_extraction, op3_mixing, op4_pii, op5_quality_classifier,
-        op6_quality_rules, op7_toxicity, op8_packing, op9_exact_top_k, op10_lm_scoring, pipeline,
+        op6_quality_rules, op7_toxicity, op8_packing, op9_exact_top_k, op10_lm_scoring, op11_fill_in_middle, pipeline,
     )
 }
 
@@ -189,6 +197,19 @@ a AS (SELECT rid, sum(s) AS s FROM s GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(s, 0.0), 4) AS log_score, round(s / nullif(len(w), 0), 4) AS word_score FROM d LEFT JOIN a USING (rid)
 """
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x,
+  regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t FROM documents),
+h AS (SELECT *, CAST(len(t) AS BIGINT) AS n, [CAST('0x' || x[8*i+1:8*i+8] AS BIGINT) for i in range(4)] AS h FROM d),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+       WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(t[1:a], '') AS p, array_to_string(t[a+1:b], '') AS m, array_to_string(t[b+1:n], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM p
+"""
+
 #: op2, op4, op5, op7 and op8 and the pipeline have none: trees, checksums without retries, models and
 #: dynamic programming are tested against brute force, planted cases and held-out rows.
 ORACLE_SQL: dict[str, str] = {
@@ -197,4 +218,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_quality_rules": OP6_SQL,
     "op9_exact_top_k": OP9_SQL,
     "op10_lm_scoring": OP10_SQL,
+    "op11_fill_in_middle": OP11_SQL,
 }
