@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartmetrics.llm.common import table
+from cartmetrics.llm.conv_trie import conversation_trie
 from cartmetrics.llm.fim import fim_restore, fim_transform
 from cartmetrics.llm.html_text import extract_main_text
+from cartmetrics.llm.lang_crf import language_scores
 from cartmetrics.llm.line_rules import line_rules
 from cartmetrics.llm.lm_score import backoff_scores
 from cartmetrics.llm.mixing import mix_sources
@@ -81,6 +83,14 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({"output_sha256": digest(F.col("output")), "restored_sha256": restored}).drop("output")
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"), group=20, heads=4)
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"), divisor=3, held_out=1)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -91,7 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_html_extraction, op3_mixing, op4_pii, op5_quality_classifier,
-        op6_quality_rules, op7_toxicity, op8_packing, op9_exact_top_k, op10_lm_scoring, op11_fill_in_middle, pipeline,
+        op6_quality_rules, op7_toxicity, op8_packing, op9_exact_top_k, op10_lm_scoring, op11_fill_in_middle,
+        op12_conversation_trie, op13_language_id, pipeline,
     )
 }
 
@@ -210,7 +221,29 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
   sha256(text) AS restored_sha256 FROM p
 """
 
-#: op2, op4, op5, op7 and op8 and the pipeline have none: trees, checksums without retries, models and
+# crc32 bit by bit over the digits of conv_id; nodes by the list of their turns' digests; subtrees by the members' paths.
+OP12_SQL = r"""
+WITH RECURSIVE t AS (SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key, turn,
+  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list({'key': key, 'words': words} ORDER BY turn NULLS FIRST, key, words) AS own FROM t GROUP BY conv_id),
+k(conv_id, own, rest, bit, c) AS (SELECT conv_id, own, CAST(conv_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM o
+  UNION ALL SELECT conv_id, own, CASE WHEN bit = 0 THEN rest[2:] ELSE rest END, (bit + 1) % 9,
+    CASE WHEN bit = 0 THEN xor(c, CAST(ascii(rest) AS BIGINT)) WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END FROM k WHERE rest <> '' OR bit > 0),
+h AS (SELECT conv_id, own, CAST(xor(c, CAST(4294967295 AS BIGINT)) % 4 AS INTEGER) AS h FROM k WHERE rest = '' AND bit = 0),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.own, [])[1:h.h], h.own[h.h+1:]) AS p FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 20),
+e AS (SELECT conv_id, len(p) AS size, d AS depth, sha256(array_to_string([x.key for x in p[1:d]], '')) AS node,
+  CASE WHEN d > 0 THEN sha256(array_to_string([x.key for x in p[1:d-1]], '')) END AS parent, CASE WHEN d > 0 THEN p[d].words ELSE 0 END AS words
+  FROM (SELECT *, unnest(range(0, len(p) + 1)) AS d FROM r)),
+n AS (SELECT node, min(conv_id) AS conv_id, depth, min(parent) AS parent, count(*) AS n_convs, min(words) AS words,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (size = depth), '')) AS ends_sha256 FROM e GROUP BY node, depth),
+c AS (SELECT parent AS node, count(*) AS n_children FROM n GROUP BY parent),
+s AS (SELECT e.node, count(*) FILTER (c.node IS NULL) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved_tokens
+  FROM n JOIN e ON e.conv_id = n.conv_id AND e.depth <= n.depth LEFT JOIN c ON c.node = n.node GROUP BY e.node)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN s USING (node) LEFT JOIN n p ON p.node = n.parent LEFT JOIN c ON c.node = n.node
+"""
+
+#: op2, op4, op5, op7, op8, op13 and the pipeline have none: trees, checksums without retries, models and
 #: dynamic programming are tested against brute force, planted cases and held-out rows.
 ORACLE_SQL: dict[str, str] = {
     "op1_ngram_jaccard_join": OP1_SQL,
@@ -219,4 +252,5 @@ ORACLE_SQL: dict[str, str] = {
     "op9_exact_top_k": OP9_SQL,
     "op10_lm_scoring": OP10_SQL,
     "op11_fill_in_middle": OP11_SQL,
+    "op12_conversation_trie": OP12_SQL,
 }

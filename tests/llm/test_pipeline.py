@@ -50,5 +50,5 @@ def test_near_copies_at_five_words_equal_brute_force(spark):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
     assert set(ORACLE_SQL) < set(QUERIES)
