@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from cartmetrics.functions.scalars import safe_divide
+from cartmetrics.operators.percentiles import percentiles
 
 
 def pct(part: Column, whole: Column) -> Column:
@@ -67,19 +68,15 @@ def mix_variation_profile(df: DataFrame, keys: Sequence[str], spend: str, minimu
 def score_distribution(df: DataFrame, score: str, minimum_iqr: float = 15.0) -> DataFrame:
     """Exact percentiles and spread of a score. A narrow spread means the weights do not separate.
 
-    Percentiles are those of the scores rounded to one decimal, so that in 0-100 they keep a count for
-    at most 1001 values, however fine the scores are.
+    The percentiles are those of the scores as they are, see ``percentiles`` for how they stay bounded.
     """
-    q = lambda p: F.percentile(F.round(score, 1), F.lit(p))
-    return df.agg(
-        q(0.10).alias("p10"), q(0.25).alias("p25"), q(0.75).alias("p75"), q(0.90).alias("p90"),
-        F.avg(score).alias("mean"), F.stddev(score).alias("stddev"), F.min(score).alias("min"), F.max(score).alias("max"),
-    ).withColumns(
-        {
-            "iqr": F.col("p75") - F.col("p25"),
-            "needs_recalibration": (F.col("p75") - F.col("p25")) < minimum_iqr,
-        }
-    )
+    points = {"p10": 0.10, "p25": 0.25, "p75": 0.75, "p90": 0.90}
+    found = percentiles(df, score, list(points.values()))
+    whole = found.select(F.struct(*[F.col(f"p{i}").alias(n) for i, n in enumerate(points)])).scalar()
+    out = df.agg(F.avg(score).alias("mean"), F.stddev(score).alias("stddev"), F.min(score).alias("min"), F.max(score).alias("max"))
+    out = out.withColumn("_p", whole).select(*[F.col("_p")[n].alias(n) for n in points], "mean", "stddev", "min", "max")
+    iqr = F.col("p75") - F.col("p25")
+    return out.withColumns({"iqr": iqr, "needs_recalibration": iqr < minimum_iqr})
 
 
 def wape(df: DataFrame, by: Sequence[str], forecast: str = "forecasted_units", actual: str = "actual_units") -> DataFrame:

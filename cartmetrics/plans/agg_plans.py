@@ -76,17 +76,20 @@ def mix_variation_profile(t: Tables) -> DataFrame:
 SCORE = "SELECT brand_key, channel_key, period_key, ROUND(value_share * 5 + 20, 1) AS score FROM history"
 
 
-def score_rows(t: Tables) -> DataFrame:
+FINE_SCORE = "SELECT brand_key, channel_key, period_key, ROUND(value_share * 5 + 20, 4) AS score FROM history"
+
+
+def score_rows(t: Tables, digits: int = 1) -> DataFrame:
     """A score per brand, channel and month made from its share."""
     return t.history.select(
-        "brand_key", "channel_key", "period_key", S.stable_round(F.col("value_share") * 5 + 20, 1).alias("score")
+        "brand_key", "channel_key", "period_key", S.stable_round(F.col("value_share") * 5 + 20, digits).alias("score")
     )
 
 
 @query(
     roles=("history",),
     extra={
-        "s": SCORE,
+        "s": FINE_SCORE,
         "q": """SELECT QUANTILE_CONT(score, 0.10) AS p10, QUANTILE_CONT(score, 0.25) AS p25, QUANTILE_CONT(score, 0.75) AS p75,
                        QUANTILE_CONT(score, 0.90) AS p90, AVG(score) AS mean, STDDEV(score) AS stddev, MIN(score) AS min, MAX(score) AS max FROM s""",
     },
@@ -94,7 +97,7 @@ def score_rows(t: Tables) -> DataFrame:
                   ROUND(stddev, 4) AS stddev, ROUND(min, 4) AS min, ROUND(max, 4) AS max, ROUND(p75 - p25, 4) AS iqr, p75 - p25 < 15 AS needs_recalibration FROM q""",
 )
 def score_distribution(t: Tables) -> DataFrame:
-    return rounded(quality_aggs.score_distribution(score_rows(t), "score"))
+    return rounded(quality_aggs.score_distribution(score_rows(t, 4), "score"))
 
 
 @query(

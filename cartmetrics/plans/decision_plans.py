@@ -11,7 +11,7 @@ from cartmetrics.plans.join_plans import WAPE_ROWS, wape_rows
 from cartmetrics.plans.registry import query, rounded
 from cartmetrics.sources.roles import Tables
 
-MART_ROLES = ("history", "sell_in", "spend", "forecast")
+MART_ROLES = ("history", "sell_in", "spend", "forecast", "weekly_panel")
 
 
 def _clamp(x: str, low: float = 0.0, high: float = 100.0) -> str:
@@ -26,9 +26,11 @@ def _weighted(parts: dict[str, float]) -> tuple[str, str]:
     return score, missing
 
 
-GQS_PARTS = {f"{k}_score": w for k, w in S.GROWTH_WEIGHTS.items()}
+# The weights are written out here, so that a change of the library's weights shows.
+GQS_PARTS = {"so_growth_score": 0.25, "share_score": 0.25, "waste_score": 0.2, "forecast_score": 0.15, "roi_score": 0.15}
+RISK_PARTS = {"r_share_loss": 0.3, "r_price_gap": 0.25, "r_num_dist": 0.2, "r_wgt_dist": 0.15, "r_share_yoy": 0.1}
 GQS_SCORE, GQS_MISSING = _weighted(GQS_PARTS)
-RISK_SCORE, RISK_MISSING = _weighted({f"r_{k}": w for k, w in S.RISK_WEIGHTS.items()})
+RISK_SCORE, RISK_MISSING = _weighted(RISK_PARTS)
 PW = "OVER (PARTITION BY brand_key, channel_key ORDER BY period_key)"
 
 
@@ -37,7 +39,32 @@ def _back(column: str, months: int) -> str:
     return f"MAX({column}) OVER (PARTITION BY brand_key, channel_key ORDER BY period_key RANGE BETWEEN {months} PRECEDING AND {months} PRECEDING)"
 
 
-MART = {
+def _weeks_back(column: str, weeks: int) -> str:
+    return f"MAX({column}) OVER (PARTITION BY brand_key, channel_key ORDER BY week_end RANGE BETWEEN INTERVAL {7 * weeks} DAY PRECEDING AND INTERVAL {7 * weeks} DAY PRECEDING)"
+
+
+RISK = {
+    "rk1": f"""
+        SELECT *, value_share - {_weeks_back("value_share", 13)} AS d_share,
+               (price_index_vs_category - {_weeks_back("price_index_vs_category", 13)}) * 100 / NULLIF({_weeks_back("price_index_vs_category", 13)}, 0) AS d_price,
+               numeric_distribution - {_weeks_back("numeric_distribution", 13)} AS d_num, weighted_distribution - {_weeks_back("weighted_distribution", 13)} AS d_wgt,
+               value_share - {_weeks_back("value_share", 52)} AS d_yoy FROM weekly_panel""",
+    "rk2": f"""
+        SELECT *, {_clamp("(3 - d_share) / 6 * 100")} AS r_share_loss, {_clamp("(d_price + 20) / 40 * 100")} AS r_price_gap, {_clamp("(10 - d_num) / 20 * 100")} AS r_num_dist,
+               {_clamp("(10 - d_wgt) / 20 * 100")} AS r_wgt_dist, {_clamp("(5 - d_yoy) / 10 * 100")} AS r_share_yoy FROM rk1""",
+    "risk": f"""
+        SELECT brand_key, channel_key, week_end, CASE WHEN n_brands > 1 THEN {RISK_SCORE} END AS competitive_risk_score,
+               CASE WHEN n_brands <= 1 THEN 'NO_COMPETITIVE_CONTEXT' ELSE CASE {RISK_MISSING} WHEN 0 THEN 'FULL' WHEN 1 THEN 'PARTIAL' WHEN 2 THEN 'LOW' ELSE 'NULL' END END AS competitive_risk_confidence,
+               d_share IS NOT NULL AS has_history FROM rk2""",
+}
+MART = RISK | {
+    "rk4": """
+        SELECT h.brand_key, h.channel_key, h.fecha_month, MAX(w.week_end) AS week_end FROM history h JOIN risk w
+          ON w.brand_key = h.brand_key AND w.channel_key = h.channel_key AND w.week_end <= LAST_DAY(h.fecha_month) GROUP BY ALL""",
+    "rk5": """
+        SELECT k.brand_key, k.channel_key, k.fecha_month, w.competitive_risk_score, w.competitive_risk_confidence,
+               CAST(date_diff('day', k.week_end, LAST_DAY(k.fecha_month)) // 7 AS INT) AS nielsen_lag_weeks
+        FROM rk4 k JOIN risk w USING (brand_key, channel_key, week_end) WHERE date_diff('day', k.week_end, LAST_DAY(k.fecha_month)) // 7 <= 8""",
     "m_si": "SELECT marca_std AS brand_key, canal_std AS channel_key, fecha_month, ROUND(SUM(volume_liter), 2) AS sell_in_units FROM sell_in WHERE marca_std IS NOT NULL GROUP BY ALL",
     "m_wa": "SELECT marca_std AS brand_key, canal_std AS channel_key, fecha_month, ROUND(SUM(volume_liter), 2) AS waste_units, ROUND(SUM(volume_liter), 2) * 10 AS waste_cost FROM sell_in WHERE marca_std IS NOT NULL AND dis_chl_cod = 'R' GROUP BY ALL",
     "m_sp": "SELECT marca_std AS brand_key, canal_std AS channel_key, fecha_month, ROUND(SUM(inversion_real), 2) AS investment_spend FROM spend GROUP BY ALL",
@@ -56,20 +83,15 @@ MART = {
         LEFT JOIN m_ch d ON a.channel_key = d.channel_key AND a.fecha_month = CAST(d.fecha_month + INTERVAL 12 MONTH AS DATE)""",
     "m3": f"""
         SELECT *, sell_out_growth * 100 - market_category_growth_pct AS market_adjusted_growth, value_share - {_back("value_share", 1)} AS share_change_pp,
-               value_share - {_back("value_share", 3)} AS d_share, (price_index_vs_category - {_back("price_index_vs_category", 3)}) * 100 / NULLIF({_back("price_index_vs_category", 3)}, 0) AS d_price,
-               numeric_distribution - {_back("numeric_distribution", 3)} AS d_num, weighted_distribution - {_back("weighted_distribution", 3)} AS d_wgt,
-               value_share - {_back("value_share", 12)} AS d_yoy, CAST(SIGN(forecast_units - actual_units) AS INT) AS miss_direction FROM m2""",
+               CAST(SIGN(forecast_units - actual_units) AS INT) AS miss_direction FROM m2""",
     "m4": f"""
         SELECT *, {_clamp("(sell_out_growth * 100 + 20) / 40 * 100")} AS so_growth_score, {_clamp("(share_change_pp + 3) / 6 * 100")} AS share_score,
                {_clamp("100 - waste_rate * 100 / 5 * 100")} AS waste_score, {_clamp("(1 - forecast_accuracy_wape) * 100")} AS forecast_score, {_clamp("waste_adjusted_roi / 3 * 100")} AS roi_score,
-               {_clamp("(3 - d_share) / 6 * 100")} AS r_share_loss, {_clamp("(d_price + 20) / 40 * 100")} AS r_price_gap, {_clamp("(10 - d_num) / 20 * 100")} AS r_num_dist,
-               {_clamp("(10 - d_wgt) / 20 * 100")} AS r_wgt_dist, {_clamp("(5 - d_yoy) / 10 * 100")} AS r_share_yoy,
                CASE WHEN LAG(miss_direction) {PW} = miss_direction THEN 0 ELSE 1 END AS st FROM m3""",
     "m5": f"""
         SELECT *, {GQS_SCORE} AS growth_quality_score, CASE {GQS_MISSING} WHEN 0 THEN 'HIGH' WHEN 1 THEN 'MEDIUM' WHEN 2 THEN 'LOW' ELSE 'NULL' END AS gqs_confidence_level,
-               CASE WHEN n_brands > 1 THEN {RISK_SCORE} END AS competitive_risk_score,
-               CASE WHEN n_brands <= 1 THEN 'NO_COMPETITIVE_CONTEXT' ELSE CASE {RISK_MISSING} WHEN 0 THEN 'FULL' WHEN 1 THEN 'PARTIAL' WHEN 2 THEN 'LOW' ELSE 'NULL' END END AS competitive_risk_confidence,
-               {_clamp("waste_rate * 3", 0.0, 1.0)} AS waste_risk_score, SUM(st) {PW} AS run FROM m4""",
+               competitive_risk_score, competitive_risk_confidence, nielsen_lag_weeks,
+               {_clamp("waste_rate * 3", 0.0, 1.0)} AS waste_risk_score, SUM(st) {PW} AS run FROM m4 LEFT JOIN rk5 USING (brand_key, channel_key, fecha_month)""",
     "m6": """
         SELECT *, CASE WHEN waste_risk_score < 0.30 THEN 'LOW' WHEN waste_risk_score < 0.70 THEN 'MEDIUM' WHEN waste_risk_score IS NOT NULL THEN 'HIGH' END AS waste_risk_category,
                CASE WHEN COUNT(growth_quality_score) OVER w >= 2 THEN ROUND(AVG(growth_quality_score) OVER w, 1) END AS gqs_4w_avg,
@@ -112,17 +134,21 @@ def monthly_frames(t: Tables) -> list[DataFrame]:
     rate = S.safe_divide(F.col("waste_units"), F.col("sell_in_units"))
     shipments = shipments.withColumn("waste_risk_score", S.clamp(rate * 3, 0.0, 1.0))
     spend = t.spend.groupBy(*keys).agg(total("inversion_real").alias("investment_spend"))
-    base = t.history.withColumns({"forecast_units": t.forecast_units, "actual_units": t.actual_units})
+    base = t.history.withColumns({"forecast_units": t.forecast_units, "actual_units": t.actual_units, "stores": F.col("numeric_distribution")})
     return [base, shipments, spend]
 
 
 def scored_rows(t: Tables) -> DataFrame:
     base, *others = monthly_frames(t)
-    return mart.with_growth_quality(mart.with_growth(mart.mart_facts(base, *others), base))
+    return mart.with_growth_quality(mart.mart_facts(mart.with_growth(base), *others))
 
 
 def mart_rows(t: Tables) -> DataFrame:
-    return mart.monthly_mart(*monthly_frames(t))
+    brands = t.items.select(F.upper("brand").alias("brand_key"), F.initcap("brand").alias("brand_name")).distinct()
+    kind = F.when(F.col("channel_key").isin("AUTOMOBILE", "FURNITURE"), "MODERN").otherwise("TRADITIONAL")
+    channels = t.customer.groupBy(F.col("c_mktsegment").alias("channel_key")).agg(F.count("*").alias("stores_expected"))
+    channels = channels.withColumns({"channel_name": F.initcap("channel_key"), "channel_type": kind})
+    return mart.monthly_mart(*monthly_frames(t), t.weekly_panel, brands, channels, run_id="run", fiscal_start_month=7)
 
 
 @query(
@@ -133,11 +159,16 @@ def mart_rows(t: Tables) -> DataFrame:
                    {r('sell_in_units', 'waste_units', 'waste_cost', 'investment_spend', 'forecast_units', 'value_share', 'volume_share', 'numeric_distribution', 'weighted_distribution', 'price_index_vs_category')},
                    ROUND(units, 4) AS sell_out_units, ROUND(revenue, 4) AS sell_out_revenue, {r(*ROUNDED_COLUMNS)},
                    growth_quality_score, gqs_confidence_level, 'v1' AS gqs_version, gqs_4w_avg, waste_risk_category, competitive_risk_score, competitive_risk_confidence, consecutive_forecast_misses,
-                   weeks_of_history, recommended_action, secondary_action, action_compound, conflict_flag,
+                   weeks_of_history, recommended_action, secondary_action, action_compound, conflict_flag, 'Brand#' || SUBSTR(brand_key, 7) AS brand_name,
+                   channel_key[1] || LOWER(channel_key[2:]) AS channel_name, CASE WHEN channel_key IN ('AUTOMOBILE','FURNITURE') THEN 'MODERN' ELSE 'TRADITIONAL' END AS channel_type,
+                   0 AS region_key, 'FY' || YEAR(fecha_month + INTERVAL 6 MONTH) || '-P' || LPAD(CAST(MONTH(fecha_month + INTERVAL 6 MONTH) AS VARCHAR), 2, '0') AS fiscal_period,
+                   ROUND(numeric_distribution * 100 / (SELECT COUNT(*) FROM customer WHERE c_mktsegment = channel_key), 4) AS sell_out_coverage_pct, nielsen_lag_weeks,
+                   'v1' AS recommendation_version, 'run' AS source_pipeline_run_id,
                    CASE WHEN sell_in_units IS NOT NULL AND investment_spend IS NOT NULL AND value_share IS NOT NULL THEN 'HIGH' ELSE 'MEDIUM' END AS data_confidence_overall FROM mart""",
 )
 def monthly_mart(t: Tables) -> DataFrame:
-    return rounded(mart_rows(t), 4, growth_quality_score=1, gqs_4w_avg=1, competitive_risk_score=1)
+    """All columns but the time of the run and the rationale, which has a query of its own."""
+    return rounded(mart_rows(t).drop("computed_at", "recommendation_rationale"), 4, growth_quality_score=1, gqs_4w_avg=1, competitive_risk_score=1)
 
 
 IDS = "brand_key, channel_key, period_key"
@@ -163,13 +194,13 @@ def growth_quality_score(t: Tables) -> DataFrame:
 
 
 @query(
-    roles=MART_ROLES,
-    extra=MART,
-    sql=f"SELECT {IDS}, competitive_risk_score, competitive_risk_confidence FROM mart",
+    roles=("weekly_panel",),
+    extra=RISK,
+    sql="SELECT brand_key, channel_key, week_end, competitive_risk_score, competitive_risk_confidence, has_history FROM risk",
 )
 def competitive_risk_score(t: Tables) -> DataFrame:
-    out = mart.with_competitive_risk(t.history)
-    return rounded(out.select(*ID_LIST, "competitive_risk_score", "competitive_risk_confidence"), 1)
+    out = mart.weekly_competitive_risk(t.weekly_panel)
+    return rounded(out.select(*mart.KEYS, "week_end", "competitive_risk_score", "competitive_risk_confidence", "has_history"), 1)
 
 
 @query(roles=MART_ROLES, extra=MART, sql=f"SELECT {IDS}, recommended_action FROM mart")

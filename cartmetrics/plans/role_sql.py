@@ -125,6 +125,16 @@ ROLES: dict[str, tuple[tuple[str, ...], str]] = {
                d.period_end_date, CAST(DATE_TRUNC('month', d.period_end_date) AS DATE) AS fecha_month,
                p.fact_column AS metric_name, p.fact_value AS metric_value
         FROM panel p JOIN markets m ON p.market_id = m.market_id JOIN periods d ON p.period_id = d.period_id"""),
+    "panel_base": ((), f"""
+        SELECT 'BRAND#' || (user_id % 25 + 1) AS brand_key, {SEGMENT.format('user_id')} AS channel_key,
+               DATE '1997-01-05' + 7 * CAST(event_id % 208 AS INT) AS week_end, ROUND(SUM(value), 2) AS sales, COUNT(*) AS packs,
+               COUNT(DISTINCT user_id) AS markets
+        FROM events WHERE NOT (event_id % 208 = 60 AND user_id % 25 = 3) GROUP BY ALL"""),
+    "weekly_panel": (("panel_base",), """
+        SELECT brand_key, channel_key, week_end, COUNT(*) OVER c AS n_brands, ROUND(sales * 100 / ROUND(SUM(sales) OVER c, 2), 4) AS value_share,
+               CAST(markets AS DOUBLE) AS numeric_distribution, ROUND(packs * 10 / markets, 4) AS weighted_distribution,
+               ROUND((sales / packs) / (ROUND(SUM(sales) OVER c, 2) / SUM(packs) OVER c), 4) AS price_index_vs_category
+        FROM panel_base WINDOW c AS (PARTITION BY channel_key, week_end)"""),
     "weekly": (("sell_out",), """
         SELECT marca_std AS brand_key, canal_std AS channel_key,
                CAST(DATE_TRUNC('week', sale_date) AS DATE) AS week_start,

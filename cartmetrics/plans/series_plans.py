@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartmetrics.functions import scalars as S
 from cartmetrics.operators import decisions, models, series
-from cartmetrics.plans.agg_plans import SCORE, score_rows
+from cartmetrics.plans.agg_plans import FINE_SCORE, SCORE, score_rows
 from cartmetrics.plans.registry import query, rounded
 from cartmetrics.sources.roles import Tables
 
@@ -36,14 +36,14 @@ def period_lags(t: Tables) -> DataFrame:
 @query(
     roles=("history",),
     extra={
-        "s": SCORE,
-        "c": f"SELECT ROUND(ABS(score - LAG(score) {W}), 6) AS change FROM s",
+        "s": FINE_SCORE,
+        "c": f"SELECT ROUND(ABS(score - LAG(score) {W}), 9) AS change FROM s",
     },
     sql="""SELECT ROUND(AVG(change), 4) AS mean_change, ROUND(QUANTILE_CONT(change, 0.90), 4) AS p90_change, ROUND(MAX(change), 4) AS max_change,
                   COUNT(*) AS n_changes FROM c WHERE change IS NOT NULL""",
 )
 def month_over_month_change(t: Tables) -> DataFrame:
-    return rounded(series.month_over_month_change(score_rows(t), KEYS, "period_key", "score"))
+    return rounded(series.month_over_month_change(score_rows(t, 4), KEYS, "period_key", "score"))
 
 
 @query(

@@ -327,6 +327,29 @@ class Tables:
             }
         )
 
+    @cached_property
+    def weekly_panel(self) -> DataFrame:
+        """Weekly market view per brand and channel; weeks end on Sundays, and one brand lacks a week."""
+        c = F.col
+        rows = self.events.filter(~((c("event_id") % 208 == 60) & (c("user_id") % 25 == 3)))
+        base = rows.groupBy(
+            F.concat(F.lit("BRAND#"), text(c("user_id") % 25 + 1)).alias("brand_key"),
+            pick(SEGMENTS, c("user_id")).alias("channel_key"),
+            F.date_add(F.lit("1997-01-05").cast("date"), (7 * (c("event_id") % 208)).cast("int")).alias("week_end"),
+        ).agg(
+            stable_round(F.sum("value"), 2).alias("sales"), F.count("*").alias("packs"), F.count_distinct("user_id").alias("markets")
+        )
+        # One row per brand is left in a channel and week, so a window over them holds few rows.
+        cell = W.partitionBy("channel_key", "week_end")
+        total, packs = stable_round(F.sum("sales").over(cell), 2), F.sum("packs").over(cell)
+        return base.select(
+            "brand_key", "channel_key", "week_end", F.count("*").over(cell).alias("n_brands"),
+            stable_round(c("sales") * 100 / total, 4).alias("value_share"),
+            c("markets").cast("double").alias("numeric_distribution"),
+            stable_round(c("packs") * 10 / c("markets"), 4).alias("weighted_distribution"),
+            stable_round((c("sales") / c("packs")) / (total / packs), 4).alias("price_index_vs_category"),
+        )
+
     # --- series --------------------------------------------------------------------------------
 
     @cached_property

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -12,6 +14,10 @@ from cartmetrics.functions import scalars as S
 from cartmetrics.operators import decisions, mart, quality_aggs, series
 
 
+def day(text):
+    return dt.date.fromisoformat(text)
+
+
 def rows(df):
     return [tuple(r) for r in df.collect()]
 
@@ -196,18 +202,70 @@ def test_share_change_follows_the_calendar(spark):
     assert [r["share_change_pp"] for r in by_row] == [None, 2.0, 3.0]
 
 
-def test_competitive_risk_needs_the_same_months_of_other_years(spark):
-    months = [(2023 + i // 12, i % 12 + 1) for i in range(16) if i != 3]
-    rows = [("b", "c", y * 12 + m, f"{y}-{m:02d}-01", 20.0 - i, 1.0, 50.0, 50.0, 3) for i, (y, m) in enumerate(months)]
-    names = "brand_key string, channel_key string, period_key int, d string, value_share double, price_index_vs_category double, numeric_distribution double, weighted_distribution double, n_brands int"
-    df = spark.createDataFrame(rows, names).withColumn("fecha_month", F.to_date("d")).drop("d")
-    out = {str(r["fecha_month"]): r for r in mart.with_competitive_risk(df).collect()}
-    assert out["2024-01-01"]["competitive_risk_confidence"] == "FULL"
-    assert out["2023-05-01"]["competitive_risk_confidence"] == "PARTIAL"  # no year before it
-    assert out["2024-04-01"]["competitive_risk_confidence"] == "PARTIAL"  # the month a year before is missing
-    assert out["2023-07-01"]["competitive_risk_score"] is None  # the month a quarter before is missing
-
-
 def test_round_score_is_not_tipped_by_noise(spark):
     got = spark.range(1).select(S.round_score(F.lit(67.44999999999999)), S.round_score(F.lit(67.4499))).first()
     assert tuple(got) == (67.5, 67.4)
+
+
+# --- weekly competitive risk -------------------------------------------------------------------
+
+PANEL = "brand_key string, channel_key string, week_end date, n_brands int, value_share double, numeric_distribution double, weighted_distribution double, price_index_vs_category double"
+
+
+def weekly(first, weeks, share, missing=(), brand="B"):
+    start = dt.date.fromisoformat(first)
+    return [(brand, "C", start + dt.timedelta(days=7 * i), 3, share(i), 50.0, 40.0, 1.0) for i in range(weeks) if i not in missing]
+
+
+def test_weekly_risk_looks_back_13_and_52_weeks(spark):
+    rows = weekly("2023-01-01", 60, lambda i: 30.0 - 0.1 * i, missing=(10,))
+    got = {(r["week_end"] - dt.date(2023, 1, 1)).days // 7: r for r in mart.weekly_competitive_risk(spark.createDataFrame(rows, PANEL)).collect()}
+    assert not got[12]["has_history"] and got[13]["has_history"] and not got[23]["has_history"] and got[24]["has_history"]
+    # 13 weeks: share -1.3, so 100 * (3 + 1.3) / 6; other changes are zero; the year is known from week 52 on
+    parts = {"share_loss": (71.6667, 0.30), "price_gap": (50.0, 0.25), "num_dist": (50.0, 0.20), "wgt_dist": (50.0, 0.15)}
+    want = sum(v * w for v, w in parts.values()) / 0.9
+    assert got[30]["competitive_risk_score"] == pytest.approx(round(want, 1)) and got[30]["competitive_risk_confidence"] == "PARTIAL"
+    assert got[55]["competitive_risk_confidence"] == "FULL" and got[55]["competitive_risk_score"] > got[30]["competitive_risk_score"]
+    assert got[23]["competitive_risk_confidence"] == "NULL" and got[23]["competitive_risk_score"] is None  # week 10 is missing
+
+
+def test_months_take_the_last_week_known(spark):
+    panel = spark.createDataFrame(weekly("2023-01-01", 30, lambda i: 30.0 - 0.1 * i) + weekly("2023-01-01", 40, lambda i: 9.0, brand="D"), PANEL)
+    months = spark.createDataFrame([(b, "C", day(f"2023-{m:02d}-01")) for b in "BD" for m in range(1, 13)] + [("X", "C", day("2023-05-01"))], "brand_key string, channel_key string, fecha_month date")
+    got = {(r["brand_key"], r["fecha_month"].month): r for r in mart.with_competitive_risk(months, panel).collect()}
+    scores = {(r["brand_key"], r["week_end"]): r["competitive_risk_score"] for r in mart.weekly_competitive_risk(panel).collect()}
+    assert len(got) == 25 and got["B", 5]["competitive_risk_score"] == scores["B", dt.date(2023, 5, 28)] is not None
+    assert got["B", 5]["nielsen_lag_weeks"] == 0 and got["B", 8]["nielsen_lag_weeks"] == 5  # the panel of B ends on 23 July
+    assert got["B", 8]["competitive_risk_score"] == scores["B", dt.date(2023, 7, 23)]
+    assert got["B", 9]["nielsen_lag_weeks"] is None and got["B", 9]["competitive_risk_score"] is None  # ten weeks are too old
+    assert got["X", 5]["nielsen_lag_weeks"] is None and got["D", 10]["competitive_risk_score"] == scores["D", dt.date(2023, 10, 1)]
+
+
+def test_growth_of_brand_and_channel_without_gaps_or_copies(spark):
+    rows = [("A", "C", m, f"{y}-{m:02d}-01", 100.0 * (y - 2021) + m) for y in (2022, 2023) for m in (1, 2)]
+    rows += [("N", "C", 1, "2023-01-01", 50.0), ("A", "Z", 1, "2023-01-01", 5.0)]
+    base = spark.createDataFrame([(b, c, k, day(d), r) for b, c, k, d, r in rows], "brand_key string, channel_key string, period_key int, fecha_month date, revenue double")
+    got = {(r["brand_key"], r["channel_key"], str(r["fecha_month"])): r for r in mart.with_growth(base).collect()}
+    assert len(got) == 6
+    assert got["A", "C", "2023-01-01"]["sell_out_growth"] == pytest.approx(201 / 101 - 1)
+    assert got["N", "C", "2023-01-01"]["market_category_growth_pct"] == pytest.approx((251 / 101 - 1) * 100) and got["N", "C", "2023-01-01"]["sell_out_growth"] is None
+    assert got["A", "C", "2022-01-01"]["market_category_growth_pct"] is None and got["A", "Z", "2023-01-01"]["market_adjusted_growth"] is None
+    plan = mart.with_growth(base)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+
+
+def test_mart_reads_the_facts_twice_and_has_all_columns(spark, small_dir):
+    from cartmetrics.plans.decision_plans import mart_rows
+    from cartmetrics.sources.roles import Tables
+
+    frame = mart_rows(Tables(spark, small_dir))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey#") and sum("Relation" in line and "l_orderkey" in line for line in plan.splitlines()) <= 2
+    wanted = "brand_name channel_name channel_type region_key fiscal_period recommendation_rationale recommendation_version sell_out_coverage_pct nielsen_lag_weeks computed_at source_pipeline_run_id"
+    assert set(wanted.split()) <= set(frame.columns)
+    texts = {"WATCH": "{brand_name}: {weeks_of_history} weeks, score {gqs_score_4w_avg}"}
+    base = spark.createDataFrame([("A", "C", 1, day("2023-01-01"), 10.0, 1.0, 1.0, 1.0, 5.0, 5.0, 1.0, 1.0, 1.0)], "brand_key string, channel_key string, period_key int, fecha_month date, revenue double, units double, forecast_units double, actual_units double, value_share double, volume_share double, numeric_distribution double, weighted_distribution double, price_index_vs_category double")
+    on = "brand_key string, channel_key string, fecha_month date, "
+    none = [spark.createDataFrame([], on + c) for c in ("sell_in_units double, waste_units double, waste_cost double, waste_risk_score double", "investment_spend double")]
+    row = mart.monthly_mart(base, *none, spark.createDataFrame([], PANEL), templates=texts).first()
+    assert row["recommendation_rationale"].startswith("A: 4 weeks") and row["region_key"] == 0 and row["fiscal_period"] == "FY2023-P01" and row["competitive_risk_score"] is None

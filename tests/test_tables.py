@@ -239,19 +239,22 @@ def test_regression_matches_least_squares(spark):
 def test_grain_stops_at_the_first_perfect_combination(spark):
     df = spark.createDataFrame([(i // 4, i % 4, i % 2, None if i % 3 else i) for i in range(16)], "a int, b int, c int, d int")
     out = profiling.grain_detection(df, "T", [], ["a", "b", "c", "d"]).orderBy("try_no").collect()
-    assert out[-1]["candidate_grain"] == "a x b" and out[-1]["confidence"] == "PERFECT" and out[-1]["is_best"]
-    want = {"a": 4, "b": 4, "c": 2, "d": 7, "a x b": 16}
-    assert {r["candidate_grain"]: r["distinct_rows"] for r in out} == want
+    best = next(r for r in out if r["is_best"])
+    assert (best["candidate_grain"], best["confidence"], best["is_exact"], best["distinct_rows"]) == ("a x b", "PERFECT", True, 16)
+    # d has one value more than a third of the rows, NULL among them
+    assert [r["candidate_grain"] for r in out if r["best_of_size"]] == ["d", "a x b"] and max(r["combo_size"] for r in out) == 2
+    want = {"a": 4, "b": 4, "c": 2, "d": 7}
+    assert {r["candidate_grain"]: r["distinct_rows"] for r in out if r["combo_size"] == 1} == want
 
 
 def test_grain_beyond_many_columns(spark):
     names = [f"c{i}" for i in range(14)]
     df = spark.createDataFrame([(*[i % 2] * 13, i) for i in range(6)], ", ".join(f"{n} int" for n in names))
-    last = profiling.grain_detection(df, "T", [], names).orderBy("try_no").collect()[-1]
-    assert (last["candidate_grain"], last["confidence"], last["try_no"]) == ("c13", "PERFECT", 14)
+    out = profiling.grain_detection(df, "T", [], names).orderBy("try_no").collect()
+    assert len(out) == 14 and (out[-1]["candidate_grain"], out[-1]["confidence"], out[-1]["is_best"]) == ("c13", "PERFECT", True)
     twice = df.drop("c13")
     got = profiling.grain_detection(twice, "T", ["c0", "c1"], names[:13]).collect()
-    assert len(got) == 14 and {r["confidence"] for r in got} == {"LOW"}
+    assert {r["confidence"] for r in got} == {"LOW"} and max(r["combo_size"] for r in got) == 2
 
 
 def test_grain_goes_on_without_a_perfect_combination(spark):
@@ -259,19 +262,37 @@ def test_grain_goes_on_without_a_perfect_combination(spark):
     df = spark.createDataFrame([*rows, rows[0]], "a int, b int, c int, d int, e int")
     names = ["a", "b", "c", "d", "e"]
     for declared in ([], ["a", "c"]):
-        out = profiling.grain_detection(df, "T", declared, names, search_on=True).collect()
+        out = profiling.grain_detection(df, "T", declared, names).collect()
         best = next(r for r in out if r["is_best"])
         assert (best["candidate_grain"], best["distinct_rows"], best["confidence"]) == ("a x b", 100, "HIGH")
     rng = np.random.default_rng(4)
     for _ in range(2):
         data = rng.integers(0, [2, 3, 4, 5], size=(40, 4)).tolist()
         data.append(data[0])
-        out = profiling.grain_detection(spark.createDataFrame(data, "a int, b int, c int, d int"), "T", ["a", "b"], ["c", "d"], search_on=True).collect()
+        out = profiling.grain_detection(spark.createDataFrame(data, "a int, b int, c int, d int"), "T", ["a", "b"], ["c", "d"]).collect()
         best = next(r for r in out if r["is_best"])
         every = [c for n in range(1, 5) for c in itertools.combinations(range(4), n) if not {0, 1} < set(c)]
         assert best["distinct_rows"] == max(len({tuple(r[i] for i in c) for r in data}) for c in every)
 
 
+def test_grain_with_one_repeated_line(spark, small_dir):
+    lines = spark.read.parquet(f"{small_dir}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").cache()
+    rows = [tuple(r) for r in lines.collect()]
+    out = profiling.grain_detection(lines.union(lines.limit(1)), "T", [], lines.columns).collect()
+    rows.append(rows[0])
+    counts = {n: {c: len({tuple(r[i] for i in c) for r in rows}) for c in itertools.combinations(range(4), n)} for n in (1, 2, 3, 4)}
+    for r in out:
+        want = counts[r["combo_size"]][tuple(lines.columns.index(x) for x in r["candidate_grain"].split(" x "))]
+        assert r["distinct_rows"] == want if r["is_exact"] else abs(r["distinct_rows"] / want - 1) < 0.08
+    best = next(r for r in out if r["is_best"])
+    assert best["distinct_rows"] == len(set(rows)) < len(rows) and best["confidence"] == "HIGH"
+    by_size = {r["combo_size"]: r["distinct_rows"] for r in out if r["best_of_size"]}
+    assert all(by_size[n] == max(counts[n].values()) for n in by_size) and by_size[2] == counts[2][(0, 2)]
+    empty = profiling.grain_detection(lines.limit(0), "T", ["l_orderkey"], ["l_partkey"]).collect()
+    assert [(r["candidate_grain"], r["distinct_rows"]) for r in empty] == [("l_orderkey", 0)]
+    lines.unpersist()
+
+
 def test_overlap_counts(spark):
     a = spark.createDataFrame([("x",), ("Y ",), (None,)], "v string")
     b = spark.createDataFrame([("y",), ("z",)], "v string")
