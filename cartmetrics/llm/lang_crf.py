@@ -20,11 +20,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartmetrics.llm.common import chunks, mix
+from cartmetrics.llm.common import BROADCAST_IDS, chunks, cut, mix
 from cartmetrics.llm.learning import adam, crc_remainder
 
-#: The sample to fit on: documents of each language, and words of each document (in WINDOWS windows over its length).
-SAMPLE_DOCS, SAMPLE_WORDS, WINDOWS = 240, 192, 3
+#: The sample to fit on: documents of each language (10 of each of 24 hash buckets), and words of each document (in
+#: WINDOWS windows over its length).
+BUCKETS, BUCKET_DOCS = 24, 10
+SAMPLE_DOCS, SAMPLE_WORDS, WINDOWS = BUCKETS * BUCKET_DOCS, 192, 3
 #: Hashed features, words of a segment in forward-backward, words that a worker remembers.
 BITS, SEGMENT, REMEMBER = 15, 64, 400_000
 #: Fitting: length of the training sequences, span lengths of the switching ones, steps, rate and ridge of Adam.
@@ -295,10 +297,18 @@ def learn_lexicon(windows: list[tuple[int, list[str]]], labels: int) -> dict[str
 def sample_windows(docs: DataFrame) -> list[tuple[str, list[str]]]:
     """Language and words of at most SAMPLE_DOCS documents of each language, chosen by a hash of doc_id: SAMPLE_WORDS
     words at most of each, in WINDOWS windows from its start to its end. Of several rows of one doc_id and language
-    one is taken. What reaches the driver is bounded by these numbers and the number of languages."""
+    one is taken. What reaches the driver is bounded by these numbers and the number of languages.
+
+    Each hash bucket of a language gives its first BUCKET_DOCS documents, so that a language that holds most documents
+    is not ranked in one task. Ids alone are shuffled; the texts are kept by a broadcast of the chosen ids, after their
+    number was checked.
+    """
     docs = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id")
-    ids = docs.select("lang", "doc_id").distinct().withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= SAMPLE_DOCS).drop("_nth")
+    bucket = F.pmod(F.xxhash64(F.lit(31), "doc_id"), F.lit(BUCKETS)).cast("int")
+    order = Window.partitionBy("lang", "_bucket").orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id")
+    ranked = docs.select("lang", "doc_id").distinct().withColumn("_bucket", bucket).withColumn("_nth", F.row_number().over(order))
+    ids = cut(ranked.where(F.col("_nth") <= BUCKET_DOCS).select("lang", "doc_id"))
+    chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,7 +323,7 @@ def sample_windows(docs: DataFrame) -> list[tuple[str, list[str]]]:
             columns = [part.column(c).combine_chunks() for c in ("lang", "doc_id", "tie")]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.list_(pa.string()))], names=["lang", "doc_id", "tie", "words"])
 
-    texts = docs.join(ids, ["lang", "doc_id"], "left_semi").select("lang", "doc_id", F.xxhash64("text").alias("tie"), "text")
+    texts = docs.join(chosen, ["lang", "doc_id"], "left_semi").select("lang", "doc_id", F.xxhash64("text").alias("tie"), "text")
     found = texts.mapInArrow(windows, f"lang string, doc_id {kind}, tie long, words array<string>")
     rows = found.groupBy("lang", "doc_id").agg(F.min_by("words", "tie").alias("words")).where("size(words) > 0").collect()
     return [(r.lang, r.words) for r in sorted(rows, key=lambda r: (str(r.doc_id), r.lang))]
