@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cartmetrics.functions import labels
 from cartmetrics.functions.scalars import norm_key, null_column, safe_divide, surrogate_key
-from cartmetrics.operators.joins import first_row_dedup, mapping_left_join
+from cartmetrics.operators.joins import first_row_dedup, mapping_left_join, unique_row
 
 # --- markets -----------------------------------------------------------------------------------
 
@@ -232,8 +232,10 @@ def dim_brand_scd(
 
     A changed ``tracked`` value closes the current row and opens a new one (history kept); display
     columns are overwritten in the current row. Closed rows pass through; brands without an update
-    stay as they are. Updates must be unique on brand_id.
+    stay as they are. Repeated equal updates of a brand count once, different ones fail the job; updates without
+    brand_id are left out.
     """
+    updates = unique_row(updates.select("brand_id", tracked, *display).filter(F.col("brand_id").isNotNull()), ["brand_id"])
     history = dim.filter(~F.col("is_current"))
     current = dim.filter(F.col("is_current"))
     new = updates.select("brand_id", *[F.col(c).alias(f"_new_{c}") for c in (tracked, *display)], F.lit(True).alias("_hit"))

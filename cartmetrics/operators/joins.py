@@ -66,13 +66,13 @@ def min_per_key(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 
 def mapping_left_join(
     fact: DataFrame, mapping: DataFrame, fact_key: str, map_key: str, columns: Sequence[str], prefix: str = "",
-    on_conflict: str = "first",
+    on_conflict: str = "error",
 ) -> DataFrame:
     """Left join of a mapping on normalized text keys.
 
     The mapping is collapsed to one row per key and its columns are renamed before the join, so the
-    fact keeps its row count and no name is ambiguous. Where rows of a key differ, ``on_conflict`` takes
-    the first ("first") or fails the job ("error"); ``key_conflicts`` lists them.
+    fact keeps its row count and no name is ambiguous. Where rows of a key differ, the job fails ("error"), or
+    ``on_conflict="first"`` takes the first; ``key_conflicts`` lists them.
     """
     names = {c: f"{prefix}{c}" for c in columns}
     taken = set(names.values()) & set(fact.columns)

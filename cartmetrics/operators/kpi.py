@@ -189,8 +189,9 @@ def sell_in_kpi_master(std: DataFrame) -> DataFrame:
 def sell_out_kpi(rows: DataFrame) -> DataFrame:
     """Sell-out at the master grain.
 
-    Two distinct counts would make Spark copy each row per count. Rows are first added up by store
-    and product, which is what the copies then work on.
+    Two distinct counts in one aggregate would copy each row per count. Instead, one roll-up goes over stores and adds
+    up the sums, another one over products; both combine before their shuffle, and meet at the master grain, one row
+    per key on either side. Keys are compared with NULL as a value.
     """
     ok, _ = valid_brand_filter(rows, "marca_std")
     sums = {
@@ -200,15 +201,16 @@ def sell_out_kpi(rows: DataFrame) -> DataFrame:
         "so_inventory_units": "vol_inv",
         "so_pcs_inv": "pcs_inv",
     }
-    fine = ok.groupBy(*MASTER_KEYS, "store_id", "sku_ean_cod").agg(
+    by_store = ok.groupBy(*MASTER_KEYS, "store_id").agg(
         *[F.sum(src).alias(out) for out, src in sums.items()], F.count("*").alias("so_fact_rows")
     )
-    out = fine.groupBy(*MASTER_KEYS).agg(
-        *[F.sum(c).alias(c) for c in sums],
-        F.count_distinct("store_id").alias("so_store_count"),
-        F.count_distinct("sku_ean_cod").alias("so_sku_count"),
-        F.sum("so_fact_rows").alias("so_fact_rows"),
+    out = by_store.groupBy(*MASTER_KEYS).agg(
+        *[F.sum(c).alias(c) for c in sums], F.count("store_id").alias("so_store_count"), F.sum("so_fact_rows").alias("so_fact_rows")
     )
+    by_product = ok.groupBy(*MASTER_KEYS, "sku_ean_cod").agg(F.lit(1))
+    products = by_product.groupBy(*[F.col(k).alias(f"_{k}") for k in MASTER_KEYS]).agg(F.count("sku_ean_cod").alias("so_sku_count"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in MASTER_KEYS])
+    out = out.join(products, same).drop(*[f"_{k}" for k in MASTER_KEYS])
     return out.withColumns(
         {
             "so_avg_price_mxn": safe_divide(F.col("so_revenue_mxn"), F.col("so_vol_units")),
@@ -441,5 +443,5 @@ def store_sales_enriched(std: DataFrame, items: DataFrame, products: DataFrame)
     """Standardized store sales with bar-code bridge, store product attributes and brand."""
     bridge = min_per_key(items.filter(F.trim("sku_ean_cod") != ""), "sku_ean_cod", ["mat_idt"])
     out = std.join(bridge, std["upc"] == bridge["sku_ean_cod"], "left")
-    out = mapping_left_join(out, products, "upc", "int_id", ["so_name", "so_brand", "so_category"])
+    out = mapping_left_join(out, products, "upc", "int_id", ["so_name", "so_brand", "so_category"], on_conflict="first")
     return out.withColumn("marca_std", F.upper(F.trim("so_brand")))

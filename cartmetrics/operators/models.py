@@ -1,15 +1,14 @@
 """Model fits by grid search and least squares, one key at a time but spread over the cluster.
 
-Series are weekly arrays (as long as the calendar); the regression sends only its moment matrices to
-Python, one small row per key.
+Series are weekly arrays (as long as the calendar), folded without exploding them; the regression is solved from the
+moments of each key in column expressions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,20 +41,47 @@ def adstock_decay_fit(
 ) -> DataFrame:
     """Decay of the grid whose adstock correlates best with units, per key.
 
-    The grid multiplies rows of weekly arrays (keys x grid), not facts. Equal correlations go to
-    the smaller decay.
+    One fold over the weekly array of a key carries, for all decays at once, the running adstock and its sums, squares
+    and products with the units, from which the correlations follow: nothing is exploded or kept per week. Equal
+    correlations (to nine digits) go to the smaller decay; series that do not vary have none.
     """
-    grid = list(grid or decay_grid())
+    grid = [float(g) for g in grid or decay_grid()]
     arrays = weekly_arrays(df, keys, week, x=spend, units=units)
-    tried = arrays.withColumn("decay", F.explode(F.array(*[F.lit(float(g)) for g in grid])))
-    stock = decayed(F.col("series"), F.col("decay"))
-    pairs = tried.select(*keys, "decay", F.inline(F.arrays_zip(stock.alias("a"), F.col("series").alias("s"))))
-    scored = pairs.groupBy(*keys, "decay").agg(correlation(F.col("a.adstock"), F.col("s.units")).alias("r"))
-    scored = scored.filter(F.col("r").isNotNull())
-    best = F.max(F.struct(F.round("r", 9).alias("r"), (-F.col("decay")).alias("d")))
-    return scored.groupBy(*keys).agg(best.alias("_b")).select(
-        *keys, (-F.col("_b.d")).alias("decay_rate"), F.col("_b.r").alias("correlation")
-    )
+    zeros = F.array(*[F.lit(0.0)] * len(grid))
+    empty = F.struct(
+        F.lit(None).cast("int").alias("t"), F.lit(0).alias("n"), F.lit(0.0).alias("y"), F.lit(0.0).alias("yy"),
+        zeros.alias("a"), zeros.alias("s"), zeros.alias("ss"), zeros.alias("sy"),
+    )
+
+    def step(acc: Column, row: Column) -> Column:
+        gap = F.coalesce(row["t"] - acc["t"], F.lit(0))
+        stock = F.transform(F.array(*[F.lit(g) for g in grid]), lambda g, i: row["x"] + F.pow(g, gap) * F.get(acc["a"], i))
+        y = row["units"]
+        return F.struct(
+            row["t"].alias("t"), (acc["n"] + 1).alias("n"), (acc["y"] + y).alias("y"), (acc["yy"] + y * y).alias("yy"),
+            stock.alias("a"),
+            F.zip_with(acc["s"], stock, lambda s, a: s + a).alias("s"),
+            F.zip_with(acc["ss"], stock, lambda s, a: s + a * a).alias("ss"),
+            F.zip_with(acc["sy"], stock, lambda s, a: s + a * y).alias("sy"),
+        )
+
+    varies = lambda spread, total: F.when(spread > total * 1e-12, spread)
+
+    def scores(m: Column) -> Column:
+        """Correlations from the sums, with the smaller of equal decays last in order."""
+        n, y = m["n"], varies(m["n"] * m["yy"] - m["y"] * m["y"], m["n"] * m["yy"])
+
+        def score(g: Column, i: Column) -> Column:
+            s, ss = F.get(m["s"], i), F.get(m["ss"], i)
+            r = (n * F.get(m["sy"], i) - s * m["y"]) / F.sqrt(varies(n * ss - s * s, n * ss) * y)
+            return F.struct(F.round(r, 9).alias("r"), (-g).alias("d"))
+
+        return F.transform(F.array(*[F.lit(g) for g in grid]), score)
+
+    best = F.array_max(F.filter(F.aggregate("series", empty, step, scores), lambda x: x["r"].isNotNull()))
+    # The generator keeps the fold from being computed once per use of its result.
+    out = arrays.select(*keys, F.explode(F.array_compact(F.array(best))).alias("_b"))
+    return out.select(*keys, (-F.col("_b.d")).alias("decay_rate"), F.col("_b.r").alias("correlation"))
 
 
 def hill_fit(
@@ -88,44 +114,45 @@ def hill_fit(
     )
 
 
+#: A feature whose variance is, by this share, explained by the features before it counts as dependent on them.
+DEPENDENT = 1e-9
+
+
 def mmm_regression(df: DataFrame, keys: Sequence[str], features: Sequence[str], target: str) -> DataFrame:
-    """Least-squares coefficients per key, with intercept.
+    """Least-squares coefficients per key, with intercept: n_rows, matrix_rank, <name>_coef, r2.
 
-    Spark aggregates the moment matrices (sums of products) per key; only these few numbers per key
-    reach Python, where a batch of small systems is solved. Rows with a NULL are left out. A key
-    whose matrix is singular gets the minimum-norm solution and a lower rank.
+    Spark aggregates means and covariances per key and eliminates one feature after the other from them (the sweep
+    operator), all in column expressions. Rows with a NULL are left out. A feature that is constant or depends on the
+    ones before it, as in a key with few rows, gets the coefficient 0 and does not count in matrix_rank. r2 is NULL if
+    the target does not vary.
     """
-    cols = [F.lit(1.0), *[F.col(f).cast("double") for f in features]]
-    y = F.col(target).cast("double")
-    complete = df.dropna(subset=[*features, target])
-    xtx = F.array(*[F.sum(a * b) for a in cols for b in cols])
-    xty = F.array(*[F.sum(a * y) for a in cols])
-    moments = complete.groupBy(*keys).agg(
-        xtx.alias("xtx"), xty.alias("xty"), F.sum(y * y).alias("yy"), F.sum(y).alias("sy"), F.count("*").alias("n_rows")
-    )
-    names = ["intercept", *features]
-    key_fields = [df.schema[k] for k in keys]
-    schema = ", ".join(
-        [f"{f.name} {f.dataType.simpleString()}" for f in key_fields]
-        + ["n_rows long", "matrix_rank int"]
-        + [f"{n}_coef double" for n in names]
-        + ["r2 double"]
-    )
-    size = len(names)
-    key_names = list(keys)
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for row in pdf.itertuples(index=False):
-                a = np.asarray(row.xtx, dtype=float).reshape(size, size)
-                b = np.asarray(row.xty, dtype=float)
-                beta, _, rank, _ = np.linalg.lstsq(a, b, rcond=None)
-                sst = row.yy - row.sy * row.sy / row.n_rows
-                sse = row.yy - 2 * beta @ b + beta @ a @ beta
-                r2 = 1 - sse / sst if sst > 0 else None
-                rows.append((*[getattr(row, k) for k in key_names], row.n_rows, int(rank), *beta, r2))
-            columns = [*key_names, "n_rows", "matrix_rank", *[f"{n}_coef" for n in names], "r2"]
-            yield pd.DataFrame(rows, columns=columns)
-
-    return moments.mapInPandas(solve, schema)
+    names = [*features, target]
+    complete = df.dropna(subset=names).select(*keys, *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(names)])
+    p = len(features)
+    cell = lambda i, j: f"s{min(i, j)}_{max(i, j)}"
+    moments = [F.covar_pop(f"x{i}", f"x{j}").alias(cell(i, j)) for i in range(p + 1) for j in range(i, p + 1)]
+    out = complete.groupBy(*keys).agg(F.count("*").alias("n_rows"), *[F.avg(f"x{i}").alias(f"m{i}") for i in range(p + 1)], *moments)
+    # a{i}_{j}: row i of the swept matrix, the target as its last column; the last row ends as what is left unexplained
+    start = {f"a{i}_{j}": F.col(cell(i, j)) for i in range(p + 1) for j in range(p + 1)}
+    out = out.select(*keys, "n_rows", *[f"m{i}" for i in range(p + 1)], *[c.alias(n) for n, c in start.items()], *[F.col(cell(i, i)).alias(f"v{i}") for i in range(p + 1)])
+    for k in range(p):
+        pivot = F.when((F.col(f"v{k}") > 0) & (F.col(f"a{k}_{k}") > F.col(f"v{k}") * DEPENDENT), F.col(f"a{k}_{k}"))
+        out = out.withColumn(f"p{k}", pivot)
+        free, a = F.col(f"p{k}"), lambda i, j: F.col(f"a{i}_{j}")
+        swept = {}
+        for i in range(p + 1):
+            for j in range(p + 1):
+                if i == k:
+                    new = F.lit(1.0) / free if j == k else a(k, j) / free
+                else:
+                    new = -a(i, k) / free if j == k else a(i, j) - a(i, k) * a(k, j) / free
+                swept[f"a{i}_{j}"] = F.when(free.isNull(), a(i, j)).otherwise(new)
+        out = out.withColumns(swept)
+    coef = {i: F.when(F.col(f"p{i}").isNull(), 0.0).otherwise(F.col(f"a{i}_{p}")) for i in range(p)}
+    intercept = reduce(lambda x, i: x - coef[i] * F.col(f"m{i}"), range(p), F.col(f"m{p}"))
+    rank = reduce(lambda x, i: x + F.col(f"p{i}").isNotNull().cast("int"), range(p), F.lit(1))
+    return out.select(
+        *keys, "n_rows", rank.alias("matrix_rank"), intercept.alias("intercept_coef"),
+        *[coef[i].alias(f"{n}_coef") for i, n in enumerate(features)],
+        F.when(F.col(f"v{p}") > 0, 1 - F.col(f"a{p}_{p}") / F.col(f"v{p}")).alias("r2"),
+    )

@@ -1,7 +1,8 @@
 """Profiles of tables and columns.
 
-Value counts of all profiled columns come from one unpivoted aggregate: exact distinct counts, NULL
-counts and top values are then read off the (column, value, count) rows.
+One scan sums up every column in its own type: rows, NULLs and a distinct-count sketch, which merge without shuffling
+values. Only columns that the sketch finds to have few values are then counted value by value; of the others, keys
+mostly, only the rows of the heaviest hash buckets are.
 """
 
 from __future__ import annotations
@@ -19,11 +20,42 @@ from cartmetrics.functions.scalars import safe_divide
 from cartmetrics.operators.series import temporal_gaps
 
 
+#: Columns with at most so many distinct values are counted exactly.
+EXACT_UP_TO = 100_000
+#: Hash buckets that a column's values are counted in, and the heaviest of them whose values are told apart.
+BUCKETS, HEAVY = 65_536, 64
+#: A distinct-count sketch has 2^12 registers and a standard error of 1.6 %; five errors are taken as its range.
+SKETCH_BITS = 12
+SKETCH_SPREAD = 5 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, value, n_rows) with values as text."""
-    text = df.select(*[F.col(c).cast("string").alias(c) for c in columns])
-    long = text.unpivot([], list(columns), "column_name", "value")
-    return long.groupBy("column_name", "value").agg(F.count("*").alias("n_rows"))
+    """(column_name, value, n_rows) with values as text. For columns with few distinct values: every value is shuffled,
+    once per task that has it."""
+    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns]
+    return df.select(F.inline(F.array(*cells))).groupBy("column_name", "value").agg(F.count("*").alias("n_rows"))
+
+
+def heavy_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, value, n_rows) of the values in the HEAVY most frequent of BUCKETS hash buckets of each column.
+
+    Counts are exact. A value with more rows than the lightest kept bucket can't be missing; of a column whose values
+    are all rare, some of the values come back. Buckets are counted first, values of the others are never shuffled.
+    """
+    bucket = {c: F.pmod(F.xxhash64(F.col(c), F.isnull(c)), F.lit(BUCKETS)).cast("int") for c in columns}
+    cells = [F.struct(F.lit(c).alias("column_name"), bucket[c].alias("value")) for c in columns]
+    sizes = df.select(F.inline(F.array(*cells))).groupBy("column_name", "value").agg(F.count("*").alias("n_rows"))
+    kept: dict[str, list[int]] = {c: [] for c in columns}
+    for r in _top(sizes, HEAVY).collect():
+        kept[r["column_name"]].append(r["value"])
+    cells = [
+        F.when(bucket[c].isin(*kept[c]), F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")))
+        for c in columns if kept[c]
+    ]
+    if not cells:
+        return value_counts(df.limit(0), columns)
+    found = df.select(F.inline(F.array_compact(F.array(*cells))))
+    return found.groupBy("column_name", "value").agg(F.count("*").alias("n_rows"))
 
 
 def _top(counts: DataFrame, n: int) -> DataFrame:
@@ -33,6 +65,29 @@ def _top(counts: DataFrame, n: int) -> DataFrame:
     return counts.withColumn("value_rank", F.row_number().over(order)).filter(F.col("value_rank") <= n)
 
 
+def column_summaries(df: DataFrame, columns: Sequence[str], exact_up_to: int = EXACT_UP_TO) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Summaries, value counts, and the names of the columns whose counts are whole.
+
+    Summaries: column_name, total_rows, null_rows, distinct_count (NULL is a value) and distinct_is_exact, from one scan
+    in the columns' own types; what it returns to the driver is one row of numbers. Value counts are whole for columns
+    with at most exact_up_to values, from which their exact distinct counts come, too, and heavy_value_counts for the
+    others, whose distinct count is the sketch's estimate.
+    """
+    sketch = lambda c: F.hll_sketch_agg(F.when(F.col(c).isNotNull(), F.xxhash64(c)), F.lit(SKETCH_BITS))
+    facts = [x for i, c in enumerate(columns) for x in (F.count(c).alias(f"n{i}"), F.coalesce(F.hll_sketch_estimate(sketch(c)), F.lit(0)).alias(f"d{i}"))]
+    row = df.agg(F.count("*").alias("rows"), *facts).first()
+    few = [c for i, c in enumerate(columns) if row[f"d{i}"] <= exact_up_to]
+    many = [c for c in columns if c not in few]
+    frames = ([value_counts(df, few)] if few else []) + ([heavy_value_counts(df, many)] if many else [])
+    counts = reduce(lambda a, b: a.unionByName(b), frames)
+    known = [(c, row["rows"], row["rows"] - row[f"n{i}"], min(int(row[f"d{i}"]), row[f"n{i}"]) + (row["rows"] > row[f"n{i}"]), c in few) for i, c in enumerate(columns)]
+    out = df.sparkSession.createDataFrame(known, "column_name string, total_rows long, null_rows long, _sketched long, distinct_is_exact boolean")
+    if few:
+        exact = frames[0].groupBy("column_name").agg(F.count("*").alias("_exact"))
+        out = out.join(exact, "column_name", "left").withColumn("_sketched", F.when(F.col("distinct_is_exact"), F.coalesce("_exact", F.lit(0))).otherwise(F.col("_sketched")))
+    return out.select("column_name", "total_rows", "null_rows", F.col("_sketched").alias("distinct_count"), "distinct_is_exact"), counts, few
+
+
 # Column names that mark a shared dimension.
 DIMENSION_KEYWORDS = {
     "DIM_PRODUCT": (
@@ -64,15 +119,30 @@ def null_flag(pct: Column) -> Column:
 
 def column_inventory(
     df: DataFrame, dataset: str, columns: Sequence[str], glossary: Sequence[str] = (),
-    keywords: Mapping[str, Sequence[str]] = DIMENSION_KEYWORDS, top: int = 5,
+    keywords: Mapping[str, Sequence[str]] = DIMENSION_KEYWORDS, top: int = 5, exact_up_to: int = EXACT_UP_TO,
+    confirm_keys: bool = False,
 ) -> DataFrame:
-    """One row per column: type, NULLs, distinct values, key candidate, top values, dimension."""
-    counts = value_counts(df, columns)
-    per_column = counts.groupBy("column_name").agg(
-        F.sum("n_rows").alias("total_rows"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n_rows")).otherwise(0)).alias("null_rows"),
-        F.count("*").alias("distinct_count"),
-    )
+    """One row per column: type, NULLs, distinct values, key candidate, top values, dimension.
+
+    Columns with more than exact_up_to values have estimated distinct counts (see column_summaries), and one whose
+    estimate reaches the number of rows is a key candidate; with confirm_keys these columns, and no others, are counted
+    value by value.
+    """
+    per_column, counts, few = column_summaries(df, columns, exact_up_to)
+    filled = F.col("null_rows") == 0
+    unique = filled & (F.col("distinct_count") == F.col("total_rows"))
+    near = filled & (F.col("distinct_count") >= F.col("total_rows") * (1 - SKETCH_SPREAD))
+    is_key = F.when(F.col("distinct_is_exact"), unique).otherwise(near)
+    if confirm_keys:
+        open_keys = [r["column_name"] for r in per_column.filter(~F.col("distinct_is_exact") & near).collect()]
+        for c in open_keys:
+            exact = df.groupBy(c).agg(F.lit(1)).agg(F.count("*")).scalar()
+            per_column = per_column.withColumns(
+                {
+                    "distinct_count": F.when(F.col("column_name") == c, exact).otherwise(F.col("distinct_count")),
+                    "distinct_is_exact": F.col("distinct_is_exact") | (F.col("column_name") == c),
+                }
+            )
     samples = _top(counts.filter(F.col("value").isNotNull()), top).groupBy("column_name").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("value_rank", "value"))), lambda v: v["value"]), " | ")
         .alias("sample_values")
@@ -90,24 +160,28 @@ def column_inventory(
         null_pct.alias("null_pct"),
         null_flag(null_pct).alias("null_flag"),
         "distinct_count",
-        ((F.col("distinct_count") == F.col("total_rows")) & (F.col("null_rows") == 0)).alias("is_pk_candidate"),
+        "distinct_is_exact",
+        is_key.alias("is_pk_candidate"),
         "sample_values",
         dimension_class(F.col("column_name"), keywords).alias("dimension_class"),
         known.alias("in_glossary"),
     )
 
 
-def domain_profile(df: DataFrame, dataset: str, keys: Sequence[str], top: int) -> DataFrame:
-    """Most frequent values of every business key with their share of all rows."""
-    counts = value_counts(df, keys)
-    totals = counts.groupBy("column_name").agg(F.sum("n_rows").alias("_total"))
-    rows = _top(counts, top).join(totals, "column_name")
+def domain_profile(df: DataFrame, dataset: str, keys: Sequence[str], top: int, exact_up_to: int = EXACT_UP_TO) -> DataFrame:
+    """Most frequent values of every business key with their share of all rows.
+
+    Counts are exact. A key with more than exact_up_to values lists those of its heaviest hash buckets (see
+    heavy_value_counts), which hold every value that is frequent.
+    """
+    summaries, counts, _ = column_summaries(df, keys, exact_up_to)
+    rows = _top(counts, top).join(summaries.select("column_name", "total_rows"), "column_name")
     return rows.select(
         F.lit(dataset).alias("dataset"),
         "column_name",
         F.coalesce("value", F.lit("(null)")).alias("value"),
         F.col("n_rows").alias("frequency"),
-        safe_divide(F.col("n_rows") * 100.0, F.col("_total")).alias("coverage_pct"),
+        safe_divide(F.col("n_rows") * 100.0, F.col("total_rows")).alias("coverage_pct"),
     )
 
 
@@ -128,10 +202,9 @@ def uniqueness_class(pct: Column) -> Column:
     return F.when(pct >= 100, "PERFECT").when(pct >= 95, "HIGH").when(pct >= 80, "MEDIUM").otherwise("LOW")
 
 
-#: Combinations of one scan of sketches and of one exact count; a sketch's 2^12 registers have a standard error of
-#: 1.6 %, and a combination is left to its sketch only if five errors on either side can't make it the best.
-SKETCH_BATCH, EXACT_BATCH, SKETCH_BITS = 256, 16, 12
-SKETCH_SPREAD = 5 * 1.04 / 2 ** (SKETCH_BITS / 2)
+#: Combinations of one scan of sketches and of one exact count. A combination is left to its sketch only if five
+#: standard errors on either side can't make it the best.
+SKETCH_BATCH, EXACT_BATCH = 256, 16
 
 
 def _sketched_rows(df: DataFrame, combos: Sequence[tuple[str, ...]]) -> list[int]:
@@ -428,14 +501,11 @@ def cardinality_class(distinct: Column, channel_max: int = 15, chain_max: int =
 
 
 def column_scores(df: DataFrame, source: str, columns: Sequence[str]) -> DataFrame:
-    """Null share, distinct values, score and class of candidate columns."""
-    per_column = value_counts(df, columns).groupBy("column_name").agg(
-        F.sum("n_rows").alias("total_rows"),
-        F.sum(F.when(F.col("value").isNull(), F.col("n_rows")).otherwise(0)).alias("_nulls"),
-        F.count("value").alias("distinct_count"),
-    )
-    null_pct = safe_divide(F.col("_nulls") * 100.0, F.col("total_rows"), 0.0)
-    return per_column.select(
+    """Null share, distinct values (NULL is none), score and class of candidate columns; see column_summaries."""
+    per_column, _, _ = column_summaries(df, columns)
+    values = F.col("distinct_count") - (F.col("null_rows") > 0).cast("long")
+    null_pct = safe_divide(F.col("null_rows") * 100.0, F.col("total_rows"), 0.0)
+    return per_column.withColumn("distinct_count", values).select(
         F.lit(source).alias("source"), "column_name", "total_rows", null_pct.alias("null_pct"), "distinct_count",
         d1_score(null_pct, F.col("distinct_count")).alias("d1_score"),
         cardinality_class(F.col("distinct_count")).alias("cardinality_class"),

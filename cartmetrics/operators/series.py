@@ -154,20 +154,32 @@ def growth_to_earlier(df: DataFrame, keys: Sequence[str], date: str, value: str,
     return out.withColumn("growth", safe_divide(F.col(value), F.col("prior_value")) - 1)
 
 
+#: Weeks that decayed() collects before it puts them away, so that no step copies all weeks before it.
+BLOCK = 64
+
+
 def decayed(series: Column, decay: Column) -> Column:
-    """Running a(t) = x(t) + decay * a(t-1) over an array of {t, x}, gaps decaying by their length."""
+    """Running a(t) = x(t) + decay * a(t-1) over an array of {t, x}, gaps decaying by their length.
+
+    The fold carries the last value and the weeks of the current block. A full block moves to the list of blocks, so a
+    week is copied some BLOCK / 2 times and not once per later week.
+    """
+    item = "struct<t:int,spend:double,adstock:double>"
     empty = F.struct(
         F.lit(None).cast("int").alias("t"), F.lit(0.0).alias("a"),
-        F.array().cast("array<struct<t:int,spend:double,adstock:double>>").alias("out"),
+        F.array().cast(f"array<{item}>").alias("block"), F.array().cast(f"array<array<{item}>>").alias("blocks"),
     )
 
     def step(acc: Column, row: Column) -> Column:
         steps = F.coalesce(row["t"] - acc["t"], F.lit(0))
         a = row["x"] + F.pow(decay, steps) * acc["a"]
-        item = F.struct(row["t"].alias("t"), row["x"].alias("spend"), a.alias("adstock"))
-        return F.struct(row["t"].alias("t"), a.alias("a"), F.concat(acc["out"], F.array(item)).alias("out"))
+        full = F.size(acc["block"]) == BLOCK
+        new = F.array(F.struct(row["t"].alias("t"), row["x"].alias("spend"), a.alias("adstock")))
+        block = F.when(full, new).otherwise(F.concat(acc["block"], new))
+        blocks = F.when(full, F.concat(acc["blocks"], F.array(acc["block"]))).otherwise(acc["blocks"])
+        return F.struct(row["t"].alias("t"), a.alias("a"), block.alias("block"), blocks.alias("blocks"))
 
-    return F.aggregate(series, empty, step, lambda acc: acc["out"])
+    return F.aggregate(series, empty, step, lambda acc: F.flatten(F.concat(acc["blocks"], F.array(acc["block"]))))
 
 
 def weekly_arrays(df: DataFrame, keys: Sequence[str], week: str, **values: str) -> DataFrame:

@@ -30,14 +30,25 @@ def coded_sales(t: Tables) -> DataFrame:
              ARG_MIN(owner, canonical) AS owner FROM crosswalk GROUP BY variant) b ON REPLACE(UPPER(TRIM(i.brand)), '#', ' ') = b.variant GROUP BY ALL""",
 )
 def mapping_left_join(t: Tables) -> DataFrame:
-    """Five labels have two canonical names in the mapping; no row is multiplied."""
+    """Five labels have two canonical names in the mapping; the first is asked for, and no row is multiplied."""
     per_product = t.sales.groupBy("upc").agg(F.count("*").alias("n"), F.sum("revenue_sell_out").alias("r"))
     rows = per_product.join(t.items.select("mat_idt", "brand"), F.col("upc") == F.col("mat_idt"))
     rows = rows.withColumn("label", F.replace("brand", F.lit("#"), F.lit(" ")))
-    out = joins.mapping_left_join(rows, t.crosswalk, "label", "variant", ["canonical", "owner"])
+    out = joins.mapping_left_join(rows, t.crosswalk, "label", "variant", ["canonical", "owner"], on_conflict="first")
     return rounded(out.groupBy("brand", "canonical", "owner").agg(F.sum("n").alias("n_rows"), F.sum("r").alias("revenue")), 2)
 
 
+@query(
+    roles=("crosswalk",),
+    sql="""SELECT variant, MIN(canonical) AS first_canonical, MAX(canonical) AS last_canonical, COUNT(*) AS n_rows FROM crosswalk
+           GROUP BY variant HAVING MIN(canonical) <> MAX(canonical)""",
+)
+def mapping_conflicts(t: Tables) -> DataFrame:
+    """The labels that stop a mapping join unless the first row is asked for."""
+    found = joins.key_conflicts(t.crosswalk.select("variant", "canonical"), ["variant"])
+    return found.select("variant", F.col("first_row.canonical").alias("first_canonical"), F.col("last_row.canonical").alias("last_canonical"), "n_rows")
+
+
 @query(
     roles=("items",),
     extra={

@@ -259,7 +259,51 @@ def winsorize(t: Tables) -> DataFrame:
     return rounded(models.winsorize(t.weekly_spend, KEYS, "spend"))
 
 
-@query()
+MMM = ["hill_spend", "promotion_active", "price_index_vs_category", "weighted_distribution", "is_holiday", "units_lag_1"]
+
+
+def _elimination_sql(names: list[str], target: str) -> dict[str, str]:
+    """Normal equations of centred columns, one elimination per step. A pivot that is next to nothing is skipped."""
+    cols = [*names, target]
+    n = len(names)
+    cells = [(i, j) for i in range(n + 1) for j in range(n + 1)]
+    moments = [f"COVAR_POP({cols[i]}, {cols[j]}) AS a{i}_{j}" for i, j in cells] + [f"AVG({c}) AS m{i}" for i, c in enumerate(cols)]
+    steps = {"e0": f"SELECT brand_key, channel_key, COUNT(*) AS n_rows, {', '.join(moments)}, {', '.join(f'VAR_POP({c}) AS v{i}' for i, c in enumerate(cols))} FROM mm GROUP BY ALL"}
+    for k in range(n):
+        d = f"a{k}_{k}"
+        ok = f"(v{k} > 0 AND {d} > v{k} * 1e-9::DOUBLE)"
+        new = []
+        for i, j in cells:
+            if i == k:
+                cell = f"1 / {d}" if j == k else f"a{k}_{j} / {d}"
+            else:
+                cell = f"-a{i}_{k} / {d}" if j == k else f"a{i}_{j} - a{i}_{k} * a{k}_{j} / {d}"
+            new.append(f"CASE WHEN {ok} THEN {cell} ELSE a{i}_{j} END AS a{i}_{j}")
+        steps[f"e{k + 1}"] = f"SELECT * REPLACE ({', '.join(new)}), {ok} AS p{k} FROM e{k}"
+    return steps
+
+
+def _mmm_sql() -> str:
+    beta = [f"CASE WHEN p{i} THEN a{i}_{len(MMM)} ELSE 0 END" for i in range(len(MMM))]
+    intercept = " - ".join([f"m{len(MMM)}", *[f"{b} * m{i}" for i, b in enumerate(beta)]])
+    rank = " + ".join(f"CAST(p{i} AS INT)" for i in range(len(MMM)))
+    shown = ", ".join(f"ROUND({b}, 4) + 0.0 AS {n}_coef" for n, b in zip(MMM, beta, strict=True))
+    y = len(MMM)
+    return f"""SELECT brand_key, channel_key, n_rows, 1 + {rank} AS matrix_rank, ROUND({intercept}, 4) + 0.0 AS intercept_coef, {shown},
+        ROUND(CASE WHEN v{y} > 0 THEN 1 - a{y}_{y} / v{y} END, 4) + 0.0 AS r2 FROM e{y}"""
+
+
+@query(
+    roles=("history", "weekly_spend"),
+    extra={
+        "ms": "SELECT brand_key, channel_key, CAST(DATE_TRUNC('month', week_start) AS DATE) AS fecha_month, SUM(spend) AS spend FROM weekly_spend GROUP BY ALL",
+        "ml": f"""SELECT h.*, COALESCE(s.spend, 0) / (100 + COALESCE(s.spend, 0)) AS hill_spend, CAST(MONTH(h.fecha_month) = 12 AS DOUBLE) AS is_holiday,
+                     CAST(period_key % 3 = 0 AS DOUBLE) AS promotion_active, LAG(units) {W} AS units_lag_1 FROM history h LEFT JOIN ms s USING (brand_key, channel_key, fecha_month)""",
+        "mm": "SELECT * FROM ml WHERE units_lag_1 IS NOT NULL AND hill_spend IS NOT NULL AND price_index_vs_category IS NOT NULL AND weighted_distribution IS NOT NULL AND units IS NOT NULL",
+    }
+    | _elimination_sql(MMM, "units"),
+    sql=_mmm_sql(),
+)
 def mmm_regression(t: Tables) -> DataFrame:
     """Units on transformed spend, price, distribution and season, per brand and channel."""
     month = S.month_trunc(F.col("week_start"))
@@ -273,8 +317,7 @@ def mmm_regression(t: Tables) -> DataFrame:
         }
     )
     lagged = series.period_lags(rows, KEYS, "period_key", {"units": [1]}, "units_lag_1")
-    features = ["hill_spend", "promotion_active", "price_index_vs_category", "weighted_distribution", "is_holiday", "units_lag_1"]
-    return rounded(models.mmm_regression(lagged, KEYS, features, "units"), 6)
+    return rounded(models.mmm_regression(lagged, KEYS, MMM, "units"), 4)
 
 
 @query(

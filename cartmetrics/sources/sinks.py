@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -47,52 +46,68 @@ def _existing(spark: SparkSession, target: str) -> DataFrame | None:
         raise
 
 
-def _batch_committed(spark: SparkSession, target: str, batch_id: str) -> bool:
-    if "/" in target:
-        return _existing(spark, f"{target}/_commits/{quote(batch_id, safe='')}") is not None
-    name = f"ingest.batch.{batch_id}"
-    return spark.catalog.tableExists(target) and not spark.sql(f"SHOW TBLPROPERTIES {target}").where(F.col("key") == name).isEmpty()
+#: The commit log of a target: one row per batch, or per file of a batch that was read from files.
+COMMITS = "batch_id string, file string, modified timestamp, committed_at timestamp"
+
 
+def commit_log(spark: SparkSession, target: str) -> DataFrame:
+    """Committed batches and files of a target: a table beside it, or a folder in it that readers of the data skip."""
+    log = _existing(spark, f"{target}/_commits" if "/" in target else f"{target}__commits")
+    return spark.createDataFrame([], COMMITS) if log is None else log
 
-def ingest_append_batch(df: DataFrame, target: str, batch_id: str, environment: str = "dev") -> str:
+
+def ingest_append_batch(
+    df: DataFrame, target: str, batch_id: str, environment: str = "dev", files: DataFrame | None = None, file_column: str | None = None
+) -> str:
     """Write a raw batch as text columns with audit columns; a committed batch id is skipped.
 
-    A batch is one partition. It is replaced as a whole until its commit record is written after it,
-    so a retry repairs what a lost job left half-written. Ids are compared as text; read a target
-    with ``read_batches``, which keeps them so.
+    A batch is one partition. It is replaced as a whole until its rows in the commit log are written after it, so a
+    retry repairs what a lost job left half-written. ``files`` (file, modified) goes to the log with it; ``file_column``
+    holds the name of a row's file, where Spark no longer knows it, and becomes the audit column. Columns go to
+    an existing table by their names, which have to be the same. Ids are compared as text and may hold any character;
+    read a target with ``read_batches``, which keeps them so and leaves out what was never committed.
     """
     spark = df.sparkSession
-    if _batch_committed(spark, target, batch_id):
+    if not commit_log(spark, target).filter(F.col("batch_id") == F.lit(batch_id)).isEmpty():
         return "SKIPPED_DUPLICATE_BATCH"
-    raw = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    file_name = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    out = raw.select(
-        "*",
+    raw = [F.col(c).cast("string").alias(c) for c in df.columns if c != file_column]
+    name = F.element_at(F.split(F.col(file_column) if file_column else F.input_file_name(), "/"), -1)
+    out = df.select(
+        *raw,
         F.current_timestamp().alias("_ingestion_timestamp"),
-        F.when(file_name == "", "UNKNOWN").otherwise(file_name).alias("_source_file_name"),
+        F.when(name == "", "UNKNOWN").otherwise(name).alias("_source_file_name"),
         F.lit(environment).alias("_environment"),
         F.lit(batch_id).alias("_batch_id"),
     )
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    append = lambda rows: rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if "/" in target:
+        append(out).partitionBy("_batch_id").parquet(target)
+    elif spark.catalog.tableExists(target):
+        columns = spark.table(target).columns
+        if sorted(columns) != sorted(out.columns):
+            raise ValueError(f"{target} has columns {columns}, the batch {out.columns}")
+        append(out.select(*columns)).insertInto(target)
+    else:
+        append(out).partitionBy("_batch_id").saveAsTable(target)
+    listed = spark.createDataFrame([(None, None)], "file string, modified timestamp") if files is None else files.select("file", "modified")
+    log = listed.select(F.lit(batch_id).alias("batch_id"), "file", "modified", F.current_timestamp().alias("committed_at"))
     if "/" in target:
-        writer.partitionBy("_batch_id").parquet(target)
-        spark.range(1).write.mode("overwrite").parquet(f"{target}/_commits/{quote(batch_id, safe='')}")
+        log.write.mode("append").parquet(f"{target}/_commits")
     else:
-        if spark.catalog.tableExists(target):
-            writer.insertInto(target)
-        else:
-            writer.partitionBy("_batch_id").saveAsTable(target)
-        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('ingest.batch.{batch_id}' = 'done')")
+        log.write.mode("append").saveAsTable(f"{target}__commits")
     return "APPENDED"
 
 
 def read_batches(spark: SparkSession, target: str) -> DataFrame:
-    """All batches of a target, with the batch id as text ("001" stays "001")."""
-    if "/" not in target:
-        return spark.table(target)
-    found = spark.read.parquet(target).schema
-    typed = [T.StructField(f.name, T.StringType()) if f.name == "_batch_id" else f for f in found]
-    return spark.read.schema(T.StructType(typed)).parquet(target)
+    """All committed batches of a target, with the batch id as text ("001" stays "001")."""
+    if "/" in target:
+        found = spark.read.parquet(target).schema
+        typed = [T.StructField(f.name, T.StringType()) if f.name == "_batch_id" else f for f in found]
+        rows = spark.read.schema(T.StructType(typed)).parquet(target)
+    else:
+        rows = spark.table(target)
+    done = commit_log(spark, target).select(F.col("batch_id").alias("_batch_id")).distinct()
+    return rows.join(done, "_batch_id", "left_semi").select(*rows.columns)
 
 
 def capped_export(df: DataFrame, order_by: Sequence[str], n: int = 100_000) -> DataFrame:

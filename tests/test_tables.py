@@ -30,8 +30,10 @@ def day(text):
 def test_mapping_join_keeps_rows_with_duplicate_mapping(spark):
     fact = spark.createDataFrame([(" a ", 1), ("A", 2), ("b", 3), (None, 4)], "k string, n int")
     mapping = spark.createDataFrame([("a", "first"), ("A ", "second"), ("c", "x"), (None, "null")], "key string, label string")
-    out = joins.mapping_left_join(fact, mapping, "k", "key", ["label"])
+    out = joins.mapping_left_join(fact, mapping, "k", "key", ["label"], on_conflict="first")
     assert rows(out.select("n", "label"), "n") == [(1, "first"), (2, "first"), (3, None), (4, None)]
+    with pytest.raises(Exception, match="conflicting rows for key A"):
+        joins.mapping_left_join(fact, mapping, "k", "key", ["label"]).collect()
     with pytest.raises(ValueError):
         joins.mapping_left_join(fact.withColumn("label", F.lit(1)), mapping, "k", "key", ["label"])
 
@@ -317,6 +319,72 @@ def test_scd_keeps_history(spark):
     ]
 
 
+def test_scd_settles_repeated_updates_and_stops_on_different_ones(spark):
+    schema = "brand_id string, brand_name string, category string"
+    dim = spark.createDataFrame([("1", "One", "A", day("2020-01-01"), None, True)], schema + ", effective_date date, expiry_date date, is_current boolean")
+    as_of = F.lit("2024-03-01").cast("date")
+    same = spark.createDataFrame([("1", "One", "B"), ("1", "One", "B"), (None, "x", "y")], schema)
+    out = catalogs.dim_brand_scd(dim, same, as_of).collect()
+    assert len(out) == 2 and sum(r["is_current"] for r in out) == 1
+    with pytest.raises(Exception, match="conflicting rows for key 1"):
+        catalogs.dim_brand_scd(dim, spark.createDataFrame([("1", "One", "B"), ("1", "One", "C")], schema), as_of).collect()
+
+
+def test_inventory_by_sketches(spark):
+    rng = np.random.default_rng(8)
+    data = [(i, f"k{i % 7000}", int(rng.integers(3)) if i % 10 else None, "hot" if i % 3 == 0 else f"v{i}") for i in range(20_000)]
+    df = spark.createDataFrame(data, "id int, part string, flag int, mixed string").repartition(6)
+    exact = {r["column_name"]: r for r in profiling.column_inventory(df, "T", df.columns).collect()}
+    rough = {r["column_name"]: r for r in profiling.column_inventory(df, "T", df.columns, exact_up_to=100).collect()}
+    want = {c: len({r[i] for r in data}) for i, c in enumerate(df.columns)}
+    assert {c: r["distinct_count"] for c, r in exact.items()} == want and all(r["distinct_is_exact"] for r in exact.values())
+    assert exact["id"]["is_pk_candidate"] and not exact["part"]["is_pk_candidate"] and rough["id"]["is_pk_candidate"] and not rough["mixed"]["is_pk_candidate"]
+    assert [rough[c]["distinct_is_exact"] for c in ("id", "flag")] == [False, True] and rough["flag"]["distinct_count"] == 4
+    assert all(abs(rough[c]["distinct_count"] / want[c] - 1) < 0.08 for c in want)
+    assert rough["mixed"]["sample_values"].startswith("hot | ") and rough["flag"]["null_rows"] == 2000
+    sure = {r["column_name"]: r for r in profiling.column_inventory(df, "T", df.columns, exact_up_to=100, confirm_keys=True).collect()}
+    assert sure["id"]["distinct_is_exact"] and sure["id"]["distinct_count"] == 20_000 and not sure["part"]["distinct_is_exact"]
+    top = profiling.domain_profile(df, "T", ["mixed"], 3, exact_up_to=100).orderBy(F.desc("frequency")).first()
+    assert (top["value"], top["frequency"]) == ("hot", sum(r[3] == "hot" for r in data)) and top["coverage_pct"] == pytest.approx(top["frequency"] / 200)
+    empty = profiling.column_inventory(df.limit(0), "T", df.columns).collect()
+    assert {(r["total_rows"], r["distinct_count"]) for r in empty} == {(0, 0)}
+
+
+def test_several_distinct_counts_without_copying_rows(spark, small_dir):
+    from cartmetrics.plans import REGISTRY
+
+    for name in ("sell_out_kpi", "market_panel_thresholds", "dq_rules"):
+        plan = REGISTRY[name](spark, small_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan, name
+
+
+def test_regression_leaves_dependent_features_out(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=50)
+    data = [("k", float(v), float(2 * v + 1), 4.0, float(3 * v + rng.normal() * 0.01)) for v in x] + [("few", 1.0, 3.0, 4.0, 2.0), ("few", 2.0, 5.0, 4.0, 5.0)]
+    out = {r["key"]: r for r in models.mmm_regression(spark.createDataFrame(data, "key string, a double, b double, c double, y double"), ["key"], ["a", "b", "c"], "y").collect()}
+    want = np.polyfit(x, [r[4] for r in data[:50]], 1)
+    assert [out["k"]["a_coef"], out["k"]["intercept_coef"]] == pytest.approx(list(want)) and (out["k"]["b_coef"], out["k"]["c_coef"], out["k"]["matrix_rank"]) == (0, 0, 2)
+    assert (out["few"]["a_coef"], out["few"]["intercept_coef"], out["few"]["r2"], out["few"]["matrix_rank"]) == pytest.approx((3.0, -1.0, 1.0, 2))
+
+
+def test_decay_fit_takes_the_decay_that_made_the_series(spark):
+    rng = np.random.default_rng(6)
+    data = []
+    for key, decay in (("slow", 0.8), ("fast", 0.2)):
+        a = 0.0
+        for week in range(150):
+            spend = float(rng.random() < 0.3) * float(rng.integers(1, 50))
+            a = spend + decay * a
+            data.append((key, dt.date(2020, 1, 6) + dt.timedelta(days=7 * week), spend, 5 + 2 * a))
+    data += [("flat", dt.date(2020, 1, 6) + dt.timedelta(days=7 * w), 1.0, 3.0) for w in range(9)]
+    df = spark.createDataFrame(data, "key string, week date, spend double, units double")
+    out = {r["key"]: r for r in models.adstock_decay_fit(df, ["key"], "week", "spend", "units").collect()}
+    assert {k: r["decay_rate"] for k, r in out.items()} == {"slow": 0.8, "fast": 0.2} and out["slow"]["correlation"] == pytest.approx(1)
+    stock = [r["adstock"] for r in series.adstock(df.filter("key = 'slow'"), ["key"], "week", "spend", 0.8).orderBy("week").collect()]
+    assert stock == pytest.approx([(r[3] - 5) / 2 for r in data[:150]])
+
+
 # --- sources and sinks -------------------------------------------------------------------------
 
 
@@ -404,7 +472,57 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     assert [r[0] for r in rows(spark.read.parquet(target).select("a"), "a")] == ["1", "2", "3"]
 
 
-def test_checkpoint_folder_of_the_session_comes_first():
+def stream(spark, folder, target, shared, source="drop"):
+    stream_csv_ingest(spark, str(folder), ["a"], str(target), source, checkpoint=str(shared)).awaitTermination()
+
+
+def test_a_lost_checkpoint_neither_skips_nor_repeats_files(spark, tmp_path):
+    folder, target = tmp_path / "drop", tmp_path / "bronze"
+    folder.mkdir()
+    (folder / "a.csv").write_text("a\n1\n2\n")
+    stream(spark, folder, target, tmp_path / "c1")
+    (folder / "b.csv").write_text("a\n3\n")
+    stream(spark, folder, target, tmp_path / "c2")  # a new checkpoint lists a.csv again
+    (folder / "c.csv").write_text("a\n4\n")
+    stream(spark, folder, target, tmp_path / "c2")
+    stream(spark, folder, target, tmp_path / "c3")
+    out = sinks.read_batches(spark, str(target))
+    assert rows(out.select("a", "_source_file_name"), "a") == [("1", "a.csv"), ("2", "a.csv"), ("3", "b.csv"), ("4", "c.csv")]
+    assert {r["file"].rsplit("/", 1)[1] for r in sinks.commit_log(spark, str(target)).collect()} == {"a.csv", "b.csv", "c.csv"}
+
+
+def test_streams_of_one_name_do_not_share_a_checkpoint(spark, tmp_path):
+    for name in ("x", "y"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "one.csv").write_text(f"a\n{name}\n")
+        stream(spark, tmp_path / name, tmp_path / f"to_{name}", tmp_path / "shared")
+    assert [[r["a"] for r in sinks.read_batches(spark, str(tmp_path / f"to_{n}")).collect()] for n in ("x", "y")] == [["x"], ["y"]]
+
+
+def test_what_was_not_committed_is_not_read(spark, tmp_path):
+    target = str(tmp_path / "bronze")
+    raw = spark.createDataFrame([("1",), ("2",)], "a string")
+    sinks.ingest_append_batch(raw, target, "done")
+    raw.limit(1).write.parquet(f"{target}/_batch_id=lost")
+    assert sinks.read_batches(spark, target).count() == 2
+
+
+def test_ingest_into_a_table_by_name_and_with_any_id(spark):
+    target = f"ingest_{uuid.uuid4().hex}"
+    raw = spark.createDataFrame([("1", "x")], "a string, b string")
+    ids = ["it's", 'a "quoted" id', "x=1/y", "'); DROP TABLE t; --"]
+    try:
+        assert [sinks.ingest_append_batch(raw if i % 2 else raw.select("b", "a"), target, batch) for i, batch in enumerate(ids)] == ["APPENDED"] * 4
+        assert [sinks.ingest_append_batch(raw, target, batch) for batch in ids] == ["SKIPPED_DUPLICATE_BATCH"] * 4
+        assert rows(sinks.read_batches(spark, target).select("a", "b", "_batch_id"), "_batch_id") == sorted(("1", "x", batch) for batch in ids)
+        with pytest.raises(ValueError, match="columns"):
+            sinks.ingest_append_batch(raw.withColumnRenamed("b", "c"), target, "other")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        spark.sql(f"DROP TABLE IF EXISTS {target}__commits")
+
+
+def test_checkpoint_folder_of_the_call_comes_first():
     class Session:
         def __init__(self, setting):
             self.setting, self.conf = setting, self
@@ -412,7 +530,8 @@ def test_checkpoint_folder_of_the_session_comes_first():
         def get(self, key, default):
             return self.setting or default
 
-    assert stream_checkpoint(Session("/shared/"), "s", "/mine") == "/shared/streams/s"
+    assert stream_checkpoint(Session("/shared/"), "s") == "/shared/streams/s"
+    assert stream_checkpoint(Session("/shared/"), "s", "/mine") == "/mine/streams/s"
     assert stream_checkpoint(Session(None), "s", "/mine") == "/mine/streams/s"
     with pytest.raises(ValueError):
         stream_checkpoint(Session(None), "s")
@@ -428,7 +547,8 @@ def test_read_source_pushes_columns_and_filters(spark, small_dir):
 def test_conflicting_lookup_rows_are_listed_or_stop_the_job(spark):
     fact = spark.createDataFrame([("a",), ("b",), ("x",)], "k string")
     mapping = spark.createDataFrame([("A", "one"), ("a ", "two"), ("b", "three"), ("b", "three")], "key string, label string")
-    assert sorted(tuple(r) for r in joins.mapping_left_join(fact, mapping, "k", "key", ["label"]).collect()) == [("a", "one"), ("b", "three"), ("x", None)]
+    first = joins.mapping_left_join(fact, mapping, "k", "key", ["label"], on_conflict="first")
+    assert sorted(tuple(r) for r in first.collect()) == [("a", "one"), ("b", "three"), ("x", None)]
     with pytest.raises(Exception, match="conflicting rows for key A"):
         joins.mapping_left_join(fact, mapping, "k", "key", ["label"], on_conflict="error").collect()
     clean = mapping.filter("key <> 'a '")
