@@ -2,9 +2,8 @@
 
 Per text: counts of words, symbols, repeated lines and words in repeated windows. Across texts:
 normalised lines are hashed and counted by distinct documents of a host; lines above the limits are
-taken out, and documents of which too little is left are rejected. Copies of a document count once,
-and a line only counts as boilerplate if it also follows many different lines, so that near copies of
-one document don't condemn each other.
+taken out, and documents of which too little is left are rejected. Copies and near copies of a document
+count as one representative, so that they don't condemn each other.
 """
 
 from __future__ import annotations
@@ -62,32 +61,52 @@ def text_counts(docs: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", failed)
 
 
-def line_rules(docs: DataFrame, host: str = "source", min_docs: int = 50, per_mille: int = 1, min_contexts: int = 20) -> DataFrame:
+def line_rules(docs: DataFrame, host: str = "source", percent: float = 2.0, least: int = 3) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_words_left
     for each row of docs (doc_id, text and the host column).
 
-    A line is boilerplate of its host when at least `min_docs` distinct texts and more than `per_mille`
-    of the host's distinct texts hold it, after at least `min_contexts` different lines. Lines are
-    compared in lower case with single spaces. A document is rejected if the base rule fails, or if
-    without such lines fewer than MIN_WORDS words or MIN_LEFT percent of its words are left.
+    A line is boilerplate of its host when more than `percent` of the host's distinct texts hold it, and at least
+    `least` (two documents may quote each other). Lines are compared in lower case with single spaces. A document is
+    rejected if the base rule fails, or if without such lines fewer than MIN_WORDS words or MIN_LEFT percent of its
+    words are left.
+
+    Copies of a text count once. Near copies must not condemn each other: a text counts on its own only if at least
+    MIN_LEFT percent of its words stand in lines below the limit; texts made of shared lines count once for all those
+    with the same first of these lines, by number. So a banner goes as soon as enough pages with content of their own
+    have it, and with it the pages that consist of it.
 
     Null and empty texts: counts 0, base_failed true. Null hosts are one host. Repeated rows get the
-    same verdict each; rows with the same doc_id are judged by their own text. Other columns are ignored.
+    same verdict each; rows with the same doc_id are judged by their own text. An empty table gives no rows. A text is
+    split within one task, whatever its length. Other columns are ignored.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"))
     rows = rows.withColumn("print", F.md5(F.coalesce("text", F.lit(""))))
     split = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.lower(F.trim(F.regexp_replace(x, SPACE + "+", " ")))), lambda x: x != "")
-    cells = let(split, lambda a: F.transform(a, lambda x, i: F.struct(F.xxhash64(x).alias("line"), F.xxhash64(F.coalesce(F.get(a, i - 1), F.lit(""))).alias("before"), F.size(F.split(x, " ")).alias("words"))))
-    lines = rows.select("host", "print", F.posexplode(cells).alias("at", "c")).select("host", "print", "at", "c.*")
-    # Copies of a text count once.
-    lines = lines.groupBy("host", "print", "at").agg(*[F.first(c).alias(c) for c in ("line", "before", "words")])
-    held = lines.groupBy("host", "line", "print").agg(F.min("before").alias("before"))
-    by_context = held.groupBy("host", "line", "before").agg(F.count("*").alias("n"))
-    frequent = by_context.groupBy("host", "line").agg(F.sum("n").alias("docs"), F.count("*").alias("contexts"))
-    frequent = frequent.where((F.col("docs") >= min_docs) & (F.col("contexts") >= min_contexts))
-    hosts = lines.groupBy("host", "print").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("host_docs"))
-    boilerplate = frequent.join(hosts, "host").where(1000 * F.col("docs") > per_mille * F.col("host_docs")).select("host", "line")
-    removed = lines.join(boilerplate, ["host", "line"]).groupBy("host", "print").agg(F.sum("words").alias("removed"))
+    number = lambda x: F.conv(F.substring(F.md5(x), 1, 15), 16, 10).cast("long")
+    cells = F.transform(split, lambda x: F.struct(number(x).alias("line"), F.size(F.split(x, " ")).alias("words")))
+    texts = rows.select("host", "print", cells.alias("c")).where(F.size("c") > 0).groupBy("host", "print").agg(F.first("c").alias("c"))
+    hosts = texts.groupBy("host").agg(F.count("*").alias("texts"))
+
+    def above(counted: DataFrame) -> DataFrame:
+        """Lines (host, line, n) over both limits."""
+        return counted.where(F.col("n") >= least).join(hosts, "host").where(100 * F.col("n") > percent * F.col("texts")).select("host", "line")
+
+    held = texts.select("host", F.explode(F.array_distinct(F.transform("c", lambda x: x["line"]))).alias("line"))
+    shared = above(held.groupBy("host", "line").agg(F.count("*").alias("n"))).withColumn("shared", F.lit(True))
+    # Texts stay where they are: their lines meet the few shared ones and come together again by the same key.
+    lines = texts.select("host", "print", F.explode("c").alias("c")).select("host", "print", "c.line", "c.words").join(shared, ["host", "line"], "left")
+    mine = F.col("shared").isNull()
+    sums = lines.groupBy("host", "print").agg(
+        F.sum("words").alias("all"), F.sum(F.when(mine, F.col("words")).otherwise(0)).alias("own"), F.min(F.when(mine, F.col("line"))).alias("first_own"),
+        F.min(F.when(~mine, F.col("line"))).alias("first_shared"), F.collect_list(F.when(~mine, F.struct("line", "words"))).alias("c"),
+    )
+    sums = sums.where(F.size("c") > 0)
+    stands = 100 * F.col("own") >= MIN_LEFT * F.col("all")
+    witness = F.struct(stands.alias("own"), F.when(stands, F.col("first_own")).otherwise(F.col("first_shared")).alias("line"))
+    seen = sums.select("host", witness.alias("witness"), F.explode(F.array_distinct(F.transform("c", lambda x: x["line"]))).alias("line"))
+    boilerplate = above(seen.groupBy("host", "line", "witness").agg(F.lit(1)).groupBy("host", "line").agg(F.count("*").alias("n")))
+    taken = sums.select("host", "print", F.explode("c").alias("c")).select("host", "print", "c.line", "c.words")
+    removed = taken.join(boilerplate, ["host", "line"]).groupBy("host", "print").agg(F.sum("words").alias("removed"))
     counts = text_counts(rows).drop("text")
     joined = counts.join(removed, ["host", "print"], "left").withColumn("n_words_left", F.col("n_words") - F.coalesce("removed", F.lit(0)))
     enough = (F.col("n_words_left") >= MIN_WORDS) & (100 * F.col("n_words_left") >= MIN_LEFT * F.col("n_words"))

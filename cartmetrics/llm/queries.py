@@ -55,7 +55,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_rules(table(spark, sf_dir, "documents"), host="source")
+    return line_rules(table(spark, sf_dir, "documents"), host="source", percent=2.0)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,11 +173,15 @@ b AS (SELECT i.*, len(w) AS n_words, length(array_to_string(w, '')) AS word_char
   list_filter(string_split(text, chr(10)), lambda l: regexp_replace(l, '{SPACE_SQL}', '', 'g') <> '') AS lines, coalesce(z.n, 0) AS n_repeat_words
   FROM i LEFT JOIN z USING (rid)),
 n AS (SELECT host, text, list_filter([lower(trim(regexp_replace(l, '{SPACE_SQL}', ' ', 'g'))) for l in string_split(text, chr(10))], lambda l: l <> '') AS lines FROM (SELECT DISTINCT host, text FROM i)),
-o AS (SELECT host, text, unnest(range(1, len(lines) + 1)) AS pos, lines FROM n),
-h AS (SELECT host, text, pos, lines[pos] AS line, CASE WHEN pos > 1 THEN lines[pos-1] ELSE '' END AS before, len(string_split(lines[pos], ' ')) AS words FROM o),
-e AS (SELECT host, count(DISTINCT text) AS host_docs FROM h GROUP BY host),
-m AS (SELECT host, line, text, min(hash(before)) AS before FROM h GROUP BY ALL),
-c AS (SELECT host, line FROM m JOIN e USING (host) GROUP BY host, line, host_docs HAVING count(*) >= 50 AND count(DISTINCT before) >= 20 AND 1000 * count(*) > host_docs),
+g AS (SELECT host, text, unnest(lines) AS line FROM n),
+h AS (SELECT host, text, line, CAST('0x' || md5(line)[1:15] AS BIGINT) AS no, len(string_split(line, ' ')) AS words FROM g),
+e AS (SELECT host, count(DISTINCT text) AS texts FROM h GROUP BY host),
+s AS (SELECT host, line FROM h JOIN e USING (host) GROUP BY host, line, texts HAVING count(DISTINCT text) >= 3 AND 100 * count(DISTINCT text) > 2 * texts),
+u AS (SELECT host, text, sum(words) AS w, sum(words) FILTER (s.line IS NULL) AS own, min(no) FILTER (s.line IS NULL) AS first_own, min(no) FILTER (s.line IS NOT NULL) AS first_shared
+  FROM h LEFT JOIN s USING (host, line) GROUP BY host, text),
+t AS (SELECT host, text, CASE WHEN 100 * coalesce(own, 0) >= 30 * w THEN 'own ' || first_own ELSE 'shared ' || first_shared END AS witness FROM u),
+c AS (SELECT host, line FROM h JOIN s USING (host, line) JOIN t USING (host, text) JOIN e USING (host) GROUP BY host, line, texts
+  HAVING count(DISTINCT witness) >= 3 AND 100 * count(DISTINCT witness) > 2 * texts),
 r AS (SELECT host, text, sum(words) AS removed FROM h JOIN c USING (host, line) GROUP BY host, text),
 v AS (SELECT doc_id, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_repeat_words,
   n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, n_words - coalesce(removed, 0) AS n_words_left FROM b LEFT JOIN r USING (host, text))

@@ -222,6 +222,32 @@ def test_line_rules_counts_and_boilerplate(spark, odd, none):
     assert line_rules(odd).count() == 7 and line_rules(none).count() == 0
 
 
+def test_line_rules_take_a_banner_at_any_number_of_documents(spark):
+    for n in (6, 300):
+        rows = [(i, "Accept our cookies before you read on\n" + "\n".join(" ".join(f"w{i}x{k}y{j}" for j in range(8)) for k in range(4)), "h") for i in range(n)]
+        got = line_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+        assert {(r.n_words, r.n_words_left, r.kept) for r in got} == {(39, 32, True)}
+        block = [f"navigation entry {k} of the site" for k in range(12)]
+        own = lambda i, k: "\n".join(" ".join(f"w{i}x{m}y{j}" for j in range(4)) for m in range(k))
+        # pages with content of their own show that the block is one, and pages of the block alone go with it
+        pages = [(i, "\n".join([*block, own(i, 12)]), "h") for i in range(n)] + [(1000 + i, "\n".join([*block, own(1000 + i, 5)]), "h") for i in range(n)]
+        got = line_rules(spark.createDataFrame(pages, "doc_id long, text string, source string")).collect()
+        assert {(r.doc_id < 1000, r.n_words_left, r.kept) for r in got} == {(True, 48, True), (False, 20, False)}
+
+
+def test_line_rules_spare_near_copies(spark):
+    rng = random.Random(3)
+    lines = [" ".join(f"c{k}x{j}" for j in range(9)) for k in range(20)]
+    rows = []
+    for i in range(400):
+        own = list(lines)
+        own[rng.randrange(20)] = f"edited in copy {i}"
+        rows.append((i, "\n".join(own), "h"))
+    rows += [(1000 + i, "\n".join(" ".join(f"o{i}x{k}y{j}" for j in range(9)) for k in range(6)), "h") for i in range(800)]
+    got = line_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert all(r.kept for r in got)
+
+
 def test_backoff_scores_equal_the_definition(spark, odd, none):
     rng = random.Random(6)
     texts = [" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 12))) for _ in range(30)] + ["zzz", None, ""]
