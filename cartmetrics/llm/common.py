@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from itertools import chain
@@ -21,16 +20,17 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one where none is set (local tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """A folder of this application in the one that driver and executors share (spark.checkpoint.dir, or the checkpoint
+    folder of the Spark context). There is no local default: a step's table has to be seen by every executor."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{folder.rstrip('/')}/llm-{spark.sparkContext.applicationId}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write df as a table in the shared folder and read it back, so that later steps don't recompute it."""
+    """Write df as a table in the shared folder and read it back, so that later steps don't recompute it. Fails with a
+    ValueError in a session that names no shared folder."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)

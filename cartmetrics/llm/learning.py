@@ -16,6 +16,11 @@ def bounded_ids(ids: DataFrame, most: int, seed: int) -> DataFrame:
     return ids.distinct().orderBy(F.xxhash64(F.lit(seed), "doc_id"), *ids.columns).limit(most)
 
 
+def one_text(texts: DataFrame) -> DataFrame:
+    """One text per doc_id, whatever the number of its rows: what reaches the driver is bounded by ids then."""
+    return texts.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text")
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 

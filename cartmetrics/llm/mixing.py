@@ -94,11 +94,13 @@ def mix_sources(
     count = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long") if tokens is None else tokens
     own = [c for c in docs.columns if c not in ("epoch", "n_tokens", "budget")]
     keys = [f"_leaf{i}" for i in range(len(path))]
-    rows = docs.withColumns({"n_tokens": count} | {k: F.coalesce(F.col(p).cast("string"), F.lit("")) for k, p in zip(keys, path, strict=True)})
+    # The row travels as one value, so that no column of docs can meet a column of the steps.
+    leaf = {k: F.coalesce(F.col(p).cast("string"), F.lit("")).alias(k) for k, p in zip(keys, path, strict=True)}
+    rows = docs.select("doc_id", count.alias("n_tokens"), *leaf.values(), F.struct(*own).alias("row"))
     named = {tuple(k): v for k, v in weights.items()}
     cuts = leaf_cuts(rows.select("doc_id", "n_tokens", *keys), keys, named, share, max_epochs, seed)
-    met = rows.drop("epoch", "budget").join(cuts.withColumnRenamed("epochs", "_epochs").withColumnRenamed("last_key", "_last").drop("tokens"), keys)
+    met = rows.join(cuts.withColumnRenamed("epochs", "_epochs").withColumnRenamed("last_key", "_last").drop("tokens"), keys)
     partial = F.coalesce(order_key(seed, F.col("_epochs"), F.col("doc_id")) <= F.col("_last"), F.lit(False))
     times = F.col("_epochs") + partial.cast("long")
     taken = met.where(times > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), times - 1)))
-    return taken.select(*own, "epoch", "n_tokens", "budget")
+    return taken.select("row.*", "epoch", "n_tokens", "budget")

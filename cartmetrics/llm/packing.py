@@ -2,8 +2,6 @@
 
 Lengths are counted over all documents; dynamic programming over the histogram chooses the bucket
 boundaries with the least padding; inside a bucket, batches of a token budget form in seeded order.
-The histogram is exact up to 2048 tokens and beyond that has 2048 cells for each doubling, so that its
-size is bounded however long the documents are.
 """
 
 from __future__ import annotations
@@ -15,15 +13,14 @@ from pyspark.sql import functions as F
 
 from cartmetrics.llm.common import cut
 
-_CELL_BITS = 12
-#: Groups of a bucket's rows that are numbered in separate tasks.
-GROUPS = 256
+#: Rows of a bucket that one task numbers.
+GROUP_ROWS = 200_000
 
 
-def histogram_cell(length: Column) -> Column:
-    """Number of the histogram cell: the length with all but its leading bits dropped."""
-    drop = F.greatest(F.length(F.bin(length)) - _CELL_BITS, F.lit(0))
-    return F.expr("0").cast("long") + F.floor(length / F.pow(F.lit(2.0), drop)).cast("long") * F.pow(F.lit(2.0), drop).cast("long")
+def histogram_cell(length: Column, bits: int) -> Column:
+    """Number of the histogram cell: the length with all but its `bits` leading binary digits dropped."""
+    drop = F.greatest(F.length(F.bin(length)) - bits, F.lit(0))
+    return F.floor(length / F.pow(F.lit(2.0), drop)).cast("long") * F.pow(F.lit(2.0), drop).cast("long")
 
 
 def optimal_bounds(tops: Sequence[int], counts: Sequence[int], buckets: int) -> list[int]:
@@ -67,36 +64,58 @@ def optimal_bounds(tops: Sequence[int], counts: Sequence[int], buckets: int) ->
     return bounds[::-1]
 
 
-def length_histogram(lengths: DataFrame) -> DataFrame:
+def length_histogram(lengths: DataFrame, bits: int | None = None) -> DataFrame:
     """top (largest length of the cell) and count, for lengths (n_tokens)."""
-    cells = lengths.groupBy(histogram_cell(F.col("n_tokens")).alias("cell")).agg(F.max("n_tokens").alias("top"), F.count("*").alias("count"))
+    cell = F.col("n_tokens") if bits is None else histogram_cell(F.col("n_tokens"), bits)
+    cells = lengths.groupBy(cell.alias("cell")).agg(F.max("n_tokens").alias("top"), F.count("*").alias("count"))
     return cells.select("top", "count")
 
 
-def pack_batches(docs: DataFrame, buckets: int = 8, batch_tokens: int = 16384, seed: int = 0, tokens: Column | None = None) -> DataFrame:
-    """doc_id, n_tokens, bucket (its bound), batch and place for each row of docs (doc_id, text).
+def pack_batches(
+    docs: DataFrame, buckets: int = 8, batch_tokens: int = 16384, seed: int = 0, tokens: Column | None = None,
+    keep: Sequence[str] = (), bits: int | None = None,
+) -> DataFrame:
+    """doc_id, n_tokens, bucket (its bound), batch and place for each row of docs (doc_id, text), and with `keep` these
+    columns and copy (0, 1, ... over rows of one doc_id and text).
 
     A bucket's batch holds as many rows as its bound fits into `batch_tokens`, one at least; only the
     last batch of a bucket holds fewer. Batches are numbered from 0 in each bucket, places in each batch.
     n_tokens: `tokens`, or the number of words of the whole text; null and empty texts have 0. Equal
     lengths share a bucket. Repeated rows are packed each; their order among themselves is open. Null
     doc_ids are packed like others. An empty table gives an empty result. Other columns are ignored.
+
+    The driver gets one number per distinct length, and bounds are optimal. With `bits`, lengths of more binary digits
+    are rounded up within their leading ones: at most 2^bits numbers per doubling, at a loss in padding of at most
+    2^(1 - bits) of the tokens. Rows are ordered by a hash of seed, doc_id and text and dealt into groups by it; equal
+    rows travel as one with their number, so that no task gets the copies of a document.
     """
-    count = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long") if tokens is None else tokens
-    rows = cut(docs.select("doc_id", count.alias("n_tokens")))
-    cells = sorted((r["top"], r["count"]) for r in length_histogram(rows).collect())
+    text = F.coalesce(F.col("text"), F.lit(""))
+    count = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long") if tokens is None else tokens
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    fields = ["doc_id", count.alias("n_tokens"), name.alias("name"), F.xxhash64(F.lit(seed), name, text).alias("order")]
+    kept = [F.struct(*keep).alias("kept"), F.spark_partition_id().alias("part")] if keep else []
+    rows = cut(docs.select(*fields, *kept))
+    cells = sorted((r["top"], r["count"]) for r in length_histogram(rows, bits).collect())
     bounds = optimal_bounds([c[0] for c in cells], [c[1] for c in cells], buckets)
-    if not bounds:
-        empty = rows.where("false")
-        return empty.select("doc_id", "n_tokens", *[F.lit(0).cast("long").alias(c) for c in ("bucket", "batch", "place")])
-    bucket = F.array_min(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b >= F.col("n_tokens")))
-    order = F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    placed = rows.select("*", bucket.alias("bucket"), order.alias("order")).withColumn("group", F.pmod("order", F.lit(GROUPS)))
-    groups = placed.groupBy("bucket", "group").agg(F.count("*").alias("n"))
+    n_groups = max(1, -(-sum(c[1] for c in cells) // GROUP_ROWS))
+    bucket = F.array_min(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds or [0]]), lambda b: b >= F.col("n_tokens")))
+    same = ["n_tokens", "name", "order"]
+    placed = rows.groupBy("doc_id", *same).agg(F.count("*").alias("copies")).withColumns({"bucket": bucket, "group": F.pmod("order", F.lit(n_groups))})
+    groups = placed.groupBy("bucket", "group").agg(F.sum("copies").alias("n"))
     start = F.sum("n").over(Window.partitionBy("bucket").orderBy("group")) - F.col("n")
     starts = cut(groups.select("bucket", "group", start.alias("start")))
     # Groups deal a bucket's rows over tasks; each numbers its own rows from where the group begins.
-    number = F.row_number().over(Window.partitionBy("bucket", "group").orderBy("order", "doc_id", "n_tokens"))
-    numbered = placed.withColumn("i", number).join(starts, ["bucket", "group"]).withColumn("i", F.col("i") - 1 + F.col("start"))
+    upto = F.sum("copies").over(Window.partitionBy("bucket", "group").orderBy("order", "name", "n_tokens"))
+    numbered = placed.withColumn("upto", upto).join(starts, ["bucket", "group"]).withColumn("first", F.col("start") + F.col("upto") - F.col("copies"))
     per = F.greatest(F.lit(1), F.floor(F.lit(batch_tokens) / F.greatest("bucket", F.lit(1)))).cast("long")
-    return numbered.select("doc_id", "n_tokens", "bucket", F.floor(F.col("i") / per).cast("long").alias("batch"), (F.col("i") % per).cast("long").alias("place"))
+    out = ["doc_id", "n_tokens", "bucket", F.floor(F.col("i") / per).cast("long").alias("batch"), (F.col("i") % per).cast("long").alias("place")]
+    if not keep:
+        each = numbered.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+        return each.withColumn("i", F.col("first") + F.col("copy")).select(*out)
+    # Equal rows are told apart by the parts that they were written in, and inside a part by their number.
+    parts = rows.groupBy(*same, "part").agg(F.count("*").alias("n"))
+    parts = parts.withColumn("before", F.sum("n").over(Window.partitionBy(*same).orderBy("part")) - F.col("n")).drop("n")
+    inside = F.row_number().over(Window.partitionBy(*same, "part").orderBy("part")) - 1
+    copies = rows.withColumn("inside", inside).join(parts, [*same, "part"]).withColumn("copy", (F.col("before") + F.col("inside")).cast("long"))
+    each = copies.drop("doc_id").join(numbered, same).withColumn("i", F.col("first") + F.col("copy"))
+    return each.select(*out, "copy", "kept.*") if "doc_id" not in keep else each.select(*out[1:], "copy", "kept.*")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartmetrics.llm.common import chunks
-from cartmetrics.llm.learning import adam, bounded_ids, crc_remainder, fit_logistic, sigmoid
+from cartmetrics.llm.learning import adam, bounded_ids, crc_remainder, fit_logistic, one_text, sigmoid
 
 #: Bound of each of the two samples that the model is fitted on.
 SAMPLE_ROWS = 15_000
@@ -73,7 +73,7 @@ def expand(x: np.ndarray, center: np.ndarray, scale: np.ndarray) -> np.ndarray:
 
 def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     """Share of positives among the unlabelled by the best bin: the least ratio of what the two kinds
-    have above a threshold, with an allowance for small counts."""
+    have above a threshold, with an allowance that grows as the samples shrink (few positives give a prior near 1)."""
     cuts = np.quantile(positive, np.linspace(0.0, 0.95, 96))
     above = lambda s: np.array([(s >= c).mean() for c in cuts])
     slack = 1.0 / np.sqrt(max(len(positive), 1)) + 1.0 / np.sqrt(max(len(unlabelled), 1))
@@ -113,7 +113,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndar
     """Center, scale and weights. labels (doc_id, quality): the rows to learn from."""
     good = F.broadcast(bounded_ids(labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id"), SAMPLE_ROWS, 5))
     some = F.broadcast(bounded_ids(docs.where("doc_id IS NOT NULL").select("doc_id"), SAMPLE_ROWS, 3))
-    p, u = (_feature_rows(docs.join(ids, "doc_id", "left_semi")) for ids in (good, some))
+    p, u = (_feature_rows(one_text(docs.join(ids, "doc_id", "left_semi"))) for ids in (good, some))
     if not len(p) or not len(u):
         return np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(5 * N_FEATURES + 1)
     center = np.median(p, axis=0)
@@ -122,7 +122,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndar
     # A first classifier tells positives from unlabelled; one half fits it, the other half gives the prior.
     first = fit_logistic(np.vstack([ep[::2], eu[::2]]), np.repeat([1.0, 0.0], [len(ep[::2]), len(eu[::2])]), steps=300)
     rank = lambda x: x @ first[:-1]
-    prior = class_prior(rank(ep[1::2]), rank(eu[1::2])) if len(ep) > 20 else 0.8
+    held = (ep[1::2], eu[1::2]) if len(ep) > 1 and len(eu) > 1 else (ep, eu)
+    prior = class_prior(rank(held[0]), rank(held[1]))
     return center, scale, fit_nnpu(ep, eu, prior)
 
 
@@ -133,8 +134,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, divisor: int = 4, held_ou
     `held_out`. The two samples (trusted positives, unlabelled documents) hold SAMPLE_ROWS at most.
 
     Null and empty texts have the features of an empty text. Null labels and labels of absent documents
-    are ignored; without positives or documents every score is 0.5. Repeated rows are scored each; rows
-    without doc_id have held_out null. Other columns are ignored.
+    are ignored; without positives or documents every score is 0.5. The class prior is estimated at any number of rows.
+    Repeated rows are scored each; rows without doc_id have held_out null. An empty table gives no rows. A text is held
+    in one task's memory as a whole. Other columns are ignored.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     known = labels.where(crc_remainder(F.col("doc_id"), divisor) != held_out).groupBy("doc_id").agg(F.min("quality").alias("quality"))

@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
-Lexicon voters hold words and word beginnings (stated ones, and ones mined from a bounded sample of
-labelled rows); pattern voters look at how many and how dense the hits are. The votes of all documents
+Lexicon voters hold words, word beginnings and beginnings that several words share (stated ones, and ones mined from a
+bounded sample of labelled rows); pattern voters look at how many and how dense the hits are, at insults beside a second
+person, at capitals and at repeated marks. The votes of all documents
 give firing rates and co-firing counts, from which a generative label model estimates each voter's
 accuracy and the pairs of voters that are correlated beyond the common cause. Its posterior labels a
 bounded sample, on which a linear classifier over the terms is fitted; that scores all documents.
@@ -20,45 +21,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartmetrics.llm.common import chunks
-from cartmetrics.llm.learning import bounded_ids, crc_remainder, fit_logistic, sigmoid
+from cartmetrics.llm.learning import bounded_ids, crc_remainder, fit_logistic, one_text, sigmoid
 
 #: Insults that the lexicon starts from, as beginnings of words.
 SEED_TERMS = ("idiot", "stupid", "moron", "imbecil", "scum", "disgusting", "pathetic", "worthless", "loser", "bastard", "retard")
-#: Bounds: labelled rows used to mine terms, documents used to fit the classifier, terms in the lexicon.
+#: Bounds: labelled rows used to mine terms, documents used to fit the classifier, terms in the lexicon by default.
 LABELLED_ROWS, FIT_ROWS, MAX_TERMS = 20_000, 20_000, 400
-#: A mined term is in this share of the toxic rows at least, and this share of its rows is toxic at least.
+#: A mined term is in this share of the toxic rows (and in 4) at least, and this share of its rows is toxic at least.
 MIN_COVER, MIN_PRECISION = 0.01, 0.95
-PREFIXES = (4, 5, 6)
+#: The same for beginnings that don't vote and are only features of the classifier; they are in 8 toxic rows at least,
+#: and in more than chance would have it by five standard deviations.
+WEAK_COVER, WEAK_PRECISION, WEAK_DEVIATIONS = 0.025, 0.35, 5
+PREFIXES, TIMES = (4, 5, 6, 7), (2, 3)
 LEXICON_VOTERS = 8
-VOTERS = LEXICON_VOTERS + 3
+#: Voters besides the lexicon's: number and density of hits, an insult beside a second person, all capitals, repeated marks.
+VOTERS = LEXICON_VOTERS + 6
 _WORD = re.compile(r"[^\W\d_]+")
+_MARKS = re.compile(r"[!?]{2,}")
+#: Second persons in the languages of the seed terms.
+SECOND_PERSONS = frozenset(("you", "your", "you're", "du", "dich", "dein", "ihr", "tu", "te", "toi", "vous", "vos", "tú", "ti", "usted", "ustedes"))
+_NEAR = 3
 
 
 def word_terms(text: str | None) -> set[str]:
-    """Words of a text ("=word") and their beginnings ("word-")."""
+    """Words of a text ("=word"), their beginnings ("word-"), and beginnings that several words share ("word-2")."""
     words = set(_WORD.findall(text.lower())) if text else set()
-    return {f"={w}" for w in words} | {f"{w[:n]}-" for w in words for n in PREFIXES if len(w) >= n}
+    shared = Counter(w[:n] for w in words for n in PREFIXES if len(w) >= n)
+    return {f"={w}" for w in words} | {f"{p}-" for p in shared} | {f"{p}-{n}" for p, c in shared.items() for n in TIMES if c >= n}
 
 
 class Lexicon:
-    """Terms, as mined, and which of them the words of a text hit."""
+    """Terms that vote, then weak ones that don't, and which of them the words of a text hit."""
 
-    def __init__(self, terms: Sequence[str]) -> None:
-        self.terms = list(terms)
+    def __init__(self, terms: Sequence[str], weak: Sequence[str] = ()) -> None:
+        self.terms = [*terms, *weak]
         self.index = {t: i for i, t in enumerate(self.terms)}
-        self.lengths = sorted({len(t) - 1 for t in terms if t.endswith("-")})
+        self.several: dict[str, list[tuple[int, int]]] = {}
+        for i, t in enumerate(self.terms):
+            if t[-1].isdigit():
+                self.several.setdefault(t[:-2], []).append((int(t[-1]), i))
+        self.lengths = sorted({len(t) - 1 for t in self.terms if t.endswith("-")})
+        self.stems = sorted({len(p) for p in self.several})
         # Terms with the same beginning vote together, so that no voter repeats another.
-        stems = sorted({t.strip("=-")[:4] for t in self.terms})
-        self.voter = np.array([stems.index(t.strip("=-")[:4]) % LEXICON_VOTERS for t in self.terms], dtype=np.int64)
-        self.seen: dict[str, tuple[int, ...]] = {}
+        first = sorted({t.lstrip("=")[:4] for t in terms})
+        self.voter = [first.index(t.lstrip("=")[:4]) % LEXICON_VOTERS for t in terms] + [-1] * len(weak)
+        self.seen: dict[str, tuple[tuple[int, ...], tuple[str, ...]]] = {}
 
-    def hits(self, word: str) -> tuple[int, ...]:
+    def hits(self, word: str) -> tuple[tuple[int, ...], tuple[str, ...]]:
+        """Terms that the word hits by itself, and its beginnings that count words."""
         found = self.seen.get(word)
         if found is None:
             if len(self.seen) > 500_000:
                 self.seen.clear()
             names = [f"={word}", *[f"{word[:n]}-" for n in self.lengths if len(word) >= n]]
-            found = self.seen[word] = tuple(self.index[n] for n in names if n in self.index)
+            stems = tuple(word[:n] for n in self.stems if len(word) >= n and word[:n] in self.several)
+            found = self.seen[word] = tuple(self.index[n] for n in names if n in self.index), stems
         return found
 
     def rows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -66,19 +83,32 @@ class Lexicon:
         x, votes = np.zeros((len(texts), len(self.terms)), np.float32), np.zeros((len(texts), VOTERS), bool)
         for row, text in enumerate(texts):
             words = _WORD.findall(text.lower()) if text else []
-            distinct, hit_words = 0, 0
+            distinct, hit_words, stems, insults = 0, 0, Counter(), set()
             for word, n in Counter(words).items():
-                if found := self.hits(word):
-                    distinct, hit_words = distinct + 1, hit_words + n
-                    for i in found:
-                        x[row, i] += n
+                found, shared = self.hits(word)
+                for i in found:
+                    x[row, i] += n
+                    if self.voter[i] >= 0:
                         votes[row, self.voter[i]] = True
-            votes[row, LEXICON_VOTERS:] = distinct >= 2, hit_words >= 3, 100 * hit_words >= max(len(words), 1)
+                        insults.add(word)
+                if word in insults:
+                    distinct, hit_words = distinct + 1, hit_words + n
+                stems.update(shared)
+            for stem, n in stems.items():
+                for least, i in self.several[stem]:
+                    if n >= least:
+                        x[row, i] = n
+                        if self.voter[i] >= 0:
+                            votes[row, self.voter[i]] = True
+                            distinct += 1
+            addressed = bool(insults) and any(w in insults and not SECOND_PERSONS.isdisjoint(words[max(0, i - _NEAR) : i + _NEAR + 1]) for i, w in enumerate(words))
+            shouted = bool(words) and text.isupper()
+            votes[row, LEXICON_VOTERS:] = distinct >= 2, hit_words >= 3, 100 * hit_words >= max(len(words), 1), addressed, shouted, bool(text) and _MARKS.search(text) is not None
         return np.log1p(x), votes
 
 
-def mine_terms(docs: DataFrame, labels: DataFrame) -> tuple[list[str], float]:
-    """Lexicon terms from labelled rows (doc_id, toxic), and the share of toxic ones among them."""
+def mine_terms(docs: DataFrame, labels: DataFrame, max_terms: int | None = MAX_TERMS) -> tuple[list[str], list[str], float]:
+    """Terms and weak terms from labelled rows (doc_id, toxic), max_terms of either at most, and the share of toxic rows."""
     chosen = F.broadcast(bounded_ids(labels.select("doc_id", "toxic"), LABELLED_ROWS, 7))
     texts = docs.join(chosen, "doc_id").select("toxic", "text").groupBy(F.md5(F.coalesce("text", F.lit("")))).agg(F.max("toxic").alias("toxic"), F.first("text").alias("text"))
 
@@ -97,12 +127,19 @@ def mine_terms(docs: DataFrame, labels: DataFrame) -> tuple[list[str], float]:
     counts = texts.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(run, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     totals = counts.where("term = ''").first()
     if totals is None or not totals["toxic"]:
-        return [f"{t[:6]}-" for t in SEED_TERMS], 0.05
-    least = max(4, MIN_COVER * totals["toxic"])
-    pure = (F.col("toxic") >= least) & (F.col("toxic") >= MIN_PRECISION * (F.col("toxic") + F.col("clean"))) & (F.col("term") != "")
-    found = counts.where(pure).orderBy(F.desc("toxic"), "term").limit(MAX_TERMS).collect()
+        return [f"{t[:6]}-" for t in SEED_TERMS], [], 0.05
+    seen = F.col("toxic") + F.col("clean")
+
+    def most_seen(least: float, precision: float, more: Column) -> set[str]:
+        kept = counts.where((F.col("toxic") >= least * totals["toxic"]) & (F.col("toxic") >= precision * seen) & (F.col("term") != "") & more)
+        best = kept.orderBy(F.desc("toxic"), "term")
+        return {r["term"] for r in (best if max_terms is None else best.limit(max_terms)).collect()}
+
+    pure = most_seen(MIN_COVER, MIN_PRECISION, F.col("toxic") >= 4) | {f"{t[:6]}-" for t in SEED_TERMS}
     share = totals["toxic"] / (totals["toxic"] + totals["clean"])
-    return sorted({r["term"] for r in found} | {f"{t[:6]}-" for t in SEED_TERMS}), min(max(share, 0.01), 0.5)
+    often = F.col("toxic") - share * seen >= WEAK_DEVIATIONS * F.sqrt(share * (1 - share) * seen)
+    weak = most_seen(WEAK_COVER, WEAK_PRECISION, (F.col("toxic") >= 8) & often & ~F.col("term").startswith("=")) - pure
+    return sorted(pure), sorted(weak), min(max(share, 0.01), 0.5)
 
 
 def vote_moments(docs: DataFrame, lexicon: Lexicon) -> tuple[float, np.ndarray]:
@@ -157,15 +194,15 @@ class LabelModel:
         return sigmoid(odds)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame) -> tuple[Lexicon, np.ndarray]:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, max_terms: int | None = MAX_TERMS) -> tuple[Lexicon, np.ndarray]:
     """The lexicon and the weights of the linear classifier. labels (doc_id, toxic): the rows to learn from."""
     labels = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL")
-    terms, prior = mine_terms(docs, labels)
-    lexicon = Lexicon(terms)
+    terms, weak, prior = mine_terms(docs, labels, max_terms)
+    lexicon = Lexicon(terms, weak)
     model = LabelModel(*vote_moments(docs, lexicon), prior)
     sample = F.broadcast(bounded_ids(docs.where("doc_id IS NOT NULL").select("doc_id"), FIT_ROWS, 11))
     positives = F.broadcast(bounded_ids(labels.where("toxic = 1").select("doc_id"), FIT_ROWS // 4, 13))
-    texts = docs.join(sample, "doc_id", "left_semi").select("text").union(docs.join(positives, "doc_id", "left_semi").select("text"))
+    texts = one_text(docs.join(sample, "doc_id", "left_semi")).union(one_text(docs.join(positives, "doc_id", "left_semi")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
@@ -202,19 +239,21 @@ def known_labels(labels: DataFrame, remainder: int) -> DataFrame:
     return labels.where(crc_remainder(F.col("doc_id"), remainder) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, remainder: int = 5) -> DataFrame:
+def toxicity_scores(docs: DataFrame, labels: DataFrame, remainder: int = 5, max_terms: int | None = MAX_TERMS) -> DataFrame:
     """doc_id, held_out, score, predicted for each row of docs (doc_id, text).
 
     Labels (doc_id, toxic) are learned only from rows whose crc32(doc_id) mod `remainder` is not 0;
     held_out marks the others. At most LABELLED_ROWS of them are used to mine terms and FIT_ROWS
     documents (and a fourth of that of labelled toxic ones) to fit; the vote statistics cover all docs.
+    The lexicon holds max_terms mined terms at most, those in most toxic rows first; None keeps all, which the
+    classifier's matrix of FIT_ROWS rows on the driver has to hold.
 
     Null and empty texts get the score of a text without hits. Null labels and labels of absent
-    documents are ignored; of contradictory ones, toxic wins. Without any toxic label the lexicon
-    is SEED_TERMS. Repeated rows are scored each; rows without doc_id have held_out null. Other columns are ignored.
+    documents are ignored; of contradictory ones, toxic wins. Without any toxic label (or in an empty table) the lexicon
+    is SEED_TERMS. A text is held in one task's memory as a whole. Repeated rows are scored each; rows without doc_id have held_out null. Other columns are ignored.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    lexicon, weights = fit_toxicity(docs, known_labels(labels, remainder))
+    lexicon, weights = fit_toxicity(docs, known_labels(labels, remainder), max_terms)
     score = score_column(lexicon, weights)(F.col("text"))
     scored = docs.select("doc_id", score.alias("score"))
     return scored.select("doc_id", (crc_remainder(F.col("doc_id"), remainder) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -12,13 +12,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartmetrics.llm import html_text, packing, pii
+from cartmetrics.llm.common import shared_folder
 from cartmetrics.llm.line_rules import line_rules
 from cartmetrics.llm.lm_score import backoff_scores
 from cartmetrics.llm.mixing import mix_sources
 from cartmetrics.llm.ngram_join import ngram_jaccard_components, ngram_jaccard_link_counts
 from cartmetrics.llm.quality_pu import quality_scores
 from cartmetrics.llm.topk import exact_top_k
-from cartmetrics.llm.toxicity import toxicity_scores
+from cartmetrics.llm.toxicity import SEED_TERMS, mine_terms, toxicity_scores
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, label string"
 LONG = " ".join(f"word{i % 977}" for i in range(30_000))
@@ -209,6 +210,54 @@ def test_packing_bounds_are_optimal(spark, odd, none):
     assert packing.pack_batches(odd).count() == 7 and packing.pack_batches(none).count() == 0
 
 
+def test_packing_keeps_rows_and_tells_copies_apart(spark):
+    rows = [(i, "w " * (1 + i % 40), f"s{i % 3}", 7) for i in range(300)] + [(None, "same text", "n", 7)] * 500 + [(1, "w w ", "s1", 7)] * 40
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, part int").repartition(6)
+    got = packing.pack_batches(docs, buckets=4, batch_tokens=200, keep=("doc_id", "text", "source", "part")).collect()
+    assert Counter((r.doc_id, r.text, r.source, r.part) for r in got) == Counter(rows)
+    assert len({(r.bucket, r.batch, r.place) for r in got}) == len(rows)
+    assert sorted(r.copy for r in got if r.doc_id is None) == list(range(500)) and sorted(r.copy for r in got if r.doc_id == 1) == list(range(41))
+    sizes = Counter((r.bucket, r.batch) for r in got)
+    assert all(b * n <= 200 or n == 1 for (b, _), n in sizes.items())
+    plain = packing.pack_batches(docs, buckets=4, batch_tokens=200)
+    cells = lambda rows: Counter((r.doc_id, r.n_tokens, r.bucket, r.batch, r.place) for r in rows)
+    assert cells(plain.collect()) == cells(packing.pack_batches(docs.repartition(2), buckets=4, batch_tokens=200).collect()) == cells(got)
+
+
+def test_packing_loss_of_a_rounded_histogram_is_bounded(spark):
+    rng = random.Random(8)
+    lengths = [int(rng.paretovariate(0.8) * 20) for _ in range(3000)]
+    docs = spark.createDataFrame([(i, "", n) for i, n in enumerate(lengths)], "doc_id long, text string, n long")
+    padded = {bits: sum(r.bucket for r in packing.pack_batches(docs, 5, 4096, tokens=F.col("n"), bits=bits).collect()) for bits in (None, 5)}
+    assert padded[None] <= padded[5] <= padded[None] * (1 + 2**-4)
+
+
+def test_mixing_with_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, "a b c", "en", 1, 2, 3, 4, 5, 6) for i in range(10)], "doc_id long, text string, lang string, _epochs int, _last int, _leaf0 int, row int, budget int, key int")
+    out = mix_sources(docs, ["lang"], {}, share=1.0, max_epochs=1)
+    assert out.columns == ["doc_id", "text", "lang", "_epochs", "_last", "_leaf0", "row", "key", "epoch", "n_tokens", "budget"]
+    assert {(r._epochs, r._last, r._leaf0, r.row, r.key, r.budget) for r in out.collect()} == {(1, 2, 3, 4, 6, 30)} and out.count() == 10
+
+
+def test_steps_need_a_shared_folder():
+    class Session:
+        conf = sparkContext = property(lambda self: self)
+        applicationId = "app"
+
+        def __init__(self, setting, checkpoint=None):
+            self.setting, self.checkpoint = setting, checkpoint
+
+        def get(self, key, default):
+            return self.setting or default
+
+        def getCheckpointDir(self):
+            return self.checkpoint
+
+    assert shared_folder(Session("/shared/")) == "/shared/llm-app" and shared_folder(Session(None, "/ck")) == "/ck/llm-app"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session(None))
+
+
 def test_line_rules_counts_and_boilerplate(spark, odd, none):
     shared = [f"Share  this{k} PAGE{k} with your{k} friends{k}" for k in range(5)]
     page = lambda i, n: "\n".join(f"{' '.join(f't{i}x{k}y{j}' for j in range(n))}\n{line}" for k, line in enumerate(shared))
@@ -275,10 +324,27 @@ def test_backoff_scores_equal_the_definition(spark, odd, none):
 
 @pytest.mark.parametrize(("operator", "label"), [(toxicity_scores, "toxic"), (quality_scores, "quality")])
 def test_classifiers_on_held_out_rows(spark, odd, none, operator, label):
-    folder = "/root/testdata/sf0.01"
+    """Recall and precision of each class on held-out rows. Some toxic labels have no trace in the text, hence 0.88."""
+    folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
     rows = operator(docs, labels).where("held_out").join(labels, "doc_id").collect()
-    right = sum(r.predicted == r[label] for r in rows) / len(rows)
-    assert len(rows) > 50 and right >= 0.93
-    assert all(0 <= r.score <= 1 for r in rows)
+    assert len(rows) > 800 and all(0 <= r.score <= 1 for r in rows)
+    least = {("toxic", 1): (0.88, 0.97), ("toxic", 0): (0.99, 0.97), ("quality", 1): (0.98, 0.96), ("quality", 0): (0.85, 0.95)}
+    for value in (0, 1):
+        own, called = [r for r in rows if r[label] == value], [r for r in rows if r.predicted == value]
+        both = sum(r.predicted == value for r in own)
+        recall, precision = least[label, value]
+        assert both >= recall * len(own) and both >= precision * len(called), (label, value, both, len(own), len(called))
     assert operator(odd, labels.limit(0)).count() == 7 and operator(none, labels).count() == 0
+
+
+def test_toxicity_lexicon_takes_all_terms_if_asked(spark):
+    insults = [f"{a}{b}rotz" for a in ("gra", "blu", "tri", "sko") for b in ("ba", "de", "fi", "go", "hu")]
+    rows = [(i, f"this page says {insults[i % 20]} and {insults[(i + 1) % 20]} about text {i}") for i in range(200)]
+    rows += [(1000 + i, f"this page says good things about text {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in rows], "doc_id long, toxic int")
+    terms = {n: mine_terms(docs, labels, n)[0] for n in (5, None)}
+    assert {f"={w}" for w in insults} <= set(terms[None]) and len(terms[5]) == 5 + len(SEED_TERMS)
+    scores = {r.doc_id: r.predicted for r in toxicity_scores(docs, labels, max_terms=None).collect()}
+    assert all(scores[i] == int(i < 1000) for i in scores)
