@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
+import duckdb
 import pytest
 
 import corpus_pipeline
+from cartmetrics.llm.pii import find_spans, redact
 from cartmetrics.llm.queries import ORACLE_SQL, QUERIES
+from cartmetrics.llm.toxicity import toxicity_scores
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -23,12 +27,56 @@ def test_stages_keep_columns_and_take_effect(spark, docs):
     stages = dict(corpus_pipeline.STAGES)
     kept = stages["ngram_jaccard_join"](spark, docs, FOLDER)
     ids = [r.doc_id for r in kept.select("doc_id").collect()]
-    assert kept.columns == corpus_pipeline.COLUMNS and 900_000 in ids and 900_001 not in ids and 900_002 in ids and len(ids) == len(set(ids))
+    # 900002 shares 19 of 22 shingles of five words with 900000
+    assert kept.columns == corpus_pipeline.COLUMNS and 900_000 in ids and 900_001 not in ids and 900_002 not in ids and len(ids) == len(set(ids))
     clean = stages["pii"](spark, docs, FOLDER).where("doc_id = 900002").first()
     assert clean.text.endswith("<EMAIL>") and clean.n_chars == len(clean.text)
     safe = stages["toxicity"](spark, docs, FOLDER)
     assert {900_000, 900_002} <= {r.doc_id for r in safe.select("doc_id").collect()} and safe.count() < docs.count()
     assert stages["mixing"](spark, docs, FOLDER).columns == corpus_pipeline.COLUMNS
+    packed = stages["packing"](spark, docs, FOLDER)
+    assert packed.columns == [*corpus_pipeline.COLUMNS, "epoch", "n_tokens", "bucket", "batch", "place"]
+    assert sorted(map(str, packed.select("doc_id", "text", "lang", "source").collect())) == sorted(map(str, docs.select("doc_id", "text", "lang", "source").collect()))
+
+
+def test_every_stage_takes_odd_rows_and_empty_tables(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, epoch string, bucket int"
+    rows = [(1, None, None, None, None, "x", 1), (2, "", "en", "a", 0, "x", 1), (None, "one two three", "de", "b", 13, "x", 1), (4, "w " * 30_000, "en", None, 1, "x", 1), (4, "w " * 30_000, "en", None, 1, "x", 1)]
+    frame = spark.createDataFrame(rows, schema)
+    sizes = {name: stage(spark, frame, FOLDER).count() for name, stage in corpus_pipeline.STAGES}
+    assert sizes == {"toxicity": 5, "ngram_jaccard_join": 4, "pii": 5, "mixing": sizes["mixing"], "packing": 5}
+    assert all(stage(spark, frame.limit(0), FOLDER).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
+def test_run_equals_the_stages_by_hand(spark):
+    """run() against plain Python over the same decisions of each stage."""
+    out = corpus_pipeline.run(spark, FOLDER).collect()
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    scores = toxicity_scores(spark.read.parquet(f"{FOLDER}/documents.parquet"), spark.read.parquet(f"{FOLDER}/labels.parquet")).collect()
+    safe = sorted(r.doc_id for r in scores if not r.predicted)
+    words = {i: (docs[i].text or "").encode().lower().split() for i in safe}
+    grams = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} or ({tuple(w)} if w else set()) for i, w in words.items()}
+    first = {i: i for i in safe}
+    for i in safe:
+        for j in safe:
+            if j < i and grams[i] & grams[j] and len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j]):
+                a, b = sorted((first[i], first[j]))
+                first = {k: a if v == b else v for k, v in first.items()}
+    left = {i for i in safe if first[i] == i}
+    text = {i: redact(docs[i].text, find_spans(docs[i].text)) for i in left}
+    assert {r.doc_id for r in out} <= left and all(r.text == text[r.doc_id] and r.n_chars == len(r.text) and r.n_tokens == len(r.text.encode().split()) for r in out)
+    # mixing by the SQL of op3 over what was left
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", [(i, text[i], docs[i].lang, docs[i].source) for i in sorted(left)])
+    mixed = con.execute(f"SELECT doc_id, count(*) FROM ({ORACLE_SQL['op3_mixing']}) GROUP BY doc_id").fetchall()
+    assert Counter(r.doc_id for r in out) == Counter(dict(mixed)) and len(out) > 100
+    epochs = Counter(r.doc_id for r in out)
+    assert all(sorted(r.epoch for r in out if r.doc_id == i) == list(range(n)) and n <= 3 for i, n in epochs.items())
+    batches = Counter((r.bucket, r.batch) for r in out)
+    assert all(b * n <= 16384 or n == 1 for (b, _), n in batches.items()) and all(r.n_tokens <= r.bucket for r in out)
+    bounds = sorted({r.bucket for r in out})
+    assert all(r.bucket == min(b for b in bounds if b >= r.n_tokens) for r in out) and len({(r.bucket, r.batch, r.place) for r in out}) == len(out)
 
 
 def test_near_copies_at_five_words_equal_brute_force(spark):
@@ -44,9 +92,9 @@ def test_near_copies_at_five_words_equal_brute_force(spark):
     assert sum(0.8 <= similar(i, i + 1) < 0.9 for i in range(0, 60, 3)) >= 15
     want = {i for i in texts if not any(j < i and similar(i, j) >= 0.8 for j in texts)}
     docs = spark.createDataFrame([(i, " ".join(w), "en", "src1", 1) for i, w in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
-    kept = corpus_pipeline.drop_near_copies(spark, docs, FOLDER, words=5, percent=80)
+    kept = corpus_pipeline.drop_near_copies(spark, docs, FOLDER)
     assert {r.doc_id for r in kept.select("doc_id").collect()} == want and len(want) < len(texts) - 14
-    assert corpus_pipeline.drop_near_copies(spark, docs, FOLDER).count() > len(want)
+    assert corpus_pipeline.drop_near_copies(spark, docs, FOLDER, words=3, percent=90).count() > len(want)
 
 
 def test_every_operator_is_registered():
