@@ -19,13 +19,22 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier doesn't reject."""
+    """Documents that the toxicity classifier doesn't reject: those with a score below 0.5.
+
+    The classifier is fitted on docs and the labels of sf_dir. Null and empty texts have no hits and stay. Repeated rows
+    get the same verdict each; rows without doc_id are judged like others. An empty table gives an empty result.
+    """
     model = fit_toxicity(docs.select("doc_id", "text"), known_labels(table(spark, sf_dir, "labels"), 5))
     return docs.select(*COLUMNS).where(score_column(*model)(F.col("text")) < 0.5)
 
 
-def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str, words: int = 3, percent: int = 90) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest doc_id. Rows without doc_id stay."""
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str, words: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group of near copies, linked by a similarity of `percent` of their shingles of `words` words:
+    the one with the smallest doc_id. Of repeated rows of a doc_id that differ in text one is kept.
+
+    Null and empty texts are linked with nothing and stay. Rows without doc_id stay. An empty table gives an empty
+    result.
+    """
     docs = docs.select(*COLUMNS)
     groups = cut(ngram_jaccard_components(docs, words=words, percent=percent).select("doc_id", "component_id").where("doc_id IS NOT NULL"))
     gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
@@ -40,20 +49,34 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data in their texts replaced by its kind."""
+    """All documents, with personal data in their texts replaced by its kind, and n_chars of the new text.
+
+    Null texts stay null with n_chars null, empty ones empty. Repeated rows are redacted each; an empty table gives an
+    empty result.
+    """
     clean = docs.select(*COLUMNS).withColumn("text", redact_text(F.col("text")))
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents once per epoch that their source's token budget pays for."""
+    """Documents once per epoch that their source's token budget pays for.
+
+    A null source or lang counts as an empty one. Texts without words cost nothing and come with their source's whole
+    epochs; a source without tokens gives nothing. Repeated rows are taken each; an empty table gives an empty result.
+    """
     mixed = mix_sources(docs.select(*COLUMNS).withColumn("domain", domain()), ["domain", "lang", "source"], MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
     return mixed.select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's bucket, batch and place."""
-    return pack_batches(docs, buckets=8, batch_tokens=16384)
+    """The documents' columns, epoch (the copies of a document that mixing made, from 0), n_tokens, and each row's
+    bucket, batch and place.
+
+    Null and empty texts have 0 tokens and are packed like others, as are rows without doc_id, whose equal texts are
+    numbered as epochs of one. An empty table gives an empty result.
+    """
+    packed = pack_batches(docs, buckets=8, batch_tokens=16384, keep=COLUMNS)
+    return packed.select(*COLUMNS, F.col("copy").alias("epoch"), "n_tokens", "bucket", "batch", "place")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -69,6 +92,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir, each written to the shared folder and read again: what pack returns."""
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
     for _, stage in STAGES:
         docs = cut(stage(spark, docs, sf_dir))
