@@ -1,11 +1,11 @@
 """Main text of web pages by composite text density.
 
 A page is read into a tree. Parts that by tag or role are menus, notices, adverts, comments and the like
-don't count, nor do those that are by name, unless they hold most of the page's text. Every other node gets its number of characters per tag, adjusted by the share of
-link text; a node's sum is that of its children's densities. The search starts at the body: the path
-from it to the densest subtree gives the threshold, and among the nodes at or above it the one with
-the largest sum is the main part. An article or main element around it, or a single one inside it, takes
-its place.
+don't count, nor do those that are by name, unless they hold most of the page's text. Names that an article may use for
+its own parts (legal, side, related, ...) only tell something about parts that are mostly links or stand beside the text.
+Every other node gets its number of characters per tag, adjusted by the share of link text; a node's sum is that of its
+children's densities. The search starts at the body: the path from it to the densest subtree gives the threshold, and
+among the nodes at or above it the one with the largest sum is the main part.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from cartmetrics.llm.common import chunks
 
 #: Fixed values of HTML: elements without content, with raw text, starting a new block, closing an open p.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe xmp template svg".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -45,6 +45,8 @@ NAMES = frozenset(
     " popup modal overlay newsletter subscribe signup login share sharing social related recommended comment comments respond"
     " reply replies disqus discussion pagination pager skip copyright legal disclaimer paywall form search".split()
 )
+#: Of these, names that parts of an article have, too.
+WEAK_NAMES = frozenset("side rail header related recommended discussion copyright legal disclaimer".split())
 #: Names that hold the page rather than part of it are kept even if another word of theirs is listed above.
 KEPT_NAMES = frozenset("article content main post story entry body text page".split())
 #: Words before a listed one that say what a part has or lacks, not what it is.
@@ -60,7 +62,7 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 class Node:
     tag: str
     skip: bool = False
-    named: bool = False
+    named: str = ""
     parent: Node | None = None
     children: list[Node | str] = field(default_factory=list)
     chars: int = 0
@@ -71,45 +73,56 @@ class Node:
     sum: float = 0.0
 
 
-def _is_boilerplate(tag: str, raw: str) -> tuple[bool, bool]:
-    """Whether an element is boilerplate by tag, role or style, and whether it is by its names."""
-    if tag in BOILERPLATE:
-        return True, False
+def _is_boilerplate(tag: str, raw: str, in_article: bool) -> tuple[bool, str]:
+    """Whether an element is boilerplate by tag, role or style, and if by its names: strong or weak. The header of an
+    article is a part of it."""
+    if tag in BOILERPLATE and not (tag == "header" and in_article):
+        return True, ""
     if not raw.strip() or tag in ("html", "body"):
-        return False, False
+        return False, ""
     attributes = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(raw)}
     style = attributes.get("style", "").replace(" ", "").lower()
     if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in style:
-        return True, False
+        return True, ""
     if attributes.get("role", "").lower() in ROLES:
-        return True, False
+        return True, ""
+    named = ""
     for name in ("class", "id"):
         for word in attributes.get(name, "").split():
             parts = [p.lower() for p in _NAME_PARTS.findall(word)]
             said = {p for i, p in enumerate(parts) if not HAVING & set(parts[:i])}
             if said & NAMES and not (said & KEPT_NAMES and not said & {"comment", "comments"}):
-                return False, True
-    return False, False
+                if said & NAMES - WEAK_NAMES:
+                    return False, "strong"
+                named = "weak"
+    return False, named
 
 
 def skip_named(root: Node) -> None:
-    """Skips what is boilerplate by name. A part with most of the page's text stays, unless an article or
-    main element with text is outside of it."""
+    """Skips what is boilerplate by name. A part with most of the page's text stays, unless an article or main element
+    with text is outside of it. A weak name counts if half of the part's text is links, or if no other element than the
+    page holds both it and most of the text."""
     nodes = list(_walk(root))
     if not any(n.named for n in nodes):
         return
-    text, marks = {}, {}
+    text, linked, marks = {}, {}, {}
     for node in reversed(nodes):
         inner = [c for c in node.children if isinstance(c, Node) and not c.skip]
         text[id(node)] = sum(len(" ".join(c.split())) for c in node.children if isinstance(c, str)) + sum(text[id(c)] for c in inner)
+        linked[id(node)] = text[id(node)] if node.tag == "a" else sum(linked[id(c)] for c in inner)
         marks[id(node)] = sum(marks[id(c)] for c in inner) + (node.tag in LANDMARKS and text[id(node)] > 0)
     for node in nodes:
-        around, up = 0, node.parent
-        while node.named and up is not None:
-            around, up = around + (up.tag in LANDMARKS), up.parent
-        if node.named:
-            most = 2 * text[id(node)] > text[id(root)]
-            node.skip = not most or marks[id(root)] > marks[id(node)] + around or around > 0
+        if not node.named:
+            continue
+        around, inside, up = 0, False, node.parent
+        while up is not None:
+            around += up.tag in LANDMARKS
+            inside = inside or up.tag in LANDMARKS or up is not root and 2 * (text[id(up)] - text[id(node)]) > text[id(root)]
+            up = up.parent
+        most = 2 * text[id(node)] > text[id(root)]
+        node.skip = not most or marks[id(root)] > marks[id(node)] + around or around > 0
+        if node.named == "weak" and inside and 2 * linked[id(node)] < max(text[id(node)], 1):
+            node.skip = False
 
 
 def parse(page: str) -> Node:
@@ -158,7 +171,7 @@ def parse(page: str) -> Node:
                 close(name, stop)
         if tag == "hr" or tag in BLOCKS and depth.get("head"):
             close("head")
-        node = Node(tag, *_is_boilerplate(tag, m.group(3)), here)
+        node = Node(tag, *_is_boilerplate(tag, m.group(3), bool(depth.get("article") or depth.get("main"))), here)
         here.children.append(node)
         if tag in RAW and not m.group(4):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
@@ -211,15 +224,7 @@ def main_node(root: Node) -> Node:
     threshold, node = densest.density, densest
     while node is not None:
         threshold, node = min(threshold, node.density), node.parent
-    best = max((n for n in nodes if n.density >= threshold and n.children), key=lambda n: (n.sum, n.chars))
-    # A landmark around it or, if it is the only one, inside it holds the same article whole.
-    node = best
-    while node is not None:
-        if node.tag in LANDMARKS:
-            return node
-        node = node.parent
-    inside = [n for n in _walk(best) if n.tag == "article" and n.chars] or [n for n in _walk(best) if n.tag == "main" and n.chars]
-    return inside[0] if len(inside) == 1 else best
+    return max((n for n in nodes if n.density >= threshold and n.children), key=lambda n: (n.sum, n.chars))
 
 
 def blocks(root: Node) -> list[str]:

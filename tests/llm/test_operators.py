@@ -158,6 +158,42 @@ def test_html_names_do_not_drop_most_of_the_page():
     assert html_text.main_text(f"<body><article>{body}{comments}</article></body>") == f"Head\n{text}"
 
 
+WORDS = "time house water field morning letter window river story market garden winter people summer bridge music paper light".split()
+
+
+def sentences(rng, n):
+    return [" ".join(rng.choice(WORDS) for _ in range(rng.randint(9, 22))).capitalize() + "." for _ in range(n)]
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<div class='content'>{}</div>", "<main><div id='x1'>{}</div></main>", "<div id='page'><div class='col-8'>{}</div></div>", "<table><tr><td>{}</td></tr></table>"])
+def test_html_keeps_all_parts_of_the_article(wrap):
+    """Parts of the article whose names are also those of boilerplate stay, with and without landmarks."""
+    rng = random.Random(len(wrap))
+    for _ in range(25):
+        text = sentences(rng, rng.randint(6, 14))
+        parts = [f"<p>{t}</p>" for t in text]
+        at = rng.sample(range(1, len(parts)), 5)
+        parts[at[0]] = f"<div class='legal'><p>{text[at[0]]}</p></div>"
+        parts[at[1]] = f"<p class='side'>{text[at[1]]}</p>"
+        parts[at[2]] = f"<div class='related-work'>{text[at[2]]}</div>"
+        parts[at[3]] = f"<p>{text[at[3]][:-1]} <math><mi>x</mi><mo>=</mo><mn>2</mn></math>.</p>"
+        parts[at[4]] = f"<section class='discussion'><p>{text[at[4]]}</p></section>"
+        text[at[3]] = f"{text[at[3]][:-1]} x=2."
+        noise = f"<nav><a href=/>Home</a> <a href=/n>News</a></nav><div class='ad'>Buy {rng.choice(WORDS)} now</div>"
+        more = "<div class='related'>" + "".join(f"<a href=/{i}>{rng.choice(WORDS)} {rng.choice(WORDS)}</a> " for i in range(6)) + "</div><footer>All rights reserved</footer>"
+        page = f"<html><body>{noise}{wrap.format(''.join(parts))}{more}</body></html>"
+        assert html_text.main_text(page) == "\n".join(text)
+
+
+def test_html_header_of_an_article_is_its_headline():
+    body = "".join(f"<p>{t}</p>" for t in sentences(random.Random(1), 8))
+    text = "\n".join(sentences(random.Random(1), 8))
+    head = "<header><a href=/>Site</a></header>"
+    assert html_text.main_text(f"<body>{head}<article><header><h1>The headline</h1></header>{body}</article></body>") == f"The headline\n{text}"
+    drop = "<div class='comments'><p>A reader says something.</p></div><div class='share'>Share this</div><form><p>Name</p></form><div class='newsletter'>Sign up</div>"
+    assert html_text.main_text(f"<body>{head}<article>{body}{drop}</article><p class='legal'>Imprint</p></body>") == text
+
+
 def test_top_k_equals_brute_force(spark):
     rng = random.Random(2)
     rows = [(i, [rng.choice([-1, 1]) * rng.random() if i % 7 else 0.25 for _ in range(8)]) for i in range(300)]
