@@ -1,18 +1,16 @@
 """N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix.
 
-The columns (n-grams, by hash) are cut into blocks. Two documents whose set similarity reaches the
-threshold differ in at most k n-grams, k following from their sizes, so of k + 2 blocks two at least
-are equal in both. The block product therefore only has to meet equal blocks: it is an equi-join on
-the hash of a block's content, and documents that share none are below the bound and never become a
-pair. What meets is completed to the exact overlap count from the whole sets.
+Two documents that reach the threshold share at least `percent` % of the n-grams of the larger one. Of the n-grams in
+hash order, the product therefore only has to run over the first n - ceil(percent * n / 100) + 1 columns of a document
+with n of them: documents that meet in none of these columns are below the bound and never become a pair.
 
-Copies are one row of the matrix (a class of equal sets). The documents that share a block form a
+Copies are one row of the matrix (a class of equal sets). The documents that meet in a column form a
 list. No list is expanded into all pairs: its best connected member is compared with the others, the
 components that this proves are merged, and only members of lists that still span several components
-go on. Those of them that have too many n-grams of their own to reach the threshold with any other
-document are dropped from the search by an exact bound. What is left goes through a product of blocks
-of rows, which accumulates all overlap counts of two blocks in a task and returns only links that
-merge components.
+go on. Before the exact overlap of a pair is counted, its sizes and a parity bitmap of the two sets have to allow it.
+Members that have too many n-grams of their own to reach the threshold with any other document are dropped from the
+search by an exact bound. What is left goes through a product of blocks of rows, which accumulates all overlap counts
+of two blocks in a task and returns only links that merge components.
 """
 
 from __future__ import annotations
@@ -28,8 +26,8 @@ from pyspark.sql import functions as F
 from cartmetrics.llm.common import chunks, cut, extend, mix, semi_by_id, word_hashes
 
 
-#: Documents in a block of rows of the last product.
-ROWS = 512
+#: Documents in a block of rows of the last product, and 64-bit words of a parity bitmap.
+ROWS, WORDS = 512, 16
 
 
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
@@ -56,52 +54,21 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     return sets
 
 
-def band_tops(percent: int, largest: int) -> np.ndarray:
-    """Largest sizes of consecutive bands; sizes that can link are in one band or in two that touch."""
-    tops, start = [], 1
-    while start <= largest or len(tops) < 2:
-        after = 100 * start // percent + 1
-        tops.append(after - 1)
-        start = after
-    tops.append(100 * start // percent)
-    return np.array(tops, dtype=np.int64)
+def prefix_columns(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first columns of each set, of which two sets that link share one, and their number by set."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    counts = np.where(sizes > 0, sizes + percent * sizes // -100 + 1, 0)
+    return np.concatenate([*(s[:n] for s, n in zip(sets, counts.tolist(), strict=True)), np.empty(0, np.uint64)]), counts
 
 
-def block_signatures(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the blocks of each set, and their number by set. Every set is cut in two ways: as its
-    own band and as the next one require, so that two sets of neighbouring bands are cut alike once."""
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    values, owner = np.concatenate([*sets, np.empty(0, np.uint64)]), np.repeat(np.arange(len(sets)), sizes)
-    tops = band_tops(percent, int(sizes.max(initial=1)))
-    band = np.searchsorted(tops, sizes)
-    owners, found = [], []
-    for shift in (0, 1):
-        scheme = band + shift
-        differ = 2 * tops[scheme] * (100 - percent) // (100 + percent)
-        blocks = np.where((differ > 0) & (sizes > 0), differ + 2, 0)  # no difference allowed: only copies link
-        base = np.concatenate([[0], np.cumsum(blocks)])
-        seed = mix(scheme.astype(np.uint64) + np.uint64(1))
-        use = blocks[owner] > 0
-        v, o = values[use], owner[use]
-        slot = base[o] + (mix(v ^ seed[o]) % blocks[o].astype(np.uint64)).astype(np.int64)
-        content = mix(v + seed[o])
-        low = np.bincount(slot, (content & np.uint64(0xFFFFFFFF)).astype(np.float64), base[-1]).astype(np.uint64)
-        high = np.bincount(slot, (content >> np.uint64(32)).astype(np.float64), base[-1]).astype(np.uint64)
-        count = np.bincount(slot, minlength=base[-1])
-        of = np.repeat(np.arange(len(sets)), blocks)
-        index = (np.arange(base[-1]) - base[of]).astype(np.uint64)
-        full = count > 0
-        found.append(mix((low + (high << np.uint64(32))) ^ mix(seed[of] + index))[full])
-        owners.append(of[full])
-        # Two blocks at least are equal. If those are empty in both sets, a pair of empty blocks meets.
-        empty = np.flatnonzero(~full)
-        for d in np.flatnonzero(np.bincount(of[empty], minlength=len(sets)) > 1) if len(empty) else []:
-            at = index[empty[of[empty] == d]]
-            i, j = np.triu_indices(len(at), 1)
-            found.append(mix(mix(seed[d : d + 1] ^ np.uint64(0x5E7)) + at[i] * np.uint64(1 << 32) + at[j]))
-            owners.append(np.full(len(i), d))
-    order = np.argsort(np.concatenate(owners), kind="stable")
-    return np.concatenate(found)[order], np.bincount(np.concatenate(owners), minlength=len(sets))
+def parity_words(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set WORDS words of 64 bits; a bit tells whether an odd number of n-grams falls on it. The bits in which
+    two sets differ are at most as many as the n-grams that only one of them has."""
+    out = np.zeros((len(sets), 64 * WORDS), np.uint8)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    bits = (mix(np.concatenate([*sets, np.empty(0, np.uint64)])) % np.uint64(64 * WORDS)).astype(np.int64)
+    np.add.at(out, (owner, bits), 1)  # wraps at 256, which keeps parity
+    return np.packbits(out & 1, axis=1, bitorder="little").view(np.int64)
 
 
 def _list_column(values: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -117,12 +84,13 @@ def _sets_function(words: int, percent: int, what: str) -> Callable[[Iterator[pa
             columns = {"doc_id": part.column("doc_id").combine_chunks(), "n": pa.array(sizes)}
             if what == "grams":
                 columns["grams"] = _list_column(np.concatenate([*sets, np.empty(0, np.uint64)]), sizes)
+                columns["parity"] = _list_column(parity_words(sets).ravel(), np.full(len(sets), WORDS))
             else:
                 sums = [(s.sum(dtype=np.uint64), mix(s).sum(dtype=np.uint64)) for s in sets]
                 for i, name in enumerate(("k1", "k2")):
                     columns[name] = pa.array(np.array([x[i] for x in sums], dtype=np.uint64).view(np.int64))
                 if what == "blocks":
-                    columns["blocks"] = _list_column(*block_signatures(sets, percent))
+                    columns["blocks"] = _list_column(*prefix_columns(sets, percent))
             yield pa.RecordBatch.from_pydict(columns)
 
     return run
@@ -145,11 +113,20 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sizes and parity bitmaps allow the threshold; only these few numbers are moved."""
+    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
+    met = pairs.join(left, "a").join(right, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    return met.where((100 + percent) * differ <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose exact overlap count reaches the threshold."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
-    met = pairs.join(left, "a").join(right, "b").where((100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")))
+    met = cut(_possible(pairs, sets, percent)).join(left, "a").join(right, "b")
     overlap = met.select("a", "b", (F.col("na") + F.col("nb")).alias("both"), F.size(F.array_intersect("ga", "gb")).alias("common"))
     return overlap.where(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b").distinct()
 
@@ -266,7 +243,7 @@ def ngram_jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90)
     edges = cut(split)
 
     if not shared.isEmpty():
-        sets = cut(semi_by_id(docs, shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").mapInArrow(_sets_function(words, percent, "grams"), "doc_id long, n long, grams array<long>"))
+        sets = cut(semi_by_id(docs, shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").mapInArrow(_sets_function(words, percent, "grams"), "doc_id long, n long, grams array<long>, parity array<long>"))
         everyone = shared.withColumn("comp", F.col("rep"))
         edges = cut(edges.union(_linked(_star(everyone, everyone), sets, percent)))
         labels = components(edges)
@@ -311,7 +288,7 @@ def ngram_jaccard_link_counts(docs: DataFrame, words: int = 3, percent: int = 90
         for part in chunks(batches):
             sets = shingle_sets(part.column("text").to_pylist(), words)
             grams = _list_column(np.concatenate([*sets, np.empty(0, np.uint64)]), np.array([len(s) for s in sets], dtype=np.int64))
-            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id").combine_chunks(), "grams": grams, "blocks": _list_column(*block_signatures(sets, percent))})
+            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id").combine_chunks(), "grams": grams, "blocks": _list_column(*prefix_columns(sets, percent))})
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = cut(docs.mapInArrow(run, "doc_id long, grams array<long>, blocks array<long>").withColumn("v", F.xxhash64("grams")))
