@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartmetrics.llm.common import chunks
+from cartmetrics.llm.common import chunks, cut
 from cartmetrics.llm.learning import bounded_ids, crc_remainder, fit_logistic, one_text, sigmoid
 
 #: Insults that the lexicon starts from, as beginnings of words.
@@ -37,7 +37,7 @@ LEXICON_VOTERS = 8
 #: Voters besides the lexicon's: number and density of hits, an insult beside a second person, all capitals, repeated marks.
 VOTERS = LEXICON_VOTERS + 6
 _WORD = re.compile(r"[^\W\d_]+")
-_MARKS = re.compile(r"[!?]{2,}")
+_MARKS = ("!!", "??", "!?", "?!")
 #: Second persons in the languages of the seed terms.
 SECOND_PERSONS = frozenset(("you", "your", "you're", "du", "dich", "dein", "ihr", "tu", "te", "toi", "vous", "vos", "tú", "ti", "usted", "ustedes"))
 _NEAR = 3
@@ -66,17 +66,27 @@ class Lexicon:
         first = sorted({t.lstrip("=")[:4] for t in terms})
         self.voter = [first.index(t.lstrip("=")[:4]) % LEXICON_VOTERS for t in terms] + [-1] * len(weak)
         self.seen: dict[str, tuple[tuple[int, ...], tuple[str, ...]]] = {}
-
-    def hits(self, word: str) -> tuple[tuple[int, ...], tuple[str, ...]]:
-        """Terms that the word hits by itself, and its beginnings that count words."""
-        found = self.seen.get(word)
-        if found is None:
-            if len(self.seen) > 500_000:
-                self.seen.clear()
-            names = [f"={word}", *[f"{word[:n]}-" for n in self.lengths if len(word) >= n]]
-            stems = tuple(word[:n] for n in self.stems if len(word) >= n and word[:n] in self.several)
-            found = self.seen[word] = tuple(self.index[n] for n in names if n in self.index), stems
-        return found
+        self.without: set[str] = set()
+
+    def hits(self, words: set[str]) -> dict[str, tuple[tuple[int, ...], tuple[str, ...]]]:
+        """Of the words that hit anything: terms that they hit by themselves, and their beginnings that count words."""
+        if len(self.without) > 500_000:
+            self.without.clear()
+        out = {}
+        for word in words - self.without:
+            found = self.seen.get(word)
+            if found is None:
+                names = [f"={word}", *[f"{word[:n]}-" for n in self.lengths if len(word) >= n]]
+                stems = tuple(word[:n] for n in self.stems if len(word) >= n and word[:n] in self.several)
+                found = tuple(self.index[n] for n in names if n in self.index), stems
+                if not found[0] and not stems:
+                    self.without.add(word)
+                    continue
+                if len(self.seen) > 500_000:
+                    self.seen.clear()
+                self.seen[word] = found
+            out[word] = found
+        return out
 
     def rows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Log counts of the terms, and the votes, of each text."""
@@ -84,8 +94,8 @@ class Lexicon:
         for row, text in enumerate(texts):
             words = _WORD.findall(text.lower()) if text else []
             distinct, hit_words, stems, insults = 0, 0, Counter(), set()
-            for word, n in Counter(words).items():
-                found, shared = self.hits(word)
+            for word, (found, shared) in self.hits(set(words)).items():
+                n = words.count(word)
                 for i in found:
                     x[row, i] += n
                     if self.voter[i] >= 0:
@@ -103,7 +113,7 @@ class Lexicon:
                             distinct += 1
             addressed = bool(insults) and any(w in insults and not SECOND_PERSONS.isdisjoint(words[max(0, i - _NEAR) : i + _NEAR + 1]) for i, w in enumerate(words))
             shouted = bool(words) and text.isupper()
-            votes[row, LEXICON_VOTERS:] = distinct >= 2, hit_words >= 3, 100 * hit_words >= max(len(words), 1), addressed, shouted, bool(text) and _MARKS.search(text) is not None
+            votes[row, LEXICON_VOTERS:] = distinct >= 2, hit_words >= 3, 100 * hit_words >= max(len(words), 1), addressed, shouted, bool(text) and any(m in text for m in _MARKS)
         return np.log1p(x), votes
 
 
@@ -125,6 +135,7 @@ def mine_terms(docs: DataFrame, labels: DataFrame, max_terms: int | None = MAX_T
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]], names=["term", "toxic", "clean"])
 
     counts = texts.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(run, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = cut(counts.where("toxic >= 4 OR term = ''"))
     totals = counts.where("term = ''").first()
     if totals is None or not totals["toxic"]:
         return [f"{t[:6]}-" for t in SEED_TERMS], [], 0.05
