@@ -169,6 +169,17 @@ def volume_to_kg(
     return lookup(norm_key(unit), factors) * volume
 
 
+# Litres or kilograms per unit of size, by business unit.
+SIZE_FACTORS = {"WATERS": 1.0, "EDP": 0.1}
+
+
+def volume_by_unit_factor(
+    unit: Column, pieces: Column, size: Column, factors: Mapping[str, float] = SIZE_FACTORS
+) -> Column:
+    """Pieces times size times the factor of the business unit; a unit without a factor gives NULL."""
+    return pieces * size * lookup(norm_key(unit), factors)
+
+
 def lookup(key: Column, table: Mapping[str, object]) -> Column:
     """Value of a small fixed mapping as an expression, NULL when the key is absent."""
     pairs = [F.lit(x) for item in table.items() for x in item]

@@ -11,44 +11,79 @@ from pyspark.sql import functions as F
 from cartmetrics.functions import labels
 from cartmetrics.functions.scalars import norm_key, null_column, safe_divide, surrogate_key
 from cartmetrics.operators.joins import first_row_dedup, mapping_left_join, unique_row
+from cartmetrics.operators.std import dim_channel
 
 # --- markets -----------------------------------------------------------------------------------
 
 
-def market_catalog(live: DataFrame, seed: DataFrame, reference: DataFrame | None = None) -> DataFrame:
-    """Live market labels (source_cbu, mrkt_dsc_shrt) with the confirmed seed rows of their unit.
+# The columns of the market catalog, in their order.
+MARKET_COLUMNS = (
+    "market_key", "mrkt_dsc_shrt", "mrkt_dsc_shrt_norm", "canal_std", "canal_lvl1", "canal_lvl2", "agg_level", "region_type",
+    "region_std", "region_detail", "is_total_mexico", "is_scanning", "source_cbu", "source_table", "nielsen_source_table",
+    "promoted", "confirmation_status", "catalog_date", "catalog_version", "notes",
+)
+SEED_PAYLOAD = ("canal_lvl1", "canal_lvl2", "canal_std", "agg_level", "region_type", "region_std", "region_detail", "review_status")
+
+
+def _labels(df: DataFrame) -> DataFrame:
+    """One row per unit and normalized label, with the first raw spelling and the tables it came from."""
+    have = [F.min(c).alias(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in ("source_table", "nielsen_source_table")]
+    named = df.withColumn("mrkt_dsc_shrt_norm", norm_key(F.col("mrkt_dsc_shrt"))).filter(F.col("mrkt_dsc_shrt_norm").isNotNull())
+    return named.groupBy("source_cbu", "mrkt_dsc_shrt_norm").agg(F.min("mrkt_dsc_shrt").alias("mrkt_dsc_shrt"), *have)
+
+
+def market_key_audit(seed: DataFrame, table: str = "market_seed") -> DataFrame:
+    """The duplicate audit of a market seed, which stands before every deduplication, as check rows: labels of a unit
+    whose rows differ in channel or review status block (M12), labels with equal copies warn (M12W)."""
+    norm = norm_key(F.col("mrkt_dsc_shrt")).alias("mrkt_dsc_shrt_norm")
+    per_label = seed.select("source_cbu", norm, F.struct("canal_std", "review_status").alias("_row")).filter(F.col("mrkt_dsc_shrt_norm").isNotNull())
+    per_label = per_label.groupBy("source_cbu", "mrkt_dsc_shrt_norm").agg(F.count("*").alias("n"), F.min("_row").alias("a"), F.max("_row").alias("b"))
+    differ = ~F.col("a").eqNullSafe(F.col("b"))
+    counts = per_label.agg(F.count_if((F.col("n") > 1) & differ).alias("M12"), F.count_if((F.col("n") > 1) & ~differ).alias("M12W"))
+    rows = [
+        F.struct(
+            F.lit(name).alias("check_id"), F.lit(table).alias("table_name"), F.col(name).cast("double").alias("metric"),
+            F.lit(0.0).alias("threshold"), F.when(F.col(name) > 0, status).otherwise("PASS").alias("status"),
+        )
+        for name, status in (("M12", "BLOCKER"), ("M12W", "WARNING"))
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def market_catalog(
+    live: DataFrame, seed: DataFrame, reference: DataFrame | None = None, run_date: str | None = None, version: str = "v1",
+    on_conflict: str = "error",
+) -> DataFrame:
+    """Live market labels (source_cbu, mrkt_dsc_shrt and, if known, source_table and nielsen_source_table) with the
+    confirmed seed rows of their unit: the twenty columns of MARKET_COLUMNS, one row per unit and normalized label.
 
-    The seed carries (source_cbu, mrkt_dsc_shrt, canal_std, region_std, region_type, review_status).
-    A label without a seed row is PENDING; reference-only labels of other sources stay REFERENCE.
-    One row per key: hash of unit and normalized label, promoted rows before pending ones.
+    The seed carries source_cbu, mrkt_dsc_shrt and SEED_PAYLOAD. A label without a seed row is PENDING; reference-only
+    labels of other sources are REFERENCE. Equal copies of a seed row count once; rows of a label that differ fail the
+    job, or give their first with ``on_conflict="first"`` (see market_key_audit). Labels are told apart by themselves:
+    market_key, a shortened hash, identifies a row for readers and decides nothing here.
     """
-    payload = ["canal_std", "region_std", "region_type", "review_status"]
-    labelled = live.select("source_cbu", norm_key(F.col("mrkt_dsc_shrt")).alias("mrkt_norm")).distinct()
-    known = first_row_dedup(
-        seed.select("source_cbu", norm_key(F.col("mrkt_dsc_shrt")).alias("mrkt_norm"), *payload),
-        ["source_cbu", "mrkt_norm"],
-    )
-    found = F.col("review_status").isNotNull()
-    joined = labelled.join(known, ["source_cbu", "mrkt_norm"], "left").withColumn(
-        "promoted", F.when(found, "YES").otherwise("PENDING")
-    )
+    norm = norm_key(F.col("mrkt_dsc_shrt")).alias("mrkt_dsc_shrt_norm")
+    rows = seed.select("source_cbu", norm, *SEED_PAYLOAD).filter(F.col("mrkt_dsc_shrt_norm").isNotNull())
+    on = ["source_cbu", "mrkt_dsc_shrt_norm"]
+    known = unique_row(rows, on) if on_conflict == "error" else first_row_dedup(rows, on)
+    joined = _labels(live).join(known, on, "left")
+    joined = joined.withColumn("promoted", F.when(F.col("review_status").isNotNull(), "YES").otherwise("PENDING"))
     if reference is not None:
-        extra = reference.select("source_cbu", norm_key(F.col("mrkt_dsc_shrt")).alias("mrkt_norm")).distinct()
+        extra = _labels(reference).join(_labels(live).select(*on), on, "left_anti")
         joined = joined.unionByName(extra.withColumn("promoted", F.lit("REFERENCE")), allowMissingColumns=True)
-    keyed = joined.filter(F.col("mrkt_norm").isNotNull()).select(
-        surrogate_key(F.col("source_cbu"), F.col("mrkt_norm")).alias("market_key"),
-        "source_cbu",
-        "mrkt_norm",
-        "canal_std",
-        "region_std",
-        "region_type",
-        "promoted",
-        labels.is_total_mexico(F.col("region_std")).alias("is_total_mexico"),
-        labels.is_scanning(F.col("canal_std")).alias("is_scanning"),
-        F.when(F.col("promoted") == "PENDING", "No match in seed").alias("notes"),
-    )
-    rank = F.when(F.col("promoted") == "YES", 0).when(F.col("promoted") == "PENDING", 1).otherwise(2)
-    return first_row_dedup(keyed, ["market_key"], [rank])
+    promoted = F.col("promoted")
+    date = F.current_date() if run_date is None else F.lit(run_date).cast("date")
+    return joined.withColumns(
+        {
+            "market_key": surrogate_key(F.col("source_cbu"), F.col("mrkt_dsc_shrt_norm")),
+            "is_total_mexico": labels.is_total_mexico(F.col("region_std")),
+            "is_scanning": labels.is_scanning(F.col("canal_std")),
+            "confirmation_status": F.when(promoted == "YES", "CONFIRMED").otherwise(promoted),
+            "catalog_date": date,
+            "catalog_version": F.lit(version),
+            "notes": F.when(promoted == "PENDING", "No match in seed"),
+        }
+    ).select(*MARKET_COLUMNS)
 
 
 def catalog_split(catalog: DataFrame) -> dict[str, DataFrame]:
@@ -78,17 +113,10 @@ def region_level_distribution(df: DataFrame, level: str = "region_type") -> Data
 # --- channels and brands -----------------------------------------------------------------------
 
 
-def channel_catalog(seed: DataFrame) -> DataFrame:
-    """Confirmed seed rows inside the closed vocabularies, keyed by source, column and value."""
-    return seed.filter(
-        (F.col("mapping_status") == "CONFIRMED")
-        & F.col("gran_canal_grp").isin(*labels.CHANNEL_GROUPS)
-        & F.col("channel_standard").isin(*labels.CHANNELS)
-    ).select(
-        surrogate_key(F.col("source_system"), F.col("source_column"), F.col("source_value")).alias("channel_key"),
-        "source_system", "source_column", "source_value", "gran_canal_grp", "channel_standard", "chain_standard",
-        "format_standard", "business_route", "notes",
-    )
+def channel_catalog(seed: DataFrame, run_date: str | None = None, version: str = "v1") -> DataFrame:
+    """The rows of dim_channel, normalized and with the same key over seven columns, as a dated catalog."""
+    date = F.current_date() if run_date is None else F.lit(run_date).cast("date")
+    return dim_channel(seed).withColumns({"catalog_date": date, "catalog_version": F.lit(version)})
 
 
 def brand_variants(sources: Mapping[tuple[str, str], DataFrame]) -> DataFrame:

@@ -136,9 +136,11 @@ def _check_row(df: DataFrame, check_id: str, table: str, metric: Column, thresho
     )
 
 
-def values_outside_vocabulary(df: DataFrame, col: str, vocabulary: DataFrame, allowed: str) -> DataFrame:
-    """Values outside an allowed list that is itself a table, with their row counts."""
-    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count("*").alias("n_rows"))
+def values_outside_vocabulary(df: DataFrame, col: str, vocabulary: DataFrame, allowed: str, rows: str | None = None) -> DataFrame:
+    """Values outside an allowed list that is itself a table, with their row counts; ``rows`` names a column of counts
+    where df is already added up."""
+    number = F.count("*") if rows is None else F.sum(rows)
+    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(number.alias("n_rows"))
     return counts.join(vocabulary.select(F.col(allowed).alias("value")), "value", "left_anti")
 
 
@@ -328,6 +330,37 @@ def threshold_assertions(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("status", F.coalesce("override", status))
 
 
+# The columns of the check log.
+LOG_COLUMNS = (
+    "check_timestamp", "pipeline_layer", "source_table", "check_name", "check_type", "check_result", "actual_value",
+    "threshold_value", "row_count", "batch_id", "error_message",
+)
+#: Kind of a check by the beginning of its id; others are VALUE_RANGE.
+CHECK_TYPES = {
+    "B2": "NULL_RATE", "A4": "NULL_RATE", "A9": "NULL_RATE", "max_null": "NULL_RATE", "B1_": "ROW_COUNT", "R15": "ROW_COUNT",
+    "A8": "ROW_COUNT", "B8": "ROW_COUNT", "min_rows": "ROW_COUNT", "B10": "REFERENTIAL", "A5": "REFERENTIAL", "V1": "REFERENTIAL",
+    "M12": "REFERENTIAL", "H1": "REFERENTIAL",
+}
+
+
+def check_log(results: DataFrame, layer: str, run_id: str, rows: Mapping[str, int] | None = None, at: str | None = None) -> DataFrame:
+    """Check rows in the form of the log: layer, kind, PASS / WARNING / ERROR, number of rows of the table (``rows`` by
+    table, where it is known), run and time. A blocker is an ERROR, and what failed gets a message."""
+    kind = reduce(lambda e, kv: e.when(F.col("check_id").startswith(kv[0]), kv[1]), CHECK_TYPES.items(), F).otherwise("VALUE_RANGE")
+    result = F.when(F.col("status") == BLOCKER, "ERROR").otherwise(F.col("status"))
+    message = F.when(
+        F.col("status") != PASS,
+        F.format_string("%s of %s: %s against %s", "check_id", "table_name", F.col("metric").cast("string"), F.col("threshold").cast("string")),
+    )
+    known = reduce(lambda e, kv: e.when(F.col("table_name") == kv[0], F.lit(kv[1])), (rows or {}).items(), F.when(F.lit(False), F.lit(0)))
+    return results.select(
+        (F.current_timestamp() if at is None else F.lit(at).cast("timestamp")).alias("check_timestamp"), F.lit(layer).alias("pipeline_layer"),
+        F.col("table_name").alias("source_table"), F.col("check_id").alias("check_name"), kind.alias("check_type"),
+        result.alias("check_result"), F.col("metric").alias("actual_value"), F.col("threshold").alias("threshold_value"),
+        known.cast("long").alias("row_count"), F.lit(run_id).alias("batch_id"), message.alias("error_message"),
+    ).select(*LOG_COLUMNS)
+
+
 def quality_gate(results: DataFrame) -> DataFrame:
     """CLEAR, CLEAR WITH WARNINGS or BLOCKED, with the number of each finding."""
     blockers = F.count_if(F.col("status") == BLOCKER)

@@ -168,14 +168,14 @@ def cold_start_prior(
     """Mean weekly units per item; young items borrow the mean of brand and category, and items
     with almost no history get none.
 
-    Sums and counts roll up from item to brand and category, so each level reads the level below.
+    The facts are read once and added up by item; the means of brands and categories come from windows over these rows,
+    which are as many as the product master has.
     """
-    level = weekly.groupBy(item, brand, category).agg(
+    out = weekly.groupBy(item, brand, category).agg(
         F.sum(units).alias("_u"), F.count("*").alias("_n"), F.count_distinct(week).alias("weeks_of_history")
     )
-    by_brand = level.groupBy(brand).agg((F.sum("_u") / F.sum("_n")).alias("_brand_mean"))
-    by_category = level.groupBy(category).agg((F.sum("_u") / F.sum("_n")).alias("_category_mean"))
-    out = level.join(by_brand, brand, "left").join(by_category, category, "left")
+    mean = lambda of: F.sum("_u").over(W.partitionBy(of)) / F.sum("_n").over(W.partitionBy(of))
+    out = out.withColumns({"_brand_mean": mean(brand), "_category_mean": mean(category)})
     weeks = F.col("weeks_of_history")
     own = F.col("_u") / F.col("_n")
     prior = (F.col("_brand_mean") + F.col("_category_mean")) / 2

@@ -85,16 +85,20 @@ def sell_out_std(fact: DataFrame, stores: DataFrame) -> DataFrame:
     return base.join(store, base["store_id"] == store["_store"], "left").drop("_store")
 
 
-def sell_in_consolidated(branches: Sequence[tuple[DataFrame, str, Column]], keys: Sequence[str]) -> DataFrame:
-    """UNION ALL of business units. Each branch is (filtered rows, id prefix, volume expression):
-    one unit reports litres, the other tonnes from kilograms, so volumes are not comparable."""
-    parts = []
-    for rows, prefix, volume in branches:
-        rows = rows.withColumns({"_volume": volume, "cliente_id": F.concat(F.lit(prefix), F.col("cliente"))})
-        parts.append(
-            rows.groupBy(*keys).agg(F.sum("_volume").alias("volumen"), F.sum("revenue_mxn").alias("valor"))
-        )
-    return reduce(lambda a, b: a.unionByName(b), parts)
+def sell_in_consolidated(
+    rows: DataFrame, branches: Sequence[tuple[Column, str, Column]], keys: Sequence[str]
+) -> DataFrame:
+    """All business units from one pass over the rows. Each branch is (condition, id prefix, volume expression): one
+    unit reports litres, the other tonnes from kilograms, so volumes are not comparable. A row counts in every branch
+    whose condition holds, and branches are not added up, as in a UNION ALL of one query per branch."""
+    parts = [
+        F.when(when, F.struct(F.lit(i).alias("_branch"), F.lit(prefix).alias("_prefix"), volume.cast("double").alias("_volume")))
+        for i, (when, prefix, volume) in enumerate(branches)
+    ]
+    each = rows.select("*", F.inline(F.array_compact(F.array(*parts))))
+    each = each.withColumn("cliente_id", F.concat("_prefix", F.col("cliente")))
+    out = each.groupBy(*keys, "_branch").agg(F.sum("_volume").alias("volumen"), F.sum("revenue_mxn").alias("valor"))
+    return out.drop("_branch")
 
 
 def market_facts_std(
@@ -272,26 +276,33 @@ METRIC_NAMES = {
 
 
 def metric_pivot(facts: DataFrame, keys: Sequence[str], names: Mapping[str, str] = METRIC_NAMES) -> DataFrame:
-    """Metric rows -> one column per KPI, then one per metric without a KPI under its own name.
-
-    An absent metric is a NULL column. Aliases of one KPI fill in for each other in list order. The
-    names without a KPI are found by one aggregate; as column names they are bounded by the vocabulary."""
-    unknown = facts.select("metric_name").where(F.col("metric_name").isNotNull() & ~F.col("metric_name").isin(list(names))).distinct()
-    others = sorted(r["metric_name"] for r in unknown.collect())
-    taken = {*keys, *names.values()} & set(others)
-    if taken:
-        raise ValueError(f"metrics are named like other columns: {sorted(taken)}")
-    wide = facts.groupBy(*keys).pivot("metric_name", [*names, *others]).agg(F.sum("metric_value"))
+    """Metric rows -> one column per KPI, and the metrics without a KPI in the map ``other_metrics`` (NULL if none).
+
+    An absent metric is a NULL column. Aliases of one KPI fill in for each other in list order. Facts are added up by
+    key and metric first; what is left per key is as long as the vocabulary. ``unmapped_metrics`` warns of the map.
+    """
+    sums = facts.groupBy(*keys, "metric_name").agg(F.sum("metric_value").cast("double").alias("_sum"))
+    other = F.collect_list(F.when(~F.col("metric_name").isin(list(names)), F.struct("metric_name", "_sum")))
+    wide = sums.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("metric_name") == raw, F.col("_sum"))).alias(f"_m{i}") for i, raw in enumerate(names)], other.alias("_other")
+    )
+    place = {raw: f"_m{i}" for i, raw in enumerate(names)}
     return wide.select(
         *keys,
-        *[
-            F.coalesce(*[F.col(f"`{raw}`") for raw, k in names.items() if k == kpi]).cast("double").alias(kpi)
-            for kpi in dict.fromkeys(names.values())
-        ],
-        *[F.col(f"`{name}`").cast("double").alias(name) for name in others],
+        *[F.coalesce(*[F.col(place[raw]) for raw, k in names.items() if k == kpi]).alias(kpi) for kpi in dict.fromkeys(names.values())],
+        F.when(F.size("_other") > 0, F.map_from_entries("_other")).alias("other_metrics"),
     )
 
 
+def unmapped_metrics(facts: DataFrame, names: Mapping[str, str] = METRIC_NAMES, table: str = "market_facts") -> DataFrame:
+    """Metrics without a KPI as check rows: their name, number of rows and a warning each."""
+    counts = facts.filter(F.col("metric_name").isNotNull() & ~F.col("metric_name").isin(list(names))).groupBy("metric_name").agg(F.count("*").alias("_n"))
+    return counts.select(
+        F.concat(F.lit("W3_unmapped_metric:"), "metric_name").alias("check_id"), F.lit(table).alias("table_name"),
+        F.col("_n").cast("double").alias("metric"), F.lit(0.0).alias("threshold"), F.lit("WARNING").alias("status"),
+    )
+
+
 # Metrics that cannot be added over markets and weeks.
 RATIO_PRICES = {
     "nls_avg_unit_price": ("nls_dollar_sales", "nls_units"),

@@ -79,13 +79,16 @@ def score_distribution(df: DataFrame, score: str, minimum_iqr: float = 15.0) ->
     return out.withColumns({"iqr": iqr, "needs_recalibration": iqr < minimum_iqr})
 
 
-def wape(df: DataFrame, by: Sequence[str], forecast: str = "forecasted_units", actual: str = "actual_units") -> DataFrame:
-    """Sum of absolute errors over sum of actuals, NULL without actuals."""
+def wape(
+    df: DataFrame, by: Sequence[str], forecast: str = "forecasted_units", actual: str = "actual_units", more: Sequence[Column] = ()
+) -> DataFrame:
+    """Sum of absolute errors over sum of actuals, NULL without actuals; ``more`` aggregates go along in the same pass."""
     error = F.sum(F.abs(F.col(forecast) - F.col(actual)))
     return df.groupBy(*by).agg(
         safe_divide(error, F.sum(actual)).alias("wape_actual"),
         F.count_distinct("brand_key").alias("n_brands_evaluated"),
         F.count("*").alias("n_skus_evaluated"),
+        *more,
     )
 
 

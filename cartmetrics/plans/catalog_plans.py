@@ -8,53 +8,76 @@ from pyspark.sql import functions as F
 from cartmetrics.functions import scalars as S
 from cartmetrics.operators import catalogs, std
 from cartmetrics.plans.registry import query, rounded
-from cartmetrics.plans.std_plans import MARKET_EXTRA, SEED_SQL, channel_seed, classified_markets
+from cartmetrics.plans.std_plans import DIM_CHANNEL_SQL, MARKET_EXTRA, SEED_SQL, channel_seed, classified_markets
 from cartmetrics.sources.roles import Tables
 
 UNIT = "(['EDP','WATER_RT','PB','WATER_ST'])[CAST(market_id % 4 + 1 AS INT)]"
 
 
-def live_markets(t: Tables) -> DataFrame:
+def live_markets(t: Tables, *more: str) -> DataFrame:
     """Market labels per unit as they appear in the panel."""
     unit = F.element_at(F.array(*[F.lit(u) for u in ("EDP", "WATER_RT", "PB", "WATER_ST")]), (F.col("market_id") % 4 + 1).cast("int"))
-    return t.markets.select(unit.alias("source_cbu"), "mrkt_dsc_shrt")
+    return t.markets.select(unit.alias("source_cbu"), "mrkt_dsc_shrt", *more)
 
 
 CATALOG = {
     **MARKET_EXTRA,
-    "live": f"SELECT DISTINCT {UNIT} AS source_cbu, UPPER(TRIM(mrkt_dsc_shrt)) AS mrkt_norm FROM markets",
-    "seed": f"""SELECT {UNIT} AS source_cbu, UPPER(TRIM(mrkt_dsc_shrt)) AS mrkt_norm, MIN(canal_lvl2) AS canal_std, MIN(region_std) AS region_std, MIN(region_type) AS region_type, 'CONFIRMED' AS review_status
-                FROM classified WHERE canal_lvl2 NOT IN ('PROXIMIDAD', 'SIN_CLASIFICAR') GROUP BY ALL""",
-    "ref": "SELECT DISTINCT 'IBP' AS source_cbu, UPPER(TRIM(region)) AS mrkt_norm FROM stores",
+    "live": f"SELECT {UNIT} AS source_cbu, UPPER(TRIM(mrkt_dsc_shrt)) AS mrkt_norm, MIN(mrkt_dsc_shrt) AS mrkt_dsc_shrt FROM markets GROUP BY ALL",
+    "seed": f"""SELECT DISTINCT {UNIT} AS source_cbu, UPPER(TRIM(mrkt_dsc_shrt)) AS mrkt_norm, canal_lvl1, canal_lvl2, canal_lvl2 AS canal_std, agg_level, region_type, region_std, region_detail
+                FROM classified WHERE canal_lvl2 NOT IN ('PROXIMIDAD', 'SIN_CLASIFICAR')""",
+    "ref": "SELECT 'IBP' AS source_cbu, UPPER(TRIM(region)) AS mrkt_norm, MIN(region) AS mrkt_dsc_shrt FROM stores GROUP BY ALL",
     "cat": """
-        SELECT source_cbu, mrkt_norm, canal_std, region_std, region_type, CASE WHEN review_status IS NOT NULL THEN 'YES' ELSE 'PENDING' END AS promoted
+        SELECT live.*, canal_std, canal_lvl1, canal_lvl2, agg_level, region_type, region_std, region_detail, 'panel' AS nielsen_source_table,
+               CASE WHEN seed.mrkt_norm IS NOT NULL THEN 'YES' ELSE 'PENDING' END AS promoted
         FROM live LEFT JOIN seed USING (source_cbu, mrkt_norm)
-        UNION ALL SELECT source_cbu, mrkt_norm, NULL, NULL, NULL, 'REFERENCE' FROM ref""",
+        UNION ALL SELECT ref.*, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'REFERENCE' FROM ref""",
 }
 
 
+def market_seed(t: Tables, *more: str) -> DataFrame:
+    known = std.market_label_columns(live_markets(t, *more), "mrkt_dsc_shrt")
+    known = known.filter(~F.col("canal_lvl2").isin("PROXIMIDAD", "SIN_CLASIFICAR"))
+    return known.withColumns({"canal_std": F.col("canal_lvl2"), "review_status": F.lit("CONFIRMED")})
+
+
 def catalog_rows(t: Tables) -> DataFrame:
-    live = live_markets(t)
-    known = std.market_label_columns(live, "mrkt_dsc_shrt")
-    seed = known.filter(~F.col("canal_lvl2").isin("PROXIMIDAD", "SIN_CLASIFICAR")).select(
-        "source_cbu", "mrkt_dsc_shrt", F.col("canal_lvl2").alias("canal_std"), "region_std", "region_type",
-        F.lit("CONFIRMED").alias("review_status"),
-    )
+    """Several markets share a label, so the seed has equal copies of most rows."""
+    live = live_markets(t).withColumn("nielsen_source_table", F.lit("panel"))
     reference = t.stores.select(F.lit("IBP").alias("source_cbu"), F.col("region").alias("mrkt_dsc_shrt"))
-    return catalogs.market_catalog(live, seed, reference)
+    return catalogs.market_catalog(live, market_seed(t), reference, "2024-05-01", "v2")
 
 
 @query(
     roles=("markets", "stores"),
     extra=CATALOG,
-    sql="""SELECT SUBSTR(MD5(source_cbu || '|' || mrkt_norm), 1, 16) AS market_key, source_cbu, mrkt_norm, canal_std, region_std, region_type, promoted,
-                  CASE WHEN region_std = 'TOTAL_MEXICO' THEN 'YES' ELSE 'NO' END AS is_total_mexico, CASE WHEN canal_std LIKE '%SCANNING%' THEN 'YES' ELSE 'NO' END AS is_scanning,
-                  CASE WHEN promoted = 'PENDING' THEN 'No match in seed' END AS notes FROM cat""",
+    sql="""SELECT SUBSTR(MD5(source_cbu || '|' || mrkt_norm), 1, 16) AS market_key, mrkt_dsc_shrt, mrkt_norm AS mrkt_dsc_shrt_norm, canal_std, canal_lvl1, canal_lvl2, agg_level, region_type, region_std,
+                  region_detail, CASE WHEN region_std = 'TOTAL_MEXICO' THEN 'YES' ELSE 'NO' END AS is_total_mexico, CASE WHEN canal_std LIKE '%SCANNING%' THEN 'YES' ELSE 'NO' END AS is_scanning,
+                  source_cbu, CAST(NULL AS VARCHAR) AS source_table, nielsen_source_table, promoted, CASE promoted WHEN 'YES' THEN 'CONFIRMED' ELSE promoted END AS confirmation_status,
+                  DATE '2024-05-01' AS catalog_date, 'v2' AS catalog_version, CASE WHEN promoted = 'PENDING' THEN 'No match in seed' END AS notes FROM cat""",
 )
 def market_catalog(t: Tables) -> DataFrame:
     return catalog_rows(t)
 
 
+@query(
+    roles=("markets",),
+    extra={k: CATALOG[k] for k in MARKET_EXTRA}
+    | {
+        "s": f"""SELECT {UNIT} AS source_cbu, UPPER(TRIM(mrkt_dsc_shrt)) AS mrkt_norm, canal_lvl2 AS canal_std FROM classified WHERE canal_lvl2 NOT IN ('PROXIMIDAD', 'SIN_CLASIFICAR')
+                UNION ALL SELECT {UNIT}, UPPER(TRIM(mrkt_dsc_shrt)), 'OTHER' FROM classified WHERE canal_lvl2 NOT IN ('PROXIMIDAD', 'SIN_CLASIFICAR') AND market_id % 56 = 3""",
+        "k": "SELECT COUNT(*) AS n, COUNT(DISTINCT canal_std) AS v FROM s GROUP BY source_cbu, mrkt_norm",
+        "m": "SELECT COUNT(CASE WHEN v > 1 THEN 1 END) AS conflicts, COUNT(CASE WHEN v = 1 AND n > 1 THEN 1 END) AS copies FROM k",
+    },
+    sql="""SELECT 'M12' AS check_id, 'market_seed' AS table_name, CAST(conflicts AS DOUBLE) AS metric, 0.0::DOUBLE AS threshold, CASE WHEN conflicts > 0 THEN 'BLOCKER' ELSE 'PASS' END AS status FROM m
+           UNION ALL SELECT 'M12W', 'market_seed', CAST(copies AS DOUBLE), 0.0::DOUBLE, CASE WHEN copies > 0 THEN 'WARNING' ELSE 'PASS' END FROM m""",
+)
+def market_key_audit(t: Tables) -> DataFrame:
+    """A seed with equal copies of labels, and some labels under a second channel."""
+    seed = market_seed(t, "market_id")
+    second = F.when(F.col("market_id") % 56 == 3, F.array("canal_std", F.lit("OTHER"))).otherwise(F.array("canal_std"))
+    return catalogs.market_key_audit(seed.withColumn("canal_std", F.explode(second)))
+
+
 @query(
     roles=("markets", "stores"),
     extra=CATALOG,
@@ -84,13 +107,11 @@ def region_level_distribution(t: Tables) -> DataFrame:
 
 
 @query(
-    extra={"seed": SEED_SQL},
-    sql="""SELECT SUBSTR(MD5(CONCAT_WS('|', source_system, source_column, source_value)), 1, 16) AS channel_key, source_system, source_column, source_value, gran_canal_grp, channel_standard,
-                  chain_standard, format_standard, business_route, notes FROM seed
-           WHERE mapping_status = 'CONFIRMED' AND gran_canal_grp IN ('UTT','DTT','INTERNAL') AND channel_standard IN ('MODERNO','TRADICIONAL','INTERNOS')""",
+    extra={"seed": SEED_SQL, "d": DIM_CHANNEL_SQL.format("seed")},
+    sql="SELECT *, DATE '2024-05-01' AS catalog_date, 'v2' AS catalog_version FROM d",
 )
 def channel_catalog(t: Tables) -> DataFrame:
-    return catalogs.channel_catalog(channel_seed(t))
+    return catalogs.channel_catalog(channel_seed(t), "2024-05-01", "v2")
 
 
 BRAND_CATALOG = {

@@ -12,6 +12,7 @@ from cartmetrics.operators.checks import Check, Rule
 
 from cartmetrics.plans.registry import query, rounded
 from cartmetrics.plans.std_plans import channel_seed
+from cartmetrics.sources.readers import config_frame
 from cartmetrics.sources.roles import Tables
 
 
@@ -201,11 +202,12 @@ _one(
 )
 def check_closed_vocabulary(t: Tables) -> DataFrame:
     """Channel values outside the closed list, which is itself a table."""
-    per_customer = t.shipments.join(t.clients, F.col("shp_cus_idt") == F.col("cus_idt"))
+    per_customer = t.shipments.groupBy("shp_cus_idt").agg(F.count("*").alias("n_rows"))
+    per_customer = per_customer.join(t.clients, F.col("shp_cus_idt") == F.col("cus_idt"))
     raw = S.norm_key(F.col("canal_raw"))
-    rows = per_customer.select(F.coalesce(labels.channel_std(raw), raw).alias("channel"))
+    rows = per_customer.select(F.coalesce(labels.channel_std(raw), raw).alias("channel"), "n_rows")
     allowed = channel_seed(t).select("channel_standard").distinct()
-    return checks.values_outside_vocabulary(rows, "channel", allowed, "channel_standard")
+    return checks.values_outside_vocabulary(rows, "channel", allowed, "channel_standard", "n_rows")
 
 
 @query(
@@ -412,29 +414,26 @@ def spend_match_rate(t: Tables) -> DataFrame:
 
 
 
+def _schema_sql(table: str) -> str:
+    """Columns of a given table, named without the table's prefix, with the type names of Spark."""
+    return f"""SELECT 'party' AS table_name, SUBSTR(column_name, 3) AS column_name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' ELSE 'string' END AS type,
+               is_nullable = 'YES' AS nullable FROM information_schema.columns WHERE table_name = '{table}'"""
+
+
 @query(
-    roles=("crosswalk",),
-    extra={
-        "old": "SELECT 'brands' AS table_name, canonical AS column_name, owner AS type, priority % 2 = 0 AS nullable FROM crosswalk WHERE priority < 99 AND priority > 3",
-        "new": "SELECT 'brands' AS table_name, canonical AS column_name, CASE WHEN priority = 10 THEN 'MOVED' ELSE owner END AS type, priority % 4 = 0 AS nullable FROM crosswalk WHERE priority < 23",
-    },
+    extra={"old": _schema_sql("customer"), "new": _schema_sql("supplier")},
     sql="""SELECT * FROM (SELECT COALESCE(o.table_name, n.table_name) AS table_name, COALESCE(o.column_name, n.column_name) AS column_name, o.type AS old_type, o.nullable AS old_nullable, n.type AS new_type, n.nullable AS new_nullable,
                   CASE WHEN o.type IS NULL THEN 'ADDED' WHEN n.type IS NULL THEN 'DROPPED' WHEN o.type <> n.type THEN 'TYPE_CHANGED' WHEN o.nullable <> n.nullable THEN 'NULLABILITY_CHANGED' END AS change
                   FROM old o FULL JOIN new n ON o.table_name = n.table_name AND o.column_name = n.column_name) WHERE change IS NOT NULL""",
 )
 def schema_drift(t: Tables) -> DataFrame:
-    """Two catalogs of (table, column, type, nullable) rows; here brand entries stand for columns."""
-    base = t.crosswalk.filter("priority < 99")
-    old = base.filter("priority > 3").select(
-        F.lit("brands").alias("table_name"), F.col("canonical").alias("column_name"), F.col("owner").alias("type"),
-        (F.col("priority") % 2 == 0).alias("nullable"),
-    )
-    new = base.filter("priority < 23").select(
-        F.lit("brands").alias("table_name"), F.col("canonical").alias("column_name"),
-        F.when(F.col("priority") == 10, "MOVED").otherwise(F.col("owner")).alias("type"),
-        (F.col("priority") % 4 == 0).alias("nullable"),
-    )
-    return checks.schema_drift(old, new)
+    """The schema of customers against that of suppliers, as if one table had been replaced by the other."""
+
+    def columns(df: DataFrame) -> DataFrame:
+        bare = df.toDF(*[c[2:] for c in df.columns])
+        return config_frame(t.spark, checks.schema_rows(bare, "party"), "table_name string, column_name string, type string, nullable boolean")
+
+    return checks.schema_drift(columns(t.customer), columns(t.supplier))
 
 
 @query(

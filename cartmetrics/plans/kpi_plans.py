@@ -141,10 +141,11 @@ CONSOLIDATED_SQL = """
 )
 def sell_in_consolidated(t: Tables) -> DataFrame:
     rows = t.sell_in.withColumn("cliente", F.col("shp_cus_idt"))
-    water = std.code_exclusion_filter(rows.filter("cbu = 'WATERS'"), {"dis_chl_cod": ["A"], "mat_idt": ["7", "11"]})
-    dairy = std.code_exclusion_filter(rows.filter("cbu = 'EDP'"), {"dis_chl_cod": ["N"], "marca_std": ["BRAND#3"]})
-    branches = [(water, "0068", F.col("volume_liter")), (dairy, "0049", F.col("volume_kgr") / 1000)]
-    out = kpi.sell_in_consolidated(branches, ["fecha_month", "marca_std", "cliente", "cliente_id"])
+    c = F.col
+    water = (c("cbu") == "WATERS") & ~c("dis_chl_cod").isin("A") & ~c("mat_idt").isin("7", "11")
+    dairy = (c("cbu") == "EDP") & ~c("dis_chl_cod").isin("N") & ~c("marca_std").isin("BRAND#3")
+    branches = [(water, "0068", c("volume_liter")), (dairy, "0049", c("volume_kgr") / 1000)]
+    out = kpi.sell_in_consolidated(rows, branches, ["fecha_month", "marca_std", "cliente", "cliente_id"])
     return rounded(out, 4, valor=2)
 
 
@@ -221,7 +222,17 @@ SOME_NAMES = {raw: name for raw, name in kpi.METRIC_NAMES.items() if raw != "U"}
     + " FROM wide",
 )
 def metric_pivot(t: Tables) -> DataFrame:
-    return rounded(kpi.metric_pivot(t.market_rows, ["fecha_month", "mrkt_dsc_shrt", "canal_std"], SOME_NAMES), 2)
+    wide = kpi.metric_pivot(t.market_rows, ["fecha_month", "mrkt_dsc_shrt", "canal_std"], SOME_NAMES)
+    return rounded(wide.withColumn("U", F.col("other_metrics")["U"]).drop("other_metrics"), 2)
+
+
+@query(
+    roles=("market_rows",),
+    sql="""SELECT 'W3_unmapped_metric:' || metric_name AS check_id, 'market_facts' AS table_name, CAST(COUNT(*) AS DOUBLE) AS metric, 0.0::DOUBLE AS threshold, 'WARNING' AS status
+           FROM market_rows WHERE metric_name = 'U' GROUP BY metric_name""",
+)
+def unmapped_metrics(t: Tables) -> DataFrame:
+    return kpi.unmapped_metrics(t.market_rows, SOME_NAMES)
 
 
 @query(roles=("market_rows",), extra={"wide": PIVOT_SQL}, sql=_market_master_sql("wide"))

@@ -459,9 +459,9 @@ def volume_to_kg(t: Tables) -> DataFrame:
 def volume_by_unit_factor(t: Tables) -> DataFrame:
     """Pieces times litres or kilograms per piece, by business unit."""
     per_product = t.shipments.groupBy("mat_idt").agg(F.sum("sku_qty").alias("pieces"))
-    factor = F.when(F.col("cbu") == "WATERS", F.col("size")).otherwise(F.col("size") / 10.0)
     joined = per_product.join(t.items.select("mat_idt", "cbu", "size"), "mat_idt")
-    return rounded(joined.groupBy("cbu").agg(F.sum(F.col("pieces") * factor).alias("volume")), 2)
+    volume = S.volume_by_unit_factor(F.col("cbu"), F.col("pieces"), F.col("size"))
+    return rounded(joined.groupBy("cbu").agg(F.sum(volume).alias("volume")), 2)
 
 
 @query(

@@ -46,6 +46,16 @@ def _existing(spark: SparkSession, target: str) -> DataFrame | None:
         raise
 
 
+def append_check_log(log: DataFrame, target: str) -> None:
+    """Append rows of ``checks.check_log`` to the audit trail, a table of the catalog or a path. Rows are only added."""
+    if "/" in target:
+        log.write.mode("append").parquet(target)
+    elif log.sparkSession.catalog.tableExists(target):
+        log.select(*log.sparkSession.table(target).columns).write.mode("append").insertInto(target)
+    else:
+        log.write.mode("append").saveAsTable(target)
+
+
 #: The commit log of a target: one row per batch, or per file of a batch that was read from files.
 COMMITS = "batch_id string, file string, modified timestamp, committed_at timestamp"
 

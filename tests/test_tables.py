@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartmetrics.functions import labels
+from cartmetrics.functions import scalars
 from cartmetrics.operators import catalogs, joins, kpi, models, profiling, series, sets, std
 from cartmetrics.sources import readers, sinks
 from cartmetrics.streaming.ingest import stream_checkpoint, stream_csv_ingest
@@ -155,7 +156,10 @@ def test_metric_aliases_fill_in(spark):
 
 def test_metrics_without_a_kpi_are_kept(spark):
     facts = spark.createDataFrame([("a", "U", 2.0), ("a", "NEW METRIC", 3.0), ("b", None, 4.0)], "k string, metric_name string, metric_value double")
-    assert rows(kpi.metric_pivot(facts, ["k"]).select("k", "nls_units", "NEW METRIC"), "k") == [("a", 2.0, 3.0), ("b", None, None)]
+    out = kpi.metric_pivot(facts, ["k"])
+    assert rows(out.select("k", "nls_units", F.col("other_metrics")["NEW METRIC"]), "k") == [("a", 2.0, 3.0), ("b", None, None)]
+    warned = kpi.unmapped_metrics(facts).collect()
+    assert [(r["check_id"], r["metric"], r["status"]) for r in warned] == [("W3_unmapped_metric:NEW METRIC", 1.0, "WARNING")]
 
 
 def test_master_refuses_samples(spark):
@@ -385,6 +389,69 @@ def test_decay_fit_takes_the_decay_that_made_the_series(spark):
     assert stock == pytest.approx([(r[3] - 5) / 2 for r in data[:150]])
 
 
+SEED = "source_cbu string, mrkt_dsc_shrt string, canal_lvl1 string, canal_lvl2 string, canal_std string, agg_level string, region_type string, region_std string, region_detail string, review_status string"
+
+
+def test_market_catalog_has_its_columns_and_stops_on_conflicts(spark):
+    def row(label, channel, status="CONFIRMED"):
+        return ("EDP", label, "L1", channel, channel, "DETAIL", "AREA", "AREA 1", None, status)
+
+    live = spark.createDataFrame([("EDP", " Modern 1"), ("EDP", "MODERN 1"), ("EDP", "new"), ("PB", "modern 1")], "source_cbu string, mrkt_dsc_shrt string")
+    seed = spark.createDataFrame([row("modern 1", "MODERN SCANNING"), row("MODERN 1 ", "MODERN SCANNING"), row("gone", "X")], SEED)
+    reference = spark.createDataFrame([("EDP", "NEW"), ("IBP", "north")], "source_cbu string, mrkt_dsc_shrt string")
+    out = catalogs.market_catalog(live, seed, reference, "2024-01-01")
+    assert tuple(out.columns) == catalogs.MARKET_COLUMNS and len(out.columns) == 20
+    got = {(r["source_cbu"], r["mrkt_dsc_shrt_norm"]): r for r in out.collect()}
+    assert {k: r["promoted"] for k, r in got.items()} == {("EDP", "MODERN 1"): "YES", ("EDP", "NEW"): "PENDING", ("PB", "MODERN 1"): "PENDING", ("IBP", "NORTH"): "REFERENCE"}
+    known = got["EDP", "MODERN 1"]
+    assert (known["is_scanning"], known["confirmation_status"], known["catalog_version"], known["notes"]) == ("YES", "CONFIRMED", "v1", None)
+    audit = {r["check_id"]: (r["metric"], r["status"]) for r in catalogs.market_key_audit(seed).collect()}
+    assert audit == {"M12": (0.0, "PASS"), "M12W": (1.0, "WARNING")}
+    conflict = seed.union(spark.createDataFrame([row("gone", "Y"), row("modern 1", "OTHER")], SEED))
+    assert {r["check_id"]: r["metric"] for r in catalogs.market_key_audit(conflict).collect()} == {"M12": 2.0, "M12W": 0.0}
+    with pytest.raises(Exception, match="conflicting rows for key EDP"):
+        catalogs.market_catalog(live, conflict).collect()
+    assert catalogs.market_catalog(live, conflict, on_conflict="first").count() == 3
+
+
+def test_channel_catalog_is_normalized_and_has_the_key_of_the_dimension(spark):
+    schema = "source_system string, source_column string, source_value string, gran_canal_grp string, channel_standard string, chain_standard string, format_standard string, business_route string, mapping_status string, notes string"
+    seed = spark.createDataFrame([("waste ", "CANAL", " dtt", "dtt", "tradicional", None, "f", "commercial", "confirmed", "n"), ("WASTE", "CANAL", "x", "DTT", "TRADICIONAL", None, "F", "COMMERCIAL", "PENDING", None)], schema)
+    out = catalogs.channel_catalog(seed, "2024-01-01").collect()
+    assert len(out) == 1 and (out[0]["source_system"], out[0]["source_value"], out[0]["format_standard"]) == ("WASTE", "DTT", "F")
+    assert out[0]["channel_key"] == std.dim_channel(seed).first()["channel_key"] and str(out[0]["catalog_date"]) == "2024-01-01"
+
+
+def test_units_without_a_factor_have_no_volume(spark):
+    df = spark.createDataFrame([("waters ", 3.0, 2), ("EDP", 3.0, 2), ("other", 3.0, 2), (None, 3.0, 2)], "u string, n double, s int")
+    assert [r[0] for r in df.select(scalars.volume_by_unit_factor(F.col("u"), F.col("n"), F.col("s"))).collect()] == [6.0, pytest.approx(0.6), None, None]
+
+
+def test_check_log_is_appended(spark, tmp_path):
+    from cartmetrics.operators import checks
+
+    results = checks.run_checks(spark.range(5).withColumn("k", F.lit(None).cast("string")), "t", [checks.check_not_empty(), checks.check_null_key("k"), checks.check_negative("id")])
+    target = str(tmp_path / "dq_log")
+    for run in ("r1", "r2"):
+        sinks.append_check_log(checks.check_log(results, "SILVER", run, {"t": 5}), target)
+    log = spark.read.parquet(target)
+    assert tuple(log.columns) == checks.LOG_COLUMNS and log.count() == 6
+    got = {r["check_name"]: r for r in log.filter("batch_id = 'r2'").collect()}
+    bad = got["B2_null_key:k"]
+    assert (bad["check_type"], bad["check_result"], bad["actual_value"], bad["row_count"], bad["pipeline_layer"]) == ("NULL_RATE", "ERROR", 5.0, 5, "SILVER")
+    assert bad["error_message"] and got["B1_not_empty"]["error_message"] is None and got["B1_not_empty"]["check_type"] == "ROW_COUNT" and bad["check_timestamp"] is not None
+
+
+def test_facts_are_read_once_or_twice(spark, small_dir):
+    from cartmetrics.plans import REGISTRY
+
+    for name, most in (("cold_start_prior", 1), ("performance_log", 2), ("monthly_mart", 2), ("sell_in_consolidated", 1), ("metric_pivot", 3)):
+        plan = REGISTRY[name](spark, small_dir)._jdf.queryExecution().optimizedPlan().toString()
+        table = "event_id" if name == "metric_pivot" else "l_orderkey|l_partkey"
+        reads = [line for line in plan.splitlines() if "Relation" in line and any(c in line for c in table.split("|"))]
+        assert len(reads) <= most, (name, len(reads))
+
+
 # --- sources and sinks -------------------------------------------------------------------------
 
 
