@@ -290,10 +290,10 @@ def presence_seed(t: Tables) -> DataFrame:
 
 
 SET_SQL = {
-    "lines": "SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS value FROM lineitem WHERE l_quantity > 45",
-    "parts": "SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS value FROM part WHERE p_size > 10",
-    "orders_c": "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS value FROM orders WHERE o_orderstatus = 'F'",
-    "cust": "SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS value FROM customer WHERE c_acctbal > 0",
+    "lines": "SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS value FROM lineitem",
+    "parts": "SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS value FROM part",
+    "orders_c": "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS value FROM orders",
+    "cust": "SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS value FROM customer",
 }
 _NAMES = list(SET_SQL)
 _PAIRS = [(a, b) for i, a in enumerate(_NAMES) for b in _NAMES[i + 1 :]]
@@ -310,27 +310,41 @@ def pairwise_overlap_matrix(t: Tables) -> DataFrame:
     text = lambda df, c: df.select(F.col(c).cast("string").alias("value")).distinct()
     return sets.pairwise_overlap_matrix(
         {
-            "lines": text(t.lineitem.filter("l_quantity > 45"), "l_partkey"),
-            "parts": text(t.part.filter("p_size > 10"), "p_partkey"),
-            "orders_c": text(t.orders.filter("o_orderstatus = 'F'"), "o_custkey"),
-            "cust": text(t.customer.filter("c_acctbal > 0"), "c_custkey"),
+            "lines": text(t.lineitem, "l_partkey"),
+            "parts": text(t.part, "p_partkey"),
+            "orders_c": text(t.orders, "o_custkey"),
+            "cust": text(t.customer, "c_custkey"),
         }
     )
 
 
 @query(
     roles=("sell_in",),
-    extra={"k": "SELECT cbu, fecha_month, SUM(revenue_mxn) AS r, COUNT(*) AS n FROM sell_in GROUP BY ALL"},
-    sql="""SELECT cbu, ROUND(SUM(r), 2) AS direct_total, CAST(SUM(n) AS BIGINT) AS direct_rows, ROUND(SUM(r), 2) AS rolled_total,
-                  CAST(SUM(n) AS BIGINT) AS rolled_rows, 'MATCH' AS status FROM k GROUP BY cbu""",
+    extra={
+        "d": "SELECT cbu, SUM(revenue_mxn) AS t, COUNT(*) AS n FROM sell_in GROUP BY cbu",
+        "k": "SELECT cbu, mat_idt, fecha_month, SUM(revenue_mxn) AS t, COUNT(*) AS n FROM sell_in GROUP BY ALL",
+        "r": "SELECT cbu, SUM(t) AS t, CAST(SUM(n) AS BIGINT) AS n FROM k GROUP BY cbu",
+    },
+    sql="""SELECT d.cbu, ROUND(d.t, 2) AS direct_total, d.n AS direct_rows, ROUND(r.t, 2) AS rolled_total, r.n AS rolled_rows,
+                  CASE WHEN ABS(d.t - r.t) < 0.005 AND d.n = r.n THEN 'MATCH' ELSE 'DIFFERENT' END AS status FROM d JOIN r ON d.cbu IS NOT DISTINCT FROM r.cbu""",
 )
 def sell_in_grain_reconcile(t: Tables) -> DataFrame:
     return rounded(kpi.old_new_grain_reconcile(t.sell_in, ["cbu"], ["mat_idt", "fecha_month"], "revenue_mxn"), 2)
 
 
+_NULLED = {"o_orderkey": "o_orderkey", "some_key": "NULLIF(o_orderkey % 60, 0)", "priority": "NULLIF(SUBSTR(o_orderpriority, 1, 1), '1')"}
+
+
 @query(
-    """SELECT 'o_orderkey' AS column_name, COUNT(*) AS total_rows, COUNT(*) - COUNT(o_orderkey) AS null_rows, 0.0::DOUBLE AS null_pct, 'OK' AS null_flag FROM orders
-       UNION ALL SELECT 'o_orderpriority', COUNT(*), COUNT(*) - COUNT(o_orderpriority), 0.0, 'OK' FROM orders"""
+    extra={
+        "n": " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, COUNT(*) AS total_rows, COUNT(*) - COUNT({e}) AS null_rows FROM orders" for c, e in _NULLED.items()
+        ),
+        "p": "SELECT *, null_rows * 100.0::DOUBLE / total_rows AS pct FROM n",
+    },
+    sql="""SELECT column_name, total_rows, null_rows, ROUND(pct, 6) AS null_pct, CASE WHEN pct > 5 THEN 'HIGH' WHEN pct > 1 THEN 'WARN' ELSE 'OK' END AS null_flag FROM p""",
 )
 def null_rate_orders(t: Tables) -> DataFrame:
-    return checks.null_rate_report(t.orders, ["o_orderkey", "o_orderpriority"])
+    """A full column, one with a few NULLs and one with many."""
+    rows = t.orders.select("o_orderkey", F.expr("nullif(o_orderkey % 60, 0)").alias("some_key"), F.expr("nullif(substr(o_orderpriority, 1, 1), '1')").alias("priority"))
+    return rounded(checks.null_rate_report(rows, list(_NULLED)), 6)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A configuration file is read on the driver and broadcast, so its size is checked first.
-MAX_CONFIG_ROWS = 50_000
+MAX_CONFIG_ROWS, MAX_CONFIG_BYTES = 50_000, 32 * 1024 * 1024
 
 
 def read_source(
@@ -112,9 +112,13 @@ def crosswalk_rows(data: Mapping[str, Any], sections: Mapping[str, str]) -> list
 
 
 def read_mapping_yaml(spark: SparkSession, path: str, sections: Mapping[str, str]) -> DataFrame:
-    """YAML crosswalk as rows (variant, canonical, owner, priority), unique on variant."""
+    """YAML crosswalk as rows (variant, canonical, owner, priority), unique on variant. The parser runs on the driver,
+    so files of more than MAX_CONFIG_BYTES are refused before they are read."""
     import yaml  # optional dependency, only needed for YAML configuration
 
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    if size > MAX_CONFIG_BYTES:
+        raise ValueError(f"{path}: {size} bytes are too many for a configuration file")
     text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
     rows = crosswalk_rows(yaml.safe_load(text), sections)
     return config_frame(spark, rows, "variant string, canonical string, owner string, priority int")
