@@ -1,8 +1,10 @@
 """N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix.
 
 Two documents that reach the threshold share at least `percent` % of the n-grams of the larger one. Of the n-grams in
-hash order, the product therefore only has to run over the first n - ceil(percent * n / 100) + 1 columns of a document
-with n of them: documents that meet in none of these columns are below the bound and never become a pair.
+any fixed order, the product therefore only has to run over the first n - ceil(percent * n / 100) + 1 columns of a
+document with n of them: documents that meet in none of these columns are below the bound and never become a pair.
+The order is that of hashes, with n-grams that a bounded sample found to be frequent (shared passages) last; the sample
+only saves work.
 
 Copies are one row of the matrix (a class of equal sets). The documents that meet in a column form a
 list. No list is expanded into all pairs: its best connected member is compared with the others, the
@@ -23,11 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartmetrics.llm.common import chunks, cut, extend, mix, semi_by_id, word_hashes
+from cartmetrics.llm.common import BROADCAST_IDS, chunks, cut, extend, mix, semi_by_id, word_hashes
 
 
 #: Documents in a block of rows of the last product, and 64-bit words of a parity bitmap.
 ROWS, WORDS = 512, 16
+#: Frequent n-grams: documents of the sample (about), rows of it that hold one at least, the most that are kept.
+SAMPLE_DOCS, SAMPLE_HITS, MOST_FREQUENT = 4000, 3, 100_000
+#: N-grams that one task counts when it looks for those that a document has for itself.
+PART_GRAMS = 1_000_000
 
 
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
@@ -54,11 +60,17 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     return sets
 
 
-def prefix_columns(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first columns of each set, of which two sets that link share one, and their number by set."""
+def prefix_columns(sets: list[np.ndarray], percent: int, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The first columns of each set, of which two sets that link share one, and their number by set. frequent: sorted
+    n-grams that come last."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     counts = np.where(sizes > 0, sizes + percent * sizes // -100 + 1, 0)
-    return np.concatenate([*(s[:n] for s, n in zip(sets, counts.tolist(), strict=True)), np.empty(0, np.uint64)]), counts
+    values, owner = np.concatenate([*sets, np.empty(0, np.uint64)]), np.repeat(np.arange(len(sets)), sizes)
+    if frequent is not None and len(frequent):
+        at = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
+        values = values[np.argsort(2 * owner + (frequent[at] == values), kind="stable")]
+    rank = np.arange(len(values)) - (np.cumsum(sizes) - sizes)[owner]
+    return values[rank < counts[owner]], counts
 
 
 def parity_words(sets: list[np.ndarray]) -> np.ndarray:
@@ -76,26 +88,45 @@ def _list_column(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
 
 
-def _sets_function(words: int, percent: int, what: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _sets_function(words: int, percent: int, what: str, frequent: np.ndarray | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Per row: the columns beside the text, n, and grams, parity, the two keys of the set, or these and its blocks."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
             sets = shingle_sets(part.column("text").to_pylist(), words)
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
-            columns = {"doc_id": part.column("doc_id").combine_chunks(), "n": pa.array(sizes)}
+            columns = {c: part.column(c).combine_chunks() for c in part.column_names if c != "text"} | {"n": pa.array(sizes)}
             if what == "grams":
                 columns["grams"] = _list_column(np.concatenate([*sets, np.empty(0, np.uint64)]), sizes)
+            elif what == "parity":
                 columns["parity"] = _list_column(parity_words(sets).ravel(), np.full(len(sets), WORDS))
             else:
                 sums = [(s.sum(dtype=np.uint64), mix(s).sum(dtype=np.uint64)) for s in sets]
                 for i, name in enumerate(("k1", "k2")):
                     columns[name] = pa.array(np.array([x[i] for x in sums], dtype=np.uint64).view(np.int64))
                 if what == "blocks":
-                    columns["blocks"] = _list_column(*prefix_columns(sets, percent))
+                    columns["blocks"] = _list_column(*prefix_columns(sets, percent, frequent))
             yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
+def frequent_grams(docs: DataFrame, reps: DataFrame, words: int) -> np.ndarray:
+    """Sorted n-grams that several documents of a sample of about SAMPLE_DOCS hold, MOST_FREQUENT at most."""
+    every = max(1, reps.count() // SAMPLE_DOCS)
+    chosen = reps.where(F.pmod(F.xxhash64(F.lit(77), "rep"), F.lit(every)) == 0).select(F.col("rep").alias("doc_id")).distinct()
+    texts = semi_by_id(docs, chosen, "doc_id").groupBy("doc_id").agg(F.first("text").alias("text")).select("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches):
+            grams, held = np.unique(np.concatenate([*shingle_sets(part.column("text").to_pylist(), words), np.empty(0, np.uint64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(held.astype(np.int64))], names=["gram", "c"])
+
+    counts = texts.mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c")).where(F.col("c") >= SAMPLE_HITS)
+    found = counts.orderBy(F.desc("c"), "gram").limit(MOST_FREQUENT).collect()
+    return np.sort(np.array([r["gram"] for r in found], dtype=np.int64).view(np.uint64))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(v, label) for every end of an edge (a, b): the smallest id in its component.
 
@@ -113,21 +144,25 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _possible(pairs: DataFrame, slim: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes and parity bitmaps allow the threshold; only these few numbers are moved."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
+    left = slim.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("parity").alias("pa"))
+    right = slim.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("parity").alias("pb"))
     met = pairs.join(left, "a").join(right, "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    return met.where((100 + percent) * differ <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b")
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose exact overlap count reaches the threshold."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
-    met = cut(_possible(pairs, sets, percent)).join(left, "a").join(right, "b")
-    overlap = met.select("a", "b", (F.col("na") + F.col("nb")).alias("both"), F.size(F.array_intersect("ga", "gb")).alias("common"))
+    return met.where((100 + percent) * differ <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b").distinct()
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (member a, hub b) whose exact overlap count reaches the threshold. Sets are made where the texts are, and
+    move once, to their hub."""
+    few = pairs.count() <= BROADCAST_IDS
+    of = pairs.withColumnRenamed("a", "doc_id")
+    sets = _sets_function(words, percent, "grams")
+    members = docs.join(F.broadcast(of) if few else of, "doc_id").select(F.col("doc_id").alias("a"), "b", "text").mapInArrow(sets, "a long, b long, n long, grams array<long>")
+    hubs = semi_by_id(docs, pairs.select(F.col("b").alias("doc_id")).distinct(), "doc_id").mapInArrow(sets, "doc_id long, n long, grams array<long>")
+    hubs = hubs.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("gb"))
+    overlap = members.join(hubs, "b").select("a", "b", (F.col("n") + F.col("nb")).alias("both"), F.size(F.array_intersect("grams", "gb")).alias("common"))
     return overlap.where(100 * F.col("common") >= percent * (F.col("both") - F.col("common"))).select("a", "b").distinct()
 
 
@@ -139,19 +174,66 @@ def _open_lists(shared: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _star(members: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Each list's best connected candidate with the list's members of other components."""
+    """Each list's best connected candidate (b) with the list's members of other components (a)."""
     hub = candidates.groupBy("block").agg(F.max_by(F.struct("rep", "comp"), F.struct("degree", -F.col("rep"))).alias("hub"))
     met = members.join(hub, "block").where(F.col("comp") != F.col("hub.comp"))
-    return met.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
+    return met.select(F.col("rep").alias("a"), F.col("hub.rep").alias("b")).distinct()
+
+
+def _own_grams(words: int, parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rows (part, doc_id, text_id, n, grams) that send every second n-gram, by hash, to the part that counts it.
+
+    An n-gram that several documents of a batch hold is shared in any case: it goes once, without a document, so that a
+    passage which everyone has is no more than one value per batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            sets = shingle_sets(batch.column("text").to_pylist(), words)
+            sizes = np.array([len(s) for s in sets], dtype=np.int64)
+            text_id = np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)
+            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            flat, owner = np.concatenate([*sets, np.empty(0, np.uint64)]), np.repeat(np.arange(len(sets)), sizes)
+            half = (mix(flat) & np.uint64(1)) == 0
+            flat, owner = flat[half], owner[half]
+            values, inverse, held = np.unique(flat, return_inverse=True, return_counts=True)
+            single = held[inverse] == 1
+            flat, owner = np.concatenate([flat[single], values[held > 1]]), np.concatenate([owner[single], np.full((held > 1).sum(), len(sets))])
+            # every document has a row, even if nothing is left to send
+            owner, flat = np.concatenate([owner, np.arange(len(sets))]), np.concatenate([flat, np.zeros(len(sets), np.uint64)])
+            real = np.arange(len(flat)) < len(flat) - len(sets)
+            part = (mix(flat + np.uint64(1)) % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((part, owner))
+            key = owner[order] * parts + part[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+            own = owner[order][first]
+            known = own < len(sets)
+            counts = np.add.reduceat(real[order].astype(np.int64), first) if len(first) else np.empty(0, np.int64)
+            at = np.minimum(own, max(len(sets) - 1, 0))
+            columns = [pa.array(part[order][first]), pa.array(np.where(known, ids[at], 0), mask=~known), pa.array(text_id[at]), pa.array(sizes[at]), _list_column(flat[order][real[order]], counts)]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "doc_id", "text_id", "n", "grams"])
+
+    return run
+
+
+def _count_own(table: pa.Table) -> pa.Table:
+    """Per document of a part: how many of its n-grams no other document has."""
+    grams = table.column("grams").combine_chunks()
+    counts = np.diff(grams.offsets.to_numpy())
+    _, inverse, held = np.unique(grams.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    own = np.bincount(np.repeat(np.arange(len(counts)), counts), (held[inverse] == 1).astype(np.float64), len(counts)).astype(np.int64)
+    return table.select(["doc_id", "text_id", "n"]).append_column("own", pa.array(own)).filter(table.column("doc_id").is_valid())
 
 
-def _alive(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Members that can still reach the threshold: enough of their n-grams occur in another member."""
+def _alive(members: DataFrame, docs: DataFrame, slim: DataFrame, words: int, percent: int) -> DataFrame:
+    """Members that can still reach the threshold: of every second n-gram, no more than 100 - percent % of all their
+    n-grams may occur in no other member."""
     reps = members.select(F.col("rep").alias("doc_id")).distinct()
-    grams = sets.join(reps, "doc_id").select("doc_id", "n", F.explode("grams").alias("gram"))
-    common = grams.groupBy("gram").agg(F.count("*").alias("c")).where("c > 1").select("gram")
-    kept = grams.join(common, "gram").groupBy("doc_id").agg(F.count("*").alias("c"), F.min("n").alias("n")).where(100 * F.col("c") >= percent * F.col("n"))
-    return members.join(kept.select(F.col("doc_id").alias("rep")), "rep")
+    total = semi_by_id(slim, reps, "doc_id").agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-total // (2 * PART_GRAMS)))
+    sent = semi_by_id(docs, reps, "doc_id").mapInArrow(_own_grams(words, parts), "part long, doc_id long, text_id long, n long, grams array<long>")
+    own = sent.groupBy("part").applyInArrow(_count_own, "doc_id long, text_id long, n long, own long")
+    kept = own.groupBy("doc_id", "text_id", "n").agg(F.sum("own").alias("own")).where(100 * F.col("own") <= (100 - percent) * F.col("n"))
+    return members.join(kept.select(F.col("doc_id").alias("rep")).distinct(), "rep")
 
 
 def block_links(a_ids: np.ndarray, a_comp: np.ndarray, a_sets: list[np.ndarray], b_ids: np.ndarray, b_comp: np.ndarray, b_sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -228,8 +310,9 @@ def ngram_jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90)
     key = "doc_id long, n long, k1 long, k2 long"
     rows = docs.mapInArrow(_sets_function(words, percent, "keys"), key)
     classes = cut(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
-    blocks = docs.where("doc_id IS NOT NULL").mapInArrow(_sets_function(words, percent, "blocks"), f"{key}, blocks array<long>")
-    reps = blocks.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("blocks").alias("blocks"))
+    frequent = frequent_grams(docs, classes.where("rep IS NOT NULL"), words)
+    blocks = docs.where("doc_id IS NOT NULL").mapInArrow(_sets_function(words, percent, "blocks", frequent), f"{key}, blocks array<long>")
+    reps = cut(blocks.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("blocks").alias("blocks")).select("rep", "blocks"))
     cells = reps.select("rep", F.explode("blocks").alias("block"))
     lists = cells.groupBy("block").agg(F.count("*").alias("m")).where("m > 1")
     shared = cut(cells.join(lists, "block"))
@@ -243,13 +326,18 @@ def ngram_jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90)
     edges = cut(split)
 
     if not shared.isEmpty():
-        sets = cut(semi_by_id(docs, shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id").mapInArrow(_sets_function(words, percent, "grams"), "doc_id long, n long, grams array<long>, parity array<long>"))
+        members = semi_by_id(docs, shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
+        slim = cut(members.mapInArrow(_sets_function(words, percent, "parity"), "doc_id long, n long, parity array<long>"))
         everyone = shared.withColumn("comp", F.col("rep"))
-        edges = cut(edges.union(_linked(_star(everyone, everyone), sets, percent)))
+        pairs = cut(_possible(_star(everyone, everyone), slim, percent))
+        edges = cut(edges.union(_linked(pairs, docs, words, percent)))
         labels = components(edges)
         open_ = _open_lists(shared, labels)
-        if not open_.isEmpty():
-            last = cut(_product_links(_alive(open_, sets, percent), sets, percent))
+        alive = cut(_alive(open_, docs, slim, words, percent))
+        if not alive.isEmpty():
+            found = semi_by_id(docs, alive.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
+            sets = cut(found.mapInArrow(_sets_function(words, percent, "grams"), "doc_id long, n long, grams array<long>"))
+            last = cut(_product_links(alive, sets, percent))
             if not last.isEmpty():
                 labels = components(edges.union(last))
     else:
