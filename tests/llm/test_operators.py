@@ -68,6 +68,43 @@ def test_ngram_join_equals_brute_force(spark):
     assert len(set(label.values())) < len(sets) - 20
 
 
+@pytest.mark.parametrize(("words", "percent"), [(5, 80), (3, 90), (2, 60)])
+def test_ngram_join_with_passages_and_chains(spark, monkeypatch, words, percent):
+    """Passages that most texts share, and chains of near copies whose ends don't link: all steps of the search run."""
+    monkeypatch.setattr("cartmetrics.llm.ngram_join.PART_GRAMS", 500)
+    rng = random.Random(words)
+    passage = [f"p{i}" for i in range(40)]
+    texts = {}
+    for c in range(30):
+        base = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([30, 80, 150]))]
+        at = rng.randrange(len(base))
+        base = base[:at] + passage + base[at:] if c % 3 else base
+        for i in range(8):  # every text changes a few more words of the one before
+            texts[100 * c + i] = list(base)
+            for _ in range(max(1, len(base) * (100 - percent) // 100 // words // 3)):
+                base[rng.randrange(len(base))] = f"x{rng.randrange(10**6)}"
+    for i in range(60):
+        texts[5000 + i] = [f"w{rng.randrange(3000)}" for _ in range(25)] + passage
+    grams = {i: {tuple(w[j : j + words]) for j in range(len(w) - words + 1)} for i, w in texts.items()}
+    label = {i: i for i in texts}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    links = 0
+    for a, b in itertools.combinations(sorted(texts), 2):
+        both = len(grams[a] & grams[b])
+        if 100 * both >= percent * len(grams[a] | grams[b]):
+            links += 1
+            x, y = sorted((root(a), root(b)))
+            label[y] = x
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in ngram_jaccard_components(frame, words, percent).collect()}
+    assert got == {i: root(i) for i in texts} and 100 < links and len(set(got.values())) > 60
+
+
 def test_ngram_join_odd_rows(odd, none):
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_jaccard_components(odd).collect())
     assert got == [(0, 1, 6), (1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 977, 4), (4, 977, 4), (6, 1, 6)]
