@@ -1,17 +1,17 @@
 """N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence matrix.
 
 Two documents that reach the threshold share at least `percent` % of the n-grams of the larger one. Of the n-grams in
-any fixed order, the product therefore only has to run over the first n - ceil(percent * n / 100) + 1 columns of a
-document with n of them: documents that meet in none of these columns are below the bound and never become a pair.
-The order is that of hashes, with n-grams that a bounded sample found to be frequent (shared passages) last; the sample
-only saves work.
+any fixed order, the product therefore only has to run over the first n - ceil(percent * n / 100) + k columns of a
+document with n of them: documents that meet in fewer than k of these columns are below the bound. k grows with n, so
+that a document which only shares a passage or common phrases with others is dropped by counting its columns. The order
+is that of hashes, with n-grams that a bounded sample found to be frequent (shared passages) last; the sample only
+saves work.
 
 Copies are one row of the matrix (a class of equal sets). The documents that meet in a column form a
 list. No list is expanded into all pairs: its best connected member is compared with the others, the
 components that this proves are merged, and only members of lists that still span several components
 go on. Before the exact overlap of a pair is counted, its sizes and a parity bitmap of the two sets have to allow it.
-Members that have too many n-grams of their own to reach the threshold with any other document are dropped from the
-search by an exact bound. What is left goes through a product of blocks of rows, which accumulates all overlap counts
+Members that meet documents of other components in fewer than k columns are dropped from the search. What is left goes through a product of blocks of rows, which accumulates all overlap counts
 of two blocks in a task and returns only links that merge components.
 """
 
@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartmetrics.llm.common import BROADCAST_IDS, chunks, cut, extend, mix, semi_by_id, word_hashes
@@ -32,8 +32,6 @@ from cartmetrics.llm.common import BROADCAST_IDS, chunks, cut, extend, mix, semi
 ROWS, WORDS = 512, 16
 #: Frequent n-grams: documents of the sample (about), rows of it that hold one at least, the most that are kept.
 SAMPLE_DOCS, SAMPLE_HITS, MOST_FREQUENT = 4000, 3, 100_000
-#: N-grams that one task counts when it looks for those that a document has for itself.
-PART_GRAMS = 1_000_000
 
 
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
@@ -60,11 +58,19 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     return sets
 
 
+def least_columns(n, percent: int):
+    """k: half of what a set of n n-grams may lose, at least one. For numbers, arrays and integer columns."""
+    half = (100 - percent) * n
+    if isinstance(n, Column):
+        return F.greatest(F.lit(1), F.floor(half / 200)).cast("long")
+    return np.maximum(1, half // 200)
+
+
 def prefix_columns(sets: list[np.ndarray], percent: int, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The first columns of each set, of which two sets that link share one, and their number by set. frequent: sorted
-    n-grams that come last."""
+    """The first columns of each set, of which two sets that link share least_columns of the smaller one, and their number
+    by set. frequent: sorted n-grams that come last."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    counts = np.where(sizes > 0, sizes + percent * sizes // -100 + 1, 0)
+    counts = np.where(sizes > 0, sizes + percent * sizes // -100 + least_columns(sizes, percent), 0)
     values, owner = np.concatenate([*sets, np.empty(0, np.uint64)]), np.repeat(np.arange(len(sets)), sizes)
     if frequent is not None and len(frequent):
         at = np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)
@@ -180,60 +186,11 @@ def _star(members: DataFrame, candidates: DataFrame) -> DataFrame:
     return met.select(F.col("rep").alias("a"), F.col("hub.rep").alias("b")).distinct()
 
 
-def _own_grams(words: int, parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (part, doc_id, text_id, n, grams) that send every second n-gram, by hash, to the part that counts it.
-
-    An n-gram that several documents of a batch hold is shared in any case: it goes once, without a document, so that a
-    passage which everyone has is no more than one value per batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            sets = shingle_sets(batch.column("text").to_pylist(), words)
-            sizes = np.array([len(s) for s in sets], dtype=np.int64)
-            text_id = np.array([s.sum(dtype=np.uint64) for s in sets], dtype=np.uint64).view(np.int64)
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            flat, owner = np.concatenate([*sets, np.empty(0, np.uint64)]), np.repeat(np.arange(len(sets)), sizes)
-            half = (mix(flat) & np.uint64(1)) == 0
-            flat, owner = flat[half], owner[half]
-            values, inverse, held = np.unique(flat, return_inverse=True, return_counts=True)
-            single = held[inverse] == 1
-            flat, owner = np.concatenate([flat[single], values[held > 1]]), np.concatenate([owner[single], np.full((held > 1).sum(), len(sets))])
-            # every document has a row, even if nothing is left to send
-            owner, flat = np.concatenate([owner, np.arange(len(sets))]), np.concatenate([flat, np.zeros(len(sets), np.uint64)])
-            real = np.arange(len(flat)) < len(flat) - len(sets)
-            part = (mix(flat + np.uint64(1)) % np.uint64(parts)).astype(np.int64)
-            order = np.lexsort((part, owner))
-            key = owner[order] * parts + part[order]
-            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-            own = owner[order][first]
-            known = own < len(sets)
-            counts = np.add.reduceat(real[order].astype(np.int64), first) if len(first) else np.empty(0, np.int64)
-            at = np.minimum(own, max(len(sets) - 1, 0))
-            columns = [pa.array(part[order][first]), pa.array(np.where(known, ids[at], 0), mask=~known), pa.array(text_id[at]), pa.array(sizes[at]), _list_column(flat[order][real[order]], counts)]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "doc_id", "text_id", "n", "grams"])
-
-    return run
-
-
-def _count_own(table: pa.Table) -> pa.Table:
-    """Per document of a part: how many of its n-grams no other document has."""
-    grams = table.column("grams").combine_chunks()
-    counts = np.diff(grams.offsets.to_numpy())
-    _, inverse, held = np.unique(grams.flatten().to_numpy(), return_inverse=True, return_counts=True)
-    own = np.bincount(np.repeat(np.arange(len(counts)), counts), (held[inverse] == 1).astype(np.float64), len(counts)).astype(np.int64)
-    return table.select(["doc_id", "text_id", "n"]).append_column("own", pa.array(own)).filter(table.column("doc_id").is_valid())
-
-
-def _alive(members: DataFrame, docs: DataFrame, slim: DataFrame, words: int, percent: int) -> DataFrame:
-    """Members that can still reach the threshold: of every second n-gram, no more than 100 - percent % of all their
-    n-grams may occur in no other member."""
-    reps = members.select(F.col("rep").alias("doc_id")).distinct()
-    total = semi_by_id(slim, reps, "doc_id").agg(F.sum("n")).first()[0] or 0
-    parts = max(1, -(-total // (2 * PART_GRAMS)))
-    sent = semi_by_id(docs, reps, "doc_id").mapInArrow(_own_grams(words, parts), "part long, doc_id long, text_id long, n long, grams array<long>")
-    own = sent.groupBy("part").applyInArrow(_count_own, "doc_id long, text_id long, n long, own long")
-    kept = own.groupBy("doc_id", "text_id", "n").agg(F.sum("own").alias("own")).where(100 * F.col("own") <= (100 - percent) * F.col("n"))
-    return members.join(kept.select(F.col("doc_id").alias("rep")).distinct(), "rep")
+def _meeting(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Members (rep, block) with as many blocks as a link to the smallest set that they can link to needs. sizes: rep, n."""
+    smallest = F.ceil(percent * F.col("n") / 100)
+    found = members.groupBy("rep").agg(F.count("*").alias("met")).join(sizes, "rep").where(F.col("met") >= least_columns(smallest, percent))
+    return members.join(found.select("rep").distinct(), "rep", "left_semi")
 
 
 def block_links(a_ids: np.ndarray, a_comp: np.ndarray, a_sets: list[np.ndarray], b_ids: np.ndarray, b_comp: np.ndarray, b_sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -312,10 +269,11 @@ def ngram_jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90)
     classes = cut(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
     frequent = frequent_grams(docs, classes.where("rep IS NOT NULL"), words)
     blocks = docs.where("doc_id IS NOT NULL").mapInArrow(_sets_function(words, percent, "blocks", frequent), f"{key}, blocks array<long>")
-    reps = cut(blocks.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("blocks").alias("blocks")).select("rep", "blocks"))
+    reps = cut(blocks.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("blocks").alias("blocks")).drop("k1", "k2"))
     cells = reps.select("rep", F.explode("blocks").alias("block"))
-    lists = cells.groupBy("block").agg(F.count("*").alias("m")).where("m > 1")
-    shared = cut(cells.join(lists, "block"))
+    several = lambda rows: rows.groupBy("block").agg(F.count("*").alias("m")).where("m > 1")
+    shared = cut(_meeting(cut(cells.join(several(cells).select("block"), "block")), reps.select("rep", "n"), percent))
+    shared = cut(shared.join(several(shared), "block"))
     degree = shared.groupBy("rep").agg(F.sum("m").alias("degree"))
     shared = cut(shared.drop("m").join(degree, "rep"))
 
@@ -333,7 +291,7 @@ def ngram_jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90)
         edges = cut(edges.union(_linked(pairs, docs, words, percent)))
         labels = components(edges)
         open_ = _open_lists(shared, labels)
-        alive = cut(_alive(open_, docs, slim, words, percent))
+        alive = cut(_meeting(open_, reps.select("rep", "n"), percent))
         if not alive.isEmpty():
             found = semi_by_id(docs, alive.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
             sets = cut(found.mapInArrow(_sets_function(words, percent, "grams"), "doc_id long, n long, grams array<long>"))
