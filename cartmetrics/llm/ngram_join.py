@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from cartmetrics.llm.common import BROADCAST_IDS, chunks, cut, extend, mix, semi_by_id, word_hashes
 
 
-#: Documents in a block of rows of the last product, and 64-bit words of a parity bitmap.
-ROWS, WORDS = 512, 16
+#: N-grams in a block of rows of the last product, documents in one where links are counted, 64-bit words of a parity bitmap.
+BLOCK_GRAMS, ROWS, WORDS = 1_000_000, 512, 16
 #: Frequent n-grams: documents of the sample (about), rows of it that hold one at least, the most that are kept.
 SAMPLE_DOCS, SAMPLE_HITS, MOST_FREQUENT = 4000, 3, 100_000
 
@@ -223,7 +223,7 @@ def block_links(a_ids: np.ndarray, a_comp: np.ndarray, a_sets: list[np.ndarray],
 
 
 def _product_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that are still needed, from products of blocks of ROWS documents.
+    """Links (a, b) that are still needed, from products of blocks of documents with about BLOCK_GRAMS n-grams.
 
     Members that lists hold together form a group; every block of a group's documents outside of its
     largest component meets every block of the group. A task reads two blocks, however large the group."""
@@ -231,9 +231,9 @@ def _product_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFra
     star = members.join(members.groupBy("block").agg(F.min("rep").alias("hub")), "block").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     groups = components(star).withColumnRenamed("label", "g")
     docs = members.select("rep", "comp").distinct().join(groups.withColumnRenamed("v", "rep"), "rep")
-    by = docs.groupBy("g", "comp").agg(F.count("*").alias("c"))
+    by = docs.join(sets.groupBy(F.col("doc_id").alias("rep")).agg(F.sum("n").alias("n")), "rep").groupBy("g", "comp").agg(F.sum("n").alias("c"))
     sizes = by.groupBy("g").agg(F.sum("c").alias("all"), F.max("c").alias("most"), F.max_by("comp", F.struct("c", "comp")).alias("main"))
-    blocks = lambda n: F.ceil(n / F.lit(ROWS)).cast("long")
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK_GRAMS)).cast("long")
     sizes = sizes.where("all > most").select("g", "main", blocks(F.col("all")).alias("nb"), blocks(F.col("all") - F.col("most")).alias("na"))
     held = cut(docs.join(sizes, "g").join(sets.select(F.col("doc_id").alias("rep"), "grams"), "rep"))
     own, every = (lambda n: F.pmod(F.xxhash64("rep"), F.col(n))), (lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)))

@@ -69,8 +69,9 @@ def test_ngram_join_equals_brute_force(spark):
 
 
 @pytest.mark.parametrize(("words", "percent"), [(5, 80), (3, 90), (2, 60)])
-def test_ngram_join_with_passages_and_chains(spark, words, percent):
+def test_ngram_join_with_passages_and_chains(spark, monkeypatch, words, percent):
     """Passages that most texts share, and chains of near copies whose ends don't link: all steps of the search run."""
+    monkeypatch.setattr("cartmetrics.llm.ngram_join.BLOCK_GRAMS", 700)
     rng = random.Random(words)
     passage = [f"p{i}" for i in range(40)]
     texts = {}
