@@ -9,6 +9,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ def semi_by_id(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", chars: int = 4_000_000) -> Iterator[pa.Table]:
     """Slices of the batches that hold about so many characters, to bound the memory of a Python worker."""
     for batch in batches:
-        lengths = pd.Series(batch.column(column).to_pandas()).str.len().fillna(0).to_numpy()
+        lengths = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         edges = np.unique(np.searchsorted(np.cumsum(lengths), np.arange(chars, lengths.sum() + chars, chars)) + 1)
         start = 0
         for end in [*edges.tolist(), batch.num_rows]:

@@ -18,6 +18,7 @@ from cartmetrics.llm.lm_score import backoff_scores
 from cartmetrics.llm.mixing import mix_sources
 from cartmetrics.llm.ngram_join import ngram_jaccard_components, ngram_jaccard_link_counts
 from cartmetrics.llm.quality_pu import quality_scores
+from cartmetrics.llm.ngram_prefix import near_copy_components
 from cartmetrics.llm.topk import exact_top_k
 from cartmetrics.llm.toxicity import SEED_TERMS, mine_terms, toxicity_scores
 
@@ -71,7 +72,7 @@ def test_ngram_join_equals_brute_force(spark):
 @pytest.mark.parametrize(("words", "percent"), [(5, 80), (3, 90), (2, 60)])
 def test_ngram_join_with_passages_and_chains(spark, monkeypatch, words, percent):
     """Passages that most texts share, and chains of near copies whose ends don't link: all steps of the search run."""
-    monkeypatch.setattr("cartmetrics.llm.ngram_join.BLOCK_GRAMS", 700)
+    monkeypatch.setattr("cartmetrics.llm.ngram_prefix.BLOCK_GRAMS", 700)
     rng = random.Random(words)
     passage = [f"p{i}" for i in range(40)]
     texts = {}
@@ -101,8 +102,9 @@ def test_ngram_join_with_passages_and_chains(spark, monkeypatch, words, percent)
             x, y = sorted((root(a), root(b)))
             label[y] = x
     frame = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string").repartition(3)
-    got = {r.doc_id: r.component_id for r in ngram_jaccard_components(frame, words, percent).collect()}
-    assert got == {i: root(i) for i in texts} and 100 < links and len(set(got.values())) > 60
+    for find in (near_copy_components, ngram_jaccard_components) if percent != 60 else (near_copy_components,):
+        got = {r.doc_id: r.component_id for r in find(frame, words, percent).collect()}
+        assert got == {i: root(i) for i in texts} and 100 < links and len(set(got.values())) > 60
 
 
 def test_ngram_join_odd_rows(odd, none):
