@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cartmetrics.llm.common import BROADCAST_IDS, cut, semi_by_id, table
 from cartmetrics.llm.mixing import mix_sources
-from cartmetrics.llm.ngram_join import ngram_jaccard_components
+from cartmetrics.llm.ngram_prefix import near_copy_components
 from cartmetrics.llm.packing import pack_batches
 from cartmetrics.llm.pii import redact_text
 from cartmetrics.llm.queries import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, domain
@@ -36,7 +36,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str, words: i
     result.
     """
     docs = docs.select(*COLUMNS)
-    groups = cut(ngram_jaccard_components(docs, words=words, percent=percent).select("doc_id", "component_id").where("doc_id IS NOT NULL"))
+    groups = cut(near_copy_components(docs, words=words, percent=percent).select("doc_id", "component_id").where("doc_id IS NOT NULL"))
     gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
     twice = cut(groups.where("component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     kept = _without(docs, gone.union(twice).distinct())
