@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cartmetrics.functions import labels
 from cartmetrics.functions import scalars
-from cartmetrics.operators import catalogs, joins, kpi, models, profiling, series, sets, std
+from cartmetrics.operators import catalogs, joins, kpi, models, profiling, quality_aggs, series, sets, std
 from cartmetrics.sources import readers, sinks
 from cartmetrics.streaming.ingest import stream_checkpoint, stream_csv_ingest
 
@@ -452,6 +452,36 @@ def test_facts_are_read_once_or_twice(spark, small_dir):
         assert len(reads) <= most, (name, len(reads))
 
 
+def test_champions_follow_all_forecasts(spark, small_dir):
+    """Baselines count the brands of every forecast, judged or not, and the facts are read twice at most."""
+    from cartmetrics.plans import REGISTRY
+    from cartmetrics.sources.roles import Tables
+
+    log = {r["channel"]: r for r in REGISTRY["performance_log"](spark, small_dir).collect()}
+    brands = Tables(spark, small_dir).forecast.groupBy("channel_type").agg(F.count_distinct("brand_key")).collect()
+    assert {c: r["wape_baseline"] for c, r in log.items()} == {c: pytest.approx(n / 200) for c, n in brands}
+    assert {(r["model_name"], r["model_version"], r["recall_baseline"]) for r in log.values()} == {("demand_modern", "v1", 0.8), ("demand_traditional", "v1", 0.8)}
+
+
+def test_unjudged_forecasts_stay_if_asked_for(spark):
+    forecast = spark.createDataFrame(
+        [("a", 1, 2.0, True), ("b", 1, 3.0, False), ("c", 1, 4.0, True), ("c", 2, 5.0, None), (None, 1, 6.0, True)],
+        "brand_key string, period_key int, forecasted_units double, is_official_version boolean",
+    )
+    actuals = spark.createDataFrame(
+        [("a", 1, 4.0, True), ("a", 1, 1.0, True), ("b", 1, 1.0, True), ("c", 1, 0.0, True), ("c", 2, 1.0, True), (None, 1, 1.0, True)],
+        "brand_key string, period_key int, actual_units double, is_reportable boolean",
+    )
+    keys = ["brand_key", "period_key"]
+    every = joins.wape_actuals_join(forecast, actuals, keys, keep_unjudged=True)
+    one = joins.wape_actuals_join(forecast, actuals, keys)
+    assert sorted(map(tuple, every.filter("is_judged").select(*one.columns).collect())) == sorted(map(tuple, one.collect()))
+    assert every.count() == 6
+    kept = quality_aggs.wape(every, ["period_key"], more=[F.count_distinct("brand_key").alias("brands")], where=F.col("is_judged"))
+    got = {r["period_key"]: tuple(r)[1:] for r in kept.collect()}
+    assert got == {1: (pytest.approx(3 / 5), 1, 2, 3), 2: (None, 0, 0, 1)}
+
+
 # --- sources and sinks -------------------------------------------------------------------------
 
 
