@@ -354,6 +354,28 @@ def test_inventory_by_sketches(spark):
     assert {(r["total_rows"], r["distinct_count"]) for r in empty} == {(0, 0)}
 
 
+def test_inventory_query_counts_every_value(spark, tmp_path):
+    from cartmetrics.plans import REGISTRY
+
+    n = 100_500
+    keys = spark.range(n).withColumn("id", F.greatest("id", F.lit(1)))
+    keys.select(F.col("id").alias("p_partkey"), F.lit("x").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("SMALL").alias("p_type"), F.lit(5).alias("p_size")).write.parquet(f"{tmp_path}/part.parquet")
+    got = {r["column_name"]: r for r in REGISTRY["column_inventory"](spark, str(tmp_path)).collect()}
+    key = got["mat_idt"]
+    assert (key["total_rows"], key["distinct_count"], key["is_pk_candidate"]) == (n, n - 1, False)
+    assert key["sample_values"] == "1 | 10 | 100 | 1000 | 10000" and "distinct_is_exact" not in key
+
+
+def test_whole_inventory_is_exact(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, "a", None), (2, None, None)], "i int, s string, e double")
+    got = {r["column_name"]: r for r in profiling.column_inventory(df, "T", df.columns, exact_up_to=None).collect()}
+    assert {c: (r["distinct_count"], r["null_rows"], r["sample_values"]) for c, r in got.items()} == {"i": (2, 0, "2 | 1"), "s": (2, 1, "a"), "e": (1, 3, None)}
+    by_sketch = {r["column_name"]: r for r in profiling.column_inventory(df, "T", df.columns).collect()}
+    assert got == by_sketch
+    empty = profiling.column_inventory(df.limit(0), "T", df.columns, exact_up_to=None).collect()
+    assert {(r["total_rows"], r["distinct_count"], r["is_pk_candidate"]) for r in empty} == {(0, 0, True)}
+
+
 def test_several_distinct_counts_without_copying_rows(spark, small_dir):
     from cartmetrics.plans import REGISTRY
 
