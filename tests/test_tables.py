@@ -299,6 +299,31 @@ def test_grain_with_one_repeated_line(spark, small_dir):
     lines.unpersist()
 
 
+def test_grain_counts_every_combination(spark):
+    rng = np.random.default_rng(5)
+    data = [tuple(None if v == 0 else v for v in r) for r in rng.integers(0, [3, 4, 5, 40], size=(60, 4)).tolist()]
+    df = spark.createDataFrame([*data, data[0]], "a int, b int, c int, d int")
+    out = [tuple(r) for r in profiling.grain_detection(df, "T", ["a", "b"], ["c", "d"], every=True).select("try_no", "candidate_grain", "distinct_rows", "is_exact").orderBy("try_no").collect()]
+    combos = [c for n in range(1, 5) for c in itertools.combinations(range(4), n) if not {0, 1} <= set(c)]
+    want = [(i, " x ".join("abcd"[j] for j in c), len({tuple(r[j] for j in c) for r in data}), True) for i, c in enumerate([(0, 1), *combos])]
+    assert out == want and len(out) == 12
+    # c and d are perfect together: a x b, declared, all single columns, and a x c to c x d
+    lines = spark.createDataFrame([(i % 2, i % 3, i // 5, i % 5) for i in range(40)], "a int, b int, c int, d int")
+    tried = profiling.grain_detection(lines, "T", ["a", "b"], ["c", "d"], every=True).orderBy("try_no").collect()
+    assert [r["candidate_grain"] for r in tried] == ["a x b", "a", "b", "c", "d", "a x c", "a x d", "b x c", "b x d", "c x d"]
+    assert [r["candidate_grain"] for r in tried if r["is_best"]] == ["c x d"] and tried[-1]["confidence"] == "PERFECT"
+    sure = profiling.grain_detection(lines, "T", ["c", "d"], ["a"], every=True).collect()
+    assert [(r["candidate_grain"], r["is_best"]) for r in sure] == [("c x d", True)]
+    assert [r["distinct_rows"] for r in profiling.grain_detection(df.limit(0), "T", ["a"], ["b"], every=True).collect()] == [0]
+
+
+def test_combinations_are_counted_without_copies_of_rows(spark):
+    df = spark.createDataFrame([(1, None, 1), (1, None, 2), (2, 5, 2)], "a int, b int, c int")
+    out = profiling.combination_counts(df, [("a",), ("a", "b"), ("b", "c")])
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, out.collect())) == [(0, 2, 3), (1, 2, 3), (2, 3, 3)]
+
+
 def test_overlap_counts(spark):
     a = spark.createDataFrame([("x",), ("Y ",), (None,)], "v string")
     b = spark.createDataFrame([("y",), ("z",)], "v string")
