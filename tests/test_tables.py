@@ -529,6 +529,17 @@ def test_unjudged_forecasts_stay_if_asked_for(spark):
     assert got == {1: (pytest.approx(3 / 5), 1, 2, 3), 2: (None, 0, 0, 1)}
 
 
+def test_cold_start_deals_more_tasks_for_more_lines(spark, small_dir, monkeypatch):
+    from cartmetrics.plans import REGISTRY, decision_plans
+
+    few = REGISTRY["cold_start_prior"](spark, small_dir)
+    want = rows(few, "upc")
+    monkeypatch.setattr(decision_plans, "ROWS_OF_A_TASK", 100, raising=False)
+    many = REGISTRY["cold_start_prior"](spark, small_dir)
+    dealt = [line for line in many._jdf.queryExecution().executedPlan().toString().splitlines() if "week_start" in line and "REPARTITION_BY_NUM" in line]
+    assert dealt and all(", 60)" in line for line in dealt) and rows(many, "upc") == want
+
+
 # --- sources and sinks -------------------------------------------------------------------------
 
 
