@@ -19,6 +19,13 @@ from cartmetrics.llm.common import cut
 BUCKET_DIGITS = 4
 
 
+def count_words(text: Column) -> Column:
+    """Number of words of a text (null: 0). Each word is replaced by one character: regexp_count would hold all words of
+    a text as strings of their own."""
+    marks = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\x20\x09-\x0D]+", "x")
+    return F.length(F.translate(marks, " \t\n\x0b\x0c\r", "")).cast("long")
+
+
 def order_key(seed: int, epoch: Column, doc_id: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null"))))
 
@@ -91,14 +98,15 @@ def mix_sources(
     gives nothing. Repeated rows are taken each. An empty table gives an empty result.
     """
     path = list(path)
-    count = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long") if tokens is None else tokens
+    count = count_words(F.col("text")) if tokens is None else tokens
     own = [c for c in docs.columns if c not in ("epoch", "n_tokens", "budget")]
     keys = [f"_leaf{i}" for i in range(len(path))]
     # The row travels as one value, so that no column of docs can meet a column of the steps.
     leaf = {k: F.coalesce(F.col(p).cast("string"), F.lit("")).alias(k) for k, p in zip(keys, path, strict=True)}
     rows = docs.select("doc_id", count.alias("n_tokens"), *leaf.values(), F.struct(*own).alias("row"))
     named = {tuple(k): v for k, v in weights.items()}
-    cuts = leaf_cuts(rows.select("doc_id", "n_tokens", *keys), keys, named, share, max_epochs, seed)
+    # The texts are counted once for all that is summed up from the counts.
+    cuts = leaf_cuts(cut(rows.select("doc_id", "n_tokens", *keys)), keys, named, share, max_epochs, seed)
     met = rows.join(cuts.withColumnRenamed("epochs", "_epochs").withColumnRenamed("last_key", "_last").drop("tokens"), keys)
     partial = F.coalesce(order_key(seed, F.col("_epochs"), F.col("doc_id")) <= F.col("_last"), F.lit(False))
     times = F.col("_epochs") + partial.cast("long")

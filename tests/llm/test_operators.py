@@ -15,7 +15,7 @@ from cartmetrics.llm import html_text, packing, pii
 from cartmetrics.llm.common import shared_folder
 from cartmetrics.llm.line_rules import line_rules
 from cartmetrics.llm.lm_score import backoff_scores
-from cartmetrics.llm.mixing import mix_sources
+from cartmetrics.llm.mixing import count_words, mix_sources
 from cartmetrics.llm.ngram_join import ngram_jaccard_components, ngram_jaccard_link_counts
 from cartmetrics.llm.quality_pu import quality_scores
 from cartmetrics.llm.ngram_prefix import near_copy_components
@@ -307,6 +307,15 @@ def test_packing_loss_of_a_rounded_histogram_is_bounded(spark):
     assert padded[None] <= padded[5] <= padded[None] * (1 + 2**-4)
 
 
+def test_mixing_counts_words_without_holding_them(spark):
+    texts = [None, "", " \t\n\x0b\x0c\r", "a", " a\x0bb\u00a0c\u2003 \U0001f600x\r\n", "$1 \\ x\u0085y", "\x1c \x1f"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string").select("i", "text", count_words(F.col("text")).alias("n"))
+    assert {r.i: r.n for r in df.collect()} == {i: len(re.findall("[^\\x20\\x09-\\x0D]+", t or "")) for i, t in enumerate(texts)}
+    docs = spark.createDataFrame([(1, "a b", "en"), (2, "c", "de")], "doc_id long, text string, lang string")
+    plan = mix_sources(docs, ["lang"], {}, max_epochs=1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
+
+
 def test_mixing_with_clashing_columns(spark):
     docs = spark.createDataFrame([(i, "a b c", "en", 1, 2, 3, 4, 5, 6) for i in range(10)], "doc_id long, text string, lang string, _epochs int, _last int, _leaf0 int, row int, budget int, key int")
     out = mix_sources(docs, ["lang"], {}, share=1.0, max_epochs=1)
