@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartmetrics.llm.common import cut
+from cartmetrics.llm.mixing import count_words
 
 #: Rows of a bucket that one task numbers.
 GROUP_ROWS = 200_000
@@ -90,10 +91,10 @@ def pack_batches(
     rows travel as one with their number, so that no task gets the copies of a document.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    count = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long") if tokens is None else tokens
+    count = count_words(F.col("text")) if tokens is None else tokens
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     fields = ["doc_id", count.alias("n_tokens"), name.alias("name"), F.xxhash64(F.lit(seed), name, text).alias("order")]
-    kept = [F.struct(*keep).alias("kept"), F.spark_partition_id().alias("part")] if keep else []
+    kept = [F.struct(*keep).alias("kept"), F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row")] if keep else []
     rows = cut(docs.select(*fields, *kept))
     cells = sorted((r["top"], r["count"]) for r in length_histogram(rows, bits).collect())
     bounds = optimal_bounds([c[0] for c in cells], [c[1] for c in cells], buckets)
@@ -115,7 +116,8 @@ def pack_batches(
     # Equal rows are told apart by the parts that they were written in, and inside a part by their number.
     parts = rows.groupBy(*same, "part").agg(F.count("*").alias("n"))
     parts = parts.withColumn("before", F.sum("n").over(Window.partitionBy(*same).orderBy("part")) - F.col("n")).drop("n")
-    inside = F.row_number().over(Window.partitionBy(*same, "part").orderBy("part")) - 1
-    copies = rows.withColumn("inside", inside).join(parts, [*same, "part"]).withColumn("copy", (F.col("before") + F.col("inside")).cast("long"))
-    each = copies.drop("doc_id").join(numbered, same).withColumn("i", F.col("first") + F.col("copy"))
-    return each.select(*out, "copy", "kept.*") if "doc_id" not in keep else each.select(*out[1:], "copy", "kept.*")
+    # What is kept stays behind meanwhile and moves once, to the place of its row.
+    inside = F.row_number().over(Window.partitionBy(*same, "part").orderBy("row")) - 1
+    copies = rows.select(*same, "part", "row").withColumn("inside", inside).join(parts, [*same, "part"]).withColumn("copy", (F.col("before") + F.col("inside")).cast("long"))
+    each = copies.join(numbered, same).withColumn("i", F.col("first") + F.col("copy")).select("row", "copy", *(out[1:] if "doc_id" in keep else out))
+    return each.join(rows.select("row", "kept"), "row").select(*each.columns[2:], "copy", "kept.*")

@@ -36,6 +36,8 @@ PREFIXES, TIMES = (4, 5, 6, 7), (2, 3)
 LEXICON_VOTERS = 8
 #: Voters besides the lexicon's: number and density of hits, an insult beside a second person, all capitals, repeated marks.
 VOTERS = LEXICON_VOTERS + 6
+#: Words that a lexicon remembers of either kind; rare words would fill a worker's memory and hardly come again.
+SEEN_WORDS = 50_000
 _WORD = re.compile(r"[^\W\d_]+")
 _MARKS = ("!!", "??", "!?", "?!")
 #: Second persons in the languages of the seed terms.
@@ -70,7 +72,7 @@ class Lexicon:
 
     def hits(self, words: set[str]) -> dict[str, tuple[tuple[int, ...], tuple[str, ...]]]:
         """Of the words that hit anything: terms that they hit by themselves, and their beginnings that count words."""
-        if len(self.without) > 500_000:
+        if len(self.without) > SEEN_WORDS:
             self.without.clear()
         out = {}
         for word in words - self.without:
@@ -82,7 +84,7 @@ class Lexicon:
                 if not found[0] and not stems:
                     self.without.add(word)
                     continue
-                if len(self.seen) > 500_000:
+                if len(self.seen) > SEEN_WORDS:
                     self.seen.clear()
                 self.seen[word] = found
             out[word] = found

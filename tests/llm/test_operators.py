@@ -299,6 +299,16 @@ def test_packing_keeps_rows_and_tells_copies_apart(spark):
     assert cells(plain.collect()) == cells(packing.pack_batches(docs.repartition(2), buckets=4, batch_tokens=200).collect()) == cells(got)
 
 
+def test_packing_moves_what_it_keeps_once(spark, capsys):
+    """Before, texts went through a window and two joins."""
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 40), "s") for i in range(50)], "doc_id long, text string, source string")
+    capsys.readouterr()
+    packing.pack_batches(docs, keep=("text", "source")).explain("formatted")
+    nodes = re.findall(r"\(\d+\) (\w+).*\n((?:.+\n)+)", capsys.readouterr().out)
+    held = [name for name, body in nodes if re.search(r"(Input|Output)[^\n]*kept#", body)]
+    assert "Scan" in held and "Window" not in held and held.count("Exchange") + held.count("BroadcastExchange") <= 1 and any(name == "Window" for name, _ in nodes)
+
+
 def test_packing_loss_of_a_rounded_histogram_is_bounded(spark):
     rng = random.Random(8)
     lengths = [int(rng.paretovariate(0.8) * 20) for _ in range(3000)]

@@ -6,7 +6,9 @@ import random
 from collections import Counter
 
 import duckdb
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cartmetrics.llm.pii import find_spans, redact
@@ -79,6 +81,22 @@ def test_run_equals_the_stages_by_hand(spark):
     assert all(r.bucket == min(b for b in bounds if b >= r.n_tokens) for r in out) and len({(r.bucket, r.batch, r.place) for r in out}) == len(out)
 
 
+def test_stages_bound_the_batches_of_python_workers(spark):
+    """Before, a batch held 10,000 rows or 64 MB."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    frame = spark.createDataFrame([(i, f"w{i} " * 200, "en", "a", 1) for i in range(5)], schema)
+    batch = F.pandas_udf(lambda t: pd.Series([len(t)] * len(t)), "long")
+    long_texts = spark.range(3000, numPartitions=1).select(F.repeat(F.lit("word "), 1000).alias("text"))
+    for name in ("toxicity", "ngram_jaccard_join", "pii"):
+        spark.conf.unset(corpus_pipeline.BATCH_SETTING)
+        assert dict(corpus_pipeline.STAGES)[name](spark, frame, FOLDER).count() == 5
+        largest = long_texts.select(batch("text").alias("n")).agg(F.max("n")).first()[0]
+        assert largest * 5000 <= 1.1 * corpus_pipeline.BATCH_BYTES, name
+    spark.conf.set(corpus_pipeline.BATCH_SETTING, "4321")  # a session's own value stays
+    assert not corpus_pipeline.bound_batches(spark) and spark.conf.get(corpus_pipeline.BATCH_SETTING) == "4321"
+    spark.conf.unset(corpus_pipeline.BATCH_SETTING)
+
+
 def test_near_copies_at_five_words_equal_brute_force(spark):
     rng = random.Random(8)
     texts = {}
