@@ -391,6 +391,38 @@ def test_line_rules_spare_near_copies(spark):
     assert all(r.kept for r in got)
 
 
+def shuffled_rows(df):
+    """Rows that the exchanges of df wrote when it was collected; exchanges that are used again count once."""
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            return walk(node.plan())
+        inner = [walk(node.children().apply(i)) for i in range(node.children().size())]
+        own = node.metrics().get("shuffleRecordsWritten") if node.nodeName() == "Exchange" else None
+        return sum(inner) + (own.get().value() if own is not None and own.isDefined() else 0)
+
+    rows = df.collect()
+    return rows, walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_line_rules_move_few_rows_without_broadcasts(spark):
+    """Beyond the broadcast threshold, the join of all lines with the shared ones once moved all lines a second time behind it."""
+    rows = [(i, "\n".join([*(f"line {i} {k} " + "own words " * 3 for k in range(20)), *(f"banner {k % 5} of all" for k in range(i % 7))]), f"h{i % 3}") for i in range(400)]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out, moved = shuffled_rows(line_rules(spark.createDataFrame(rows, "doc_id long, text string, source string")))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    lines = sum(len(text.split("\n")) for _, text, _ in rows)
+    assert len(out) == 400 and 2 * lines < moved < 2.6 * lines, (moved, lines)
+
+
 def test_backoff_scores_equal_the_definition(spark, odd, none):
     rng = random.Random(6)
     texts = [" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 12))) for _ in range(30)] + ["zzz", None, ""]
