@@ -36,8 +36,10 @@ PREFIXES, TIMES = (4, 5, 6, 7), (2, 3)
 LEXICON_VOTERS = 8
 #: Voters besides the lexicon's: number and density of hits, an insult beside a second person, all capitals, repeated marks.
 VOTERS = LEXICON_VOTERS + 6
-#: Words that a lexicon remembers of either kind; rare words would fill a worker's memory and hardly come again.
+#: Words that a lexicon remembers; rare words would fill a worker's memory and hardly come again.
 SEEN_WORDS = 50_000
+#: Words are looked up only if some term begins with the same letters, so many at most.
+HEAD = 4
 _WORD = re.compile(r"[^\W\d_]+")
 _MARKS = ("!!", "??", "!?", "?!")
 #: Second persons in the languages of the seed terms.
@@ -68,26 +70,25 @@ class Lexicon:
         first = sorted({t.lstrip("=")[:4] for t in terms})
         self.voter = [first.index(t.lstrip("=")[:4]) % LEXICON_VOTERS for t in terms] + [-1] * len(weak)
         self.seen: dict[str, tuple[tuple[int, ...], tuple[str, ...]]] = {}
-        self.without: set[str] = set()
+        # Most words begin like no term: one look at their first letters tells, which costs less than to remember them.
+        self.head = min([HEAD, *self.lengths, *self.stems])
+        self.heads = {t.removeprefix("=")[: self.head] for t in self.terms if t.startswith("=")} | {p[: self.head] for p in self.several}
+        self.heads |= {t[:-1][: self.head] for t in self.terms if t.endswith("-")}
 
     def hits(self, words: set[str]) -> dict[str, tuple[tuple[int, ...], tuple[str, ...]]]:
         """Of the words that hit anything: terms that they hit by themselves, and their beginnings that count words."""
-        if len(self.without) > SEEN_WORDS:
-            self.without.clear()
-        out = {}
-        for word in words - self.without:
+        head, heads, out = self.head, self.heads, {}
+        for word in [w for w in words if w[:head] in heads]:
             found = self.seen.get(word)
             if found is None:
                 names = [f"={word}", *[f"{word[:n]}-" for n in self.lengths if len(word) >= n]]
                 stems = tuple(word[:n] for n in self.stems if len(word) >= n and word[:n] in self.several)
                 found = tuple(self.index[n] for n in names if n in self.index), stems
-                if not found[0] and not stems:
-                    self.without.add(word)
-                    continue
                 if len(self.seen) > SEEN_WORDS:
                     self.seen.clear()
                 self.seen[word] = found
-            out[word] = found
+            if found[0] or found[1]:
+                out[word] = found
         return out
 
     def rows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:

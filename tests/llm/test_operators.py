@@ -20,7 +20,7 @@ from cartmetrics.llm.ngram_join import ngram_jaccard_components, ngram_jaccard_l
 from cartmetrics.llm.quality_pu import quality_scores
 from cartmetrics.llm.ngram_prefix import near_copy_components
 from cartmetrics.llm.topk import exact_top_k
-from cartmetrics.llm.toxicity import SEED_TERMS, mine_terms, toxicity_scores
+from cartmetrics.llm.toxicity import SEED_TERMS, Lexicon, mine_terms, toxicity_scores, word_terms
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, label string"
 LONG = " ".join(f"word{i % 977}" for i in range(30_000))
@@ -474,3 +474,33 @@ def test_toxicity_lexicon_takes_all_terms_if_asked(spark):
     assert {f"={w}" for w in insults} <= set(terms[None]) and len(terms[5]) == 5 + len(SEED_TERMS)
     scores = {r.doc_id: r.predicted for r in toxicity_scores(docs, labels, max_terms=None).collect()}
     assert all(scores[i] == int(i < 1000) for i in scores)
+
+
+def test_toxicity_lexicon_looks_up_few_words():
+    """Words that begin like no term were once looked up again and again, as more of them came than a lexicon remembers."""
+
+    class Counted(dict):
+        asked = 0
+
+        def __contains__(self, key):
+            self.asked += 1
+            return super().__contains__(key)
+
+    lexicon = Lexicon(["=ox", "=stupid", "idio-", "moron-2"], ["grump-"])
+    lexicon.index = Counted(lexicon.index)
+    letters = "abcdefghjklnpqrtuvwxyz"
+    rare = ["".join(w) + "ee" for w in itertools.product(letters, repeat=4)][:120_000]
+    lexicon.rows([" ".join(rare[i : i + 1000]) for i in range(0, len(rare), 1000)] * 2 + ["an ox and an oxbow, idiots"])
+    assert lexicon.index.asked < 50 and len(lexicon.seen) < 10
+
+
+def test_toxicity_lexicon_hits_equal_the_terms_of_a_text():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abß") for _ in range(rng.randrange(1, 9))) for _ in range(300)]
+    texts = [" ".join(rng.choice(words).title() for _ in range(rng.randrange(40))) for _ in range(60)] + ["", None, "a", "12 _ ?!"]
+    every = sorted(set().union(*map(word_terms, texts)))
+    for _ in range(20):
+        terms = rng.sample(every, 30)
+        x, _ = Lexicon(terms[:20], terms[20:]).rows(texts)
+        for text, row in zip(texts, x, strict=True):
+            assert {t for t, v in zip(terms, row, strict=True) if v > 0} == set(terms) & word_terms(text)
