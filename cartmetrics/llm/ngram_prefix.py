@@ -11,10 +11,11 @@ Copies are one row of the matrix (a class of equal sets). The documents that mee
 list. No list is expanded into all pairs: its best connected member is compared with the others, the
 components that this proves are merged, and only members of lists that still span several components
 go on. Before the exact overlap of a pair is counted, its sizes and a parity bitmap of the two sets have to allow it.
-Members that meet documents of other components in fewer than k columns are dropped from the search. What
-is left goes through a product of blocks of rows, which accumulates all overlap counts of two blocks in a
-task and returns only links that merge components. Answers are those of ngram_join; with short n-grams,
-which meet by chance, that one moves less.
+Members that meet documents of other components in fewer than k columns are dropped from the search, and of each
+member the k - 1 columns with the longest lists. Lists with few members outside of their largest component then give
+their pairs across components, which are checked like those of the first round. Members of the others go through a
+product of blocks of rows, which accumulates all overlap counts of two blocks in a task and returns only links that
+merge components. Answers are those of ngram_join; with short n-grams, which meet by chance, that one moves less.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cartmetrics.llm.common import BROADCAST_IDS, chunks, cut, mix, semi_by_id
@@ -32,6 +34,8 @@ from cartmetrics.llm.ngram_join import _list_column, _open_lists, block_links, c
 
 #: N-grams in a block of rows of the last product, and 64-bit words of a parity bitmap.
 BLOCK_GRAMS, WORDS = 1_000_000, 16
+#: Members outside of a list's largest component up to which its pairs are listed; longer lists go to the product.
+OUTSIDERS = 64
 #: Characters that a Python worker takes at once.
 CHARS = 1_500_000
 #: Frequent n-grams: documents of the sample (about), rows of it that hold one at least, the most that are kept.
@@ -144,6 +148,34 @@ def _meeting(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return members.join(found.select("rep").distinct(), "rep", "left_semi")
 
 
+def _first_lists(members: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Members (rep, block, comp, lo, hi: the sizes of the document's sets) without the blocks that a document can spare,
+    of lists that still span several components, with the list's largest one (main) and its members of others (outside).
+
+    Sets that link share least_columns blocks. In an order of blocks that holds for all documents, here by the length of
+    their lists, the first shared block comes before the others in both documents. So each document can leave out its
+    last blocks, one fewer than a link to the smallest set that it can link to needs. sizes: rep, n."""
+    range_ = sizes.groupBy("rep").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    lengths = members.groupBy("block").agg(F.count("*").alias("m"))
+    spare = least_columns(F.ceil(percent * F.col("lo") / 100), percent) - 1
+    last = F.row_number().over(W.partitionBy("rep").orderBy(F.desc("m"), F.desc("block")))
+    rows = members.select("rep", "block", "comp").join(lengths, "block").join(range_, "rep").withColumn("last", last)
+    first = cut(rows.where(F.col("last") > spare).select("rep", "block", "comp", "lo", "hi"))
+    by = first.groupBy("block", "comp").agg(F.count("*").alias("c"))
+    lists = by.groupBy("block").agg((F.sum("c") - F.max("c")).alias("outside"), F.max_by("comp", F.struct("c", "comp")).alias("main"))
+    return cut(first.join(lists.where("outside > 0"), "block"))
+
+
+def _cross_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each list's members in different components whose sizes allow a link. A list gives as many rows as
+    it has members, times those outside of its largest component, at most."""
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("comp", "lo", "hi")]
+    left = members.where("comp <> main").select("block", F.col("rep").alias("a"), *side("a"))
+    right = members.select("block", "main", F.col("rep").alias("b"), *side("b"))
+    met = left.join(right, "block").where("comp_a <> comp_b AND (comp_b = main OR a < b)")
+    return met.where(f"100 * hi_a >= {percent} * lo_b AND 100 * hi_b >= {percent} * lo_a").select("a", "b").distinct()
+
+
 def _product_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that are still needed, from products of blocks of documents with about BLOCK_GRAMS n-grams.
 
@@ -215,11 +247,20 @@ def near_copy_components(docs: DataFrame, words: int = 5, percent: int = 80) ->
         open_ = _open_lists(shared, labels)
         alive = cut(_meeting(open_, reps.select("rep", "n"), percent))
         if not alive.isEmpty():
-            found = semi_by_id(docs, alive.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
-            sets = cut(found.mapInArrow(_sets_function(words, percent, "grams"), "doc_id long, n long, grams array<long>"))
-            last = cut(_product_links(alive, sets, percent))
-            if not last.isEmpty():
-                labels = components(edges.union(last))
+            first = _first_lists(alive, reps.select("rep", "n"), percent)
+            pairs = cut(_possible(_cross_pairs(first.where(F.col("outside") <= OUTSIDERS), percent), slim, percent))
+            found = cut(_linked(pairs, docs, words, percent))
+            if not found.isEmpty():
+                edges = cut(edges.union(found))
+                labels = components(edges)
+            left = first.where(F.col("outside") > OUTSIDERS).select("rep", "block")
+            left = left if left.isEmpty() else _open_lists(left, labels)
+            if not left.isEmpty():
+                texts = semi_by_id(docs, left.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
+                sets = cut(texts.mapInArrow(_sets_function(words, percent, "grams"), "doc_id long, n long, grams array<long>"))
+                last = cut(_product_links(left, sets, percent))
+                if not last.isEmpty():
+                    labels = components(edges.union(last))
     else:
         labels = components(edges)
     named = classes.join(labels.select(F.col("v").alias("rep"), "label"), "rep", "left").select("k1", "k2", F.coalesce("label", "rep").alias("component"), "copies")

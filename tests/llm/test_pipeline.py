@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from cartmetrics.llm import ngram_prefix
 from cartmetrics.llm.pii import find_spans, redact
 from cartmetrics.llm.queries import ORACLE_SQL, QUERIES
 from cartmetrics.llm.toxicity import toxicity_scores
@@ -115,6 +116,39 @@ def test_near_copies_at_five_words_equal_brute_force(spark):
     assert corpus_pipeline.drop_near_copies(spark, docs, FOLDER, words=3, percent=90).count() > len(want)
 
 
+def _chained_texts(rng: random.Random) -> dict[int, list[str]]:
+    """Documents that hold most of one before them, some of them near copies; all lists of n-grams hang together."""
+    texts = {0: [f"w{rng.randrange(10**6)}" for _ in range(120)]}
+    for i in range(1, 40):
+        words = list(texts[rng.randrange(max(0, i - 6), i)])
+        at, n = rng.randrange(len(words)), rng.choice([6, 24, 30, 36])
+        words[at : at + n] = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        texts[i] = words
+    return texts
+
+
+def test_leftover_lists_give_pairs_without_a_product(spark, monkeypatch):
+    """Before, each block of a group's documents was moved to each other one, whose disk grows with the square of the
+    input, however few documents meet in a list."""
+    texts = _chained_texts(random.Random(5))
+    grams = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in texts.items()}
+    first = {i: i for i in texts}
+    for i in texts:
+        for j in range(i):
+            if len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j]):
+                a, b = sorted((first[i], first[j]))
+                first = {k: a if v == b else v for k, v in first.items()}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()] + [(39, " ".join(texts[39])), (None, " ".join(texts[3]))], "doc_id long, text string")
+    found = lambda: {r.doc_id: r.component_id for r in ngram_prefix.near_copy_components(docs).where("doc_id IS NOT NULL").collect()}
+    products, sent = ngram_prefix._product_links, []
+    monkeypatch.setattr(ngram_prefix, "_product_links", lambda members, *a: sent.append(members.count()) or products(members, *a))
+    assert found() == first and len(set(first.values())) > 10 and not sent
+    # lists with more outsiders go to the product, in blocks of a few documents
+    monkeypatch.setattr(ngram_prefix, "OUTSIDERS", 0)
+    monkeypatch.setattr(ngram_prefix, "BLOCK_GRAMS", 300)
+    assert found() == first and sent
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
     assert set(ORACLE_SQL) < set(QUERIES)
