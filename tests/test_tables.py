@@ -439,6 +439,25 @@ def test_decay_fit_takes_the_decay_that_made_the_series(spark):
 SEED = "source_cbu string, mrkt_dsc_shrt string, canal_lvl1 string, canal_lvl2 string, canal_std string, agg_level string, region_type string, region_std string, region_detail string, review_status string"
 
 
+def _many_keys(spark, folder):
+    """Orders, lines and customers with more values in a column than were counted exactly before."""
+    n = 100_500
+    keys = spark.range(n)
+    keys.select(F.col("id").alias("o_orderkey"), (F.col("id") % 100_300).alias("o_custkey")).write.parquet(f"{folder}/orders.parquet")
+    keys.select(F.greatest("id", F.lit(1)).alias("l_orderkey"), (F.col("id") % 7).alias("l_suppkey")).write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(100_400).select(F.col("id").alias("c_custkey"), (F.col("id") % 25).cast("int").alias("c_nationkey")).write.parquet(f"{folder}/customer.parquet")
+    return str(folder)
+
+
+def test_dimension_candidates_count_every_value(spark, tmp_path):
+    from cartmetrics.plans import REGISTRY
+
+    got = {(r["dataset"], r["column_normalized"]): (r["distinct_count"], r["suggested_role"]) for r in REGISTRY["dimension_candidates"](spark, _many_keys(spark, tmp_path)).collect()}
+    assert got == {
+        ("ORDERS", "sku"): (100_500, "PRIMARY KEY"), ("LINEITEM", "sku"): (100_499, "ATTRIBUTE"), ("LINEITEM", "upc"): (7, "FOREIGN KEY"), ("CUSTOMER", "upc"): (25, "FOREIGN KEY"),
+    }
+
+
 def test_market_catalog_has_its_columns_and_stops_on_conflicts(spark):
     def row(label, channel, status="CONFIRMED"):
         return ("EDP", label, "L1", channel, channel, "DETAIL", "AREA", "AREA 1", None, status)
