@@ -458,6 +458,13 @@ def test_dimension_candidates_count_every_value(spark, tmp_path):
     }
 
 
+def test_domain_profile_ranks_every_value(spark):
+    """130,001 values of a key: ten with two rows, a NULL with three, the others with one each."""
+    df = spark.range(130_000).select(F.col("id").cast("string").alias("k")).union(spark.range(10).select((F.col("id") + 500).cast("string"))).union(spark.createDataFrame([(None,)] * 3, "k string"))
+    got = [(r["value"], r["frequency"]) for r in profiling.domain_profile(df, "T", ["k"], 15).orderBy(F.desc("frequency"), "value").collect()]
+    assert got == [("(null)", 3), *[(str(500 + i), 2) for i in range(10)], ("0", 1), ("1", 1), ("10", 1), ("100", 1)]
+
+
 def test_market_catalog_has_its_columns_and_stops_on_conflicts(spark):
     def row(label, channel, status="CONFIRMED"):
         return ("EDP", label, "L1", channel, channel, "DETAIL", "AREA", "AREA 1", None, status)
