@@ -458,6 +458,13 @@ def test_dimension_candidates_count_every_value(spark, tmp_path):
     }
 
 
+def test_join_estimates_count_every_value(spark, tmp_path):
+    from cartmetrics.plans import REGISTRY
+
+    got = {(r["dataset_a"], r["dataset_b"], r["join_key"]): (r["left_count"], r["matched_count"]) for r in REGISTRY["join_estimate_report"](spark, _many_keys(spark, tmp_path)).collect()}
+    assert got == {("LINEITEM", "ORDERS", "SKU"): (100_499, 100_499), ("CUSTOMER", "ORDERS", "CUS_IDT"): (100_400, 100_300), ("CUSTOMER", "LINEITEM", "UPC"): (25, 7)}
+
+
 def test_domain_profile_ranks_every_value(spark):
     """130,001 values of a key: ten with two rows, a NULL with three, the others with one each."""
     df = spark.range(130_000).select(F.col("id").cast("string").alias("k")).union(spark.range(10).select((F.col("id") + 500).cast("string"))).union(spark.createDataFrame([(None,)] * 3, "k string"))
